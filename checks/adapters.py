@@ -126,8 +126,10 @@ def archives(spark: SparkSession, sf_dir: str) -> str:
     """Folder with one sub-folder of gzip JSON lines per hour; written once per session."""
     folder = shared_folder(spark, "archives")
     named = lines(spark, sf_dir).select("value", archive_name(F.col("archive_hour")).alias("archive"))
+    # By range, so that a busy hour is spread over several tasks and files.
+    tasks = 4 * spark.sparkContext.defaultParallelism
     (
-        named.hint("rebalance", "archive")
+        named.repartitionByRange(tasks, "archive", "value")
         .write.option("compression", "gzip")
         .partitionBy("archive")
         .text(folder)

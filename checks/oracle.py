@@ -287,7 +287,8 @@ union all select 'PullRequestEvent', count(*) from kept where type = 'PullReques
     "lake_write": LAKE,
     "lake_skip_existing": LAKE,
     "lake_read": f"""{LINES} select type as event_type, strftime(ts, '%m') as month,
-  strftime(ts, '%d') as day, count(*) as events from kept group by all""",
+  strftime(ts, '%d') as day, count(*) as events from kept
+where type = 'WatchEvent' group by all""",
     "backfill_range": LAKE,
     "stream_ingested": LAKE,
     "stg_watch_events": f"""{ACTIVITY}

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from repopulse.operators import activity as act
 from repopulse.operators import analyses, catalog, embedding, ingest, quality, search, staging, trends
+from repopulse.functions.events import is_star
 from repopulse.functions.vectors import unit
 from repopulse.plans.embed import encode_query, new_rows
 from repopulse.plans.ingest import backfill, flat_rows
@@ -33,7 +34,6 @@ FRESH_AS_OF = datetime(2024, 1, 31, 3)
 CHUNK = {"size": 1000, "overlap": 200}
 TOP_CANDIDATES = 500
 LAST_WEEK = datetime(2001, 10, 28).date()
-LANGUAGE = "language"
 
 
 def query(function: Query) -> Query:
@@ -80,10 +80,14 @@ def ingest_counts(spark, sf):
     return ingest.ingest_report(a.lines(spark, sf))
 
 
+def _archived_rows(spark, sf):
+    return flat_rows(archive.read_lines(spark, a.archives(spark, sf)))
+
+
 @query
 def lake_write(spark, sf):
     path = shared_folder(spark, "lake")
-    lake.write_lake(flat_rows(a.lines(spark, sf)), path, compact=True)
+    lake.write_lake(_archived_rows(spark, sf), path)
     return lake.read_lake(spark, path)
 
 
@@ -91,20 +95,20 @@ def lake_write(spark, sf):
 def lake_skip_existing(spark, sf):
     """Stars first, then everything: the second run must add pull requests only."""
     path = shared_folder(spark, "lake")
-    rows = flat_rows(a.lines(spark, sf))
-    lake.write_lake(rows.where(F.col("event_type") == "WatchEvent"), path, compact=True)
+    rows = _archived_rows(spark, sf)
+    lake.write_lake(rows.where(F.col("event_type") == "WatchEvent"), path)
     written = lake.written_partitions(spark, path, a.FIRST_HOUR, a.LAST_HOUR)
-    lake.write_lake(lake.skip_existing(rows, written), path, compact=True)
+    lake.write_lake(lake.skip_existing(rows, written), path)
     return lake.read_lake(spark, path)
 
 
 @query
 def lake_read(spark, sf):
-    """Rows per type and day of the archives, ingested and read back through partitions."""
+    """Stars per day, from a lake read through its partitions."""
     path = shared_folder(spark, "lake")
-    backfill(spark, a.archives(spark, sf), path, a.FIRST_HOUR, a.END)
-    days = lake.read_lake(spark, path).where(F.col("year") == a.YEAR).groupBy("event_type", "month", "day")
-    return days.agg(F.count("*").alias("events"))
+    lake.write_lake(_archived_rows(spark, sf), path)
+    stars = lake.read_lake(spark, path).where(is_star() & (F.col("year") == a.YEAR))
+    return stars.groupBy("event_type", "month", "day").agg(F.count("*").alias("events"))
 
 
 @query
@@ -289,7 +293,7 @@ def encode(spark, sf):
 @query
 def encode_hashing(spark, sf):
     texts = embedding.embed_text(a.repos(spark, sf))
-    encoded = embedding.encode(texts, embedding.hashing_encoder(texts))
+    encoded = embedding.encode(texts, embedding.hashing_encoder(embedding.fit_hashing(texts)))
     return encoded.select("repo_id", "full_name", "embedding")
 
 
@@ -334,7 +338,7 @@ def semantic_search_vectors(spark, sf):
 @query
 def semantic_search_batch(spark, sf):
     found = search.semantic_search_batch(a.document_index(spark, sf), a.questions(spark, sf))
-    columns = ("query_id", "rank", "repo_id", "full_name", LANGUAGE, "stars")
+    columns = ("query_id", "rank", "repo_id", "full_name", "language", "stars")
     return found.select(*columns, F.round("similarity", 6).alias("similarity"))
 
 

@@ -1,18 +1,26 @@
-"""Command line: ``spark-submit ... -m`` style entry to the jobs in ``plans``.
+"""Command line over the jobs in ``plans``.
 
     python -m repopulse ingest   --source DIR --lake DIR [--timestamp ISO]
     python -m repopulse backfill --source DIR --lake DIR --start ISO --end ISO
     python -m repopulse stream   --source DIR --lake DIR --checkpoint DIR
+    python -m repopulse report   --lake DIR --year 2026 star_velocity
     python -m repopulse build    --lake DIR --mart DIR
     python -m repopulse check    --lake DIR --mart DIR
-    python -m repopulse embed    --mart DIR --repos DIR --index DIR [--top 500]
-    python -m repopulse search   --index DIR "what to look for"
+    python -m repopulse trending --mart DIR [--days 30]
+    python -m repopulse fit      --repos DIR --model DIR
+    python -m repopulse embed    --mart DIR --repos DIR --index DIR [--model DIR] [--top 500]
+    python -m repopulse search   --index DIR [--model DIR] "what to look for"
 """
 
 import argparse
 
-from .operators.embedding import letters26
+from pyspark.ml import PipelineModel
+
+from .operators import analyses
+from .operators.catalog import top_pr_contributors
+from .operators.embedding import Encoder, embed_text, fit_hashing, hashing_encoder, letters26
 from .operators.search import search_display
+from .operators.trends import WINDOWS, ranked_pivot, trending_window
 from .plans.embed import refresh_index, search_text
 from .plans.ingest import backfill, ingest_hour
 from .plans.trends import build_mart, check_all
@@ -20,9 +28,24 @@ from .schemas import REPO
 from .session import build_session
 from .sources.archive import resolve_hour
 from .sources.index import read_index
+from .sources.lake import read_lake
 from .sources.mart import read_mart
 from .streaming.ingest import stream_ingest
 
+REPORTS = {
+    report.__name__: report
+    for report in (
+        analyses.top_starred_repos,
+        analyses.star_velocity,
+        analyses.pr_merge_rate,
+        analyses.top_organizations,
+        analyses.active_users,
+        analyses.hourly_stars,
+        analyses.emerging_repos,
+        top_pr_contributors,
+    )
+}
+
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="repopulse")
@@ -31,8 +54,11 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         "ingest": ("source", "lake"),
         "backfill": ("source", "lake", "start", "end"),
         "stream": ("source", "lake", "checkpoint"),
+        "report": ("lake", "year"),
         "build": ("lake", "mart"),
         "check": ("lake", "mart"),
+        "trending": ("mart",),
+        "fit": ("repos", "model"),
         "embed": ("mart", "repos", "index"),
         "search": ("index",),
     }
@@ -41,11 +67,19 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         for name in names:
             command.add_argument(f"--{name}", required=True)
     jobs.choices["ingest"].add_argument("--timestamp")
+    jobs.choices["report"].add_argument("name", choices=sorted(REPORTS))
+    jobs.choices["trending"].add_argument("--days", type=int, choices=WINDOWS, default=30)
     jobs.choices["embed"].add_argument("--top", type=int, default=500)
+    jobs.choices["embed"].add_argument("--model")
+    jobs.choices["search"].add_argument("--model")
     jobs.choices["search"].add_argument("text")
     return parser.parse_args(argv)
 
 
+def _encoder(model: str | None) -> Encoder:
+    return hashing_encoder(PipelineModel.load(model)) if model else letters26
+
+
 def main(argv: list[str] | None = None) -> None:
     args = _arguments(argv)
     spark = build_session(f"repopulse-{args.job}")
@@ -56,15 +90,25 @@ def main(argv: list[str] | None = None) -> None:
         backfill(spark, args.source, args.lake, start, end)
     elif args.job == "stream":
         stream_ingest(spark, args.source, args.lake, args.checkpoint).awaitTermination()
+    elif args.job == "report":
+        REPORTS[args.name](read_lake(spark, args.lake), args.year).show(50, truncate=False)
     elif args.job == "build":
         build_mart(spark, args.lake, args.mart)
     elif args.job == "check":
         check_all(spark, args.lake, args.mart).show(truncate=False)
+    elif args.job == "trending":
+        mart = read_mart(spark, args.mart)
+        trending_window(mart, days=args.days).show(50, truncate=False)
+        ranked_pivot(mart, days=args.days).show(max(WINDOWS) + 1)
+    elif args.job == "fit":
+        repos = spark.read.schema(REPO).parquet(args.repos)
+        fit_hashing(embed_text(repos)).write().overwrite().save(args.model)
     elif args.job == "embed":
         repos = spark.read.schema(REPO).parquet(args.repos)
-        refresh_index(spark, read_mart(spark, args.mart), repos, args.index, letters26, n=args.top)
+        mart, encoder = read_mart(spark, args.mart), _encoder(args.model)
+        refresh_index(spark, mart, repos, args.index, encoder, n=args.top)
     elif args.job == "search":
-        results = search_text(spark, read_index(spark, args.index), args.text, letters26)
+        results = search_text(spark, read_index(spark, args.index), args.text, _encoder(args.model))
         search_display(results).show(truncate=80)
 
 

@@ -6,7 +6,10 @@ candidates -> pending -> enriched -> text -> embedding -> appended to the index.
 from collections.abc import Callable, Iterator
 from datetime import date
 
-from pyspark.ml import PipelineModel
+import pandas as pd
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -92,28 +95,28 @@ def letters26(texts: DataFrame) -> DataFrame:
     return texts.withColumn("embedding", letter_counts("text"))
 
 
-def hashing_encoder(corpus: DataFrame, dimensions: int = DIMENSIONS) -> Encoder:
-    """Encoder of hashed, idf-weighted words, fitted on the ``text`` of a corpus.
+def fit_hashing(corpus: DataFrame, dimensions: int = DIMENSIONS) -> PipelineModel:
+    """Hashed, idf-weighted words of unit length, fitted on the ``text`` of a corpus.
 
-    Starts a job: document frequencies are one distributed pass over the corpus.
+    Starts a job: document frequencies are one distributed pass. Save the model next
+    to the index, so that later rows and queries are encoded alike.
     """
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
-    from pyspark.ml.functions import vector_to_array
-
     stages = [
         RegexTokenizer(inputCol="text", outputCol="_words", pattern=r"\W+"),
         HashingTF(inputCol="_words", outputCol="_tf", numFeatures=dimensions),
         IDF(inputCol="_tf", outputCol="_idf"),
         Normalizer(inputCol="_idf", outputCol="_unit"),
     ]
-    model: PipelineModel = Pipeline(stages=stages).fit(corpus.select("text"))
+    return Pipeline(stages=stages).fit(corpus.select("text"))
+
+
+def hashing_encoder(model: PipelineModel) -> Encoder:
+    """Encoder that applies a model of ``fit_hashing``."""
 
     def encoder(texts: DataFrame) -> DataFrame:
-        vectors = model.transform(texts)
-        return vectors.withColumn("embedding", vector_to_array("_unit", "float32")).drop(
-            "_words", "_tf", "_idf", "_unit"
-        )
+        embedding = vector_to_array("_unit", "float32")
+        steps = ("_words", "_tf", "_idf", "_unit")
+        return model.transform(texts).withColumn("embedding", embedding).drop(*steps)
 
     return encoder
 
@@ -126,9 +129,7 @@ def model_encoder(load_model: Callable[[], Callable[[list[str]], list]], batch:
     """
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def vectors(texts: Iterator["pd.Series"]) -> Iterator["pd.Series"]:  # noqa: F821
-        import pandas as pd
-
+    def vectors(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = load_model()
         for series in texts:
             rows = []

@@ -38,8 +38,10 @@ def _is_type(types: tuple[str, ...]) -> Column:
 
 def parse_events(lines: DataFrame) -> DataFrame:
     """event (variant), archive_hour; lines that are not JSON vanish."""
-    parsed = lines.select(F.try_parse_json("value").alias("event"), "archive_hour")
-    return parsed.where(F.col("event").isNotNull())
+    # A filter on the parsed value would be merged with the parse below it and run it
+    # twice per line. Generating zero or one row per line parses once.
+    parsed = F.array_compact(F.array(F.try_parse_json("value")))
+    return lines.select(F.explode(parsed).alias("event"), "archive_hour")
 
 
 def keep_types(events: DataFrame, types: tuple[str, ...] = KEPT_TYPES) -> DataFrame:

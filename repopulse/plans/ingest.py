@@ -35,7 +35,7 @@ def ingest_hour(spark: SparkSession, source: str, hour: datetime, lake: str) ->
     counts = [count.alias(name) for name, count in report_counts().items()]
     raw = with_partitions(flatten_events(keep_types(events.observe(report, *counts))))
     write_lake(skip_existing(raw, written_partitions(spark, lake, hour, hour)), lake)
-    return {"counts": report.get, "hour": hour.isoformat()}
+    return {"counts": report.get, "hour": f"{hour.isoformat()}+00:00"}
 
 
 def complete_hours(spark: SparkSession, lake: str, first: datetime, last: datetime) -> list[datetime]:

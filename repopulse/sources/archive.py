@@ -49,7 +49,9 @@ def hour_of_path(path: Column) -> Column:
 
 
 def _with_hour(lines: DataFrame) -> DataFrame:
-    return lines.select("value", hour_of_path(F.col("_metadata.file_path")).alias("archive_hour"))
+    """Only files whose path names an hour are archives; others are not opened."""
+    hour = hour_of_path(F.col("_metadata.file_path")).alias("archive_hour")
+    return lines.select("value", hour).where(F.col("archive_hour").isNotNull())
 
 
 def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:

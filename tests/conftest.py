@@ -1,0 +1,52 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+ROOT = Path(__file__).resolve().parent.parent
+sys.path.insert(0, str(ROOT))
+
+from repopulse.session import build_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = build_session("tests", "local[8]", **{"spark.sql.shuffle.partitions": "8"})
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def raw(spark):
+    """Builds raw lake rows from short tuples: (type, repo_id, repo_name, created_at, extras)."""
+    from pyspark.sql import functions as F
+
+    from repopulse.schemas import RAW
+
+    names = {"star": "WatchEvent", "pr": "PullRequestEvent"}
+
+    def build(*events):
+        rows = []
+        for number, (kind, repo_id, repo_name, created_at, *rest) in enumerate(events):
+            extra = rest[0] if rest else {}
+            stamp = created_at or "2024-01-01T00:00:00Z"
+            row = dict.fromkeys(RAW.names)
+            row.update(
+                id=str(number), type=names.get(kind, kind), event_type=names.get(kind, kind),
+                actor_id=1, actor_login="user1", repo_id=repo_id, repo_name=repo_name,
+                created_at=created_at, year=stamp[:4], month=stamp[5:7], day=stamp[8:10],
+                hour=stamp[11:13],
+            )
+            row.update(extra)
+            rows.append(tuple(row[name] for name in RAW.names))
+        return spark.createDataFrame(rows, RAW).withColumn("id", F.col("id"))
+
+    return build
+
+
+@pytest.fixture
+def folder(spark):
+    from repopulse.session import shared_folder
+
+    return lambda label: shared_folder(spark, f"test-{label}")
