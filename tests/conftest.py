@@ -11,7 +11,8 @@ from repopulse.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", "local[8]", **{"spark.sql.shuffle.partitions": "8"})
+    conf = {"spark.sql.shuffle.partitions": "8", "spark.sql.maxMetadataStringLength": "5000"}
+    session = build_session("tests", "local[8]", **conf)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

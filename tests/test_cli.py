@@ -1,0 +1,48 @@
+"""The jobs end to end, through the command line."""
+
+import gzip
+import json
+from datetime import datetime, timedelta, timezone
+
+from repopulse.__main__ import main
+from repopulse.schemas import REPO
+
+
+def test_jobs(spark, tmp_path, folder, capsys):
+    source = tmp_path / "archives"
+    source.mkdir()
+    first = datetime.now(timezone.utc).replace(tzinfo=None, minute=0, second=0, microsecond=0) - timedelta(hours=9)
+    for n in range(4):
+        hour = first + timedelta(hours=n)
+        events = [
+            {"id": f"{n}-{m}", "type": "WatchEvent", "created_at": f"{hour:%Y-%m-%dT%H}:10:00Z",
+             "actor": {"id": m, "login": f"u{m}"}, "repo": {"id": m % 3, "name": f"o/r{m % 3}"},
+             "payload": {"action": "started"}}
+            for m in range(10)
+        ]
+        with gzip.open(source / f"{hour:%Y-%m-%d}-{hour.hour}.json.gz", "wt") as out:
+            out.write("\n".join(map(json.dumps, events)))
+    lake, mart, repos, index, model = (folder(name) for name in ("lake", "mart", "repos", "index", "model"))
+    rows = [(n, f"o/r{n}", f"text number {n}", "go", n) for n in range(3)]
+    spark.createDataFrame(rows, REPO).write.parquet(repos)
+
+    main(["ingest", "--source", str(source), "--lake", lake, "--timestamp", first.isoformat()])
+    assert "'total': 10" in capsys.readouterr().out
+    end = (first + timedelta(hours=4)).isoformat()
+    main(["backfill", "--source", str(source), "--lake", lake, "--start", first.isoformat(), "--end", end])
+    main(["stream", "--source", str(source), "--lake", lake, "--checkpoint", folder("checkpoint")])
+    main(["report", "--lake", lake, "--year", f"{first:%Y}", "top_starred_repos"])
+    assert "o/r0" in capsys.readouterr().out
+    main(["build", "--lake", lake, "--mart", mart])
+    main(["check", "--lake", lake, "--mart", mart])
+    assert "false" not in capsys.readouterr().out
+    main(["trending", "--mart", mart, "--days", "7"])
+    assert "rank_1" in capsys.readouterr().out
+    main(["fit", "--repos", repos, "--model", model])
+    main(["embed", "--mart", mart, "--repos", repos, "--index", index, "--model", model])
+    capsys.readouterr()
+    main(["search", "--index", index, "--model", model, "text number 2"])
+    shown = capsys.readouterr().out
+    assert all(f"o/r{n}" in shown for n in range(3))
+    # Equal counts for all four hours: nothing was ingested twice.
+    assert spark.read.parquet(lake).count() == 40

@@ -1,0 +1,101 @@
+"""What the physical plans must and must not contain."""
+
+import re
+from datetime import datetime
+
+import pytest
+
+from checks import adapters
+from checks.queries import QUERIES
+from repopulse.operators import analyses
+from repopulse.operators.activity import repo_daily_activity
+from repopulse.operators.trends import trending_window
+from repopulse.plans.trends import trends
+from repopulse.sources.lake import read_lake, skip_existing, write_lake, written_partitions
+from repopulse.sources.mart import read_mart, write_mart
+
+FOLDER = "/root/testdata/sf0.001"
+PYTHON = {"l2_normalize", "semantic_search", "semantic_search_batch", "semantic_search_centroids",
+          "semantic_search_vectors", "search_display"}
+EAGER = {"lake_write", "lake_skip_existing", "lake_read", "backfill_range", "stream_ingested",
+         "mart_write", "index_written", "encode_hashing"}
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def lake(spark):
+    from repopulse.session import shared_folder
+
+    path = shared_folder(spark, "plan-lake")
+    write_lake(adapters.activity(spark, FOLDER), path)
+    return path
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - PYTHON - EAGER))
+def test_no_python_and_no_cross_join(spark, name):
+    text = plan(QUERIES[name](spark, FOLDER))
+    for operator in ("Python", "Arrow", "InPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert operator not in text
+
+
+@pytest.mark.parametrize("name", ["semantic_search", "semantic_search_batch"])
+def test_search_has_no_cross_join(spark, name):
+    text = plan(QUERIES[name](spark, FOLDER))
+    assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_analyses_prune_partitions(spark, lake):
+    raw = read_lake(spark, lake)
+    for analysis in (analyses.top_starred_repos, analyses.star_velocity, analyses.hourly_stars,
+                     analyses.pr_merge_rate, analyses.emerging_repos):
+        filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan(analysis(raw, "2024")))
+        assert "event_type" in filters[1] and "year" in filters[1]
+    scanned = re.search(r"ReadSchema: struct<(.*?)>", plan(analyses.star_velocity(raw, "2024")))[1]
+    assert scanned == "repo_name:string"
+
+
+def test_rankings_take_ordered(spark, lake):
+    raw = read_lake(spark, lake)
+    for analysis in (analyses.top_starred_repos, analyses.top_organizations, analyses.active_users):
+        assert "TakeOrderedAndProject" in plan(analysis(raw, "2024"))
+
+
+def test_mart_shuffles_twice_and_hashes_raw_events(spark, lake):
+    text = plan(trends(read_lake(spark, lake)))
+    assert text.count("Exchange hashpartitioning") == 2
+    below = text[text.rindex("Exchange hashpartitioning"):]
+    # Raw events are collapsed before the first exchange, without sorting them.
+    assert "HashAggregate" in below and "partial_count" in below
+    assert "Sort " not in below and "SortAggregate" not in below
+
+
+def test_window_adds_no_exchange(spark, lake):
+    raw = read_lake(spark, lake)
+    activity, mart = plan(repo_daily_activity(raw)), plan(trends(raw))
+    assert activity.count("Exchange") == mart.count("Exchange")
+
+
+def test_dashboard_prunes_dates(spark, lake):
+    from repopulse.session import shared_folder
+
+    path = shared_folder(spark, "plan-mart")
+    write_mart(trends(read_lake(spark, lake)), path)
+    text = plan(trending_window(read_mart(spark, path), adapters.AS_OF))
+    assert re.search(r"PartitionFilters: \[.*event_date.*>= 2023-12-31", text)
+
+
+def test_skipping_does_not_shuffle_events(spark, lake):
+    rows = adapters.activity(spark, FOLDER)
+    written = written_partitions(spark, lake, datetime(2024, 1, 1), datetime(2024, 1, 2))
+    text = plan(skip_existing(rows, written))
+    assert "BroadcastHashJoin" in text and "LeftAnti" in text and "SortMergeJoin" not in text
+    # The range is listed by folder and read without data columns.
+    assert "ReadSchema: struct<>" in text
+
+
+def test_pending_and_enrichment_broadcast_the_small_side(spark):
+    text = plan(QUERIES["repo_enrich"](spark, FOLDER))
+    assert "SortMergeJoin" not in text
