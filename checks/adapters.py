@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 
 from repopulse.functions.events import PULL_REQUEST, STAR, zero_padded
 from repopulse.operators.embedding import letters26
+from repopulse.plans.ingest import flat_rows
 from repopulse.schemas import RAW, REPO
 from repopulse.session import shared_folder
-from repopulse.sources.archive import archive_name
+from repopulse.sources.archive import archive_name, read_lines
+from repopulse.sources.lake import write_lake
 
 AS_OF = date(2024, 1, 30)
 FIRST_HOUR, LAST_HOUR = datetime(2024, 1, 1, 0), datetime(2024, 1, 30, 23)
@@ -49,8 +51,8 @@ def _hour_start(ts: Column) -> Column:
 def _activity_columns(events: DataFrame) -> DataFrame:
     ts, kind = F.col("ts"), F.col("kind")
     star = kind.isin("click", "view")
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    k_text = k.cast("string")
+    k_text = F.col("k")
+    k = k_text.cast("bigint")
     renamed = (k % 7 == 0) & (ts >= F.lit(RENAMED_AT).cast("timestamp_ntz"))
     name = F.concat(F.lit("org"), (k % 10).cast("string"), F.lit("/repo"), k_text)
     login = F.concat(F.lit("user"), F.col("user_id").cast("string"))
@@ -76,7 +78,9 @@ def _activity_columns(events: DataFrame) -> DataFrame:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _activity_columns(table(spark, sf_dir, "events").withColumnRenamed("event_type", "kind"))
+    events = table(spark, sf_dir, "events").withColumnRenamed("event_type", "kind")
+    # A generator, so that the text is parsed once per row and not once per use of k.
+    return _activity_columns(events.select("*", F.json_tuple("props", "k").alias("k")))
 
 
 def _partitioned(flat: DataFrame, ts: Column) -> DataFrame:
@@ -121,6 +125,18 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(value.alias("value"), _hour_start(F.col("ts")).alias("archive_hour"))
 
 
+def archived_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_lines(spark, archives(spark, sf_dir))
+
+
+@cache
+def written_lake(spark: SparkSession, sf_dir: str) -> str:
+    """Path of a lake that holds all archives; written once per session."""
+    path = shared_folder(spark, "lake")
+    write_lake(flat_rows(archived_lines(spark, sf_dir)), path)
+    return path
+
+
 @cache
 def archives(spark: SparkSession, sf_dir: str) -> str:
     """Folder with one sub-folder of gzip JSON lines per hour; written once per session."""

@@ -274,7 +274,7 @@ _INT_DIMENSION = "cast(dim as integer) as dim, value"
 _STEP = CHUNK["size"] - CHUNK["overlap"]
 
 ORACLE: dict[str, str] = {
-    "archive_names": f"""with {_KEYED}, {_FIELDS}
+    "resolve_hour": f"""with {_KEYED}, {_FIELDS}
 select distinct date_trunc('hour', ts) as archive_hour,
   strftime(ts, '%Y-%m-%d-') || hour(ts) || '.json.gz' as file from fields""",
     "ingest_parse": f"{LINES} select id, type, archive_hour from parsed",
@@ -290,7 +290,7 @@ union all select 'PullRequestEvent', count(*) from kept where type = 'PullReques
   strftime(ts, '%d') as day, count(*) as events from kept
 where type = 'WatchEvent' group by all""",
     "backfill_range": LAKE,
-    "stream_ingested": LAKE,
+    "stream_ingest": LAKE,
     "stg_watch_events": f"""{ACTIVITY}
 select id as event_id, actor_id, actor_login, repo_id, repo_name, created_ts as created_at, event_date
 from raw where event_type = 'WatchEvent' and repo_name is not null""",
@@ -351,11 +351,13 @@ where event_type = 'WatchEvent' and year = '{YEAR}' group by utc_hour order by u
 ) select repo_id, {_INT_DIMENSION} from (select repo_id, {_BY_DIMENSION} from encoded)""",
     "index_append": f"""{EMBED} select {_ENRICHED_COLUMNS} from indexed
 union all select {_ENRICHED_COLUMNS} from added""",
-    "index_written": f"""{EMBED}, encoded as (
+    "index_write": f"""{EMBED}, encoded as (
   select repo_id, full_name, {_letters("text")} as v from (
     select repo_id, full_name, {_TEXT} as text from indexed
     union all select repo_id, full_name, {_TEXT} from added)
 ) select repo_id, full_name, {_INT_DIMENSION} from (select repo_id, full_name, {_BY_DIMENSION} from encoded)""",
+    "index_read": f"""with {_DOCUMENTS}
+select repo_id, full_name, language, stars, cast(len(v) as integer) as dims from indexed""",
     "l2_normalize": f"""with {_VECTORS}, scaled as (
   select repo_id, v, case when list_dot_product(v, v) = 0 then 1 else sqrt(list_dot_product(v, v)) end as n
   from indexed

@@ -13,10 +13,11 @@ from repopulse.functions.vectors import unit
 from repopulse.plans.embed import encode_query, new_rows
 from repopulse.plans.ingest import backfill, flat_rows
 from repopulse.plans.trends import trends as mart_of
+from repopulse.schemas import INDEX
 from repopulse.session import shared_folder
 from repopulse.sources import archive, index, lake
 from repopulse.sources import mart as mart_table
-from repopulse.streaming.ingest import stream_ingest
+from repopulse.streaming import ingest as streaming
 
 from . import adapters as a
 
@@ -53,41 +54,37 @@ def _wide_mart(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query
-def archive_names(spark, sf):
-    hours = a.lines(spark, sf).select("archive_hour").distinct()
+def resolve_hour(spark, sf):
+    hours = a.archived_lines(spark, sf).select("archive_hour").distinct()
     return hours.withColumn("file", archive.archive_name(F.col("archive_hour")))
 
 
 @query
 def ingest_parse(spark, sf):
-    events = ingest.parse_events(a.lines(spark, sf))
+    events = ingest.parse_events(a.archived_lines(spark, sf))
     return ingest.flatten_events(events).select("id", "type", "archive_hour")
 
 
 @query
 def ingest_filter_types(spark, sf):
-    events = ingest.keep_types(ingest.parse_events(a.lines(spark, sf)))
+    events = ingest.keep_types(ingest.parse_events(a.archived_lines(spark, sf)))
     return ingest.flatten_events(events).select("id", "type", "archive_hour")
 
 
 @query
 def ingest_flatten(spark, sf):
-    return ingest.flatten_events(ingest.kept_events(a.lines(spark, sf)))
+    return ingest.flatten_events(ingest.kept_events(a.archived_lines(spark, sf)))
 
 
 @query
 def ingest_counts(spark, sf):
-    return ingest.ingest_report(a.lines(spark, sf))
-
-
-def _archived_rows(spark, sf):
-    return flat_rows(archive.read_lines(spark, a.archives(spark, sf)))
+    return ingest.ingest_report(a.archived_lines(spark, sf))
 
 
 @query
 def lake_write(spark, sf):
     path = shared_folder(spark, "lake")
-    lake.write_lake(_archived_rows(spark, sf), path)
+    lake.write_lake(flat_rows(a.archived_lines(spark, sf)), path)
     return lake.read_lake(spark, path)
 
 
@@ -95,7 +92,7 @@ def lake_write(spark, sf):
 def lake_skip_existing(spark, sf):
     """Stars first, then everything: the second run must add pull requests only."""
     path = shared_folder(spark, "lake")
-    rows = _archived_rows(spark, sf)
+    rows = flat_rows(a.archived_lines(spark, sf))
     lake.write_lake(rows.where(F.col("event_type") == "WatchEvent"), path)
     written = lake.written_partitions(spark, path, a.FIRST_HOUR, a.LAST_HOUR)
     lake.write_lake(lake.skip_existing(rows, written), path)
@@ -105,9 +102,7 @@ def lake_skip_existing(spark, sf):
 @query
 def lake_read(spark, sf):
     """Stars per day, from a lake read through its partitions."""
-    path = shared_folder(spark, "lake")
-    lake.write_lake(_archived_rows(spark, sf), path)
-    stars = lake.read_lake(spark, path).where(is_star() & (F.col("year") == a.YEAR))
+    stars = lake.read_lake(spark, a.written_lake(spark, sf)).where(is_star() & (F.col("year") == a.YEAR))
     return stars.groupBy("event_type", "month", "day").agg(F.count("*").alias("events"))
 
 
@@ -119,9 +114,9 @@ def backfill_range(spark, sf):
 
 
 @query
-def stream_ingested(spark, sf):
+def stream_ingest(spark, sf):
     path, checkpoint = shared_folder(spark, "lake"), shared_folder(spark, "checkpoint")
-    stream_ingest(spark, a.archives(spark, sf), path, checkpoint).awaitTermination()
+    streaming.stream_ingest(spark, a.archives(spark, sf), path, checkpoint).awaitTermination()
     return lake.read_lake(spark, path)
 
 
@@ -261,7 +256,7 @@ def embed_candidates(spark, sf):
 
 def _last_week_index(spark, sf):
     """What a run one week earlier put into the index."""
-    empty = embedding.index_rows(a.document_index(spark, sf)).limit(0)
+    empty = spark.createDataFrame([], INDEX)
     return new_rows(
         _wide_mart(spark, sf).where(F.col("event_date") <= LAST_WEEK),
         a.repos(spark, sf), empty, embedding.letters26, LAST_WEEK, n=TOP_CANDIDATES,
@@ -304,7 +299,7 @@ def index_append(spark, sf):
 
 
 @query
-def index_written(spark, sf):
+def index_write(spark, sf):
     """Two weekly runs appended to one table and read back."""
     path = shared_folder(spark, "index")
     index.write_index(_last_week_index(spark, sf), path)
@@ -316,6 +311,16 @@ def index_written(spark, sf):
     return a.by_dimension(index.read_index(spark, path), "repo_id", "full_name")
 
 
+@query
+def index_read(spark, sf):
+    """An index of all documents, and one that was never written, read alike."""
+    path = shared_folder(spark, "index")
+    index.write_index(a.document_index(spark, sf), path)
+    missing = index.read_index(spark, shared_folder(spark, "missing"))
+    found = embedding.index_append(index.read_index(spark, path), missing)
+    return found.select("repo_id", "full_name", "language", "stars", F.size("embedding").alias("dims"))
+
+
 @query
 def l2_normalize(spark, sf):
     vectors = a.vector_index(spark, sf).withColumn("embedding", unit("embedding"))

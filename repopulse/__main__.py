@@ -4,6 +4,7 @@
     python -m repopulse backfill --source DIR --lake DIR --start ISO --end ISO
     python -m repopulse stream   --source DIR --lake DIR --checkpoint DIR
     python -m repopulse report   --lake DIR --year 2026 star_velocity
+    python -m repopulse sql      --lake DIR [--mart DIR] "select ... from raw ..."
     python -m repopulse build    --lake DIR --mart DIR
     python -m repopulse check    --lake DIR --mart DIR
     python -m repopulse trending --mart DIR [--days 30]
@@ -24,6 +25,7 @@ from .operators.trends import WINDOWS, ranked_pivot, trending_window
 from .plans.embed import refresh_index, search_text
 from .plans.ingest import backfill, ingest_hour
 from .plans.trends import build_mart, check_all
+from .plans.views import register_views
 from .schemas import REPO
 from .session import build_session
 from .sources.archive import resolve_hour
@@ -55,6 +57,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         "backfill": ("source", "lake", "start", "end"),
         "stream": ("source", "lake", "checkpoint"),
         "report": ("lake", "year"),
+        "sql": ("lake",),
         "build": ("lake", "mart"),
         "check": ("lake", "mart"),
         "trending": ("mart",),
@@ -68,6 +71,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
             command.add_argument(f"--{name}", required=True)
     jobs.choices["ingest"].add_argument("--timestamp")
     jobs.choices["report"].add_argument("name", choices=sorted(REPORTS))
+    jobs.choices["sql"].add_argument("--mart")
+    jobs.choices["sql"].add_argument("statement")
     jobs.choices["trending"].add_argument("--days", type=int, choices=WINDOWS, default=30)
     jobs.choices["embed"].add_argument("--top", type=int, default=500)
     jobs.choices["embed"].add_argument("--model")
@@ -92,6 +97,9 @@ def main(argv: list[str] | None = None) -> None:
         stream_ingest(spark, args.source, args.lake, args.checkpoint).awaitTermination()
     elif args.job == "report":
         REPORTS[args.name](read_lake(spark, args.lake), args.year).show(50, truncate=False)
+    elif args.job == "sql":
+        register_views(spark, args.lake, args.mart)
+        spark.sql(args.statement).show(1000, truncate=False)
     elif args.job == "build":
         build_mart(spark, args.lake, args.mart)
     elif args.job == "check":

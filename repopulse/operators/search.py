@@ -13,9 +13,9 @@ from pyspark.sql import types as T
 
 from ..functions.text import missing_if_empty
 
-# Queries up to this count are sent to all tasks (13 MB at 384 dimensions); more are
-# spread over blocks by a shuffle.
-BROADCAST_QUERIES = 4096
+# Queries up to this count are sent to all tasks (25 MB at 384 float dimensions); more
+# are spread over blocks by a shuffle.
+BROADCAST_QUERIES = 16_384
 # Index rows per block on that second way.
 BLOCK_ROWS = 50_000
 # Queries scored at once, which bounds a task's score matrix.
@@ -47,7 +47,7 @@ def _best_of_batch(key: str, k: int):
         keep = min(k, batch.num_rows)
         found = []
         for start in range(0, len(ids), slice_size):
-            part = queries[start : start + slice_size]
+            part = queries[start : start + slice_size].astype("float64")
             lengths = np.sqrt((part * part).sum(axis=1))
             lengths[lengths == 0] = 1.0
             scores = (matrix @ part.T) / (norms[:, None] * lengths[None, :])
@@ -143,7 +143,7 @@ def _score_blocks(
         found = None
         if left.num_rows and right.num_rows:
             vectors = right.column("embedding").combine_chunks()
-            matrix = np.asarray(vectors.flatten(), dtype="float64").reshape(right.num_rows, -1)
+            matrix = np.asarray(vectors.flatten()).reshape(right.num_rows, -1)
             ids = right.column("query_id").combine_chunks()
             found = best(left.drop_columns(list(blocks)), ids, matrix)
         if found is None:
@@ -177,7 +177,7 @@ def semantic_search_batch(
     head = queries.limit(max_broadcast + 1).toArrow()
     if head.num_rows <= max_broadcast:
         vectors = head.column("embedding").combine_chunks()
-        matrix = np.asarray(vectors.flatten(), dtype="float64").reshape(max(head.num_rows, 1), -1)
+        matrix = np.asarray(vectors.flatten()).reshape(max(head.num_rows, 1), -1)
         ids = head.column("query_id").combine_chunks()
         found = _score_broadcast(index, ids, matrix, k, key, id_type)
     else:

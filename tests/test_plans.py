@@ -15,10 +15,10 @@ from repopulse.sources.lake import read_lake, skip_existing, write_lake, written
 from repopulse.sources.mart import read_mart, write_mart
 
 FOLDER = "/root/testdata/sf0.001"
-PYTHON = {"l2_normalize", "semantic_search", "semantic_search_batch", "semantic_search_centroids",
+PYTHON = {"encode", "embed_pending", "repo_enrich", "embed_text", "index_append", "l2_normalize", "semantic_search", "semantic_search_batch", "semantic_search_centroids",
           "semantic_search_vectors", "search_display"}
-EAGER = {"lake_write", "lake_skip_existing", "lake_read", "backfill_range", "stream_ingested",
-         "mart_write", "index_written", "encode_hashing"}
+EAGER = {"lake_write", "lake_skip_existing", "lake_read", "backfill_range", "stream_ingest",
+         "mart_write", "index_write", "index_read", "encode_hashing"}
 
 
 def plan(df):
@@ -41,6 +41,11 @@ def test_no_python_and_no_cross_join(spark, name):
         assert operator not in text
 
 
+@pytest.mark.parametrize("name", ["embed_pending", "repo_enrich", "embed_text"])
+def test_no_vector_is_computed_where_none_is_used(spark, name):
+    assert "ArrowEvalPython" not in plan(QUERIES[name](spark, FOLDER))
+
+
 @pytest.mark.parametrize("name", ["semantic_search", "semantic_search_batch"])
 def test_search_has_no_cross_join(spark, name):
     text = plan(QUERIES[name](spark, FOLDER))

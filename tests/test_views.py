@@ -1,0 +1,69 @@
+"""The analyses as SQL over the registered views give the operators' rows."""
+
+import pytest
+
+from checks import adapters
+from repopulse.operators import analyses, trends
+from repopulse.operators.embedding import embed_candidates
+from repopulse.plans.trends import trends as mart_of
+from repopulse.plans.views import register_views
+from repopulse.session import shared_folder
+from repopulse.sources.lake import read_lake, write_lake
+from repopulse.sources.mart import read_mart, write_mart
+
+FOLDER = "/root/testdata/sf0.001"
+STATEMENTS = {
+    "top_starred_repos": """
+        select repo_name, count(*) as stars from raw
+        where event_type = 'WatchEvent' and year = '2024' and repo_name is not null
+        group by repo_name order by stars desc, repo_name limit 50""",
+    "pr_merge_rate": """
+        with outcomes as (
+            select repo_name, count_if(pr_action = 'opened') as prs_opened,
+                count_if(pr_merged = 1) as prs_merged,
+                count_if(pr_action = 'closed' and pr_merged = 0) as prs_closed_unmerged
+            from raw
+            where event_type = 'PullRequestEvent' and year = '2024' and repo_name is not null
+            group by repo_name)
+        select *, cast(prs_merged as double) / nullif(prs_merged + prs_closed_unmerged, 0) as merge_rate
+        from outcomes where prs_merged + prs_closed_unmerged >= 5
+        order by merge_rate desc, repo_name limit 50""",
+    "hourly_stars": """
+        select hour as utc_hour, count(*) as stars from raw
+        where event_type = 'WatchEvent' and year = '2024' group by hour order by hour""",
+}
+
+
+@pytest.fixture(scope="module")
+def views(spark):
+    lake, mart = shared_folder(spark, "views-lake"), shared_folder(spark, "views-mart")
+    write_lake(adapters.activity(spark, FOLDER), lake)
+    write_mart(mart_of(read_lake(spark, lake)), mart)
+    assert len(register_views(spark, lake, mart)) == 5
+    return read_lake(spark, lake), read_mart(spark, mart)
+
+
+@pytest.mark.parametrize("name", sorted(STATEMENTS))
+def test_analyses(spark, views, name):
+    assert spark.sql(STATEMENTS[name]).collect() == getattr(analyses, name)(views[0], "2024").collect()
+
+
+def test_layers(spark, views):
+    days = spark.sql("select count(*) from int_repo_daily_activity").first()[0]
+    assert days == spark.table("fct_repo_trends_daily").count() == 838
+    stars = spark.sql("select sum(stars) from fct_repo_trends_daily").first()[0]
+    named = spark.sql("select count(*) from stg_watch_events where repo_id is not null").first()[0]
+    assert stars == named
+
+
+def test_dashboard(spark, views):
+    found = spark.sql("""
+        select repo_name, sum(stars) as stars from fct_repo_trends_daily
+        where event_date >= date '2024-01-30' - interval '30' day
+        group by repo_name order by stars desc, repo_name limit 50""")
+    assert found.collect() == trends.trending_window(views[1], adapters.AS_OF).collect()
+    found = spark.sql("""
+        select repo_id, repo_name as full_name, sum(stars) as stars from fct_repo_trends_daily
+        where event_date >= date '2024-01-30' - interval '30' day
+        group by repo_id, repo_name order by stars desc, repo_id, full_name limit 20""")
+    assert found.collect() == embed_candidates(views[1], adapters.AS_OF, n=20).collect()
