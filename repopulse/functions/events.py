@@ -1,5 +1,7 @@
 """Column expressions over event and pull-request fields."""
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,11 @@ def created_at(column: str = "created_at") -> Column:
     return F.to_timestamp_ntz(column, F.lit(CREATED_AT_FORMAT))
 
 
+def moment(value: datetime) -> Column:
+    """A literal timestamp without zone. ``lit`` alone would go through the session's zone."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def owner(name: str = "repo_name") -> Column:
     """Part of the name before the first slash; the whole name if there is none."""
     return F.split_part(F.col(name), F.lit("/"), F.lit(1))

@@ -5,7 +5,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.events import KEPT_TYPES, created_at, is_star, pull_request_counts
+from ..functions.events import KEPT_TYPES, created_at, is_star, moment, pull_request_counts
 from .activity import PR_COUNTS
 
 # What must hold for the raw lake and for the mart.
@@ -104,7 +104,7 @@ def dq_freshness(
 ) -> DataFrame:
     """event_type, newest, age_hours, status (pass, warn, error) per kept type."""
     newest = raw.groupBy("event_type").agg(F.max(created_at()).alias("newest"))
-    age = F.timestamp_diff("SECOND", "newest", F.lit(as_of).cast("timestamp_ntz")) / 3600.0
+    age = F.timestamp_diff("SECOND", "newest", moment(as_of)) / 3600.0
     status = F.when(F.col("age_hours") > error_hours, "error").when(
         F.col("age_hours") > warn_hours, "warn"
     )
@@ -122,9 +122,7 @@ def dq_missing_hours(
     present = hours.select(
         "event_type", F.concat_ws("-", "year", "month", "day", "hour").alias("stamp")
     ).distinct()
-    span = F.sequence(
-        F.lit(first).cast("timestamp_ntz"), F.lit(last).cast("timestamp_ntz"), F.expr("interval 1 hour")
-    )
+    span = F.sequence(moment(first), moment(last), F.expr("interval 1 hour"))
     expected = hours.sparkSession.range(1).select(
         F.explode(F.array(*[F.lit(name) for name in types])).alias("event_type"), span.alias("span")
     )

@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.events import KEPT_TYPES
+from ..functions.events import KEPT_TYPES, moment
 from ..operators.ingest import flatten_events, keep_types, kept_events, report_counts
 from ..sources.archive import read_lines
 from ..sources.lake import (
@@ -61,10 +61,10 @@ def backfill(spark: SparkSession, source: str, lake: str, start: datetime, end:
     """
     last = end - timedelta(hours=1)
     hour = F.col("archive_hour")
-    lines = read_lines(spark, source).where(hour.between(F.lit(start), F.lit(last)))
+    lines = read_lines(spark, source).where(hour.between(moment(start), moment(last)))
     done = complete_hours(spark, lake, start, last)
     if done:
-        lines = lines.where(~hour.isin(done))
+        lines = lines.where(~hour.isin(*[moment(value) for value in done]))
     write_lake(skip_existing(flat_rows(lines), written_partitions(spark, lake, start, last)), lake)
 
 

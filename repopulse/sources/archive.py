@@ -10,6 +10,8 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.events import moment
+
 _DATE_AND_HOUR = r".*(\d{4}-\d{2}-\d{2})-(\d{1,2})(?:\.json|/)"
 PUBLICATION_LAG = timedelta(hours=2)
 
@@ -17,13 +19,13 @@ PUBLICATION_LAG = timedelta(hours=2)
 def resolve_hour(timestamp: str | None = None, now: datetime | None = None) -> datetime:
     """UTC hour to ingest: that of an ISO timestamp, else the last one surely published."""
     if timestamp:
-        moment = datetime.fromisoformat(timestamp)
+        wanted = datetime.fromisoformat(timestamp)
     else:
-        moment = (now or datetime.now(timezone.utc)) - PUBLICATION_LAG
-    if moment.tzinfo is None:
-        moment = moment.replace(tzinfo=timezone.utc)
-    moment = moment.astimezone(timezone.utc)
-    return datetime(moment.year, moment.month, moment.day, moment.hour)
+        wanted = (now or datetime.now(timezone.utc)) - PUBLICATION_LAG
+    if wanted.tzinfo is None:
+        wanted = wanted.replace(tzinfo=timezone.utc)
+    wanted = wanted.astimezone(timezone.utc)
+    return datetime(wanted.year, wanted.month, wanted.day, wanted.hour)
 
 
 def archive_name(hour: Column) -> Column:
@@ -36,7 +38,7 @@ def archive_hours(spark: SparkSession, start: datetime, end: datetime) -> DataFr
     """One row per hour from ``start`` up to and without ``end``: hour, file."""
     first, last = resolve_hour(start.isoformat()), resolve_hour(end.isoformat())
     hours = spark.range(int((last - first).total_seconds()) // 3600).select(
-        (F.lit(first).cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("id").cast("int"))).alias("hour")
+        (moment(first) + F.make_dt_interval(hours=F.col("id").cast("int"))).alias("hour")
     )
     return hours.withColumn("file", archive_name(F.col("hour")))
 

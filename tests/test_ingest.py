@@ -6,6 +6,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from repopulse.functions.events import moment
 from repopulse.operators import ingest
 from repopulse.plans.ingest import backfill, complete_hours, flat_rows, ingest_hour, ingest_lines
 from repopulse.schemas import RAW
@@ -33,7 +34,7 @@ def pull(number, merged=True, **changes):
 
 def frame(spark, *texts, hour=HOUR):
     lines = spark.createDataFrame([(text,) for text in texts], "value string")
-    return lines.withColumn("archive_hour", F.lit(hour).cast("timestamp_ntz"))
+    return lines.withColumn("archive_hour", moment(hour))
 
 
 def flat(spark, *texts):
@@ -204,7 +205,7 @@ def test_backfill_opens_only_the_range(spark, tmp_path):
     for n in range(6):
         archive_file(tmp_path, HOUR + timedelta(hours=n), event(n))
     hour = F.col("archive_hour")
-    lines = archive.read_lines(spark, str(tmp_path)).where(hour <= F.lit(HOUR + timedelta(hours=1)))
+    lines = archive.read_lines(spark, str(tmp_path)).where(hour <= moment(HOUR + timedelta(hours=1)))
     assert lines.select(F.input_file_name()).distinct().count() == 2
     # Files outside the range are not even opened: damaging them changes nothing.
     (tmp_path / "2024-03-05-9.json.gz").write_bytes(b"no gzip")
@@ -214,3 +215,19 @@ def test_backfill_opens_only_the_range(spark, tmp_path):
 def test_drop_repeated(spark):
     rows = ingest.flatten_events(ingest.kept_events(frame(spark, event(1), event(1), event(2))))
     assert rows.count() == 3 and ingest.drop_repeated(rows).count() == 2
+
+
+def test_session_zone_does_not_matter(spark, tmp_path, folder):
+    for n in range(3):
+        archive_file(tmp_path, HOUR + timedelta(hours=n), event(n))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        path = folder("lake")
+        backfill(spark, str(tmp_path), path, HOUR, HOUR + timedelta(hours=2))
+        backfill(spark, str(tmp_path), path, HOUR, HOUR + timedelta(hours=2))
+        assert sorted(row.hour for row in lake.read_lake(spark, path).collect()) == ["04", "05"]
+        files = archive.archive_hours(spark, HOUR, HOUR + timedelta(hours=1)).collect()
+        assert files[0].hour == HOUR and files[0].file == "2024-03-05-4.json.gz"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
