@@ -13,7 +13,6 @@ from repopulse.functions.vectors import unit
 from repopulse.plans.embed import encode_query, new_rows
 from repopulse.plans.ingest import backfill, flat_rows
 from repopulse.plans.trends import trends as mart_of
-from repopulse.schemas import INDEX
 from repopulse.session import shared_folder
 from repopulse.sources import archive, index, lake
 from repopulse.sources import mart as mart_table
@@ -256,7 +255,7 @@ def embed_candidates(spark, sf):
 
 def _last_week_index(spark, sf):
     """What a run one week earlier put into the index."""
-    empty = spark.createDataFrame([], INDEX)
+    empty = index.read_index(spark, shared_folder(spark, "missing"))
     return new_rows(
         _wide_mart(spark, sf).where(F.col("event_date") <= LAST_WEEK),
         a.repos(spark, sf), empty, embedding.letters26, LAST_WEEK, n=TOP_CANDIDATES,

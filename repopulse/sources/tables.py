@@ -2,6 +2,7 @@
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -12,4 +13,5 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType, **options:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        # The filter tells Catalyst that there are no rows, so it drops joins with them.
+        return spark.createDataFrame([], schema).where(F.lit(False))
