@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.events import KEPT_TYPES, moment
 from ..operators.ingest import flatten_events, keep_types, kept_events, report_counts
-from ..sources.archive import read_lines
+from ..sources.archive import list_archives, read_lines
 from ..sources.lake import (
     STAMP_FORMAT,
     partition_stamp,
@@ -38,34 +38,33 @@ def ingest_hour(spark: SparkSession, source: str, hour: datetime, lake: str) ->
     return {"counts": report.get, "hour": f"{hour.isoformat()}+00:00"}
 
 
-def complete_hours(spark: SparkSession, lake: str, first: datetime, last: datetime) -> list[datetime]:
-    """Hours from ``first`` to ``last`` for which the lake has every kept type.
+def complete_hours(spark: SparkSession, lake: str, first: datetime, last: datetime) -> DataFrame:
+    """hour: those from ``first`` to ``last`` for which the lake has every kept type."""
+    hours = written_partitions(spark, lake, first, last).groupBy(partition_stamp().alias("stamp"))
+    complete = hours.agg(F.count("*").alias("types")).where(F.col("types") >= len(KEPT_TYPES))
+    return complete.select(F.to_timestamp_ntz("stamp", F.lit("yyyyMMddHH")).alias("hour"))
 
-    Known before any archive is opened; the range bounds the list.
-    """
-    hours = (
-        written_partitions(spark, lake, first, last)
-        .groupBy(partition_stamp().alias("stamp"))
-        .agg(F.count("*").alias("types"))
-        .where(F.col("types") >= len(KEPT_TYPES))
-    )
-    return [datetime.strptime(row.stamp, STAMP_FORMAT) for row in hours.collect()]
+
+def pending_archives(
+    spark: SparkSession, source: str, lake: str, first: datetime, last: datetime
+) -> DataFrame:
+    """hour, path of the archives from ``first`` to ``last`` that are not complete in the lake."""
+    wanted = list_archives(spark, source).where(F.col("hour").between(moment(first), moment(last)))
+    return wanted.join(complete_hours(spark, lake, first, last), "hour", "left_anti")
 
 
 def backfill(spark: SparkSession, source: str, lake: str, start: datetime, end: datetime) -> None:
     """Ingest every archive from ``start`` up to and without ``end`` that is not complete.
 
-    One job for the whole range: each archive is a task. The hour is a function of
-    the file's path, so the hour filter decides which files are opened at all. Hours
-    without an archive are left out.
+    One job for the whole range: each archive is a task. The driver handles the paths
+    of the pending archives only, which the range bounds. Hours without an archive are
+    left out.
     """
     last = end - timedelta(hours=1)
-    hour = F.col("archive_hour")
-    lines = read_lines(spark, source).where(hour.between(moment(start), moment(last)))
-    done = complete_hours(spark, lake, start, last)
-    if done:
-        lines = lines.where(~hour.isin(*[moment(value) for value in done]))
-    write_lake(skip_existing(flat_rows(lines), written_partitions(spark, lake, start, last)), lake)
+    paths = [row.path for row in pending_archives(spark, source, lake, start, last).collect()]
+    if paths:
+        raw = flat_rows(read_lines(spark, paths))
+        write_lake(skip_existing(raw, written_partitions(spark, lake, start, last)), lake)
 
 
 def ingest_lines(spark: SparkSession, lines: DataFrame, lake: str) -> None:
@@ -74,7 +73,8 @@ def ingest_lines(spark: SparkSession, lines: DataFrame, lake: str) -> None:
     For lines whose range of hours is not known beforehand. The kept rows, a small
     part of the lines, are cached, so that finding the range costs no second read.
     """
-    raw = flat_rows(lines).persist()
+    # Files whose path names no hour are no archives.
+    raw = flat_rows(lines).where(F.col("hour").isNotNull()).persist()
     try:
         span = raw.agg(F.min(partition_stamp()), F.max(partition_stamp())).first()
         if span[0] is not None:

@@ -50,10 +50,17 @@ def hour_of_path(path: Column) -> Column:
     return day.cast("timestamp_ntz") + F.make_dt_interval(hours=hour)
 
 
+def list_archives(spark: SparkSession, folder: str) -> DataFrame:
+    """hour, path of the archives in a folder. Lists files, reads none."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    listed = files.select(hour_of_path(F.col("path")).alias("hour"), "path")
+    return listed.where(F.col("hour").isNotNull())
+
+
 def _with_hour(lines: DataFrame) -> DataFrame:
-    """Only files whose path names an hour are archives; others are not opened."""
-    hour = hour_of_path(F.col("_metadata.file_path")).alias("archive_hour")
-    return lines.select("value", hour).where(F.col("archive_hour").isNotNull())
+    # No filter on the hour here: it would be evaluated for every line. As a projection
+    # it is computed only for the lines that later filters keep.
+    return lines.select("value", hour_of_path(F.col("_metadata.file_path")).alias("archive_hour"))
 
 
 def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -62,10 +69,11 @@ def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def stream_lines(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
-    """The same columns from a folder that receives new archives."""
+    """The same columns from a folder that receives new gzip files."""
     lines = (
         spark.readStream.option("maxFilesPerTrigger", files_per_batch)
         .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.gz")
         .text(folder)
     )
     return _with_hour(lines)

@@ -8,7 +8,14 @@ from pyspark.sql import functions as F
 
 from repopulse.functions.events import moment
 from repopulse.operators import ingest
-from repopulse.plans.ingest import backfill, complete_hours, flat_rows, ingest_hour, ingest_lines
+from repopulse.plans.ingest import (
+    backfill,
+    complete_hours,
+    flat_rows,
+    ingest_hour,
+    ingest_lines,
+    pending_archives,
+)
 from repopulse.schemas import RAW
 from repopulse.sources import archive, lake
 from repopulse.streaming.ingest import stream_ingest
@@ -144,11 +151,11 @@ def test_no_partition_for_an_empty_group(spark, folder):
 def test_half_written_hour_is_completed(spark, folder):
     path = folder("lake")
     ingest_lines(spark, frame(spark, event(1)), path)
-    assert complete_hours(spark, path, HOUR, HOUR) == []
+    assert complete_hours(spark, path, HOUR, HOUR).count() == 0
     # The star partition exists, so its new row is not taken; pull requests are.
     ingest_lines(spark, frame(spark, event(1), event(9), pull(2)), path)
     assert sorted(row.id for row in lake.read_lake(spark, path).collect()) == ["1", "2"]
-    assert complete_hours(spark, path, HOUR, HOUR) == [HOUR]
+    assert [row.hour for row in complete_hours(spark, path, HOUR, HOUR).collect()] == [HOUR]
 
 
 def test_written_partitions_covers_exactly_the_range(spark, folder):
@@ -183,6 +190,8 @@ def test_backfill_and_stream_agree(spark, tmp_path, folder):
     for n in range(5):
         archive_file(source, HOUR + timedelta(hours=n), event(n), pull(10 + n), event(20 + n, "ForkEvent"))
     (source / "notes.txt").write_text("not an archive\n")
+    with gzip.open(source / "notes.gz", "wt") as out:
+        out.write(event(77))
     batch, streamed, checkpoint = folder("batch"), folder("stream"), folder("checkpoint")
     end = HOUR + timedelta(hours=5)
     backfill(spark, str(source), batch, HOUR, HOUR + timedelta(hours=2))
@@ -201,15 +210,25 @@ def test_backfill_and_stream_agree(spark, tmp_path, folder):
     assert lake.read_lake(spark, batch).count() == 11
 
 
-def test_backfill_opens_only_the_range(spark, tmp_path):
+def test_backfill_opens_only_pending_archives(spark, tmp_path, folder):
+    path, end = folder("lake"), HOUR + timedelta(hours=3)
     for n in range(6):
-        archive_file(tmp_path, HOUR + timedelta(hours=n), event(n))
-    hour = F.col("archive_hour")
-    lines = archive.read_lines(spark, str(tmp_path)).where(hour <= moment(HOUR + timedelta(hours=1)))
-    assert lines.select(F.input_file_name()).distinct().count() == 2
-    # Files outside the range are not even opened: damaging them changes nothing.
+        archive_file(tmp_path, HOUR + timedelta(hours=n), event(n), pull(10 + n))
+    backfill(spark, str(tmp_path), path, HOUR, HOUR + timedelta(hours=1))
+    pending = pending_archives(spark, str(tmp_path), path, HOUR, end - timedelta(hours=1)).collect()
+    assert sorted(row.hour for row in pending) == [HOUR + timedelta(hours=1), HOUR + timedelta(hours=2)]
+    # Archives that are complete or out of the range are not opened: damage does no harm.
+    (tmp_path / "2024-03-05-4.json.gz").write_bytes(b"no gzip")
     (tmp_path / "2024-03-05-9.json.gz").write_bytes(b"no gzip")
-    assert lines.count() == 2
+    backfill(spark, str(tmp_path), path, HOUR, end)
+    assert lake.read_lake(spark, path).count() == 6
+
+
+def test_hour_is_computed_for_kept_lines_only(spark, tmp_path):
+    archive_file(tmp_path, HOUR, event(1))
+    plan = flat_rows(archive.read_lines(spark, str(tmp_path)))._jdf.queryExecution().executedPlan()
+    filters = [line for line in plan.toString().splitlines() if " Filter (" in line]
+    assert len(filters) == 1 and "regexp_extract" not in filters[0]
 
 
 def test_drop_repeated(spark):
