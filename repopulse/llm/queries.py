@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import tokens
+from . import packing, tokens, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,3 +28,47 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op1_token_counts(spark, sf):
     docs = _table(spark, sf, "documents").select("doc_id", "text")
     return tokens.count_tokens(docs, PIECES).drop("text")
+
+
+@query
+def op2_packing(spark, sf):
+    return packing.pack(_table(spark, sf, "documents"), WORDS, with_ids=False)
+
+
+#: Verdict, host, start of the path.
+URL_RULES = [
+    ("block", "net", "/"),
+    ("allow", "example.net", "/en/"),
+    ("block", "example.com", "/de/"),
+    ("allow", "org", "/fr/"),
+]
+
+
+@query
+def op8_url_filter(spark, sf):
+    pages = _table(spark, sf, "pages").select("page_id", "url")
+    return urls.judge_urls(pages, URL_RULES).drop("url")
+
+
+ORACLE["op8_url_filter"] = r"""
+with parts as (
+  select page_id, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end as rest
+  from pages
+), cut as (
+  select page_id,
+         translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+         regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) as path
+  from parts
+), judged as (
+  select *, case
+    when (host = 'example.net' or host like '%.example.net') and starts_with(path, '/en/') then 'example.net/en/'
+    when (host = 'example.com' or host like '%.example.com') and starts_with(path, '/de/') then 'example.com/de/'
+    when (host = 'org' or host like '%.org') and starts_with(path, '/fr/') then 'org/fr/'
+    when (host = 'net' or host like '%.net') and starts_with(path, '/') then 'net/' end as rule
+  from cut
+)
+select page_id, host, path, rule,
+       case when rule in ('net/', 'example.com/de/') then 'block' else 'allow' end as verdict
+from judged
+"""
