@@ -3,9 +3,10 @@
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing, tokens, urls
+from . import packing, quality, rules, tokens, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -24,6 +25,11 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _fold(folds: int) -> Column:
+    """Remainder of the checksum of ``doc_id`` as text; null ids are in fold 0."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds, F.lit(0))
+
+
 @query
 def op1_token_counts(spark, sf):
     docs = _table(spark, sf, "documents").select("doc_id", "text")
@@ -35,6 +41,12 @@ def op2_packing(spark, sf):
     return packing.pack(_table(spark, sf, "documents"), WORDS, with_ids=False)
 
 
+@query
+def op4_quality_rules(spark, sf):
+    judged = rules.judge_quality(_table(spark, sf, "documents"), PIECES, carry=["doc_id"])
+    return judged.select("doc_id", *rules.BASE, "base_failed", "kept", *rules.FERTILITY)
+
+
 #: Verdict, host, start of the path.
 URL_RULES = [
     ("block", "net", "/"),
@@ -72,3 +84,11 @@ select page_id, host, path, rule,
        case when rule in ('net/', 'example.com/de/') then 'block' else 'allow' end as verdict
 from judged
 """
+
+
+@query
+def op9_quality_classifier(spark, sf):
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    labels = _table(spark, sf, "labels").where(_fold(3) != 1)
+    scored = quality.classify(docs, labels)
+    return scored.select("doc_id", (_fold(3) == 1).alias("held_out"), "score", "predicted")

@@ -9,15 +9,14 @@ that rows meet at, and memory is bounded by the table of remembered pre-tokens.
 
 import re
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Remembered
-
 SPACE = "▁"
 
 
@@ -57,11 +56,11 @@ class PieceTable:
             return []
         return self.find(self.prefix + text) if self.cuts else [text]
 
-    def ids(self, pre_token: str) -> list[int]:
-        return self.processor.encode(pre_token)
+    def all_ids(self, pre_tokens: list[str]) -> list[list[int]]:
+        return self.processor.encode(pre_tokens, num_threads=1)
 
-    def count(self, pre_token: str) -> int:
-        return len(self.processor.encode(pre_token))
+    def counts(self, pre_tokens: list[str]) -> list[int]:
+        return list(map(len, self.all_ids(pre_tokens)))
 
 
 class JsonTable:
@@ -95,11 +94,37 @@ class JsonTable:
             return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
         return len(self.tokenizer.model.tokenize(text))
 
+    def counts(self, pre_tokens: list[tuple[str, bool]]) -> list[int]:
+        return list(map(self.count, pre_tokens))
+
+
+class Distinct:
+    """Values of pre-tokens, each computed once while it is remembered.
+
+    ``values`` gets a list of pre-tokens. At most ``size`` of them are remembered, and
+    as many again that were asked for before the last ``size`` new ones.
+    """
+
+    def __init__(self, values: Callable[[list], list], size: int = 250_000):
+        self.values, self.size, self.young, self.old = values, size, {}, {}
+
+    def table(self, pre_tokens: Iterable) -> dict:
+        """Values of all ``pre_tokens`` and maybe of others."""
+        wanted = set(pre_tokens)
+        if len(self.young) > self.size:
+            self.young, self.old = {}, self.young
+        missing = wanted.difference(self.young)
+        known = [one for one in missing if one in self.old]
+        self.young.update((one, self.old[one]) for one in known)
+        missing = list(missing.difference(known))
+        self.young.update(zip(missing, self.values(missing)))
+        return self.young
+
 
 @lru_cache(maxsize=4)
-def _table(path: str):
+def _table(path: str) -> tuple[Callable, Distinct]:
     table = JsonTable(path) if path.endswith(".json") else PieceTable(path)
-    return table.split, Remembered(table.count)
+    return table.split, Distinct(table.counts)
 
 
 def token_count(path: str) -> Callable[[Column | str], Column]:
@@ -107,15 +132,14 @@ def token_count(path: str) -> Callable[[Column | str], Column]:
 
     @F.pandas_udf("long")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        split, pieces = _table(path)
+        split, distinct = _table(path)
         for texts in batches:
-            yield pd.Series(
-                [
-                    sum(pieces[pre_token] * times for pre_token, times in Counter(split(text)).items()) if text else 0
-                    for text in texts
-                ],
-                dtype="int64",
-            )
+            totals = []
+            for at in range(0, len(texts), 256):
+                frequencies = [Counter(split(text or "")) for text in texts.iloc[at : at + 256]]
+                counts = distinct.table(chain.from_iterable(frequencies))
+                totals += [sum(counts[one] * times for one, times in own.items()) for own in frequencies]
+            yield pd.Series(totals, dtype="int64")
 
     return count
 
