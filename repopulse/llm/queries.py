@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, rules, tokens, urls
+from . import ngram_join, packing, quality, rules, tokens, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -47,6 +47,11 @@ def op4_quality_rules(spark, sf):
     return judged.select("doc_id", *rules.BASE, "base_failed", "kept", *rules.FERTILITY)
 
 
+@query
+def op6_ngram_jaccard_join(spark, sf):
+    return ngram_join.jaccard_components(_table(spark, sf, "documents"))
+
+
 #: Verdict, host, start of the path.
 URL_RULES = [
     ("block", "net", "/"),
