@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ngram_join, packing, quality, rules, tokens, urls
+from . import ngram_join, packing, pitman_yor, quality, rules, tokens, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -97,3 +97,9 @@ def op9_quality_classifier(spark, sf):
     labels = _table(spark, sf, "labels").where(_fold(3) != 1)
     scored = quality.classify(docs, labels)
     return scored.select("doc_id", (_fold(3) == 1).alias("held_out"), "score", "predicted")
+
+
+@query
+def op10_lm_scoring(spark, sf):
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    return pitman_yor.score_documents(docs, _fold(10) != 0)
