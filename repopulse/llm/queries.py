@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ngram_join, packing, pitman_yor, quality, rules, tokens, urls
+from . import ngram_join, packing, pitman_yor, quality, rules, tokens, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -41,6 +41,28 @@ def op2_packing(spark, sf):
     return packing.pack(_table(spark, sf, "documents"), WORDS, with_ids=False)
 
 
+@query
+def op3_exact_top_k(spark, sf):
+    return topk.top_k(_table(spark, sf, "embeddings"))
+
+
+ORACLE["op3_exact_top_k"] = """
+with usable as (
+  select vec_id, list_transform(embedding, lambda e: cast(floor(64 * cast(e as double)) as bigint)) as v
+  from embeddings
+  where len(embedding) > 0 and len(list_filter(embedding, lambda e: e is null or not isfinite(e))) = 0
+), scored as (
+  select q.vec_id as query_id, r.vec_id,
+         cast(list_sum(list_transform(list_zip(q.v, r.v), lambda p: p[1] * p[2])) as bigint) as score
+  from usable q join usable r on q.vec_id <> r.vec_id and len(q.v) = len(r.v)
+  where q.vec_id % 20 = 0
+), ranked as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored
+)
+select query_id, cast(rank as integer) as rank, vec_id, score from ranked where rank <= 20
+"""
+
+
 @query
 def op4_quality_rules(spark, sf):
     judged = rules.judge_quality(_table(spark, sf, "documents"), PIECES, carry=["doc_id"])
