@@ -46,9 +46,12 @@ def statistics(vectors: np.ndarray, segments: int) -> np.ndarray:
     return np.stack(out, axis=1) if out else np.zeros((len(vectors), 0))
 
 
-def _scores(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Exact inner products of integer vectors, pairwise along the first axis."""
-    return (queries * rows).sum(axis=-1)
+def _products(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Exact inner products of integer vectors: every query with every row."""
+    largest = max(np.abs(queries).max(initial=0), np.abs(rows).max(initial=0))
+    if float(largest) ** 2 * rows.shape[1] < 2**53:
+        return (queries.astype(float) @ rows.astype(float).T).astype(np.int64)
+    return queries @ rows.T
 
 
 def search(
@@ -60,24 +63,33 @@ def search(
     for start in range(0, len(queries), TILE):
         tile = queries[start : start + TILE]
         narrow = [statistics(tile.astype(float), level) for level in LEVELS]
-        bounds = narrow[0] @ wide[0].T
-        for i, bound in enumerate(bounds):
-            q, at = tile[i], np.flatnonzero(ids != query_ids[start + i])
-            if len(at) > k:
-                # Rounding errs by far less than this.
-                slack = 1e-9 * (1 + np.abs(narrow[0][i]).sum() * np.abs(wide[0]).max())
-                first = at[np.argpartition(-bound[at], k - 1)[:k]]
-                least = _scores(q, rows[first]).min()
-                at = at[bound[at] >= least - slack]
-                for own, other in zip(narrow[1:], wide[1:]):
-                    finer = other[at] @ own[i]
-                    if len(at) > 4 * k:
-                        first = at[np.argpartition(-finer, k - 1)[:k]]
-                        least = max(least, _scores(q, rows[first]).min())
-                    at = at[finer >= least - slack]
-            score = _scores(q, rows[at])
-            best = np.lexsort((ids[at], -score))[:k]
-            found.append((start + i, ids[at][best], score[best]))
+        alive = query_ids[start : start + TILE, None] != ids[None, :]
+        places = np.arange(len(rows))
+        if len(rows) > k + 1:
+            bound = np.where(alive, narrow[0] @ wide[0].T, -np.inf)
+            first = np.argpartition(-bound, k - 1, axis=1)[:, :k]
+            enough = np.take_along_axis(alive, first, axis=1).all(axis=1)
+            score = np.einsum("qd,qkd->qk", tile, rows[first]).min(axis=1)
+            # Rounding errs by far less than this.
+            slack = 1e-9 * (1 + np.abs(bound[np.isfinite(bound)]).max(initial=0))
+            least = np.where(enough, score - slack, -np.inf)[:, None]
+            alive &= bound >= least
+            for own, other in zip(narrow[1:], wide[1:]):
+                left = alive.any(axis=0)
+                places, alive = places[left], alive[:, left]
+                alive &= own @ other[places].T >= least
+        left = alive.any(axis=0)
+        places, alive = places[left], alive[:, left]
+        exact = _products(tile, rows[places])
+        for i, (score, own) in enumerate(zip(exact, alive)):
+            own = np.flatnonzero(own)
+            score = score[own]
+            if len(own) > k:
+                own = own[score >= np.partition(score, len(own) - k)[len(own) - k]]
+                score = exact[i, own]
+            best = places[own]
+            order = np.lexsort((ids[best], -score))[:k]
+            found.append((start + i, ids[best[order]], score[order]))
     return found
 
 
