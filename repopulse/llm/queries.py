@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ngram_join, packing, pitman_yor, quality, rules, tokens, topk, urls
+from . import ngram_join, packing, pitman_yor, quality, rules, sentencepieces, tokens, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -74,6 +74,11 @@ def op6_ngram_jaccard_join(spark, sf):
     return ngram_join.jaccard_components(_table(spark, sf, "documents"))
 
 
+@query
+def op7_sentencepiece(spark, sf):
+    return sentencepieces.verify(_table(spark, sf, "documents"), PIECES)
+
+
 #: Verdict, host, start of the path.
 URL_RULES = [
     ("block", "net", "/"),
