@@ -3,10 +3,10 @@
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import ngram_join, packing, pitman_yor, quality, rules, sentencepieces, tokens, topk, urls
+from . import ngram_join, packing, pitman_yor, preferences, quality, rules, sentencepieces, tokens, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -130,3 +130,78 @@ def op9_quality_classifier(spark, sf):
 def op10_lm_scoring(spark, sf):
     docs = _table(spark, sf, "documents").select("doc_id", "text")
     return pitman_yor.score_documents(docs, _fold(10) != 0)
+
+
+def _last_reply_replaced(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Chosen and rejected turns of each conversation.
+
+    Both end with the last reply of the assistant, or with the conversation if there is
+    none. In the rejected one that reply says what the one before said, or nothing.
+    """
+    whole = Window.partitionBy("conv_id")
+    before = whole.orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    reply = F.col("role") == preferences.ASSISTANT
+    turns = turns.withColumns(
+        {
+            "last": F.max(F.when(reply, F.col("turn"))).over(whole),
+            "earlier": F.last(F.when(reply, F.col("text")), ignorenulls=True).over(before),
+        }
+    ).where("last is null or turn <= last")
+    replaced = F.when(F.col("turn") == F.col("last"), F.coalesce("earlier", F.lit(""))).otherwise(F.col("text"))
+    return turns, turns.withColumn("text", replaced)
+
+
+def _spans(name: str) -> Column:
+    as_text = F.transform(name, lambda s: F.concat_ws("-", s["start"].cast("string"), s["stop"].cast("string")))
+    return F.array_join(as_text, ",")
+
+
+@query
+def op5_preference_formatting(spark, sf):
+    turns = _table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    pairs = preferences.format_preferences(*_last_reply_replaced(turns), pair_id="conv_id")
+    return pairs.withColumns(
+        {"chosen_spans": _spans("chosen_spans"), "rejected_spans": _spans("rejected_spans")}
+    ).withColumnRenamed("pair_id", "conv_id")
+
+
+ORACLE["op5_preference_formatting"] = r"""
+with marked as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text,
+         max(case when role = 'assistant' then turn end) over (partition by conv_id) as last,
+         last_value(case when role = 'assistant' then text end ignore nulls) over (
+           partition by conv_id order by turn rows between unbounded preceding and 1 preceding) as earlier
+  from conversations where conv_id is not null
+), sides as (
+  select *, text as other, row_number() over (partition by conv_id order by turn) as i
+  from marked where last is null or turn <= last
+), replaced as (
+  select conv_id, i, role, text, case when turn = last then coalesce(earlier, '') else text end as other from sides
+), prefix as (
+  select conv_id, count(*) as n,
+         cast(coalesce(min(case when text <> other then i end) - 1, count(*)) as integer) as n_prompt_turns
+  from replaced group by conv_id
+), rendered as (
+  select r.conv_id, i, n, n_prompt_turns, role,
+         '<|' || role || '|>' || chr(10) as head, text, other, '<|end|>' || chr(10) as tail
+  from replaced r join prefix p on r.conv_id = p.conv_id
+), placed as (
+  select *, i > n_prompt_turns as after,
+         sum(case when i > n_prompt_turns then length(head || text || tail) else 0 end)
+           over (partition by conv_id order by i) as stop_c,
+         sum(case when i > n_prompt_turns then length(head || other || tail) else 0 end)
+           over (partition by conv_id order by i) as stop_r
+  from rendered
+)
+select conv_id, n_prompt_turns,
+       cast(max(n) - n_prompt_turns as integer) as n_chosen_turns,
+       cast(max(n) - n_prompt_turns as integer) as n_rejected_turns,
+       coalesce(string_agg(head || text || tail, '' order by i) filter (where not after), '') as prompt,
+       coalesce(string_agg(head || text || tail, '' order by i) filter (where after), '') as chosen,
+       coalesce(string_agg(head || other || tail, '' order by i) filter (where after), '') as rejected,
+       coalesce(string_agg((stop_c - length(text || tail)) || '-' || stop_c, ',' order by i)
+         filter (where after and role = 'assistant'), '') as chosen_spans,
+       coalesce(string_agg((stop_r - length(other || tail)) || '-' || stop_r, ',' order by i)
+         filter (where after and role = 'assistant'), '') as rejected_spans
+from placed group by conv_id, n_prompt_turns
+"""
