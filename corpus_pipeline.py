@@ -1,16 +1,57 @@
 """From raw documents to packed training sequences, one written table per stage.
 
 Stages are ``(name, function)``; a function takes (spark, docs, folder of tables) and
-returns the documents it keeps, with their columns. Each stage reads what the one
-before it wrote in the cluster's shared folder, so a lost executor costs at most the
-stage that runs.
+returns the documents it keeps, with their columns; the last one returns the pieces of
+the sequences. Each stage reads what the one before it wrote in the cluster's shared
+folder, so a lost executor costs at most the stage that runs.
 """
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from repopulse.llm import ngram_join, packing, quality, rules
 from repopulse.llm.common import materialised
+from repopulse.llm.queries import PIECES, WORDS, fold
 
-STAGES = []
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier takes for quality 1.
+
+    It learns from the labels of two folds out of three; the third stays held out.
+    """
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(fold(3) != 1)
+    model = quality.fit(docs, labels)
+    return docs.where(quality.score(model) >= 0.5)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and lie within the fertility bands."""
+    judged = rules.judge_quality(docs.select("*", F.struct("*").alias("__all")), PIECES, carry=["__all"])
+    return judged.where("kept").select("__all.*")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of equal or similar documents, and those without words.
+
+    Rows are numbered in a written table, so that repeated and null ids are told apart.
+    """
+    numbered = materialised(docs.withColumn("__row", F.monotonically_increasing_id()), "pipeline-rows")
+    groups = ngram_join.jaccard_components(numbered, doc_id="__row")
+    first = groups.where("doc_id = component_id").select(F.col("doc_id").alias("__row"))
+    return numbered.join(first, "__row", "left_semi").select(docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the sequences that hold the documents left, along the curve."""
+    return packing.pack(docs, WORDS, with_ids=False)
+
+
+STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("packing", packed),
+]
 
 #: The classifier, the fertility bands and the packing order have no SQL form;
 #: tests/llm/test_pipeline.py compares the rows with a plain version instead.
