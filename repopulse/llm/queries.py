@@ -25,7 +25,7 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _fold(folds: int) -> Column:
+def fold(folds: int) -> Column:
     """Remainder of the checksum of ``doc_id`` as text; null ids are in fold 0."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds, F.lit(0))
 
@@ -121,15 +121,15 @@ from judged
 @query
 def op9_quality_classifier(spark, sf):
     docs = _table(spark, sf, "documents").select("doc_id", "text")
-    labels = _table(spark, sf, "labels").where(_fold(3) != 1)
+    labels = _table(spark, sf, "labels").where(fold(3) != 1)
     scored = quality.classify(docs, labels)
-    return scored.select("doc_id", (_fold(3) == 1).alias("held_out"), "score", "predicted")
+    return scored.select("doc_id", (fold(3) == 1).alias("held_out"), "score", "predicted")
 
 
 @query
 def op10_lm_scoring(spark, sf):
     docs = _table(spark, sf, "documents").select("doc_id", "text")
-    return pitman_yor.score_documents(docs, _fold(10) != 0)
+    return pitman_yor.score_documents(docs, fold(10) != 0)
 
 
 def _last_reply_replaced(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
