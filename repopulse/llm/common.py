@@ -1,15 +1,45 @@
 """What several operators of this package need."""
 
+import io
+import uuid
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from functools import cache
+from pathlib import Path
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from repopulse.session import shared_folder
 
 MASK = (1 << 64) - 1
 
 
+def shared_file(spark: SparkSession, content: bytes, label: str, suffix: str) -> str:
+    """Path of a new file in the shared folder, which any Hadoop file system may hold."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(
+        f"{shared_folder(spark, label)}/{label}-{uuid.uuid4().hex}{suffix}"
+    )
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    stream.write(content)
+    stream.close()
+    return path.toString()
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives the package to the executors, once for each application."""
+    _ship(spark, spark.sparkContext.applicationId)
+
+
+@cache
+def _ship(spark: SparkSession, _application: str) -> None:
+    package, content = Path(__file__).resolve().parent.parent, io.BytesIO()
+    with zipfile.ZipFile(content, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(shared_file(spark, content.getvalue(), "repopulse", ".zip"))
+
+
 def materialised(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a table in the cluster's shared folder: computed once, lineage cut.
 
@@ -52,15 +82,3 @@ class Remembered(dict):
 
     def all(self, keys: Iterable) -> Iterator:
         return map(self.__getitem__, keys)
-
-
-def batched(lengths: np.ndarray, most: int) -> Iterator[slice]:
-    """Slices of consecutive items whose lengths add up to ``most`` or little more."""
-    start, total = 0, 0
-    for i, n in enumerate(lengths.tolist()):
-        total += n
-        if total >= most:
-            yield slice(start, i + 1)
-            start, total = i + 1, 0
-    if start < len(lengths):
-        yield slice(start, len(lengths))

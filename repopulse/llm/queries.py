@@ -1,12 +1,14 @@
 """One query per operator over its whole table: (spark, folder of tables) -> DataFrame."""
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import ngram_join, packing, pitman_yor, preferences, quality, rules, sentencepieces, tokens, topk, urls
+from .common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -17,7 +19,12 @@ WORDS = public_tokenizers.path("word_bpe_49k.json")
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    @wraps(function)
+    def shipped(spark: SparkSession, sf: str) -> DataFrame:
+        ship(spark)
+        return function(spark, sf)
+
+    QUERIES[function.__name__] = shipped
     return function
 
 

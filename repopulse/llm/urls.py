@@ -9,7 +9,6 @@ counts only if the stored key is equal.
 """
 
 import json
-import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -20,7 +19,7 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repopulse.session import shared_folder
+from .common import shared_file
 
 ALLOW, BLOCK = "allow", "block"
 LOWER = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -115,14 +114,9 @@ def _judge(name: str, batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterato
 
 def _share(spark: SparkSession, content: bytes) -> str:
     """Gives the file to every executor, also to later ones, under the name returned."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    name = f"digests-{uuid.uuid4().hex}.bin"
-    path = hadoop.Path(f"{shared_folder(spark, 'urls')}/{name}")
-    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
-    stream.write(content)
-    stream.close()
-    spark.sparkContext.addFile(path.toString())
-    return name
+    path = shared_file(spark, content, "digests", ".bin")
+    spark.sparkContext.addFile(path)
+    return path.rpartition("/")[2]
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
