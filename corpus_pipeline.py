@@ -6,14 +6,28 @@ the sequences. Each stage reads what the one before it wrote in the cluster's sh
 folder, so a lost executor costs at most the stage that runs.
 """
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repopulse.llm import ngram_join, packing, quality, rules
-from repopulse.llm.common import materialised
+from repopulse.llm.common import materialised, ship
 from repopulse.llm.queries import PIECES, WORDS, fold
 
 
+def stage(function):
+    """Sees to it that the executors have the package, however the stage is called."""
+
+    @wraps(function)
+    def shipped(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return function(spark, docs, sf_dir)
+
+    return shipped
+
+
+@stage
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier takes for quality 1.
 
@@ -24,12 +38,14 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return docs.where(quality.score(model) >= 0.5)
 
 
+@stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and lie within the fertility bands."""
     judged = rules.judge_quality(docs.select("*", F.struct("*").alias("__all")), PIECES, carry=["__all"])
     return judged.where("kept").select("__all.*")
 
 
+@stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal or similar documents, and those without words.
 
@@ -41,6 +57,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return numbered.join(first, "__row", "left_semi").select(docs.columns)
 
 
+@stage
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the sequences that hold the documents left, along the curve."""
     return packing.pack(docs, WORDS, with_ids=False)
@@ -61,6 +78,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage, from the table of documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = materialised(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    for name, function in STAGES:
+        docs = materialised(function(spark, docs, sf_dir), f"pipeline-{name}")
     return docs
