@@ -9,6 +9,7 @@ from .queries import (
     EMERGING,
     FRESH_AS_OF,
     FUTURE_AS_OF,
+    HOUR_LEFT_OUT,
     LAST_WEEK,
     QUERY_TEXT,
     TOP_CANDIDATES,
@@ -436,16 +437,17 @@ where event_date > date '{FUTURE_AS_OF}' group by event_date""",
     "dq_freshness": f"""{ACTIVITY}, newest as (
   select event_type, max(created_ts) as newest from raw group by event_type
 ), aged as (
-  select *, date_diff('second', newest, timestamp '{FRESH_AS_OF}') / 3600.0 as age from newest
+  select t.event_type, newest, date_diff('second', newest, timestamp '{FRESH_AS_OF}') / 3600.0 as age
+  from (values ('WatchEvent'), ('PullRequestEvent')) t(event_type) left join newest using (event_type)
 ) select event_type, newest, round(cast(age as double), 6) as age_hours,
-  case when age > 6 then 'error' when age > 3 then 'warn' else 'pass' end as status from aged""",
-    "dq_missing_hours": f"""{ACTIVITY}, expected as (
+  case when age > 6 or age is null then 'error' when age > 3 then 'warn' else 'pass' end as status from aged""",
+    "dq_missing_hours": f"""{LINES}, expected as (
   select t.event_type, h."hour" from (values ('WatchEvent'), ('PullRequestEvent')) t(event_type),
-    (select unnest(generate_series(timestamp '2024-01-01 00:00:00', timestamp '2024-01-30 23:00:00',
+    (select unnest(generate_series(timestamp '2023-12-31 18:00:00', timestamp '2024-01-30 23:00:00',
       interval 1 hour)) as "hour") h
 ) select event_type, e."hour" from expected e where not exists (
-  select 1 from raw r where r.event_type = e.event_type
-    and date_trunc('hour', r.created_ts) = e."hour")""",
+  select 1 from kept r where r.type = e.event_type and r.archive_hour = e."hour"
+    and not (r.type = 'WatchEvent' and strftime(r.ts, '%m-%d-%H') = '{HOUR_LEFT_OUT}'))""",
     "dim_repos": f"""{DAILY} select repo_id, max_by(repo_name, event_date) as repo_name,
   min(event_date) as first_active_date, max(event_date) as last_active_date,
   count(*) as active_days, cast(sum(stars) as bigint) as total_stars,

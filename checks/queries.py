@@ -1,18 +1,19 @@
 """One entry per operator: (spark, folder of tables) -> DataFrame."""
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repopulse.operators import activity as act
 from repopulse.operators import analyses, catalog, embedding, ingest, quality, search, staging, trends
-from repopulse.functions.events import is_star
+from repopulse.functions.events import STAR, is_star
 from repopulse.functions.vectors import unit
 from repopulse.plans.embed import encode_query, new_rows
 from repopulse.plans.ingest import backfill, flat_rows
 from repopulse.plans.trends import trends as mart_of
+from repopulse.schemas import PARTITIONS
 from repopulse.session import shared_folder
 from repopulse.sources import archive, index, lake
 from repopulse.sources import mart as mart_table
@@ -31,6 +32,7 @@ CROSSING = 5
 QUERY_TEXT = "data engineering python pipelines"
 FUTURE_AS_OF = datetime(2024, 1, 20).date()
 FRESH_AS_OF = datetime(2024, 1, 31, 3)
+HOUR_LEFT_OUT = "01-10-05"
 CHUNK = {"size": 1000, "overlap": 200}
 TOP_CANDIDATES = 500
 LAST_WEEK = datetime(2001, 10, 28).date()
@@ -54,8 +56,11 @@ def _wide_mart(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def resolve_hour(spark, sf):
-    hours = a.archived_lines(spark, sf).select("archive_hour").distinct()
-    return hours.withColumn("file", archive.archive_name(F.col("archive_hour")))
+    """Hours of a range that begins before the data and for which an archive is there."""
+    start, folder = a.FIRST_HOUR - timedelta(days=2), a.archives(spark, sf)
+    there = archive.list_archives(spark, folder, start, a.LAST_HOUR).select("hour")
+    hours = archive.archive_hours(spark, start, a.END).join(there, "hour", "left_semi")
+    return hours.withColumnRenamed("hour", "archive_hour")
 
 
 @query
@@ -114,8 +119,9 @@ def backfill_range(spark, sf):
 
 @query
 def stream_ingest(spark, sf):
+    """In several micro-batches, which split hours that have several files."""
     path, checkpoint = shared_folder(spark, "lake"), shared_folder(spark, "checkpoint")
-    streaming.stream_ingest(spark, a.archives(spark, sf), path, checkpoint).awaitTermination()
+    streaming.stream_ingest(spark, a.archives(spark, sf), path, checkpoint, files_per_batch=250).awaitTermination()
     return lake.read_lake(spark, path)
 
 
@@ -417,7 +423,10 @@ def dq_freshness(spark, sf):
 
 @query
 def dq_missing_hours(spark, sf):
-    return quality.dq_missing_hours(a.activity(spark, sf), a.FIRST_HOUR, a.LAST_HOUR)
+    """Over the written lake, without the stars of one hour, from before its first hour."""
+    hours = lake.read_lake(spark, a.written_lake(spark, sf)).select(*PARTITIONS)
+    left_out = (F.col("event_type") == STAR) & (F.concat_ws("-", "month", "day", "hour") == HOUR_LEFT_OUT)
+    return quality.dq_missing_hours(hours.where(~left_out), a.FIRST_HOUR - timedelta(hours=6), a.LAST_HOUR)
 
 
 # --- further marts -----------------------------------------------------------

@@ -2,8 +2,8 @@
 
 Lines become variants, because a reader with a declared schema drops lines whose
 fields have unexpected types, while here only text that is not JSON is skipped.
-Known difference to lenient parsers: duplicate object keys and a bare NaN count as
-not JSON.
+The bare numbers NaN and Infinity count as JSON, as lenient parsers have it; no
+column reads a number that may be one, so they become null.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -28,6 +28,22 @@ _PATHS = {
 }
 
 
+# A bare word where a value belongs.
+_NOT_FINITE = r"(?<=[:\[,])\s*-?(?:NaN|Infinity)\s*(?=[,}\]])"
+
+
+def parsed_line(value: str = "value") -> Column:
+    """The line as a variant, NULL if it isn't JSON.
+
+    Lines that fail are tried once more without NaN and Infinity.
+    """
+    tolerant = F.when(
+        F.col(value).contains("NaN") | F.col(value).contains("Infinity"),
+        F.try_parse_json(F.regexp_replace(value, _NOT_FINITE, "null")),
+    )
+    return F.coalesce(F.try_parse_json(value), tolerant)
+
+
 def _field(path: str, kind: str) -> Column:
     return F.try_variant_get("event", path, kind)
 
@@ -40,7 +56,7 @@ def parse_events(lines: DataFrame) -> DataFrame:
     """event (variant), archive_hour; lines that are not JSON vanish."""
     # A filter on the parsed value would be merged with the parse below it and run it
     # twice per line. Generating zero or one row per line parses once.
-    parsed = F.array_compact(F.array(F.try_parse_json("value")))
+    parsed = F.array_compact(F.array(parsed_line()))
     return lines.select(F.explode(parsed).alias("event"), "archive_hour")
 
 
@@ -59,7 +75,7 @@ def kept_events(lines: DataFrame, types: tuple[str, ...] = KEPT_TYPES) -> DataFr
     candidate = value.contains("\\u00")
     for name in types:
         candidate = candidate | value.contains(name)
-    parsed = lines.where(candidate).select(F.try_parse_json("value").alias("event"), "archive_hour")
+    parsed = lines.where(candidate).select(parsed_line().alias("event"), "archive_hour")
     return keep_types(parsed, types)
 
 
@@ -87,7 +103,7 @@ def ingest_report(lines: DataFrame, types: tuple[str, ...] = KEPT_TYPES) -> Data
     """event_type, n: all JSON lines as ``total``, and each kept type even if zero."""
     counts = report_counts(types)
     # Not via parse_events: its filter would make Catalyst parse every line twice.
-    events = lines.select(F.try_parse_json("value").alias("event"))
+    events = lines.select(parsed_line().alias("event"))
     totals = events.agg(*[count.alias(name) for name, count in counts.items()])
     return totals.unpivot([], list(counts), "event_type", "n")
 

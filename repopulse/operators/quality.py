@@ -102,10 +102,16 @@ def dq_reconcile(raw: DataFrame, mart: DataFrame, tolerance: float = RECONCILE_T
 def dq_freshness(
     raw: DataFrame, as_of: datetime, warn_hours: int = WARN_HOURS, error_hours: int = ERROR_HOURS
 ) -> DataFrame:
-    """event_type, newest, age_hours, status (pass, warn, error) per kept type."""
+    """event_type, newest, age_hours, status (pass, warn, error) per kept type.
+
+    A type without rows has no age, which is an error.
+    """
+    types = raw.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, KEPT_TYPES))).alias("event_type"))
     newest = raw.groupBy("event_type").agg(F.max(created_at()).alias("newest"))
+    newest = types.join(newest, "event_type", "left")
     age = F.timestamp_diff("SECOND", "newest", moment(as_of)) / 3600.0
-    status = F.when(F.col("age_hours") > error_hours, "error").when(
+    too_old = F.col("age_hours").isNull() | (F.col("age_hours") > error_hours)
+    status = F.when(too_old, "error").when(
         F.col("age_hours") > warn_hours, "warn"
     )
     return newest.withColumn("age_hours", age).withColumn("status", status.otherwise("pass"))

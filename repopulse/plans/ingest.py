@@ -1,16 +1,16 @@
-"""Ingest archives into the lake: one hour, or a whole range in one job."""
+"""Ingest archives into the lake: one hour, a range, or the hours that files arrived for."""
 
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.events import KEPT_TYPES, moment
-from ..operators.ingest import flatten_events, keep_types, kept_events, report_counts
+from ..functions.events import moment
+from ..operators.ingest import flatten_events, keep_types, kept_events, parsed_line, report_counts
 from ..sources.archive import list_archives, read_lines
 from ..sources.lake import (
-    STAMP_FORMAT,
-    partition_stamp,
+    ingested_hours,
+    record_hours,
     skip_existing,
     with_partitions,
     write_lake,
@@ -31,54 +31,59 @@ def ingest_hour(spark: SparkSession, source: str, hour: datetime, lake: str) ->
     """
     report = Observation("ingest")
     lines = read_lines(spark, f"{source.rstrip('/')}/{hour:%Y-%m-%d}-{hour.hour}.json.gz")
-    events = lines.select(F.try_parse_json("value").alias("event"), "archive_hour")
+    events = lines.select(parsed_line().alias("event"), "archive_hour")
     counts = [count.alias(name) for name, count in report_counts().items()]
     raw = with_partitions(flatten_events(keep_types(events.observe(report, *counts))))
     write_lake(skip_existing(raw, written_partitions(spark, lake, hour, hour)), lake)
+    record_hours(spark.range(1).select(moment(hour).alias("hour")), lake)
     return {"counts": report.get, "hour": f"{hour.isoformat()}+00:00"}
 
 
-def complete_hours(spark: SparkSession, lake: str, first: datetime, last: datetime) -> DataFrame:
-    """hour: those from ``first`` to ``last`` for which the lake has every kept type."""
-    hours = written_partitions(spark, lake, first, last).groupBy(partition_stamp().alias("stamp"))
-    complete = hours.agg(F.count("*").alias("types")).where(F.col("types") >= len(KEPT_TYPES))
-    return complete.select(F.to_timestamp_ntz("stamp", F.lit("yyyyMMddHH")).alias("hour"))
-
-
 def pending_archives(
     spark: SparkSession, source: str, lake: str, first: datetime, last: datetime
 ) -> DataFrame:
-    """hour, path of the archives from ``first`` to ``last`` that are not complete in the lake."""
-    wanted = list_archives(spark, source).where(F.col("hour").between(moment(first), moment(last)))
-    return wanted.join(complete_hours(spark, lake, first, last), "hour", "left_anti")
+    """hour, path of the archives from ``first`` to ``last`` that weren't ingested before."""
+    wanted = list_archives(spark, source, first, last)
+    return wanted.join(ingested_hours(spark, lake, first, last), "hour", "left_anti")
 
 
-def backfill(spark: SparkSession, source: str, lake: str, start: datetime, end: datetime) -> None:
-    """Ingest every archive from ``start`` up to and without ``end`` that is not complete.
+def months(start: datetime, end: datetime) -> list[tuple[datetime, datetime]]:
+    """The range from ``start`` up to and without ``end``, cut at the first of each month."""
+    cuts = [start]
+    while cuts[-1] < end:
+        later = cuts[-1].replace(day=1, hour=0) + timedelta(days=32)
+        cuts.append(min(end, later.replace(day=1)))
+    return list(zip(cuts, cuts[1:]))
 
-    One job for the whole range: each archive is a task. The driver handles the paths
-    of the pending archives only, which the range bounds. Hours without an archive are
-    left out.
-    """
-    last = end - timedelta(hours=1)
-    paths = [row.path for row in pending_archives(spark, source, lake, start, last).collect()]
-    if paths:
-        raw = flat_rows(read_lines(spark, paths))
-        write_lake(skip_existing(raw, written_partitions(spark, lake, start, last)), lake)
 
+def backfill(spark: SparkSession, source: str, lake: str, start: datetime, end: datetime) -> None:
+    """Ingest every archive from ``start`` up to and without ``end`` that wasn't before.
 
-def ingest_lines(spark: SparkSession, lines: DataFrame, lake: str) -> None:
-    """Append the partitions of ``lines`` that the lake lacks.
-
-    For lines whose range of hours is not known beforehand. The kept rows, a small
-    part of the lines, are cached, so that finding the range costs no second read.
+    A job and a commit for each month, so that years are published as they come and a
+    lost job costs a month: each archive is a task. The driver handles the paths of the
+    month's pending archives only. Hours without an archive are left out. Partitions that
+    the lake has are kept, and the hours are recorded, so a rerun reads nothing.
+    """
+    for since, until in months(start, end):
+        last = until - timedelta(hours=1)
+        pending = pending_archives(spark, source, lake, since, last).collect()
+        if pending:
+            raw = flat_rows(read_lines(spark, [row.path for row in pending]))
+            write_lake(skip_existing(raw, written_partitions(spark, lake, since, last)), lake)
+            hours = [(row.hour,) for row in pending]
+            record_hours(spark.createDataFrame(hours, "hour timestamp_ntz"), lake)
+
+
+def replace_hours(spark: SparkSession, source: str, arrived: DataFrame, lake: str) -> None:
+    """Ingest the hours that the files of ``arrived`` belong to, as they are now.
+
+    An hour may be a folder of files that arrive one by one. Its partitions are replaced
+    by what all its files hold, so it doesn't matter which of them arrived together, and
+    a repeated call changes nothing. Files whose path names no hour are no archives.
     """
-    # Files whose path names no hour are no archives.
-    raw = flat_rows(lines).where(F.col("hour").isNotNull()).persist()
-    try:
-        span = raw.agg(F.min(partition_stamp()), F.max(partition_stamp())).first()
-        if span[0] is not None:
-            first, last = (datetime.strptime(stamp, STAMP_FORMAT) for stamp in span)
-            write_lake(skip_existing(raw, written_partitions(spark, lake, first, last)), lake)
-    finally:
-        raw.unpersist()
+    hours = [row.hour for row in arrived.select(F.col("archive_hour").alias("hour")).distinct().collect() if row.hour]
+    if hours:
+        touched = spark.createDataFrame([(hour,) for hour in hours], "hour timestamp_ntz")
+        listed = list_archives(spark, source, min(hours), max(hours)).join(touched, "hour", "left_semi")
+        write_lake(flat_rows(read_lines(spark, [row.path for row in listed.collect()])), lake)
+        record_hours(touched, lake)

@@ -34,6 +34,9 @@ FLAT = _struct(
 PARTITIONS = ("event_type", "year", "month", "day", "hour")
 RAW = T.StructType(FLAT.fields + [T.StructField(name, T.StringType()) for name in PARTITIONS])
 
+# The record of the hours that were ingested.
+INGESTED = _struct("hour timestamp")
+
 ACTIVITY = _struct(
     "repo_id bigint, repo_name string, event_date date, stars bigint,"
     "prs_opened bigint, prs_merged bigint, prs_closed_unmerged bigint"

@@ -7,6 +7,7 @@ many hours runs as many tasks as there are files.
 
 from datetime import datetime, timedelta, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,17 +45,41 @@ def archive_hours(spark: SparkSession, start: datetime, end: datetime) -> DataFr
 
 
 def hour_of_path(path: Column) -> Column:
-    """The hour named by an archive's path, as a timestamp without zone; else NULL."""
+    """The hour named by an archive's path, as a timestamp without zone; else NULL.
+
+    A day has the hours 0 to 23; any other number names no hour.
+    """
     day = F.regexp_extract(path, _DATE_AND_HOUR, 1).try_cast("date")
     hour = F.regexp_extract(path, _DATE_AND_HOUR, 2).try_cast("int")
-    return day.cast("timestamp_ntz") + F.make_dt_interval(hours=hour)
+    return F.when(hour < 24, day.cast("timestamp_ntz") + F.make_dt_interval(hours=hour))
+
+
+def _dated(first: datetime, last: datetime) -> str:
+    """Glob of the archives of all days (months, for long ranges) from first to last."""
+    days = (first.date() + timedelta(days=n) for n in range((last.date() - first.date()).days + 1))
+    kind = "%Y-%m-%d-" if last - first <= timedelta(days=31) else "%Y-%m-"
+    return "*{" + ",".join(dict.fromkeys(f"{day:{kind}}" for day in days)) + "}*"
+
+
+def list_archives(spark: SparkSession, folder: str, first: datetime, last: datetime) -> DataFrame:
+    """hour, path of the archives in a folder for hours from ``first`` to ``last``.
+
+    Lists the files of that range, however many others there are, and reads none.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    try:
+        found = files.load(f"{folder.rstrip('/')}/{_dated(first, last)}").select("path")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        found = spark.createDataFrame([], "path string").where(F.lit(False))
+    listed = found.select(hour_of_path(F.col("path")).alias("hour"), "path")
+    return listed.where(F.col("hour").between(moment(first), moment(last)))
 
 
-def list_archives(spark: SparkSession, folder: str) -> DataFrame:
-    """hour, path of the archives in a folder. Lists files, reads none."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    listed = files.select(hour_of_path(F.col("path")).alias("hour"), "path")
-    return listed.where(F.col("hour").isNotNull())
+def keep_repeated_keys(spark: SparkSession) -> None:
+    """An object that has a key twice is JSON, and the last value counts."""
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
 
 
 def _with_hour(lines: DataFrame) -> DataFrame:
@@ -65,11 +90,13 @@ def _with_hour(lines: DataFrame) -> DataFrame:
 
 def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Raw lines of the given archives: value, archive_hour."""
+    keep_repeated_keys(spark)
     return _with_hour(spark.read.text(paths, recursiveFileLookup=True))
 
 
 def stream_lines(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
     """The same columns from a folder that receives new gzip files."""
+    keep_repeated_keys(spark)
     lines = (
         spark.readStream.option("maxFilesPerTrigger", files_per_batch)
         .option("recursiveFileLookup", "true")

@@ -10,8 +10,8 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.events import zero_padded
-from ..schemas import PARTITIONS, RAW
+from ..functions.events import moment, zero_padded
+from ..schemas import INGESTED, PARTITIONS, RAW
 from .tables import read_or_empty
 
 STAMP_FORMAT = "%Y%m%d%H"
@@ -34,10 +34,11 @@ def with_partitions(flat: DataFrame) -> DataFrame:
 def write_lake(raw: DataFrame, path: str, compact: bool = False) -> None:
     """Write the partitions present in ``raw``; leave all others alone.
 
-    Dynamic overwrite moves each partition into place as a whole, so a job that
-    dies leaves a partition complete or absent, never half written. Hourly gzip
-    archives need no shuffle here: one task reads a whole hour, so each partition
-    gets one file. ``compact`` is for inputs that spread an hour over many tasks;
+    Dynamic overwrite moves each partition into place as a whole. Where a folder is
+    renamed atomically, a job that dies leaves a partition complete or absent; an
+    object store copies, so there it may be torn, and only ``ingested_hours`` tells.
+    Hourly gzip archives need no shuffle here: one task reads a whole hour, so each
+    partition gets one file. ``compact`` is for inputs that spread an hour over many tasks;
     it lets AQE gather each partition, and split one that is too big for a task.
     """
     if compact:
@@ -85,6 +86,22 @@ def written_partitions(spark: SparkSession, path: str, first: datetime, last: da
     return found.select(*PARTITIONS).where(in_range).distinct()
 
 
+def _record(path: str) -> str:
+    # Readers of the lake pass over names that start with an underscore.
+    return f"{path.rstrip('/')}/_ingested"
+
+
+def record_hours(hours: DataFrame, path: str) -> None:
+    """Remember that the ``hour`` s are in the lake, whatever types they had."""
+    hours.select("hour").distinct().coalesce(1).write.mode("append").parquet(_record(path))
+
+
+def ingested_hours(spark: SparkSession, path: str, first: datetime, last: datetime) -> DataFrame:
+    """hour: those from ``first`` to ``last`` that were recorded after their commit."""
+    found = read_or_empty(spark, _record(path), INGESTED)
+    return found.where(F.col("hour").between(moment(first), moment(last))).distinct()
+
+
 def skip_existing(raw: DataFrame, written: DataFrame) -> DataFrame:
     """Rows whose (event_type, hour) partition is not in ``written`` yet.
 

@@ -1,26 +1,30 @@
 """The daily mart as a materialised table, partitioned by date."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import MART
-from .tables import read_or_empty
+from .tables import read_or_empty, replace_table
 
 
 def write_mart(mart: DataFrame, path: str) -> None:
     """Full refresh. The rolling sum reaches back over six *active* days, an open
     span of dates, so refreshing single dates would be wrong.
 
-    ``rebalance`` gathers each date into few files and splits a date that is too
-    big for one task.
+    The new mart is written beside the old one and then takes its place, whatever the
+    session's overwrite mode is. ``rebalance`` gathers each date into few files and
+    splits a date that is too big for one task.
     """
+    new = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
     (
         mart.to(MART)
         .hint("rebalance", "event_date")
-        .write.mode("overwrite")
-        .option("compression", "snappy")
+        .write.option("compression", "snappy")
         .partitionBy("event_date")
-        .parquet(path)
+        .parquet(new)
     )
+    replace_table(mart.sparkSession, new, path.rstrip("/"))
 
 
 def read_mart(spark: SparkSession, path: str) -> DataFrame:

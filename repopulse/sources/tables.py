@@ -6,6 +6,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+def replace_table(spark: SparkSession, new: str, path: str) -> None:
+    """Put the table at ``new`` in the place of the one at ``path``.
+
+    The old table can be read until the new one, which is complete, takes its name.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    source, target, aside = hadoop.Path(new), hadoop.Path(path), hadoop.Path(f"{new}-replaced")
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(target) and not files.rename(target, aside):
+        raise OSError(f"could not move {path}")
+    if not files.rename(source, target):
+        raise OSError(f"could not move {new}; the old table is at {aside}")
+    if files.exists(aside):
+        files.delete(aside, True)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: StructType, **options: str) -> DataFrame:
     """The Parquet table at ``path``, or an empty frame if nothing is there."""
     try:

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.ingest import ingest_lines
+from ..plans.ingest import replace_hours
 from ..sources.archive import stream_lines
 
 
@@ -12,14 +12,14 @@ def stream_ingest(
 ) -> StreamingQuery:
     """Start ingesting the archives in ``source`` that were not ingested before, then stop.
 
-    Each micro-batch runs the batch ingest. Its checkpoint fixes which files belong
-    to it, and the lake takes whole partitions and skips those it has, so a batch
-    that is repeated after a failure adds exactly what is missing. A file sink would
-    hide partitions written by ``backfill`` from readers; this does not.
+    A micro-batch names the hours that files arrived for; the hours are then ingested
+    anew from all their files. So the files of an hour may fall into several batches,
+    and a batch that is repeated after a failure gives the same partitions. A file sink
+    would hide partitions written by ``backfill`` from readers; this does not.
     """
 
     def write(lines: DataFrame, _batch: int) -> None:
-        ingest_lines(lines.sparkSession, lines, lake)
+        replace_hours(lines.sparkSession, source, lines, lake)
 
     return (
         stream_lines(spark, source, files_per_batch)

@@ -1,7 +1,9 @@
+import os
 from datetime import date
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from repopulse.operators import activity as act
 from repopulse.operators.staging import stg_pull_request_events, stg_watch_events
@@ -125,3 +127,18 @@ def test_mart_dates_share_tasks_not_files(spark, raw, folder):
     events = [("star", n, "a/b", f"2024-01-{1 + n % 20:02}T00:00:00Z") for n in range(200)]
     write_mart(trends(raw(*events).repartition(8)), path)
     assert len(read_mart(spark, path).inputFiles()) == 20
+
+
+def test_a_full_refresh_leaves_no_old_date(spark, raw, folder):
+    path = folder("mart")
+    write_mart(trends(raw(("star", 1, "a/b", "2024-01-01T00:00:00Z"))), path)
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        # The new mart is made from the old one, which is readable until it is replaced.
+        later = read_mart(spark, path).withColumn("event_date", F.date_add("event_date", 1))
+        write_mart(later, path)
+        assert [row.event_date for row in read_mart(spark, path).collect()] == [date(2024, 1, 2)]
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    assert [entry for entry in os.listdir(os.path.dirname(path)) if entry.startswith("test-mart")] == [os.path.basename(path)]

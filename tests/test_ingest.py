@@ -10,10 +10,9 @@ from repopulse.functions.events import moment
 from repopulse.operators import ingest
 from repopulse.plans.ingest import (
     backfill,
-    complete_hours,
     flat_rows,
     ingest_hour,
-    ingest_lines,
+    months,
     pending_archives,
 )
 from repopulse.schemas import RAW
@@ -116,10 +115,10 @@ def test_archive_hours(spark):
 
 
 def test_hour_comes_from_the_path(spark):
-    paths = ["/x/2024-01-02-3.json.gz", "/2020-01-01-1/archive=2024-01-02-13.json.gz/part-0.gz", "/x/notes.txt"]
+    paths = ["/x/2024-01-02-3.json.gz", "/2020-01-01-1/archive=2024-01-02-13.json.gz/part-0.gz", "/x/notes.txt", "/x/2024-01-02-25.json.gz"]
     df = spark.createDataFrame([(p,) for p in paths], "p string")
     hours = [row[0] for row in df.select(archive.hour_of_path(F.col("p"))).collect()]
-    assert hours == [datetime(2024, 1, 2, 3), datetime(2024, 1, 2, 13), None]
+    assert hours == [datetime(2024, 1, 2, 3), datetime(2024, 1, 2, 13), None, None]
 
 
 def test_ingest_hour_reports_and_skips(spark, tmp_path, folder):
@@ -148,14 +147,70 @@ def test_no_partition_for_an_empty_group(spark, folder):
     assert [row.event_type for row in lake.written_partitions(spark, path, HOUR, HOUR).collect()] == ["WatchEvent"]
 
 
-def test_half_written_hour_is_completed(spark, folder):
-    path = folder("lake")
-    ingest_lines(spark, frame(spark, event(1)), path)
-    assert complete_hours(spark, path, HOUR, HOUR).count() == 0
+def test_half_written_hour_is_completed(spark, tmp_path, folder):
+    path, after = folder("lake"), HOUR + timedelta(hours=1)
+    lake.write_lake(flat_rows(frame(spark, event(1))), path)
+    assert lake.ingested_hours(spark, path, HOUR, HOUR).count() == 0
     # The star partition exists, so its new row is not taken; pull requests are.
-    ingest_lines(spark, frame(spark, event(1), event(9), pull(2)), path)
+    archive_file(tmp_path, HOUR, event(1), event(9), pull(2))
+    backfill(spark, str(tmp_path), path, HOUR, after)
     assert sorted(row.id for row in lake.read_lake(spark, path).collect()) == ["1", "2"]
-    assert [row.hour for row in complete_hours(spark, path, HOUR, HOUR).collect()] == [HOUR]
+    assert [row.hour for row in lake.ingested_hours(spark, path, HOUR, HOUR).collect()] == [HOUR]
+
+
+def test_an_hour_with_stars_only_is_read_once(spark, tmp_path, folder):
+    path, after = folder("lake"), HOUR + timedelta(hours=1)
+    archive_file(tmp_path, HOUR, event(1))
+    backfill(spark, str(tmp_path), path, HOUR, after)
+    (tmp_path / "2024-03-05-4.json.gz").write_bytes(b"no gzip")
+    backfill(spark, str(tmp_path), path, HOUR, after)
+    assert lake.read_lake(spark, path).count() == 1
+
+
+def test_a_short_range_lists_its_days_only(spark, tmp_path):
+    for n in (0, 30, 24 * 40):
+        archive_file(tmp_path, HOUR + timedelta(hours=n), event(n))
+    archive_file(tmp_path / "archive=2024-03-05-5.json.gz", HOUR, event(7))
+    listed = archive.list_archives(spark, str(tmp_path), HOUR, HOUR + timedelta(hours=3))
+    assert len(listed.inputFiles()) == 2
+    assert sorted(row.hour for row in listed.collect()) == [HOUR, HOUR]
+    long = archive.list_archives(spark, str(tmp_path), HOUR, HOUR + timedelta(days=41))
+    assert long.count() == 4
+    assert archive.list_archives(spark, str(tmp_path), datetime(2020, 1, 1), datetime(2020, 1, 2)).count() == 0
+
+
+def test_months():
+    cut = months(datetime(2024, 1, 31, 5), datetime(2024, 3, 1, 2))
+    assert cut == [
+        (datetime(2024, 1, 31, 5), datetime(2024, 2, 1)),
+        (datetime(2024, 2, 1), datetime(2024, 3, 1)),
+        (datetime(2024, 3, 1), datetime(2024, 3, 1, 2)),
+    ]
+    assert months(HOUR, HOUR) == []
+
+
+@pytest.mark.parametrize("files_per_batch", [1, 2, 1000])
+def test_stream_takes_every_file_of_an_hour(spark, tmp_path, folder, files_per_batch):
+    path, checkpoint = folder("lake"), folder("checkpoint")
+    for n in range(6):
+        hour = HOUR + timedelta(hours=n % 2)
+        inside = tmp_path / f"archive={hour:%Y-%m-%d}-{hour.hour}.json.gz"
+        inside.mkdir(exist_ok=True)
+        with gzip.open(inside / f"part-{n}.gz", "wt") as out:
+            out.write(event(n) + "\n" + pull(10 + n) + "\n")
+    for _ in range(2):
+        stream_ingest(spark, str(tmp_path), path, checkpoint, files_per_batch).awaitTermination()
+    assert sorted(int(row.id) for row in lake.read_lake(spark, path).collect()) == [*range(6), *range(10, 16)]
+
+
+def test_repeated_keys_and_bare_numbers_are_json(spark, tmp_path):
+    twice = event(1)[:-1] + ', "id": "8"}'
+    bare = [event(n)[:-1] + f', "score": {word}}}' for n, word in ((2, "NaN"), (3, "-Infinity"), (4, "[NaN, 1]"))]
+    archive_file(tmp_path, HOUR, twice, *bare, event(5)[:-1] + ', "score": nan}', event(6, note="NaN,"))
+    lines = archive.read_lines(spark, str(tmp_path))
+    kept = ingest.flatten_events(ingest.kept_events(lines))
+    assert sorted(row.id for row in kept.collect()) == ["2", "3", "4", "6", "8"]
+    assert {row.event_type: row.n for row in ingest.ingest_report(lines).collect()}["total"] == 5
 
 
 def test_written_partitions_covers_exactly_the_range(spark, folder):

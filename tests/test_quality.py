@@ -75,6 +75,8 @@ def test_freshness(raw):
 
     assert status(9) == {"WatchEvent": "pass", "PullRequestEvent": "warn"}
     assert status(12) == {"WatchEvent": "warn", "PullRequestEvent": "error"}
+    rows = rows.where("type = 'WatchEvent'")
+    assert status(9) == {"WatchEvent": "pass", "PullRequestEvent": "error"}
 
 
 def test_missing_hours(raw):
