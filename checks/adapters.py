@@ -17,10 +17,13 @@ from pyspark.sql import functions as F
 from repopulse.functions.events import PULL_REQUEST, STAR, zero_padded
 from repopulse.operators.embedding import letters26
 from repopulse.plans.ingest import flat_rows
+from repopulse.plans.trends import trends as mart_of
 from repopulse.schemas import RAW, REPO
 from repopulse.session import shared_folder
 from repopulse.sources.archive import archive_name, read_lines
+from repopulse.sources.index import write_index
 from repopulse.sources.lake import write_lake
+from repopulse.sources.mart import write_mart
 
 AS_OF = date(2024, 1, 30)
 FIRST_HOUR, LAST_HOUR = datetime(2024, 1, 1, 0), datetime(2024, 1, 30, 23)
@@ -137,6 +140,41 @@ def written_lake(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+@cache
+def written_mart(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the mart of ``activity``; written once per session."""
+    path = shared_folder(spark, "mart")
+    write_mart(mart_of(activity(spark, sf_dir)), path)
+    return path
+
+
+@cache
+def written_wide_mart(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the mart of ``wide``; written once per session.
+
+    It has few rows for each of 2,500 dates, so it is ordered by date, not partitioned.
+    """
+    path = shared_folder(spark, "wide-mart")
+    mart_of(wide(spark, sf_dir)).repartitionByRange("event_date").sortWithinPartitions("event_date").write.parquet(path)
+    return path
+
+
+@cache
+def written_index(spark: SparkSession, sf_dir: str) -> str:
+    """Path of an index of all documents; written once per session."""
+    path = shared_folder(spark, "index")
+    write_index(document_index(spark, sf_dir), path)
+    return path
+
+
+@cache
+def written_vectors(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the table of vectors as an index; written once per session."""
+    path = shared_folder(spark, "vectors")
+    vector_index(spark, sf_dir).write.parquet(path)
+    return path
+
+
 @cache
 def archives(spark: SparkSession, sf_dir: str) -> str:
     """Folder with one sub-folder of gzip JSON lines per hour; written once per session."""

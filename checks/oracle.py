@@ -11,6 +11,7 @@ from .queries import (
     FUTURE_AS_OF,
     HOUR_LEFT_OUT,
     LAST_WEEK,
+    PIVOT_NAMES,
     QUERY_TEXT,
     TOP_CANDIDATES,
     VELOCITY_FLOOR,
@@ -270,6 +271,8 @@ _MART_RANGES = [
 _MART_KEY = (
     "unique_combination", "repo_id,event_date", "true", _repeated("mart", "repo_id, event_date")
 )
+_DOCUMENT_TEXTS = """(
+  select doc_id, coalesce(nullif(text, ''), source || '/doc' || doc_id) as text from documents)"""
 _BY_DIMENSION = "unnest(range(len(v))) as dim, round(unnest(v), 6) as value"
 _INT_DIMENSION = "cast(dim as integer) as dim, value"
 _STEP = CHUNK["size"] - CHUNK["overlap"]
@@ -343,13 +346,41 @@ where event_type = 'WatchEvent' and year = '{YEAR}' group by utc_hour order by u
         for n in range(1, 11)
     )
     + " from series group by event_date order by event_date",
+    "trend_pivot_names": f"{DAILY} select event_date, "
+    + ", ".join(
+        f"cast(coalesce(sum(stars) filter (where repo_name = '{name}'), 0) as bigint) as \"{name}\""
+        for name in PIVOT_NAMES
+    )
+    + f""" from mart where event_date >= date '{AS_OF}' - 30 and repo_name in (
+  select repo_name from mart where event_date >= date '{AS_OF}' - 30
+  group by repo_name order by sum(stars) desc, repo_name limit 100)
+group by event_date""",
     "embed_candidates": f"{EMBED} select * from candidates",
     "embed_pending": f"{EMBED} select * from pending",
     "repo_enrich": f"{EMBED} select {_ENRICHED_COLUMNS} from added",
     "embed_text": f"{EMBED} select repo_id, full_name, {_TEXT} as text from added",
-    "encode": f"""with {REPOS}, encoded as (
-  select repo_id, {_letters("text")} as v from (select repo_id, {_TEXT} as text from repos)
+    "encode": f"""with encoded as (
+  select doc_id as repo_id, {_letters("text")} as v from {_DOCUMENT_TEXTS}
 ) select repo_id, {_INT_DIMENSION} from (select repo_id, {_BY_DIMENSION} from encoded)""",
+    "encode_hashing": f"""with words as (
+  select doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9_]+')) as word from {_DOCUMENT_TEXTS}
+), counted as (
+  select doc_id, cast(('0x' || substr(md5(word), 1, 8)) as bigint) % 384 as dim, count(*) as n
+  from words group by 1, 2
+), weights as (
+  select dim, ln(((select count(*) from documents) + 1) / (count(*) + 1.0)) as weight from counted group by dim
+), weighted as (
+  select doc_id, dim, n * weight as x from counted join weights using (dim)
+), scaled as (
+  select *, sqrt(sum(x * x) over (partition by doc_id)) as norm from weighted
+) select doc_id as repo_id, cast(dim as integer) as dim,
+  round(cast(cast(x / norm as real) as double), 6) as value
+from scaled where norm > 0 and round(cast(cast(x / norm as real) as double), 6) <> 0""",
+    "encode_model": f"""with encoded as (
+  select doc_id as repo_id, [length(text), len(string_split_regex(trim(text, e' \\n\\t\\r'), '[\\s]+')),
+    length(text) - length(replace(text, chr(10), '')) + 1] as v from {_DOCUMENT_TEXTS}
+) select repo_id, {_INT_DIMENSION} from (
+  select repo_id, unnest(range(len(v))) as dim, cast(unnest(v) as double) as value from encoded)""",
     "index_append": f"""{EMBED} select {_ENRICHED_COLUMNS} from indexed
 union all select {_ENRICHED_COLUMNS} from added""",
     "index_write": f"""{EMBED}, encoded as (
@@ -384,9 +415,7 @@ scored as (
 ), scored as (select indexed.*, query_id, {_cosine("v", "q")} as similarity from indexed, asked)
 {_best("scored", '''query_id, cast(place as integer) as rank, repo_id, label,
   round(similarity, 6) as similarity''')}""",
-    "search_display": f"""with {REPOS}, indexed as (
-  select *, {_letters("text")} as v from (select *, {_TEXT} as text from repos)
-), asked as (select {_letters(f"'{QUERY_TEXT}'")} as q),
+    "search_display": f"""with {_DOCUMENTS}, asked as (select {_letters(f"'{QUERY_TEXT}'")} as q),
 scored as (select *, 0 as query_id, {_cosine("v", "q")} as similarity from indexed, asked)
 {_best("scored", '''full_name, coalesce(nullif(language, ''), 'Unknown') as language,
   coalesce(stars, 0) as stars, round(similarity, 3) as similarity,

@@ -2,6 +2,7 @@
 
 from collections.abc import Callable
 from datetime import datetime, timedelta
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,7 @@ QUERY_TEXT = "data engineering python pipelines"
 FUTURE_AS_OF = datetime(2024, 1, 20).date()
 FRESH_AS_OF = datetime(2024, 1, 31, 3)
 HOUR_LEFT_OUT = "01-10-05"
+PIVOT_NAMES = ["org1/repo1", "org2/repo2", "org7/repo7", "org7/repo7-renamed", "nobody/nothing"]
 CHUNK = {"size": 1000, "overlap": 200}
 TOP_CANDIDATES = 500
 LAST_WEEK = datetime(2001, 10, 28).date()
@@ -231,24 +233,39 @@ def emerging_repos(spark, sf):
 # --- dashboard ---------------------------------------------------------------
 
 
+def _read_mart(spark: SparkSession, sf: str) -> DataFrame:
+    return mart_table.read_mart(spark, a.written_mart(spark, sf))
+
+
+def _read_wide_mart(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.read.parquet(a.written_wide_mart(spark, sf))
+
+
 @query
 def trending_window(spark, sf):
-    return trends.trending_window(_mart(spark, sf), a.AS_OF)
+    return trends.trending_window(_read_mart(spark, sf), a.AS_OF)
 
 
 @query
 def trending_window_week(spark, sf):
-    return trends.trending_window(_mart(spark, sf), a.AS_OF, days=7)
+    return trends.trending_window(_read_mart(spark, sf), a.AS_OF, days=7)
 
 
 @query
 def trend_series(spark, sf):
-    return trends.trend_series(_mart(spark, sf), a.AS_OF)
+    return trends.trend_series(_read_mart(spark, sf), a.AS_OF)
 
 
 @query
 def trend_pivot(spark, sf):
-    return trends.ranked_pivot(_mart(spark, sf), a.AS_OF)
+    return trends.ranked_pivot(_read_mart(spark, sf), a.AS_OF)
+
+
+@query
+def trend_pivot_names(spark, sf):
+    """By repository name; the names that lead at any scale are asked for."""
+    series = trends.trend_series(_read_mart(spark, sf), a.AS_OF, count=100)
+    return trends.trend_pivot(series, PIVOT_NAMES)
 
 
 # --- embedding and search ----------------------------------------------------
@@ -256,16 +273,25 @@ def trend_pivot(spark, sf):
 
 @query
 def embed_candidates(spark, sf):
-    return embedding.embed_candidates(_wide_mart(spark, sf), a.WIDE_AS_OF, n=TOP_CANDIDATES)
+    return embedding.embed_candidates(_read_wide_mart(spark, sf), a.WIDE_AS_OF, n=TOP_CANDIDATES)
+
+
+@cache
+def _last_week(spark: SparkSession, sf: str) -> str:
+    """Path of the index that a run one week earlier wrote; once per session."""
+    path = shared_folder(spark, "last-week")
+    index.write_index(
+        new_rows(
+            _read_wide_mart(spark, sf).where(F.col("event_date") <= LAST_WEEK),
+            a.repos(spark, sf), index.read_index(spark, path), embedding.letters26, LAST_WEEK, n=TOP_CANDIDATES,
+        ),
+        path,
+    )
+    return path
 
 
 def _last_week_index(spark, sf):
-    """What a run one week earlier put into the index."""
-    empty = index.read_index(spark, shared_folder(spark, "missing"))
-    return new_rows(
-        _wide_mart(spark, sf).where(F.col("event_date") <= LAST_WEEK),
-        a.repos(spark, sf), empty, embedding.letters26, LAST_WEEK, n=TOP_CANDIDATES,
-    )
+    return index.read_index(spark, _last_week(spark, sf))
 
 
 @query
@@ -286,15 +312,27 @@ def embed_text(spark, sf):
 
 @query
 def encode(spark, sf):
-    texts = embedding.embed_text(a.repos(spark, sf))
+    texts = embedding.embed_text(a.documents(spark, sf))
     return a.by_dimension(embedding.encode(texts, embedding.letters26), "repo_id")
 
 
 @query
 def encode_hashing(spark, sf):
-    texts = embedding.embed_text(a.repos(spark, sf))
-    encoded = embedding.encode(texts, embedding.hashing_encoder(embedding.fit_hashing(texts)))
-    return encoded.select("repo_id", "full_name", "embedding")
+    """Hashed words of all documents, weighted by how few documents have them."""
+    texts = embedding.embed_text(a.documents(spark, sf))
+    encoded = embedding.encode(texts, embedding.md5_encoder(embedding.fit_md5(texts)))
+    return a.by_dimension(encoded, "repo_id").where("value <> 0")
+
+
+@query
+def encode_model(spark, sf):
+    """A user's model: here one that counts characters, words and lines."""
+
+    def load():
+        return lambda texts: [[len(t), len(t.split()), t.count("\n") + 1] for t in texts]
+
+    texts = embedding.embed_text(a.documents(spark, sf))
+    return a.by_dimension(embedding.encode(texts, embedding.model_encoder(load)), "repo_id")
 
 
 @query
@@ -308,7 +346,7 @@ def index_write(spark, sf):
     """Two weekly runs appended to one table and read back."""
     path = shared_folder(spark, "index")
     index.write_index(_last_week_index(spark, sf), path)
-    mart, repos = _wide_mart(spark, sf), a.repos(spark, sf)
+    mart, repos = _read_wide_mart(spark, sf), a.repos(spark, sf)
     rows = new_rows(
         mart, repos, index.read_index(spark, path), embedding.letters26, a.WIDE_AS_OF, n=TOP_CANDIDATES
     )
@@ -319,8 +357,7 @@ def index_write(spark, sf):
 @query
 def index_read(spark, sf):
     """An index of all documents, and one that was never written, read alike."""
-    path = shared_folder(spark, "index")
-    index.write_index(a.document_index(spark, sf), path)
+    path = a.written_index(spark, sf)
     missing = index.read_index(spark, shared_folder(spark, "missing"))
     found = embedding.index_append(index.read_index(spark, path), missing)
     return found.select("repo_id", "full_name", "language", "stars", F.size("embedding").alias("dims"))
@@ -332,38 +369,43 @@ def l2_normalize(spark, sf):
     return a.by_dimension(vectors, "repo_id")
 
 
+def _documents_index(spark: SparkSession, sf: str) -> DataFrame:
+    return index.read_index(spark, a.written_index(spark, sf))
+
+
 @query
 def semantic_search(spark, sf):
     vector = encode_query(spark, QUERY_TEXT, embedding.letters26)
-    found = search.semantic_search(a.document_index(spark, sf), vector)
+    found = search.semantic_search(_documents_index(spark, sf), vector)
     return found.withColumn("similarity", F.round("similarity", 6))
 
 
 @query
 def semantic_search_vectors(spark, sf):
-    found = search.semantic_search(a.vector_index(spark, sf), a.mean_vector(spark, sf))
+    vectors = spark.read.parquet(a.written_vectors(spark, sf))
+    found = search.semantic_search(vectors, a.mean_vector(spark, sf))
     return found.withColumn("similarity", F.round("similarity", 6))
 
 
 @query
 def semantic_search_batch(spark, sf):
-    found = search.semantic_search_batch(a.document_index(spark, sf), a.questions(spark, sf))
+    """Every benchmark text as a query, in several slices."""
+    found = search.semantic_search_batch(_documents_index(spark, sf), a.questions(spark, sf), slice_size=16)
     columns = ("query_id", "rank", "repo_id", "full_name", "language", "stars")
     return found.select(*columns, F.round("similarity", 6).alias("similarity"))
 
 
 @query
 def semantic_search_centroids(spark, sf):
-    found = search.semantic_search_batch(a.vector_index(spark, sf), a.centroids(spark, sf))
+    vectors = spark.read.parquet(a.written_vectors(spark, sf))
+    found = search.semantic_search_batch(vectors, a.centroids(spark, sf))
     return found.withColumn("similarity", F.round("similarity", 6))
 
 
 @query
 def search_display(spark, sf):
     vector = encode_query(spark, QUERY_TEXT, embedding.letters26)
-    texts = embedding.embed_text(a.repos(spark, sf))
-    indexed = embedding.index_rows(embedding.letters26(texts))
-    return search.search_display(search.semantic_search(indexed, vector))
+    return search.search_display(search.semantic_search(_documents_index(spark, sf), vector))
 
 
 # --- data checks -------------------------------------------------------------
@@ -449,7 +491,7 @@ def language_trends(spark, sf):
 
 @query
 def first_crossing(spark, sf):
-    return catalog.first_crossing(_mart(spark, sf), CROSSING)
+    return catalog.first_crossing(_read_mart(spark, sf), CROSSING)
 
 
 @query

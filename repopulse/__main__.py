@@ -9,17 +9,25 @@
     python -m repopulse check    --lake DIR --mart DIR
     python -m repopulse trending --mart DIR [--days 30]
     python -m repopulse fit      --repos DIR --model DIR
-    python -m repopulse embed    --mart DIR --repos DIR --index DIR [--model DIR] [--top 500]
-    python -m repopulse search   --index DIR [--model DIR] "what to look for"
+    python -m repopulse embed    --mart DIR --repos DIR --index DIR --model MODEL [--top 500]
+    python -m repopulse search   --index DIR --model MODEL "what to look for"
+
+MODEL is the folder that ``fit`` wrote, ``letters`` for letter counts, or
+``package.module:function`` for a model of one's own: the function returns one that maps
+a list of texts to vectors, and the executors can import it. Results are printed whole,
+tab-separated, a row at a time.
 """
 
 import argparse
+import sys
+from importlib import import_module
 
 from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame
 
 from .operators import analyses
 from .operators.catalog import top_pr_contributors
-from .operators.embedding import Encoder, embed_text, fit_hashing, hashing_encoder, letters26
+from .operators.embedding import Encoder, embed_text, fit_hashing, hashing_encoder, letters26, model_encoder
 from .operators.search import search_display
 from .operators.trends import WINDOWS, ranked_pivot, trending_window
 from .plans.embed import refresh_index, search_text
@@ -75,14 +83,27 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     jobs.choices["sql"].add_argument("statement")
     jobs.choices["trending"].add_argument("--days", type=int, choices=WINDOWS, default=30)
     jobs.choices["embed"].add_argument("--top", type=int, default=500)
-    jobs.choices["embed"].add_argument("--model")
-    jobs.choices["search"].add_argument("--model")
+    jobs.choices["embed"].add_argument("--model", required=True)
+    jobs.choices["search"].add_argument("--model", required=True)
     jobs.choices["search"].add_argument("text")
     return parser.parse_args(argv)
 
 
-def _encoder(model: str | None) -> Encoder:
-    return hashing_encoder(PipelineModel.load(model)) if model else letters26
+def _encoder(model: str) -> Encoder:
+    if model == "letters":
+        return letters26
+    module, colon, name = model.partition(":")
+    if colon and not name.startswith("/"):
+        return model_encoder(getattr(import_module(module), name))
+    return hashing_encoder(PipelineModel.load(model))
+
+
+def _print(df: DataFrame) -> None:
+    """Every row, fetched one partition at a time."""
+    print(*df.columns, sep="\t")
+    for row in df.toLocalIterator():
+        print(*("" if value is None else value for value in row), sep="\t")
+    sys.stdout.flush()
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -96,18 +117,18 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "stream":
         stream_ingest(spark, args.source, args.lake, args.checkpoint).awaitTermination()
     elif args.job == "report":
-        REPORTS[args.name](read_lake(spark, args.lake), args.year).show(50, truncate=False)
+        _print(REPORTS[args.name](read_lake(spark, args.lake), args.year))
     elif args.job == "sql":
         register_views(spark, args.lake, args.mart)
-        spark.sql(args.statement).show(1000, truncate=False)
+        _print(spark.sql(args.statement))
     elif args.job == "build":
         build_mart(spark, args.lake, args.mart)
     elif args.job == "check":
-        check_all(spark, args.lake, args.mart).show(truncate=False)
+        _print(check_all(spark, args.lake, args.mart))
     elif args.job == "trending":
         mart = read_mart(spark, args.mart)
-        trending_window(mart, days=args.days).show(50, truncate=False)
-        ranked_pivot(mart, days=args.days).show(max(WINDOWS) + 1)
+        _print(trending_window(mart, days=args.days))
+        _print(ranked_pivot(mart, days=args.days))
     elif args.job == "fit":
         repos = spark.read.schema(REPO).parquet(args.repos)
         fit_hashing(embed_text(repos)).write().overwrite().save(args.model)
@@ -117,7 +138,7 @@ def main(argv: list[str] | None = None) -> None:
         refresh_index(spark, mart, repos, args.index, encoder, n=args.top)
     elif args.job == "search":
         results = search_text(spark, read_index(spark, args.index), args.text, _encoder(args.model))
-        search_display(results).show(truncate=80)
+        _print(search_display(results))
 
 
 if __name__ == "__main__":

@@ -22,23 +22,36 @@ def letter_counts(column: str | Column) -> Column:
         import numpy as np
         import pyarrow as pa
 
-        texts = texts.cast(pa.large_binary())
-        counts = np.zeros((len(texts), 26), dtype="float32")
-        for row, text in enumerate(texts):
-            if text.is_valid:
-                octets = np.bincount(np.frombuffer(text.as_buffer(), dtype="uint8"), minlength=128)
-                counts[row] = octets[ord("a") : ord("z") + 1] + octets[ord("A") : ord("Z") + 1]
+        octets = texts.cast(pa.large_binary()).fill_null(b"")
+        ends = np.frombuffer(octets.buffers()[1], dtype="int64")[octets.offset :][: len(texts) + 1]
+        data = np.frombuffer(octets.buffers()[2] or b"", dtype="uint8")[ends[0] : ends[-1]]
+        letter = (data | 32) - ord("a")  # lower case; other bytes land beyond z
+        letter[data < ord("A")] = 255
+        rows = np.repeat(np.arange(len(texts)), np.diff(ends))
+        wanted = letter < 26
+        counts = np.bincount(rows[wanted] * 26 + letter[wanted], minlength=len(texts) * 26).astype("float32")
         offsets = pa.array(np.arange(0, counts.size + 1, 26, dtype="int32"))
         return pa.ListArray.from_arrays(offsets, pa.array(counts.ravel()), mask=texts.is_null())
 
     return count(column)
 
 
-def chunk_starts(length: Column, size: int, overlap: int) -> Column:
-    """1-based starts of windows of ``size`` that share ``overlap`` characters.
+def windows(column: str | Column, size: int, overlap: int) -> Column:
+    """Windows of ``size`` characters that share ``overlap``; the last one ends the text.
 
-    The last window is the first one that reaches the end of the text, so no
-    window lies wholly inside its predecessor.
+    The last window is the first one that reaches the end of the text, so no window lies
+    wholly inside its predecessor. ``substring`` would walk from the start of the text for
+    every window; a slice in an Arrow batch doesn't.
     """
-    last = F.greatest(length - F.lit(overlap), F.lit(1))
-    return F.sequence(F.lit(1), last, F.lit(size - overlap))
+
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def cut(texts):
+        import pyarrow as pa
+
+        step, found = size - overlap, []
+        for text in texts.to_pylist():
+            last = max(len(text or "") - overlap, 1)
+            found.append(None if text is None else [text[at : at + size] for at in range(0, last, step)])
+        return pa.array(found, pa.list_(pa.string()))
+
+    return cut(column)

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.events import is_pull_request, merge_rate, owner, top
-from ..functions.text import chunk_starts, missing_if_empty
+from ..functions.text import missing_if_empty, windows
 from .activity import PR_COUNTS
 
 
@@ -70,11 +70,7 @@ def text_chunks(texts: DataFrame, size: int = 1000, overlap: int = 200) -> DataF
     """
     if not 0 <= overlap < size:
         raise ValueError("overlap must be at least 0 and less than size")
-    text = F.col("text")
-    windows = F.transform(
-        chunk_starts(F.length(text), size, overlap), lambda start: F.substring(text, start, F.lit(size))
-    )
     others = [name for name in texts.columns if name != "text"]
-    return texts.where(F.length(text) > 0).select(
-        *others, F.posexplode(windows).alias("chunk_no", "text")
+    return texts.where(F.length("text") > 0).select(
+        *others, F.posexplode(windows("text", size, overlap)).alias("chunk_no", "text")
     )

@@ -5,6 +5,7 @@ candidates -> pending -> enriched -> text -> embedding -> appended to the index.
 
 from collections.abc import Callable, Iterator
 from datetime import date
+from math import log
 
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
@@ -21,10 +22,6 @@ from .trends import since
 
 Encoder = Callable[[DataFrame], DataFrame]
 
-# A side of at most this many rows of candidates is broadcast, about 10 MB of ids and
-# names. A larger one is left to Catalyst, which picks a shuffled join.
-BROADCAST_ROWS = 100_000
-
 # Vector length and batch size of the sentence encoder.
 DIMENSIONS = 384
 BATCH = 32
@@ -52,30 +49,26 @@ def one_name_each(candidates: DataFrame) -> DataFrame:
     )
 
 
-def _small(side: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(side) if rows <= BROADCAST_ROWS else side
-
-
-def embed_pending(candidates: DataFrame, index: DataFrame, n: int = 500) -> DataFrame:
-    """Candidates (at most ``n`` rows) whose repository is not in the index.
+def embed_pending(candidates: DataFrame, index: DataFrame) -> DataFrame:
+    """Candidates whose repository is not in the index.
 
     The index may be huge and the candidates are few, so the index is first cut to
-    the candidates' ids. Only those few ids meet the candidates again.
+    the candidates' ids. Only those few ids meet the candidates again. How the sides
+    meet is left to Spark, which sees their sizes.
     """
     ids = candidates.select("repo_id")
-    indexed = index.select("repo_id").join(_small(ids, n), "repo_id", "left_semi").distinct()
-    return candidates.join(_small(indexed, n), "repo_id", "left_anti")
+    indexed = index.select("repo_id").join(ids, "repo_id", "left_semi").distinct()
+    return candidates.join(indexed, "repo_id", "left_anti")
 
 
-def repo_enrich(pending: DataFrame, repos: DataFrame, n: int = 500) -> DataFrame:
-    """Description, language and lifetime stars of at most ``n`` pending repositories.
+def repo_enrich(pending: DataFrame, repos: DataFrame) -> DataFrame:
+    """Description, language and lifetime stars of the pending repositories.
 
     Repositories the dimension does not know drop out. ``stars`` is the dimension's
     lifetime count, not the window's sum.
     """
-    wanted = _small(pending.select("repo_id", "full_name"), n)
     known = repos.select("repo_id", "description", "language", "stars")
-    return known.join(wanted, "repo_id").select(
+    return known.join(pending.select("repo_id", "full_name"), "repo_id").select(
         "repo_id", "full_name", "description", "language", "stars"
     )
 
@@ -110,6 +103,60 @@ def fit_hashing(corpus: DataFrame, dimensions: int = DIMENSIONS) -> PipelineMode
     return Pipeline(stages=stages).fit(corpus.select("text"))
 
 
+def _md5_vectors(dimensions: int, weights: list[float] | None = None):
+    """A column function: how often words fall into each bucket, by the words' md5.
+
+    With ``weights`` the counts are multiplied by them and scaled to unit length.
+    Nested, so that executors need no copy of this package.
+    """
+
+    @F.arrow_udf(T.ArrayType(T.FloatType()))
+    def vectors(texts):
+        import re
+        from hashlib import md5
+
+        import numpy as np
+        import pyarrow as pa
+
+        words, bucket = re.compile(r"[a-z0-9_]+").findall, {}
+        counts = np.zeros((len(texts), dimensions))
+        for row, text in enumerate(texts.to_pylist()):
+            own = words((text or "").lower())
+            for word in set(own).difference(bucket):
+                bucket[word] = int.from_bytes(md5(word.encode()).digest()[:4], "big") % dimensions
+            if own:
+                counts[row] = np.bincount([bucket[word] for word in own], minlength=dimensions)
+            if len(bucket) > 500_000:
+                bucket.clear()
+        if weights is not None:
+            counts *= weights
+            norms = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
+            counts /= np.where(norms == 0, 1.0, norms)
+        offsets = pa.array(np.arange(0, counts.size + 1, dimensions, dtype="int32"))
+        return pa.ListArray.from_arrays(offsets, pa.array(counts.ravel().astype("float32")), mask=texts.is_null())
+
+    return vectors
+
+
+def fit_md5(corpus: DataFrame, dimensions: int = DIMENSIONS) -> list[float]:
+    """Inverse document frequency of each md5 bucket, from the ``text`` of a corpus.
+
+    Like ``fit_hashing``, but any engine that has md5 can compute the same vectors.
+    """
+    counts = corpus.select(F.posexplode(_md5_vectors(dimensions)("text")).alias("bucket", "n"))
+    found = dict.fromkeys(range(dimensions), 0)
+    for row in counts.where("n > 0").groupBy("bucket").agg(F.count("*").alias("documents")).collect():
+        found[row["bucket"]] = row["documents"]
+    total = corpus.count()
+    return [log((total + 1) / (found[bucket] + 1)) for bucket in range(dimensions)]
+
+
+def md5_encoder(weights: list[float]) -> Encoder:
+    """Encoder that applies the weights of ``fit_md5``: unit length, zero without words."""
+    vectors = _md5_vectors(len(weights), weights)
+    return lambda texts: texts.withColumn("embedding", vectors("text"))
+
+
 def hashing_encoder(model: PipelineModel) -> Encoder:
     """Encoder that applies a model of ``fit_hashing``."""
 
@@ -130,12 +177,14 @@ def model_encoder(load_model: Callable[[], Callable[[list[str]], list]], batch:
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def vectors(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import numpy as np
+
         model = load_model()
         for series in texts:
             rows = []
             for start in range(0, len(series), batch):
                 encoded = model(series.iloc[start : start + batch].tolist())
-                rows.extend([float(x) for x in vector] for vector in encoded)
+                rows.extend(np.asarray(encoded, dtype="float32"))
             yield pd.Series(rows, index=series.index, dtype=object)
 
     return lambda texts: texts.withColumn("embedding", vectors("text"))

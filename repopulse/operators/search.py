@@ -1,8 +1,9 @@
 """Exact cosine search over the index.
 
-The index stays distributed. Each task scores its rows in Arrow batches and keeps
-only its own best ``k`` per query, so no pair of query and row leaves a task
-unless it can still be a result. A final ranking merges the tasks' results.
+The index stays distributed. Each task scores its rows in Arrow batches and keeps only
+its own best ``k`` keys per query, so no pair of query and row leaves a task unless it
+can still be a result, and no text does at all: a final ranking merges the tasks' keys,
+and metadata joins the few rows that are left.
 """
 
 from collections.abc import Sequence
@@ -12,22 +13,39 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import missing_if_empty
+from ..session import shared_folder
 
-# Queries up to this count are sent to all tasks (25 MB at 384 float dimensions); more
-# are spread over blocks by a shuffle.
-BROADCAST_QUERIES = 16_384
-# Index rows per block on that second way.
-BLOCK_ROWS = 50_000
+# Queries sent to all tasks at a time (25 MB at 384 float dimensions). The index is
+# scanned once for each such slice and never shuffled.
+SLICE = 16_384
 # Queries scored at once, which bounds a task's score matrix.
-_QUERY_SLICE = 256
+_SCORED_AT_ONCE = 256
+# Groups that the tasks' results for a query are ranked in before they meet.
+_GROUPS = 64
 
 
-def _best_of_batch(key: str, k: int):
-    """A function (index batch, query ids, query matrix) -> the batch's best rows per query.
+def _scorer(ids, queries, k: int, key: str):
+    """A function for ``mapInArrow``: the best keys of a task's rows for every query.
 
     Built as a closure so that executors need no copy of this package.
     """
-    slice_size = _QUERY_SLICE
+    at_once = _SCORED_AT_ONCE
+    sent = (ids, queries)
+
+    def matrix_of(column, rows, width):
+        import pyarrow.compute as pc
+
+        if rows and pc.any(pc.not_equal(pc.list_value_length(column), width)).as_py():
+            raise ValueError(f"the index has vectors that are not of the query's length {width}")
+        return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(rows, width)
+
+    def lengths(matrix):
+        import numpy as np
+
+        # A zero vector is divided by 1 instead of its norm: similarity 0.
+        norms = np.sqrt((matrix * matrix).sum(axis=1))
+        norms[norms == 0] = 1.0
+        return norms
 
     def best(batch, ids, queries):
         import numpy as np
@@ -39,18 +57,13 @@ def _best_of_batch(key: str, k: int):
             return None
         # In key order, so that among equal scores the first rows are the right ones.
         batch = batch.take(pc.sort_indices(batch, sort_keys=[(key, "ascending")]))
-        values = batch.column("embedding").combine_chunks().flatten()
-        matrix = values.to_numpy(zero_copy_only=False).astype("float64").reshape(batch.num_rows, -1)
-        # A zero vector is divided by 1 instead of its norm: similarity 0.
-        norms = np.sqrt((matrix * matrix).sum(axis=1))
-        norms[norms == 0] = 1.0
+        matrix = matrix_of(batch.column("embedding"), batch.num_rows, queries.shape[1])
+        norms = lengths(matrix)
         keep = min(k, batch.num_rows)
         found = []
-        for start in range(0, len(ids), slice_size):
-            part = queries[start : start + slice_size].astype("float64")
-            lengths = np.sqrt((part * part).sum(axis=1))
-            lengths[lengths == 0] = 1.0
-            scores = (matrix @ part.T) / (norms[:, None] * lengths[None, :])
+        for start in range(0, len(ids), at_once):
+            part = queries[start : start + at_once].astype("float64")
+            scores = (matrix @ part.T) / (norms[:, None] * lengths(part)[None, :])
             # Equal vectors must score equally wherever they stand in the batch.
             scores = np.round(scores, 12)
             bar = np.partition(scores, batch.num_rows - keep, axis=0)[batch.num_rows - keep]
@@ -60,13 +73,10 @@ def _best_of_batch(key: str, k: int):
             row, query = np.nonzero(taken)
             found.append((row, query + start, scores[row, query]))
         row, query, score = (np.concatenate(parts) for parts in zip(*found))
-        result = pa.table({"query_id": ids.take(pa.array(query)), "similarity": score})
-        rest = batch.drop_columns(["embedding"]).take(pa.array(row))
-        for name in rest.schema.names:
-            result = result.append_column(name, rest.column(name))
-        return result
+        keys = batch.column(key).combine_chunks().take(pa.array(row))
+        return pa.table({"query_id": ids.take(pa.array(query)), key: keys, "similarity": score})
 
-    def cut(table, k):
+    def cut(table):
         """The first k rows of each query by similarity, then key."""
         import numpy as np
         import pyarrow as pa
@@ -78,114 +88,69 @@ def _best_of_batch(key: str, k: int):
         place = np.arange(1, table.num_rows + 1) - codes
         return table.filter(pa.array(place < k))
 
-    return best, cut
-
-
-def _result_schema(index: DataFrame, id_type: T.DataType) -> T.StructType:
-    rest = [field for field in index.schema.fields if field.name != "embedding"]
-    return T.StructType(
-        [T.StructField("query_id", id_type), T.StructField("similarity", T.DoubleType()), *rest]
-    )
-
-
-def _score_broadcast(index: DataFrame, ids, matrix, k: int, key: str, id_type) -> DataFrame:
-    """Best rows per task and query, with all queries at hand in every task."""
-    best, cut = _best_of_batch(key, k)
-    schema = _result_schema(index, id_type)
-    sent = index.sparkSession.sparkContext.broadcast((ids, matrix))
-
     def score(batches):
         import pyarrow as pa
 
-        ids, matrix = sent.value
         kept = None
         for batch in batches:
-            found = best(pa.Table.from_batches([batch]), ids, matrix)
+            found = best(pa.Table.from_batches([batch]), *sent)
             if found is not None:
-                kept = found if kept is None else cut(pa.concat_tables([kept, found]), k)
+                kept = found if kept is None else cut(pa.concat_tables([kept, found]))
         if kept is not None:
             yield from kept.combine_chunks().to_batches()
 
-    return index.mapInArrow(score, schema)
+    return score
 
 
-def _score_blocks(
-    index: DataFrame, queries: DataFrame, k: int, key: str, id_type, block_rows: int, block_queries: int
-) -> DataFrame:
-    """Best rows per block, for query sets too large to broadcast.
+def _slices(queries: DataFrame, size: int):
+    """(ids, matrix) of about ``size`` queries at a time, chosen by a hash of their id."""
+    import numpy as np
+
+    parts = max(1, -(-queries.count() // size))
+    for part in range(parts):
+        found = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(parts)) == part).toArrow()
+        vectors = found.column("embedding").combine_chunks()
+        matrix = np.asarray(vectors.flatten()).reshape(max(found.num_rows, 1), -1)
+        yield found.column("query_id").combine_chunks(), matrix
 
-    Rows and queries are hashed into blocks of bounded size by their unique keys,
-    and every block of rows meets every block of queries in one group.
-    """
-    best, _ = _best_of_batch(key, k)
-    row_blocks = max(1, -(-index.count() // block_rows))
-    query_blocks = max(1, -(-queries.count() // block_queries))
-
-    def each_block(blocks: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-
-    rows = index.withColumn("_row_block", F.pmod(F.xxhash64(key), F.lit(row_blocks)).cast("int"))
-    rows = rows.withColumn("_query_block", each_block(query_blocks))
-    asked = queries.select(
-        "query_id",
-        "embedding",
-        F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int").alias("_query_block"),
-    ).withColumn("_row_block", each_block(row_blocks))
-    blocks = ("_row_block", "_query_block")
-    schema = _result_schema(index, id_type)
-
-    def score(left, right):
-        import numpy as np
-        import pyarrow as pa
 
-        empty = {"query_id": right.schema.field("query_id").type, "similarity": pa.float64()}
-        names = [name for name in left.schema.names if name not in ("embedding", *blocks)]
-        found = None
-        if left.num_rows and right.num_rows:
-            vectors = right.column("embedding").combine_chunks()
-            matrix = np.asarray(vectors.flatten()).reshape(right.num_rows, -1)
-            ids = right.column("query_id").combine_chunks()
-            found = best(left.drop_columns(list(blocks)), ids, matrix)
-        if found is None:
-            fields = [pa.field(n, t) for n, t in empty.items()]
-            fields += [left.schema.field(name) for name in names]
-            return pa.schema(fields).empty_table()
-        return found
+def _ranked(found: DataFrame, k: int, key: str) -> DataFrame:
+    """The first ``k`` of each query, with their rank: within groups of tasks, then of all."""
 
-    grouped = rows.groupBy(*blocks).cogroup(asked.groupBy(*blocks))
-    return grouped.applyInArrow(score, schema)
+    def first(df: DataFrame, *group: str) -> DataFrame:
+        order = Window.partitionBy(*group).orderBy(F.desc("similarity"), key)
+        return df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+    grouped = found.withColumn("_group", F.pmod(F.spark_partition_id(), F.lit(_GROUPS)))
+    return first(first(grouped, "query_id", "_group").drop("rank", "_group"), "query_id")
 
 
 def semantic_search_batch(
-    index: DataFrame,
-    queries: DataFrame,
-    k: int = 10,
-    key: str = "repo_id",
-    max_broadcast: int = BROADCAST_QUERIES,
-    block_rows: int = BLOCK_ROWS,
+    index: DataFrame, queries: DataFrame, k: int = 10, key: str = "repo_id", slice_size: int = SLICE
 ) -> DataFrame:
     """query_id, rank, index metadata, similarity: the ``k`` best rows for every query.
 
-    ``queries`` has query_id (unique) and embedding. Starts a job that fetches the
-    queries, stopping one past ``max_broadcast``; if there are that many, none is
-    sent and both sides are shuffled into blocks instead.
+    ``queries`` has query_id (unique) and embedding; ``key`` is unique in the index.
+    Starts a job for each slice of queries, which scans the index once; what is left, k
+    keys for each query, is written to the shared folder and joined with the metadata.
+    Vectors of another length than the query's are an error.
     """
-    import numpy as np
-
+    spark = index.sparkSession
     queries = queries.select("query_id", "embedding").where(F.col("embedding").isNotNull())
-    id_type = queries.schema["query_id"].dataType
-    head = queries.limit(max_broadcast + 1).toArrow()
-    if head.num_rows <= max_broadcast:
-        vectors = head.column("embedding").combine_chunks()
-        matrix = np.asarray(vectors.flatten()).reshape(max(head.num_rows, 1), -1)
-        ids = head.column("query_id").combine_chunks()
-        found = _score_broadcast(index, ids, matrix, k, key, id_type)
-    else:
-        found = _score_blocks(index, queries, k, key, id_type, block_rows, max_broadcast)
-    best_first = Window.partitionBy("query_id").orderBy(F.desc("similarity"), key)
-    ranked = found.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= k)
+    schema = T.StructType(
+        [
+            queries.schema["query_id"],
+            index.schema[key],
+            T.StructField("similarity", T.DoubleType()),
+        ]
+    )
+    path = shared_folder(spark, "search")
+    for ids, matrix in _slices(queries, slice_size):
+        found = index.select(key, "embedding").mapInArrow(_scorer(ids, matrix, k, key), schema)
+        _ranked(found, k, key).write.mode("append").parquet(path)
+    ranked = spark.read.schema(schema.add("rank", T.IntegerType())).parquet(path)
     metadata = [name for name in index.columns if name != "embedding"]
-    return ranked.select("query_id", "rank", *metadata, "similarity")
+    return ranked.join(index.select(metadata), key).select("query_id", "rank", *metadata, "similarity")
 
 
 def semantic_search(
@@ -195,14 +160,9 @@ def semantic_search(
 
     Fewer rows if the index has fewer; none if it is empty.
     """
-    import numpy as np
-    import pyarrow as pa
-
-    ids = pa.array([0], pa.int64())
-    matrix = np.asarray([vector], dtype="float64")
-    found = _score_broadcast(index, ids, matrix, k, key, T.LongType())
-    metadata = [name for name in index.columns if name != "embedding"]
-    return found.select(*metadata, "similarity").orderBy(F.desc("similarity"), key).limit(k)
+    query = index.sparkSession.createDataFrame([(0, [float(x) for x in vector])], "query_id int, embedding array<double>")
+    found = semantic_search_batch(index, query, k, key)
+    return found.drop("query_id", "rank").orderBy(F.desc("similarity"), key).limit(k)
 
 
 def search_display(results: DataFrame) -> DataFrame:

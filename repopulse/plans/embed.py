@@ -15,6 +15,7 @@ from ..operators.embedding import (
     repo_enrich,
 )
 from ..operators.search import semantic_search
+from ..session import shared_folder
 from ..sources.index import read_index, write_index
 
 
@@ -22,9 +23,15 @@ def new_rows(
     mart: DataFrame, repos: DataFrame, index: DataFrame, encoder: Encoder,
     as_of: date | None = None, days: int = 30, n: int = 500,
 ) -> DataFrame:
-    """Index rows for the current candidates that the index lacks."""
-    pending = embed_pending(embed_candidates(mart, as_of, days, n), index, n)
-    enriched = repo_enrich(one_name_each(pending), repos, n)
+    """Index rows for the current candidates that the index lacks.
+
+    The candidates are ranked once: they are written, at most ``n`` rows, before the
+    index and the dimension are joined.
+    """
+    spark, path = mart.sparkSession, shared_folder(mart.sparkSession, "candidates")
+    embed_candidates(mart, as_of, days, n).write.parquet(path)
+    pending = embed_pending(spark.read.parquet(path), index)
+    enriched = repo_enrich(one_name_each(pending), repos)
     return index_rows(encode(embed_text(enriched), encoder))
 
 

@@ -1,13 +1,26 @@
 """The search index: repository metadata and its vector side by side in one table."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..schemas import INDEX
 from .tables import read_or_empty
 
 
 def write_index(index: DataFrame, path: str) -> None:
-    """Append rows; rows already indexed are never rewritten."""
+    """Append rows; rows already indexed are never rewritten.
+
+    All vectors of an index have one length: that of the rows already there, else that
+    of the first new row. A vector of another length fails the write.
+    """
+    spark = index.sparkSession
+    known = read_index(spark, path).where("embedding is not null").select(F.size("embedding")).first()
+    known = known or index.where("embedding is not null").select(F.size("embedding")).first()
+    size = F.size("embedding")
+    if known:
+        message = F.concat(F.lit(f"the index has vectors of {known[0]} elements, not of "), size.cast("string"))
+        wrong = F.col("embedding").isNotNull() & (size != known[0])
+        index = index.withColumn("embedding", F.when(wrong, F.raise_error(message)).otherwise(F.col("embedding")))
     index.to(INDEX).write.mode("append").option("compression", "snappy").parquet(path)
 
 

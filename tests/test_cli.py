@@ -4,14 +4,20 @@ import gzip
 import json
 from datetime import datetime, timedelta, timezone
 
+import pytest
+
 from repopulse.__main__ import main
 from repopulse.schemas import REPO
 
 
+def load_lengths():
+    return lambda texts: [[len(text), 1] for text in texts]
+
+
 def test_jobs(spark, tmp_path, folder, capsys):
     source = tmp_path / "archives"
     source.mkdir()
-    first = datetime.now(timezone.utc).replace(tzinfo=None, minute=0, second=0, microsecond=0) - timedelta(hours=9)
+    first = datetime.now(timezone.utc).replace(tzinfo=None, minute=0, second=0, microsecond=0) - timedelta(hours=8)
     for n in range(4):
         hour = first + timedelta(hours=n)
         events = [
@@ -35,7 +41,13 @@ def test_jobs(spark, tmp_path, folder, capsys):
     assert "o/r0" in capsys.readouterr().out
     main(["build", "--lake", lake, "--mart", mart])
     main(["check", "--lake", lake, "--mart", mart])
-    assert "false" not in capsys.readouterr().out
+    checked = [line.split("\t") for line in capsys.readouterr().out.splitlines()[1:]]
+    # No pull request was ever made: they are neither fresh nor there in any hour.
+    failed = {(check, column) for check, column, _, passed in checked if passed == "False"}
+    assert failed == {("freshness", "PullRequestEvent"), ("missing_hours", "PullRequestEvent")}
+    assert ("reconcile", "stars") in {(check, column) for check, column, *_ in checked}
+    main(["sql", "--lake", lake, "select explode(sequence(1, 1500)) as n"])
+    assert capsys.readouterr().out.splitlines()[-1] == "1500"
     main(["trending", "--mart", mart, "--days", "7"])
     assert "rank_1" in capsys.readouterr().out
     main(["fit", "--repos", repos, "--model", model])
@@ -44,5 +56,11 @@ def test_jobs(spark, tmp_path, folder, capsys):
     main(["search", "--index", index, "--model", model, "text number 2"])
     shown = capsys.readouterr().out
     assert all(f"o/r{n}" in shown for n in range(3))
+    own = folder("own")
+    main(["embed", "--mart", mart, "--repos", repos, "--index", own, "--model", "tests.test_cli:load_lengths"])
+    main(["search", "--index", own, "--model", "tests.test_cli:load_lengths", "text number 2"])
+    assert all(f"o/r{n}" in capsys.readouterr().out for n in (0,))
+    with pytest.raises(SystemExit):
+        main(["search", "--index", own, "text"])
     # Equal counts for all four hours: nothing was ingested twice.
     assert spark.read.parquet(lake).count() == 40

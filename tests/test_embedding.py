@@ -1,9 +1,12 @@
 from datetime import date
+from hashlib import md5
+from math import log
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.ml import PipelineModel
+from pyspark.sql import functions as F
 
 from repopulse.operators import embedding as emb
 from repopulse.operators.catalog import text_chunks
@@ -62,10 +65,29 @@ def test_refresh_appends_only_new_rows(spark, mart, repos, folder):
     assert sum(found[2].embedding) == 4  # "b/two": no description, so the name is encoded
 
 
-def test_large_candidate_sets_are_not_broadcast(mart, repos, monkeypatch):
-    monkeypatch.setattr(emb, "BROADCAST_ROWS", 1)
-    rows = new_rows(mart, repos, mart.sparkSession.createDataFrame([], INDEX), emb.letters26, AS_OF)
-    assert sorted(row.repo_id for row in rows.collect()) == [1, 2, 3]
+def test_no_side_of_unknown_size_is_broadcast(spark):
+    many = spark.range(5_000_000).select(
+        F.col("id").alias("repo_id"), F.lit("a/b").alias("full_name"), F.lit(1).cast("bigint").alias("stars")
+    )
+    repos = many.select("repo_id", F.lit("x").alias("description"), F.lit("go").alias("language"), "stars")
+    for df in (emb.embed_pending(many, many.select("repo_id")), emb.repo_enrich(many, repos)):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_md5_vectors(spark):
+    texts = spark.createDataFrame(
+        [(1, "One two, two"), (2, "two"), (3, ""), (4, None)], "repo_id bigint, text string"
+    )
+    weights = emb.fit_md5(texts, dimensions=16)
+    found = {row.repo_id: row.embedding for row in emb.md5_encoder(weights)(texts).collect()}
+    places = {word: int(md5(word.encode()).hexdigest()[:8], 16) % 16 for word in ("one", "two")}
+    assert places["one"] != places["two"]
+    one, two = log(5 / 2), 2 * log(5 / 3)
+    norm = (one * one + two * two) ** 0.5
+    assert found[1][places["one"]] == pytest.approx(one / norm)
+    assert found[1][places["two"]] == pytest.approx(two / norm)
+    assert found[2][places["two"]] == 1 and sum(found[2]) == 1
+    assert sum(found[3]) == 0 and found[4] is None
 
 
 def test_letters(spark):

@@ -16,7 +16,7 @@ from repopulse.sources.mart import read_mart, write_mart
 
 FOLDER = "/root/testdata/sf0.001"
 PYTHON = {"encode", "embed_pending", "repo_enrich", "embed_text", "index_append", "l2_normalize", "semantic_search", "semantic_search_batch", "semantic_search_centroids",
-          "semantic_search_vectors", "search_display"}
+          "semantic_search_vectors", "search_display", "encode_model", "text_chunks"}
 EAGER = {"lake_write", "lake_skip_existing", "lake_read", "backfill_range", "stream_ingest",
          "mart_write", "index_write", "index_read", "encode_hashing"}
 
@@ -101,6 +101,12 @@ def test_skipping_does_not_shuffle_events(spark, lake):
     assert "ReadSchema: struct<>" in text
 
 
-def test_pending_and_enrichment_broadcast_the_small_side(spark):
+def test_pending_and_enrichment_need_no_hint(spark):
     text = plan(QUERIES["repo_enrich"](spark, FOLDER))
+    # The candidates are a written table, so their size is known.
     assert "SortMergeJoin" not in text
+
+
+def test_registered_trends_prune_the_written_mart(spark):
+    for name in ("trending_window", "trend_series", "trend_pivot", "trend_pivot_names"):
+        assert re.search(r"PartitionFilters: \[.*event_date.*>= 2023-12-31", plan(QUERIES[name](spark, FOLDER)))

@@ -1,10 +1,13 @@
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.errors import PythonException, SparkRuntimeException
 from pyspark.sql import functions as F
 
 from repopulse.functions.vectors import unit
 from repopulse.operators import search
 from repopulse.schemas import INDEX
+from repopulse.sources.index import read_index, write_index
 
 
 def make_index(spark, vectors, ids=None):
@@ -71,29 +74,27 @@ def test_k_beyond_the_index_and_empty_index(spark):
     assert search.semantic_search_batch(index, queries.where("false")).count() == 0
 
 
-@pytest.mark.parametrize("max_broadcast", [4096, 16])
-def test_many_queries(spark, vectors, max_broadcast):
-    """Sent to all tasks, and beyond the bound shuffled into blocks: the same rows."""
-    asked = vectors[100:140] + 0.1
+@pytest.mark.parametrize("slice_size", [4096, 16, 1])
+def test_many_queries(spark, vectors, slice_size):
+    """However many slices they take: the same rows."""
+    asked = vectors[100 : 140 if slice_size > 1 else 104] + 0.1
     queries = make_queries(spark, asked)
     index = make_index(spark, vectors).repartition(5)
-    found = search.semantic_search_batch(
-        index, queries, k=7, max_broadcast=max_broadcast, block_rows=100
-    ).collect()
-    assert len(found) == 7 * 40
+    found = search.semantic_search_batch(index, queries, k=7, slice_size=slice_size).collect()
+    assert len(found) == 7 * len(asked)
     for number, query in enumerate(asked):
         rows = sorted((row for row in found if row.query_id == f"q{number:03}"), key=lambda row: row.rank)
         assert [row.rank for row in rows] == list(range(1, 8))
         check(rows, brute_force(vectors, query, 7))
 
 
-@pytest.mark.parametrize("max_broadcast", [4096, 2])
-def test_copies_tie_and_the_lowest_keys_win(spark, vectors, max_broadcast):
+@pytest.mark.parametrize("slice_size", [4096, 2])
+def test_copies_tie_and_the_lowest_keys_win(spark, vectors, slice_size):
     """A third of the index are copies of one vector."""
     many = np.concatenate([vectors, np.repeat(vectors[:1], 350, axis=0)])
     index = make_index(spark, many).repartition(6)
     queries = make_queries(spark, vectors[:5])
-    found = search.semantic_search_batch(index, queries, k=20, max_broadcast=max_broadcast, block_rows=200)
+    found = search.semantic_search_batch(index, queries, k=20, slice_size=slice_size)
     rows = sorted(found.where("query_id = 'q000'").collect(), key=lambda row: row.rank)
     assert [row.repo_id for row in rows] == [0, *range(700, 719)]
 
@@ -107,6 +108,26 @@ def test_numeric_query_ids_and_metadata(spark, vectors):
     assert {(row.query_id, row.repo_id) for row in found.collect()} == {(0, 0), (1, 1), (2, 2)}
 
 
+def test_mixed_lengths_are_an_error(spark, folder):
+    index = make_index(spark, [[1, 0], [0, 1], [1, 2, 3]])
+    with pytest.raises(PythonException, match="not of the query's length 2"):
+        search.semantic_search(index, [1.0, 0.0]).collect()
+    path = folder("index")
+    write_index(make_index(spark, [None, [1, 0]]), path)
+    with pytest.raises(SparkRuntimeException, match="vectors of 2 elements, not of 3"):
+        write_index(make_index(spark, [[1, 2, 3]], ids=[7]), path)
+    write_index(make_index(spark, [[0, 1]], ids=[8]), path)
+    assert read_index(spark, path).count() == 3
+
+
+def test_no_text_leaves_the_scoring(spark, vectors):
+    scored = search._scorer(pa.array([0]), np.ones((1, 2)), 1, "repo_id")
+    table = pa.table({"repo_id": [3, 4], "embedding": [[1.0, 0.0], [1.0, 1.0]]})
+    (best,) = scored(table.to_batches())
+    assert best.schema.names == ["query_id", "repo_id", "similarity"]
+    assert best.column("repo_id").to_pylist() == [4]
+
+
 def test_display_defaults(spark):
     columns = "full_name string, language string, stars bigint, similarity double, description string"
     rows = [("a/b", None, None, 0.12345, None), ("c/d", "", 5, 1.0, ""), ("e/f", "go", 7, 0.5, "x")]
