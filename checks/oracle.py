@@ -339,6 +339,7 @@ where event_type = 'WatchEvent' and year = '{YEAR}' group by utc_hour order by u
     ).format(columns=f"{_VELOCITY_COLUMNS}, min_daily_stars"),
     "trending_window": _trending(30),
     "trending_window_week": _trending(7),
+    "trending_window_today": _trending(30),
     "trend_series": f"{LEADERS} select event_date, repo_name, stars from series order by 1, 2",
     "trend_pivot": f"{LEADERS} select event_date, "
     + ", ".join(

@@ -251,6 +251,13 @@ def trending_window_week(spark, sf):
     return trends.trending_window(_read_mart(spark, sf), a.AS_OF, days=7)
 
 
+@query
+def trending_window_today(spark, sf):
+    """With the default date: the mart is moved so that it ends today."""
+    moved = F.date_add("event_date", F.date_diff(F.current_date(), F.lit(a.AS_OF)))
+    return trends.trending_window(_read_mart(spark, sf).withColumn("event_date", moved))
+
+
 @query
 def trend_series(spark, sf):
     return trends.trend_series(_read_mart(spark, sf), a.AS_OF)

@@ -1,8 +1,8 @@
 """Command line over the jobs in ``plans``.
 
     python -m repopulse ingest   --source DIR --lake DIR [--timestamp ISO]
-    python -m repopulse backfill --source DIR --lake DIR --start ISO --end ISO
-    python -m repopulse stream   --source DIR --lake DIR --checkpoint DIR
+    python -m repopulse backfill --source DIR --lake DIR --start ISO --end ISO [--once]
+    python -m repopulse stream   --source DIR --lake DIR --checkpoint DIR [--once]
     python -m repopulse report   --lake DIR --year 2026 star_velocity
     python -m repopulse sql      --lake DIR [--mart DIR] "select ... from raw ..."
     python -m repopulse build    --lake DIR --mart DIR
@@ -78,6 +78,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         for name in names:
             command.add_argument(f"--{name}", required=True)
     jobs.choices["ingest"].add_argument("--timestamp")
+    for job in ("backfill", "stream"):
+        jobs.choices[job].add_argument("--once", action="store_true")
     jobs.choices["report"].add_argument("name", choices=sorted(REPORTS))
     jobs.choices["sql"].add_argument("--mart")
     jobs.choices["sql"].add_argument("statement")
@@ -113,9 +115,9 @@ def main(argv: list[str] | None = None) -> None:
         print(ingest_hour(spark, args.source, resolve_hour(args.timestamp), args.lake))
     elif args.job == "backfill":
         start, end = resolve_hour(args.start), resolve_hour(args.end)
-        backfill(spark, args.source, args.lake, start, end)
+        backfill(spark, args.source, args.lake, start, end, args.once)
     elif args.job == "stream":
-        stream_ingest(spark, args.source, args.lake, args.checkpoint).awaitTermination()
+        stream_ingest(spark, args.source, args.lake, args.checkpoint, once=args.once).awaitTermination()
     elif args.job == "report":
         _print(REPORTS[args.name](read_lake(spark, args.lake), args.year))
     elif args.job == "sql":

@@ -109,5 +109,10 @@ def ingest_report(lines: DataFrame, types: tuple[str, ...] = KEPT_TYPES) -> Data
 
 
 def drop_repeated(events: DataFrame) -> DataFrame:
-    """One row per event id. Opt-in: the lake keeps repeated deliveries by default."""
-    return events.dropDuplicates(["id"])
+    """One row per event id and hour. Opt-in: the lake keeps repeated deliveries by default.
+
+    Within the hour, because an hour is what the lake replaces as a whole; rows without
+    an id are all kept.
+    """
+    known = events.where(F.col("id").isNotNull()).dropDuplicates(["id", "archive_hour"])
+    return known.unionByName(events.where(F.col("id").isNull()))

@@ -6,7 +6,14 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.events import moment
-from ..operators.ingest import flatten_events, keep_types, kept_events, parsed_line, report_counts
+from ..operators.ingest import (
+    drop_repeated,
+    flatten_events,
+    keep_types,
+    kept_events,
+    parsed_line,
+    report_counts,
+)
 from ..sources.archive import list_archives, read_lines
 from ..sources.lake import (
     ingested_hours,
@@ -18,9 +25,10 @@ from ..sources.lake import (
 )
 
 
-def flat_rows(lines: DataFrame) -> DataFrame:
-    """Lines to rows of the lake."""
-    return with_partitions(flatten_events(kept_events(lines)))
+def flat_rows(lines: DataFrame, once: bool = False) -> DataFrame:
+    """Lines to rows of the lake; ``once`` drops repeated deliveries of an event."""
+    events = flatten_events(kept_events(lines))
+    return with_partitions(drop_repeated(events) if once else events)
 
 
 def ingest_hour(spark: SparkSession, source: str, hour: datetime, lake: str) -> dict:
@@ -56,25 +64,30 @@ def months(start: datetime, end: datetime) -> list[tuple[datetime, datetime]]:
     return list(zip(cuts, cuts[1:]))
 
 
-def backfill(spark: SparkSession, source: str, lake: str, start: datetime, end: datetime) -> None:
+def backfill(
+    spark: SparkSession, source: str, lake: str, start: datetime, end: datetime, once: bool = False
+) -> None:
     """Ingest every archive from ``start`` up to and without ``end`` that wasn't before.
 
     A job and a commit for each month, so that years are published as they come and a
     lost job costs a month: each archive is a task. The driver handles the paths of the
     month's pending archives only. Hours without an archive are left out. Partitions that
     the lake has are kept, and the hours are recorded, so a rerun reads nothing.
+    ``once`` keeps one of several rows with an event id and hour.
     """
     for since, until in months(start, end):
         last = until - timedelta(hours=1)
         pending = pending_archives(spark, source, lake, since, last).collect()
         if pending:
-            raw = flat_rows(read_lines(spark, [row.path for row in pending]))
+            raw = flat_rows(read_lines(spark, [row.path for row in pending]), once)
             write_lake(skip_existing(raw, written_partitions(spark, lake, since, last)), lake)
             hours = [(row.hour,) for row in pending]
             record_hours(spark.createDataFrame(hours, "hour timestamp_ntz"), lake)
 
 
-def replace_hours(spark: SparkSession, source: str, arrived: DataFrame, lake: str) -> None:
+def replace_hours(
+    spark: SparkSession, source: str, arrived: DataFrame, lake: str, once: bool = False
+) -> None:
     """Ingest the hours that the files of ``arrived`` belong to, as they are now.
 
     An hour may be a folder of files that arrive one by one. Its partitions are replaced
@@ -85,5 +98,5 @@ def replace_hours(spark: SparkSession, source: str, arrived: DataFrame, lake: st
     if hours:
         touched = spark.createDataFrame([(hour,) for hour in hours], "hour timestamp_ntz")
         listed = list_archives(spark, source, min(hours), max(hours)).join(touched, "hour", "left_semi")
-        write_lake(flat_rows(read_lines(spark, [row.path for row in listed.collect()])), lake)
+        write_lake(flat_rows(read_lines(spark, [row.path for row in listed.collect()]), once), lake)
         record_hours(touched, lake)

@@ -8,18 +8,25 @@ from ..sources.archive import stream_lines
 
 
 def stream_ingest(
-    spark: SparkSession, source: str, lake: str, checkpoint: str, files_per_batch: int = 1000
+    spark: SparkSession,
+    source: str,
+    lake: str,
+    checkpoint: str,
+    files_per_batch: int = 1000,
+    once: bool = False,
 ) -> StreamingQuery:
     """Start ingesting the archives in ``source`` that were not ingested before, then stop.
 
     A micro-batch names the hours that files arrived for; the hours are then ingested
     anew from all their files. So the files of an hour may fall into several batches,
     and a batch that is repeated after a failure gives the same partitions. A file sink
-    would hide partitions written by ``backfill`` from readers; this does not.
+    would hide partitions written by ``backfill`` from readers; this does not. ``once``
+    drops repeated deliveries within an hour, in whichever file and batch they came; no
+    state is kept for that, as the hour is read whole.
     """
 
     def write(lines: DataFrame, _batch: int) -> None:
-        replace_hours(lines.sparkSession, source, lines, lake)
+        replace_hours(lines.sparkSession, source, lines, lake, once)
 
     return (
         stream_lines(spark, source, files_per_batch)

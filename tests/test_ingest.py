@@ -291,6 +291,20 @@ def test_drop_repeated(spark):
     assert rows.count() == 3 and ingest.drop_repeated(rows).count() == 2
 
 
+def test_repeated_deliveries_can_be_dropped(spark, tmp_path, folder):
+    inside = tmp_path / f"archive={HOUR:%Y-%m-%d}-{HOUR.hour}.json.gz"
+    inside.mkdir()
+    for n in range(3):
+        with gzip.open(inside / f"part-{n}.gz", "wt") as out:
+            out.write("\n".join([event(1), event(n), event(5, id=None)]) + "\n")
+    streamed, filled = folder("stream"), folder("batch")
+    stream_ingest(spark, str(tmp_path), streamed, folder("checkpoint"), 1, once=True).awaitTermination()
+    backfill(spark, str(tmp_path), filled, HOUR, HOUR + timedelta(hours=1), once=True)
+    for path in (streamed, filled):
+        ids = sorted(row.id or "" for row in lake.read_lake(spark, path).collect())
+        assert ids == ["", "", "", "0", "1", "2"]
+
+
 def test_session_zone_does_not_matter(spark, tmp_path, folder):
     for n in range(3):
         archive_file(tmp_path, HOUR + timedelta(hours=n), event(n))
