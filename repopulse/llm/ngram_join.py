@@ -9,10 +9,12 @@ sizes has one ``Scheme``: how many segments, and which of them get neighbourhood
 the choice of the lowest cost that still covers the largest distance in the band.
 
 Sets that share a signature are candidates, and candidates are verified on their whole
-sets. Equal sets are one node from the start. The members of a signature are first
-verified against one member, and components are contracted; only pairs of a signature
-that are still apart are then verified one by one. So a group of thousands of copies or
-near copies costs its size, and no link between different sets is lost.
+sets. Equal sets are one node from the start. What shared signatures connect is a
+family. Each member is first verified against one other, and linked ones are contracted.
+Families that are still in several parts are then verified whole, in blocks of bounded
+size: two blocks are one matrix product, and what leaves it is a spanning forest of the
+links. So no link between different sets is lost, copies and near copies cost their
+number, and pairs are never listed.
 """
 
 from collections.abc import Iterator
@@ -23,7 +25,7 @@ from math import comb, exp
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Remembered, materialised, mix
@@ -39,6 +41,10 @@ WEAK_COST = 1000.0
 #: Bound on the share of sets that must also use their weak signatures.
 RARE = 1e-4
 MOST_NEIGHBOURHOODS = 12
+#: A block of a family has about so many shingles and members at the most.
+BLOCK_SHINGLES, BLOCK_MEMBERS = 1 << 18, 512
+#: Shingles in the dense part of a block's matrix.
+SLICE = 4096
 
 
 @dataclass(frozen=True)
@@ -229,6 +235,73 @@ def similar_pairs(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int]
     return both.mapInArrow(partial(_verify, threshold), "a long, b long")
 
 
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all pairs of sets."""
+    row = np.repeat(np.arange(len(sets)), [len(own) for own in sets])
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    # Only shingles that two sets have matter, and a slice of them at a time is dense.
+    number = np.cumsum(times > 1) - 1
+    shared = times[column] > 1
+    row, column = row[shared], number[column[shared]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    found = np.zeros((len(sets), len(sets)), np.float32)
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, SLICE):
+        own = slice(*np.searchsorted(column, (start, start + SLICE)))
+        dense = np.zeros((len(sets), SLICE), np.float32)
+        dense[row[own], column[own] - start] = 1
+        found += dense @ dense.T
+    return found.astype(np.int64)
+
+
+def _blocks(threshold: tuple[int, int], key: tuple, table: pa.Table) -> pa.Table:
+    """For two blocks of a family: (node, a smaller node that links lead to)."""
+    part, whole = threshold
+    nodes = np.array(table.column("node").to_pylist())
+    order = np.argsort(nodes)
+    raw = table.column("shingles").to_pylist()
+    sets = [np.frombuffer(raw[i], np.uint64) for i in order]
+    nodes, size = nodes[order], np.array([len(own) for own in sets])
+    both = overlaps(sets)
+    linked = whole * both >= part * (size[:, None] + size[None, :] - both)
+    least = np.arange(len(nodes))
+    while True:
+        near = np.where(linked, least[None, :], len(nodes)).min(axis=1)
+        near = np.minimum(least, near)
+        near = near[near]
+        if (near == least).all():
+            break
+        least = near
+    moved = least < np.arange(len(nodes))
+    return pa.table({"a": pa.array(nodes[moved], pa.int64()), "b": pa.array(nodes[least[moved]], pa.int64())})
+
+
+def apart_in_families(members: DataFrame, sets: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
+    """Links (a, b) among ``members`` (node, size, family, root), but within a root.
+
+    A family is dealt into blocks of bounded size, and every two blocks that may hold a
+    link between two roots meet in a group of their own.
+    """
+    weight = F.col("size") + BLOCK_SHINGLES // BLOCK_MEMBERS
+    before = Window.partitionBy("family").orderBy("root", "size", "node")
+    block = F.floor((F.sum(weight).over(before) - weight) / BLOCK_SHINGLES).cast("int")
+    dealt = materialised(members.withColumn("block", block), "jaccard-blocks")
+    ends = dealt.groupBy("family", "block").agg(
+        *(f(name).alias(f"{f.__name__}_{name}") for f in (F.min, F.max) for name in ("root", "size"))
+    )
+    ends = materialised(ends, "jaccard-ends")
+    one = ends.select("family", *(F.col(name).alias(f"{name}_1") for name in ends.columns[1:]))
+    other = ends.select("family", *(F.col(name).alias(f"{name}_2") for name in ends.columns[1:]))
+    part, whole = threshold
+    one_root = "min_root_1 = max_root_2 and max_root_1 = min_root_2"
+    sizes = f"{part} * min_size_1 <= {whole} * max_size_2 and {part} * min_size_2 <= {whole} * max_size_1"
+    pairs = one.join(other, "family").where(f"block_1 <= block_2 and not ({one_root}) and {sizes}")
+    pairs = pairs.select("family", "block_1", "block_2", F.explode(F.array_distinct(F.array("block_1", "block_2"))).alias("block"))
+    met = pairs.join(dealt.select("family", "block", "node"), ["family", "block"]).join(sets, "node")
+    groups = met.select("family", "block_1", "block_2", "node", "shingles").groupBy("family", "block_1", "block_2")
+    return groups.applyInArrow(lambda key, table: _blocks(threshold, key, table), "a long, b long")
+
+
 def components(links: DataFrame, label: str) -> DataFrame:
     """(node, root) for the nodes of ``links`` (a, b); the root is the smallest node reached.
 
@@ -288,23 +361,27 @@ def jaccard_components(
     sets = texts.mapInArrow(_sets, "node long, shingles binary").dropDuplicates(["node"])
     sets = materialised(sets, "jaccard-sets")
 
-    # Round one: each member against the least of its signature.
-    stars = shared.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
-    links = materialised(similar_pairs(stars, sets, threshold), "jaccard-links")
-    roots = components(links, "jaccard")
-
-    # Round two: pairs of a signature that are in different components.
-    grown = shared.join(roots, "node", "left").select("signature", "node", F.coalesce("root", "node").alias("root"))
-    grown = materialised(grown, "jaccard-grown")
-    apart = grown.groupBy("signature").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    apart = materialised(apart.where("low < high"), "jaccard-apart")
-    apart = materialised(grown.join(apart, "signature").select("signature", "node", "root"), "jaccard-apart")
-    one = apart.select("signature", F.col("node").alias("a"), F.col("root").alias("root_a"))
-    other = apart.select("signature", F.col("node").alias("b"), F.col("root").alias("root_b"))
-    left = one.join(other, "signature").where("a < b and root_a <> root_b").select("a", "b").distinct()
-    more = similar_pairs(left, sets, threshold)
+    # A family is what shared signatures connect: all candidates lie within one.
+    stars = shared.where("node <> least").groupBy("node", "least").agg(F.count("*").alias("times"))
+    stars = materialised(stars, "jaccard-stars")
+    families = components(stars.select(F.col("least").alias("a"), F.col("node").alias("b")), "jaccard-families")
+
+    # Round one: each member against the one it most often meets as the least.
+    often = F.max_by("least", F.struct("times", -F.col("least"))).alias("a")
+    leading = stars.groupBy(F.col("node").alias("b")).agg(often)
+    links = materialised(similar_pairs(leading.select("a", "b"), sets, threshold), "jaccard-links")
+    roots = components(links, "jaccard-first")
+
+    # Round two: what is still apart in a family, each with all others.
+    sizes = sets.select("node", (F.octet_length("shingles") / 8).cast("long").alias("size"))
+    members = families.select("node", F.col("root").alias("family")).join(sizes, "node").join(roots, "node", "left")
+    members = members.select("node", "size", "family", F.coalesce("root", "node").alias("root"))
+    members = materialised(members, "jaccard-members")
+    divided = members.groupBy("family").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    divided = materialised(divided.where("low < high").select("family"), "jaccard-divided")
+    more = apart_in_families(members.join(divided, "family"), sets, threshold)
     merged = materialised(links.union(more), "jaccard-links")
-    roots = components(merged, "jaccard")
+    roots = components(merged, "jaccard-all")
 
     # From nodes back to documents.
     classes = indexed.groupBy("node").agg(F.min("doc_id").alias("least"))
