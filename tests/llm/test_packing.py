@@ -1,0 +1,96 @@
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from repopulse.llm import packing
+from repopulse.llm.queries import QUERIES
+
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+ODD = [None, "", " ", "don't DON'T I'll 'S a''s", "STRAẞE İĳ ŉ ǅ ΑΣ Σ", "<|endoftext|>x<|startoftext|> <|no|>", "a\x1cb\x85c\xa0d",
+       "e\u0301 é “q”—z 日本語\U0001f600", "12 3,4.5 __a_b", "word " * 6000, "x" * 4000, "\x00 \t\r\n\x0b\x0c"]
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(WORDS)
+
+
+def test_ids_are_the_librarys(tokenizer):
+    words = packing.WordIds(WORDS)
+    rng = np.random.default_rng(5)
+    letters = [chr(c) for c in range(0x20, 0x250)] + list("'sd\u0301’日\n\t ")
+    texts = [text or "" for text in ODD] + ["".join(rng.choice(letters, rng.integers(1, 50))) for _ in range(500)]
+    for text in texts:
+        assert words.text(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def check_pieces(rows, expected, length):
+    """Every id is in one piece, every sequence is gapless, and nothing is padded."""
+    documents, sequences = defaultdict(list), defaultdict(list)
+    for row in rows:
+        documents[row.doc_id].append(row)
+        sequences[row.sequence_id].append(row)
+    assert Counter(documents.keys()) == Counter(expected.keys())
+    for doc_id, ids in expected.items():
+        at = 0
+        for row in sorted(documents[doc_id], key=lambda row: row.start):
+            own = np.array(ids[at : at + row.length], "<u4")
+            assert row.start == at and row.doc_tokens == len(ids) and row.ids_crc32 == zlib.crc32(own.tobytes())
+            at += row.length
+        assert at == len(ids)
+    for pieces in sequences.values():
+        at = 0
+        for row in sorted(pieces, key=lambda row: row.offset):
+            assert row.offset == at
+            at += row.length
+        assert at <= length and (at == length or at & (at - 1) == 0)
+
+
+@pytest.mark.parametrize("length", [2048, 16])
+def test_odd_texts(spark, tokenizer, length):
+    rows = [(n, text, 9, 9) for n, text in enumerate(ODD)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, length int, ids int")
+    expected = {n: tokenizer.encode(t or "", add_special_tokens=False).ids + [1] for n, t in enumerate(ODD)}
+    found = packing.pack(docs, WORDS, length=length).collect()
+    check_pieces(found, expected, length)
+    for row in found:
+        assert row.ids == expected[row.doc_id][row.start : row.start + row.length]
+
+
+def test_the_query(spark, tokenizer):
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    expected = {d.doc_id: tokenizer.encode(d.text, add_special_tokens=False).ids + [1] for d in docs}
+    check_pieces(QUERIES["op2_packing"](spark, folder).collect(), expected, 2048)
+
+
+def test_repeated_and_null_ids_and_empty_table(spark):
+    docs = spark.createDataFrame([(1, "a b")] * 3 + [(None, "c"), (None, None)], "doc_id long, text string")
+    found = packing.pack(docs, WORDS, with_ids=False).collect()
+    assert sum(row.length for row in found if row.doc_id == 1) == 9
+    assert sum(row.length for row in found if row.doc_id is None) == 3
+    assert packing.pack(docs.where("false"), WORDS).count() == 0
+
+
+def test_the_curve_fills_space_in_steps_of_one():
+    grid = np.stack(np.meshgrid(*[np.arange(8)] * 3), axis=-1).reshape(-1, 3)
+    place = packing.hilbert(grid, 3)
+    assert sorted(place) == list(range(512))
+    assert (np.abs(np.diff(grid[np.argsort(place)], axis=0)).sum(axis=1) == 1).all()
+
+
+def test_like_documents_are_neighbours():
+    rng = np.random.default_rng(1)
+    topics = [rng.integers(0, 40_000, 60) for _ in range(2)]
+    keys = packing.curve_key([rng.choice(topics[n % 2], 800) for n in range(200)])
+    order = np.argsort(keys)
+    assert (np.diff(order % 2) != 0).sum() < 20
+
+
+def test_tail_lengths():
+    assert packing.tail_lengths(5000, 2048) == [2048, 2048, 512, 256, 128, 8]
+    assert packing.tail_lengths(0, 16) == []

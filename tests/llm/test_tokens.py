@@ -1,0 +1,121 @@
+"""Token counts, encoding and decoding against the libraries on whole texts."""
+
+import public_tokenizers
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from repopulse.llm import sentencepieces, tokens
+from repopulse.llm.tokens import Distinct
+
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+TEXTS = [
+    None, "", " ", "   ", "a", "  two  spaces ", "line\nline\n\n", "\ttab\r\n", "Ünïcödé straße", "日本語 \U0001f600",
+    "<s>not special</s> <unk> <0x0A>", "x" * 5000, "ab " * 3000, "nul\x00byte", "a<|endoftext|>b", "don't DON'T 1234",
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    # Repeated rows, null and repeated ids, and columns with the names of results.
+    rows = [(n, text, -1, "x") for n, text in enumerate(TEXTS)] + [(None, "no id", -1, "x"), (3, "   ", -1, "x")]
+    return spark.createDataFrame(rows, "doc_id long, text string, n_tokens int, n_bytes string")
+
+
+def library(path):
+    if path == PIECES:
+        return sentencepiece.SentencePieceProcessor(model_file=path).encode
+    return lambda text: Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("path", [PIECES, WORDS, public_tokenizers.path("byte_bpe_50k.json")])
+def test_counts_are_the_librarys(docs, path):
+    encode = library(path)
+    found = tokens.count_tokens(docs, path, limit=100).collect()
+    assert len(found) == len(TEXTS) + 2
+    for row in found:
+        text = row.text or ""
+        assert row.n_tokens == len(encode(text)) and row.n_bytes == len(text.encode())
+        assert row.over_limit == (row.n_tokens > 100)
+
+
+def test_a_model_whose_pieces_cross_words_is_not_cut(tmp_path):
+    from sentencepiece import sentencepiece_model_pb2
+
+    model = sentencepiece_model_pb2.ModelProto()
+    model.ParseFromString(open(PIECES, "rb").read())
+    model.pieces[5000].piece = "of▁the"
+    path = tmp_path / "crossing.model"
+    path.write_bytes(model.SerializeToString())
+    table = tokens.PieceTable(str(path))
+    assert not table.cuts and table.split("one of the two") == ["one of the two"]
+    whole = sentencepiece.SentencePieceProcessor(model_file=str(path))
+    assert table.counts(["one of the two"]) == [len(whole.encode("one of the two"))]
+
+
+def test_distinct_values_are_computed_once_and_forgotten():
+    asked = []
+
+    def values(keys):
+        asked.extend(keys)
+        return [key.upper() for key in keys]
+
+    distinct = Distinct(values, size=3)
+    assert distinct.table("abcab")["a"] == "A" and sorted(asked) == ["a", "b", "c"]
+    distinct.table("de")
+    distinct.table("a")  # from the older half
+    assert sorted(asked) == ["a", "b", "c", "d", "e"]
+    for letter in "fghijklm":
+        distinct.table(letter)
+    assert len(distinct.young) + len(distinct.old) <= 10
+
+
+def test_an_empty_table(docs):
+    empty = docs.where("false")
+    assert tokens.count_tokens(empty, PIECES).count() == 0
+    assert sentencepieces.verify(empty, PIECES).count() == 0
+    assert sentencepieces.decode(sentencepieces.encode(empty, PIECES), PIECES).count() == 0
+
+
+def test_ids_are_the_librarys_and_decode_to_the_text(docs):
+    encoded = sentencepieces.encode(docs, PIECES)
+    rows = encoded.collect()
+    ids = {row.doc_id: row.ids for row in rows}
+    encode = library(PIECES)
+    for number, text in enumerate(TEXTS):
+        assert ids[number] == encode(text or "")
+    assert all(row.parity for row in rows)
+    back = {row.doc_id: row.text for row in sentencepieces.decode(encoded, PIECES).collect()}
+    assert all(back[number] == (text or "") for number, text in enumerate(TEXTS))
+    checked = sentencepieces.verify(docs, PIECES).collect()
+    assert all(row.parity and row.round_trip and row.n_ids == len(ids[row.doc_id]) for row in checked)
+
+
+def test_null_ids_decode_to_nothing(spark):
+    rows = spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>")
+    assert [row.text for row in sentencepieces.decode(rows, PIECES).collect()] == ["", ""]
+
+
+def test_a_unigram_model_is_rebuilt(tmp_path):
+    from sentencepiece import sentencepiece_model_pb2
+
+    model = sentencepiece_model_pb2.ModelProto()
+    kinds = model.SentencePiece
+    plain = ["▁", "a", "b", "ab", "▁ab", "▁a", "ba", "▁abba"]
+    for piece, score, kind in [("<unk>", 0, kinds.UNKNOWN), ("<s>", 0, kinds.CONTROL), ("</s>", 0, kinds.CONTROL)] + [
+        (piece, -2.0 - 0.3 * n, kinds.NORMAL) for n, piece in enumerate(plain)
+    ]:
+        model.pieces.add(piece=piece, score=score, type=kind)
+    model.trainer_spec.model_type = model.trainer_spec.UNIGRAM
+    model.normalizer_spec.add_dummy_prefix = True
+    model.normalizer_spec.remove_extra_whitespaces = False
+    model.normalizer_spec.escape_whitespaces = True
+    path = tmp_path / "unigram.model"
+    path.write_bytes(model.SerializeToString())
+    codec = sentencepieces.Codec(str(path), 1)
+    texts = ["abba ab", "a b ab ba", "bbb", "", "abab abba"]
+    ids = codec.encode(texts)
+    assert all(codec.parity(texts, ids)) and codec.decode([own.tolist() for own in ids]) == texts
+    counted = tokens.PieceTable(str(path))
+    assert not counted.cuts and counted.counts(["abba ab"]) == [len(ids[0])]
