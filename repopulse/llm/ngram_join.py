@@ -357,19 +357,24 @@ def jaccard_components(
     wanted = shared.select("node").distinct()
     chosen = indexed.join(wanted, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     chosen = materialised(chosen.where("doc_id is not null"), "jaccard-chosen")
-    texts = chosen.join(rows, "doc_id").select("node", "text")
+    # By shuffle at any size: how many sets share a signature isn't bounded.
+    texts = rows.join(chosen.hint("merge"), "doc_id").select("node", "text")
     sets = texts.mapInArrow(_sets, "node long, shingles binary").dropDuplicates(["node"])
     sets = materialised(sets, "jaccard-sets")
 
-    # A family is what shared signatures connect: all candidates lie within one.
+    # A family is what shared signatures connect: all candidates lie within one. A member
+    # is linked to the smallest it met as the least, and so are the others it met.
     stars = shared.where("node <> least").groupBy("node", "least").agg(F.count("*").alias("times"))
     stars = materialised(stars, "jaccard-stars")
-    families = components(stars.select(F.col("least").alias("a"), F.col("node").alias("b")), "jaccard-families")
+    often = F.max_by("least", F.struct("times", -F.col("least"))).alias("often")
+    met = materialised(stars.groupBy("node").agg(F.min("least").alias("first"), often), "jaccard-met")
+    others = stars.join(met, "node").where("least <> first").select(F.col("first").alias("a"), F.col("least").alias("b"))
+    chains = met.select(F.col("first").alias("a"), F.col("node").alias("b")).union(others.distinct())
+    families = components(chains, "jaccard-families")
 
     # Round one: each member against the one it most often meets as the least.
-    often = F.max_by("least", F.struct("times", -F.col("least"))).alias("a")
-    leading = stars.groupBy(F.col("node").alias("b")).agg(often)
-    links = materialised(similar_pairs(leading.select("a", "b"), sets, threshold), "jaccard-links")
+    leading = met.select(F.col("often").alias("a"), F.col("node").alias("b"))
+    links = materialised(similar_pairs(leading, sets, threshold), "jaccard-links")
     roots = components(links, "jaccard-first")
 
     # Round two: what is still apart in a family, each with all others.
