@@ -15,6 +15,9 @@ from repopulse.llm import ngram_join, packing, quality, rules
 from repopulse.llm.common import materialised, ship
 from repopulse.llm.queries import PIECES, WORDS, fold
 
+#: Near copies share this much (part, whole) of their shingles of so many words.
+NEAR, SHINGLE = (80, 100), 5
+
 
 def stage(function):
     """Sees to it that the executors have the package, however the stage is called."""
@@ -49,10 +52,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal or similar documents, and those without words.
 
+    Similar is what shares four fifths of its five-word shingles.
     Rows are numbered in a written table, so that repeated and null ids are told apart.
     """
     numbered = materialised(docs.withColumn("__row", F.monotonically_increasing_id()), "pipeline-rows")
-    groups = ngram_join.jaccard_components(numbered, doc_id="__row")
+    groups = ngram_join.jaccard_components(numbered, NEAR, doc_id="__row", shingle=SHINGLE)
     first = groups.where("doc_id = component_id").select(F.col("doc_id").alias("__row"))
     return numbered.join(first, "__row", "left_semi").select(docs.columns)
 

@@ -36,6 +36,9 @@ THRESHOLD = (90, 100)
 BAND = 1.25
 #: Signatures of fewer shingles are weak: unrelated sets share them by chance.
 STRONG = 3
+#: Where the threshold leaves a segment fewer shingles than this, two are strong already:
+#: with three, large sets could never spare their weak signatures.
+DENSE = 6
 #: Cost of a weak segment, in signatures.
 WEAK_COST = 1000.0
 #: Bound on the share of sets that must also use their weak signatures.
@@ -81,6 +84,8 @@ class Schemes:
     def __init__(self, threshold: tuple[int, int] = THRESHOLD):
         self.part, self.whole = threshold
         self.uppers = [1]
+        room = (self.whole + self.part) / (2 * max(self.whole - self.part, 1))
+        self.strong = STRONG if room >= DENSE else STRONG - 1
 
     def upper(self, band: int) -> int:
         """Largest size in the band."""
@@ -110,13 +115,13 @@ class Schemes:
         """
         upper = self.upper(band)
         lower = (self.upper(band - 1) if band else 0) + 1
-        size, needed = (lower + upper) / 2, self.distance(2 * upper) + 1
+        size, needed = (lower + upper) / 2 if self.strong == STRONG else lower, self.distance(2 * upper) + 1
         options = []
         for neighbourhoods in range(min(needed, MOST_NEIGHBOURHOODS) + 1):
             slack = 0
             while slack <= needed // 2 + 8:
                 segments = max(1, needed + slack - neighbourhoods, neighbourhoods)
-                weak = _below(size, segments, STRONG)
+                weak = _below(size, segments, self.strong)
                 spare = _spare(segments, weak)
                 unmet = 0 if spare <= slack else segments * weak
                 cost = segments + neighbourhoods * size / segments + WEAK_COST * unmet
@@ -127,7 +132,14 @@ class Schemes:
         return min(options, key=lambda option: option[0])[1]
 
     def signatures(self, shingles: np.ndarray) -> np.ndarray:
-        """64-bit signatures of a set of hashed shingles, for all its bands.
+        """64-bit signatures of a set of hashed shingles, for all its bands."""
+        return np.unique(np.concatenate(self.by_band(shingles)))
+
+    def by_band(self, shingles: np.ndarray) -> list[np.ndarray]:
+        """The signatures for the set's own band, and those for the next if it takes part.
+
+        Two sets of one band meet in it, so of those that share a signature one at least
+        has the signature's band for its own.
 
         A signature hashes scheme, segment and the sum of its shingles' hashes, so a
         deletion is a subtraction. Weak signatures are left out if what is left still
@@ -146,14 +158,15 @@ class Schemes:
             starts = np.cumsum(count) - count
             sums[filled] = np.add.reduceat(value, starts[filled])
             first = scheme.segments - scheme.neighbourhoods
-            dropped = int((count[:first] < STRONG).sum() + 2 * (count[first:] <= STRONG).sum())
-            least = STRONG if dropped <= scheme.slack else 0
+            dropped = int((count[:first] < self.strong).sum() + 2 * (count[first:] <= self.strong).sum())
+            least = self.strong if dropped <= scheme.slack else 0
             segment = np.arange(scheme.segments)
             keep = count >= least
-            found.append(self._hash(scheme, segment[keep], sums[keep]))
+            plain = self._hash(scheme, segment[keep], sums[keep])
             inside = (place >= first) & (count[place] - 1 >= least)
-            found.append(self._hash(scheme, place[inside], sums[place[inside]] - value[inside]))
-        return np.unique(np.concatenate(found))
+            deleted = self._hash(scheme, place[inside], sums[place[inside]] - value[inside])
+            found.append(np.unique(np.concatenate([plain, deleted])))
+        return found
 
     @staticmethod
     def _hash(scheme: Scheme, segment: np.ndarray, sums: np.ndarray) -> np.ndarray:
@@ -164,13 +177,13 @@ def _word(word: bytes) -> int:
     return xxhash.xxh3_64_intdigest(word)
 
 
-def shingle_set(text: str | None, words: Remembered) -> np.ndarray:
-    """Sorted distinct hashes of the shingles of a text, A-Z in lower case."""
+def shingle_set(text: str | None, words: Remembered, shingle: int = SHINGLE) -> np.ndarray:
+    """Sorted distinct hashes of the shingles of a text, so many words each, A-Z in lower case."""
     own = (text or "").encode().lower().split()  # white space of bytes: \\x20 and \\x09-\\x0D
     if not own:
         return np.zeros(0, np.uint64)
     hashes = np.fromiter(words.all(own), np.uint64, len(own))
-    width = min(SHINGLE, len(own))
+    width = min(shingle, len(own))
     total = mix(np.full(len(own) - width + 1, width), 7)
     for k in range(width):
         total = mix(total ^ hashes[k : len(own) - width + 1 + k], 8)
@@ -182,34 +195,36 @@ def fingerprint(shingles: np.ndarray) -> int:
     return int(mix(shingles, 9).sum(dtype=np.uint64).view(np.int64)) if len(shingles) else 0
 
 
-def _index(threshold: tuple[int, int], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _index(threshold: tuple[int, int], shingle: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Size, fingerprint and signatures of each document; signatures once for each set."""
     schemes, words, seen = Schemes(threshold), Remembered(_word), set()
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
-            sizes, prints, signatures = [], [], []
+            sizes, prints, own, next_ = [], [], [], []
             for text in part.column(1).to_pylist():
-                shingles = shingle_set(text, words)
+                shingles = shingle_set(text, words, shingle)
                 sizes.append(len(shingles))
                 prints.append(fingerprint(shingles))
                 new = len(shingles) and prints[-1] not in seen
-                signatures.append(schemes.signatures(shingles).view(np.int64) if new else None)
+                bands = [found.view(np.int64) for found in schemes.by_band(shingles)] if new else []
+                own.append(bands[0] if bands else None)
+                next_.append(bands[1] if bands[1:] else None)
                 if len(seen) >= 1_000_000:
                     seen.clear()
                 seen.add(prints[-1])
             columns = [part.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.int64())]
-            columns.append(pa.array(signatures, pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "node", "signatures"])
+            columns += [pa.array(found, pa.list_(pa.int64())) for found in (own, next_)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "node", "own", "next"])
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(shingle: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sets of the nodes' texts; a text that has another set under the same id is left out."""
     words = Remembered(_word)
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             nodes, texts = (batch.column(i).slice(at, 256).to_pylist() for i in (0, 1))
-            sets = [(node, shingle_set(text, words)) for node, text in zip(nodes, texts)]
+            sets = [(node, shingle_set(text, words, shingle)) for node, text in zip(nodes, texts)]
             sets = [(node, own.tobytes()) for node, own in sets if fingerprint(own) == node]
             columns = [pa.array([node for node, _ in sets], pa.int64()), pa.array([own for _, own in sets], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["node", "shingles"])
@@ -326,13 +341,17 @@ def components(links: DataFrame, label: str) -> DataFrame:
 
 
 def jaccard_components(
-    docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    threshold: tuple[int, int] = THRESHOLD,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    shingle: int = SHINGLE,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of ``docs``.
 
     Words are cut at ASCII white space, A-Z in lower case; a set holds the distinct
-    three-word shingles, or the whole sequence of fewer words. Two documents link if
-    intersection and union of their sets are at least as ``threshold``, (part, whole).
+    shingles of ``shingle`` words, or the whole sequence of fewer words. Two documents link
+    if intersection and union of their sets are at least as ``threshold``, (part, whole).
     ``component_id`` is the smallest id that links lead to, the document's own included.
 
     Null texts and texts without words have no shingles, link with nothing and are
@@ -343,14 +362,15 @@ def jaccard_components(
     of their shingles.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    schema = "doc_id long, n_shingles long, node long, signatures array<long>"
-    indexed = materialised(rows.mapInArrow(partial(_index, threshold), schema), "jaccard")
-
-    # Members of signatures that several nodes share.
-    by_signature = indexed.where("signatures is not null").select("node", F.explode("signatures").alias("signature"))
-    spread = by_signature.repartition("signature")
-    ends = spread.groupBy("signature").agg(F.min("node").alias("least"), F.max("node").alias("most"))
-    shared = spread.join(ends.where("least < most"), "signature").select("signature", "node", "least").distinct()
+    schema = "doc_id long, n_shingles long, node long, own array<long>, next array<long>"
+    indexed = materialised(rows.mapInArrow(partial(_index, threshold, shingle), schema), "jaccard")
+
+    # Members of signatures that several nodes share, one at least for its own band.
+    bands = F.explode(F.array(*(F.struct(F.lit(name == "own").alias("own"), F.col(name).alias("found")) for name in ("own", "next"))))
+    by_band = indexed.where("own is not null").select("node", bands.alias("band")).select("node", "band.own", "band.found")
+    spread = by_band.select("node", "own", F.explode("found").alias("signature")).repartition("signature")
+    ends = spread.groupBy("signature").agg(F.min("node").alias("least"), F.max("node").alias("most"), F.max("own").alias("met"))
+    shared = spread.join(ends.where("least < most and met"), "signature").select("signature", "node", "least").distinct()
     shared = materialised(shared, "jaccard-shared")
 
     # Their sets: one text for each node.
@@ -359,7 +379,7 @@ def jaccard_components(
     chosen = materialised(chosen.where("doc_id is not null"), "jaccard-chosen")
     # By shuffle at any size: how many sets share a signature isn't bounded.
     texts = rows.join(chosen.hint("merge"), "doc_id").select("node", "text")
-    sets = texts.mapInArrow(_sets, "node long, shingles binary").dropDuplicates(["node"])
+    sets = texts.mapInArrow(partial(_sets, shingle), "node long, shingles binary").dropDuplicates(["node"])
     sets = materialised(sets, "jaccard-sets")
 
     # A family is what shared signatures connect: all candidates lie within one. A member
