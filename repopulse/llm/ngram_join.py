@@ -365,12 +365,17 @@ def jaccard_components(
     schema = "doc_id long, n_shingles long, node long, own array<long>, next array<long>"
     indexed = materialised(rows.mapInArrow(partial(_index, threshold, shingle), schema), "jaccard")
 
-    # Members of signatures that several nodes share, one at least for its own band.
-    bands = F.explode(F.array(*(F.struct(F.lit(name == "own").alias("own"), F.col(name).alias("found")) for name in ("own", "next"))))
-    by_band = indexed.where("own is not null").select("node", bands.alias("band")).select("node", "band.own", "band.found")
-    spread = by_band.select("node", "own", F.explode("found").alias("signature")).repartition("signature")
-    ends = spread.groupBy("signature").agg(F.min("node").alias("least"), F.max("node").alias("most"), F.max("own").alias("met"))
-    shared = spread.join(ends.where("least < most and met"), "signature").select("signature", "node", "least").distinct()
+    # Members of signatures that several nodes share. Below a dense threshold many sets use
+    # weak signatures in the next band; there one member at least must be in its own.
+    loose = Schemes(threshold).strong < STRONG
+    bands = F.array(*(F.struct(F.lit(name == "own").alias("own"), F.col(name).alias("found")) for name in ("own", "next")))
+    by_band = indexed.where("own is not null").select("node", F.explode(bands).alias("band"))
+    role = ["band.own"] if loose else []
+    spread = by_band.select("node", *role, F.explode("band.found").alias("signature")).repartition("signature")
+    met = [F.max("own").alias("met")] if loose else []
+    ends = spread.groupBy("signature").agg(F.min("node").alias("least"), F.max("node").alias("most"), *met)
+    several = ends.where("least < most and met" if loose else "least < most")
+    shared = spread.join(several, "signature").select("signature", "node", "least").distinct()
     shared = materialised(shared, "jaccard-shared")
 
     # Their sets: one text for each node.
