@@ -50,6 +50,22 @@ def materialised(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until no column of ``df`` is called so."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes the folder of a ``materialised`` table that no later table is read from."""
+    spark = df.sparkSession
+    for folder in {str(Path(file).parent) for file in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder.replace("file:/", "file:///", 1))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def mix(values: np.ndarray, seed: int = 0) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
     x = values.astype(np.uint64) + np.uint64((0x9E3779B97F4A7C15 * (seed + 1)) & MASK)

@@ -8,13 +8,13 @@ a plain segment can absorb no difference, a neighbourhood absorbs one. A band of
 sizes has one ``Scheme``: how many segments, and which of them get neighbourhoods, is
 the choice of the lowest cost that still covers the largest distance in the band.
 
-Sets that share a signature are candidates, and candidates are verified on their whole
-sets. Equal sets are one node from the start. What shared signatures connect is a
-family. Each member is first verified against one other, and linked ones are contracted.
-Families that are still in several parts are then verified whole, in blocks of bounded
-size: two blocks are one matrix product, and what leaves it is a spanning forest of the
-links. So no link between different sets is lost, copies and near copies cost their
-number, and pairs are never listed.
+Sets that share a signature are candidates, unless their sizes or odd sketches show that
+they differ in too many shingles. Equal sets are one node from the start. What the
+candidates connect is a family. Each member is first verified on whole sets against one
+other, and linked ones are contracted. Families that are still in several parts are then
+verified whole, in blocks of bounded size: two blocks are one matrix product, and what
+leaves it is a spanning forest of the links. So no link between different sets is lost,
+copies and near copies cost their number, and pairs are never listed.
 """
 
 from collections.abc import Iterator
@@ -25,10 +25,11 @@ from math import comb, exp
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Remembered, materialised, mix
+from .common import Remembered, discard, materialised, mix
+from .sketches import near_members, odd_sketch
 
 SHINGLE = 3
 THRESHOLD = (90, 100)
@@ -196,26 +197,25 @@ def fingerprint(shingles: np.ndarray) -> int:
 
 
 def _index(threshold: tuple[int, int], shingle: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Size, fingerprint and signatures of each document; signatures once for each set."""
+    """Size, fingerprint, sketch and signatures of each document, the last two once for each set."""
     schemes, words, seen = Schemes(threshold), Remembered(_word), set()
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
-            sizes, prints, own, next_ = [], [], [], []
-            for text in part.column(1).to_pylist():
+            sizes, prints, sketches, found = [], [], [], []
+            for text in part.column(2).to_pylist():
                 shingles = shingle_set(text, words, shingle)
                 sizes.append(len(shingles))
                 prints.append(fingerprint(shingles))
                 new = len(shingles) and prints[-1] not in seen
-                bands = [found.view(np.int64) for found in schemes.by_band(shingles)] if new else []
-                own.append(bands[0] if bands else None)
-                next_.append(bands[1] if bands[1:] else None)
+                sketches.append(odd_sketch(shingles) if new else None)
+                found.append(schemes.signatures(shingles).view(np.int64) if new else None)
                 if len(seen) >= 1_000_000:
                     seen.clear()
                 seen.add(prints[-1])
-            columns = [part.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.int64())]
-            columns += [pa.array(found, pa.list_(pa.int64())) for found in (own, next_)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "node", "own", "next"])
+            columns = [part.column(0), part.column(1), pa.array(sizes, pa.int64()), pa.array(prints, pa.int64())]
+            columns += [pa.array(sketches, pa.binary()), pa.array(found, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "n_shingles", "node", "sketch", "found"])
 
 
 def _sets(shingle: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,13 +294,20 @@ def _blocks(threshold: tuple[int, int], key: tuple, table: pa.Table) -> pa.Table
 def apart_in_families(members: DataFrame, sets: DataFrame, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     """Links (a, b) among ``members`` (node, size, family, root), but within a root.
 
-    A family is dealt into blocks of bounded size, and every two blocks that may hold a
-    link between two roots meet in a group of their own.
+    A family is dealt into blocks of bounded size: a large root has blocks of its own, the
+    others share theirs. Every two blocks that may hold a link between two roots meet in a
+    group of their own. Sums by family and root are combined before they are shuffled.
     """
     weight = F.col("size") + BLOCK_SHINGLES // BLOCK_MEMBERS
-    before = Window.partitionBy("family").orderBy("root", "size", "node")
-    block = F.floor((F.sum(weight).over(before) - weight) / BLOCK_SHINGLES).cast("int")
-    dealt = materialised(members.withColumn("block", block), "jaccard-blocks")
+    weights = materialised(members.groupBy("family", "root").agg(F.sum(weight).alias("weight")), "jaccard-weights")
+    large = F.col("weight") >= BLOCK_SHINGLES
+    rest = weights.where(~large).groupBy("family").agg(F.sum("weight").alias("rest"))
+    room = F.when(large, F.col("weight")).otherwise(F.col("rest")) / BLOCK_SHINGLES
+    plan = weights.join(rest, "family", "left").select("family", "root", large.alias("large"), F.ceil(room).alias("blocks"))
+    number = F.pmod(F.xxhash64(F.when(F.col("large"), F.col("node")).otherwise(F.col("root"))), "blocks")
+    block = F.xxhash64(F.when(F.col("large"), F.col("root")), number)
+    dealt = members.join(plan, ["family", "root"]).withColumn("block", block)
+    dealt = materialised(dealt.select("family", "root", "size", "node", "block"), "jaccard-blocks")
     ends = dealt.groupBy("family", "block").agg(
         *(f(name).alias(f"{f.__name__}_{name}") for f in (F.min, F.max) for name in ("root", "size"))
     )
@@ -356,68 +363,87 @@ def jaccard_components(
 
     Null texts and texts without words have no shingles, link with nothing and are
     their own component. Repeated rows and repeated ids are separate documents. A row
-    with a null id is in the component of the sets that equal its own, null if no other
-    id is there, and links nothing else. An empty table gives an empty one. Other
-    columns aren't read, so their names can't clash. Sets are compared by 64-bit hashes
-    of their shingles.
+    with a null id links like any other, but names no component: that has a null id if
+    all its rows do. An empty table gives an empty one. Other columns aren't read, so
+    their names can't clash. Sets are compared by 64-bit hashes of their shingles.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    schema = "doc_id long, n_shingles long, node long, own array<long>, next array<long>"
-    indexed = materialised(rows.mapInArrow(partial(_index, threshold, shingle), schema), "jaccard")
-
-    # Members of signatures that several nodes share. Below a dense threshold many sets use
-    # weak signatures in the next band; there one member at least must be in its own.
-    loose = Schemes(threshold).strong < STRONG
-    bands = F.array(*(F.struct(F.lit(name == "own").alias("own"), F.col(name).alias("found")) for name in ("own", "next")))
-    by_band = indexed.where("own is not null").select("node", F.explode(bands).alias("band"))
-    role = ["band.own"] if loose else []
-    spread = by_band.select("node", *role, F.explode("band.found").alias("signature")).repartition("signature")
-    met = [F.max("own").alias("met")] if loose else []
-    ends = spread.groupBy("signature").agg(F.min("node").alias("least"), F.max("node").alias("most"), *met)
-    several = ends.where("least < most and met" if loose else "least < most")
-    shared = spread.join(several, "signature").select("signature", "node", "least").distinct()
-    shared = materialised(shared, "jaccard-shared")
-
-    # Their sets: one text for each node.
-    wanted = shared.select("node").distinct()
-    chosen = indexed.join(wanted, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    chosen = materialised(chosen.where("doc_id is not null"), "jaccard-chosen")
-    # By shuffle at any size: how many sets share a signature isn't bounded.
-    texts = rows.join(chosen.hint("merge"), "doc_id").select("node", "text")
-    sets = texts.mapInArrow(partial(_sets, shingle), "node long, shingles binary").dropDuplicates(["node"])
-    sets = materialised(sets, "jaccard-sets")
-
-    # A family is what shared signatures connect: all candidates lie within one. A member
-    # is linked to the smallest it met as the least, and so are the others it met.
-    stars = shared.where("node <> least").groupBy("node", "least").agg(F.count("*").alias("times"))
-    stars = materialised(stars, "jaccard-stars")
-    often = F.max_by("least", F.struct("times", -F.col("least"))).alias("often")
-    met = materialised(stars.groupBy("node").agg(F.min("least").alias("first"), often), "jaccard-met")
-    others = stars.join(met, "node").where("least <> first").select(F.col("first").alias("a"), F.col("least").alias("b"))
-    chains = met.select(F.col("first").alias("a"), F.col("node").alias("b")).union(others.distinct())
-    families = components(chains, "jaccard-families")
-
-    # Round one: each member against the one it most often meets as the least.
-    leading = met.select(F.col("often").alias("a"), F.col("node").alias("b"))
-    links = materialised(similar_pairs(leading, sets, threshold), "jaccard-links")
-    roots = components(links, "jaccard-first")
+    rows = rows.withColumn("key", F.xxhash64("text"))
+    schema = "doc_id long, key long, n_shingles long, node long, sketch binary, found array<long>"
+    read = rows.select("doc_id", "key", "text").mapInArrow(partial(_index, threshold, shingle), schema)
+    full = materialised(read, "jaccard")
+    indexed = materialised(full.select("doc_id", "key", "n_shingles", "node"), "jaccard-documents")
+    spread = full.where("found is not null").select(F.explode("found").alias("signature"), "node")
+    shared = shared_signatures(spread, "jaccard")
+    sketched = full.where("sketch is not null").select("node", F.col("n_shingles").alias("size"), "sketch")
+    nodes = materialised(sketched.join(shared.select("node").distinct(), "node").dropDuplicates(["node"]), "jaccard-nodes")
+    discard(full)
+    roots = linked(indexed, rows, shared, nodes, threshold, shingle, "jaccard")
+    return name_components(indexed, roots, "jaccard")
+
+
+def shared_signatures(spread: DataFrame, label: str) -> DataFrame:
+    """Distinct rows (signature, node) of the signatures that several nodes have."""
+    spread = spread.repartition("signature")
+    ends = spread.groupBy("signature").agg(F.min("node").alias("least"), F.max("node").alias("most"))
+    several = ends.where("least < most").select("signature")
+    return materialised(spread.join(several, "signature").distinct(), f"{label}-shared")
+
+
+def linked(
+    indexed: DataFrame,
+    rows: DataFrame,
+    shared: DataFrame,
+    nodes: DataFrame,
+    threshold: tuple[int, int],
+    shingle: int,
+    label: str,
+) -> DataFrame:
+    """(node, root) of the nodes that have links: verified ones, between all that share a signature.
+
+    ``indexed`` (doc_id, key, node) and ``rows`` (doc_id, key, text) are the documents,
+    ``shared`` the members of signatures, ``nodes`` (node, size, sketch) theirs.
+    """
+    near = near_members(shared, nodes, threshold, label)
+    stars = materialised(near.groupBy("node", "first").agg(F.count("*").alias("times")), f"{label}-stars")
+
+    # The sets of nodes that are near to others: of one text for each.
+    wanted = stars.select("node").union(stars.select("first")).distinct()
+    one = F.min(F.struct("key", "doc_id")).alias("one")
+    chosen = indexed.join(wanted, "node").groupBy("node").agg(one).select("node", "one.*")
+    chosen = materialised(chosen.withColumnRenamed("doc_id", "id"), f"{label}-chosen")
+    # Spark broadcasts the chosen keys below its threshold and shuffles above it.
+    texts = rows.join(chosen, (rows.key == chosen.key) & rows.doc_id.eqNullSafe(chosen.id)).select("node", "text")
+    texts = texts.groupBy("node").agg(F.first("text").alias("text"))
+    sets = materialised(texts.mapInArrow(partial(_sets, shingle), "node long, shingles binary"), f"{label}-sets")
+
+    # A family is what candidates connect. Its members lead to the one they meet most often.
+    families = components(stars.select(F.col("first").alias("a"), F.col("node").alias("b")), f"{label}-families")
+    often = F.max_by("first", F.struct("times", -F.col("first"))).alias("a")
+    leading = stars.groupBy(F.col("node").alias("b")).agg(often).select("a", "b")
+
+    # Round one: each member against the one it is near to in most signatures.
+    links = materialised(similar_pairs(leading, sets, threshold), f"{label}-links")
+    roots = components(links, f"{label}-first")
 
     # Round two: what is still apart in a family, each with all others.
     sizes = sets.select("node", (F.octet_length("shingles") / 8).cast("long").alias("size"))
     members = families.select("node", F.col("root").alias("family")).join(sizes, "node").join(roots, "node", "left")
     members = members.select("node", "size", "family", F.coalesce("root", "node").alias("root"))
-    members = materialised(members, "jaccard-members")
+    members = materialised(members, f"{label}-members")
     divided = members.groupBy("family").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    divided = materialised(divided.where("low < high").select("family"), "jaccard-divided")
+    divided = materialised(divided.where("low < high").select("family"), f"{label}-divided")
     more = apart_in_families(members.join(divided, "family"), sets, threshold)
-    merged = materialised(links.union(more), "jaccard-links")
-    roots = components(merged, "jaccard-all")
+    merged = materialised(links.union(more), f"{label}-links")
+    return components(merged, f"{label}-all")
+
 
-    # From nodes back to documents.
+def name_components(indexed: DataFrame, roots: DataFrame, label: str) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of the documents ``indexed``, from the roots of their nodes."""
     classes = indexed.groupBy("node").agg(F.min("doc_id").alias("least"))
     classes = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    classes = materialised(classes, "jaccard-classes")
+    classes = materialised(classes, f"{label}-classes")
     lowest = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = materialised(classes.join(lowest, "root").select("node", "component_id"), "jaccard-named")
+    named = materialised(classes.join(lowest, "root").select("node", "component_id"), f"{label}-named")
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return indexed.join(named, "node").select("doc_id", "n_shingles", own.alias("component_id"))
