@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repopulse.llm import ngram_join, packing, quality, rules
-from repopulse.llm.common import materialised, ship
+from repopulse.llm.common import free_name, materialised, ship
 from repopulse.llm.queries import PIECES, WORDS, fold
 
 #: Near copies share this much (part, whole) of their shingles of so many words.
@@ -34,7 +34,11 @@ def stage(function):
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier takes for quality 1.
 
-    It learns from the labels of two folds out of three; the third stays held out.
+    It learns from the labels of two folds out of three; the third stays held out. Rows are
+    judged alone and keep all their columns, whatever these are called: repeated rows get
+    equal verdicts, ids and languages may be null. Null and empty texts have a score like
+    any text. Without labels every score is one half, and all rows stay; an empty table
+    gives an empty one.
     """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(fold(3) != 1)
     model = quality.fit(docs, labels)
@@ -43,27 +47,46 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 @stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and lie within the fertility bands."""
-    judged = rules.judge_quality(docs.select("*", F.struct("*").alias("__all")), PIECES, carry=["__all"])
-    return judged.where("kept").select("__all.*")
+    """Documents that pass the base rules and lie within the fertility bands.
+
+    Null, empty and short texts fail; long ones are measured whole. Rows are judged alone,
+    against bands that repeated rows count in as often as they occur; a null language is a
+    language of its own. All columns come back as they were, whatever they are called; an
+    empty table gives an empty one.
+    """
+    judged = rules.judge_quality(docs.select("text", "lang", F.struct("*").alias("row")), PIECES, carry=["row"])
+    return judged.where("kept").select("row.*")
 
 
 @stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal or similar documents, and those without words.
 
-    Similar is what shares four fifths of its five-word shingles.
-    Rows are numbered in a written table, so that repeated and null ids are told apart.
+    Similar is what shares four fifths of its five-word shingles. The row that stays is
+    the one of the smallest doc_id (null ids come last), then of the smallest hash of its
+    text; of rows that agree in both, any one. Null and empty texts and texts of white
+    space resemble nothing and stay. Rows are numbered in a written table, under a name
+    that ``docs`` doesn't have, so repeated and null ids are told apart; an empty table
+    gives an empty one.
     """
-    numbered = materialised(docs.withColumn("__row", F.monotonically_increasing_id()), "pipeline-rows")
-    groups = ngram_join.jaccard_components(numbered, NEAR, doc_id="__row", shingle=SHINGLE)
-    first = groups.where("doc_id = component_id").select(F.col("doc_id").alias("__row"))
-    return numbered.join(first, "__row", "left_semi").select(docs.columns)
+    row = free_name(docs, "row")
+    numbered = materialised(docs.withColumn(row, F.monotonically_increasing_id()), "pipeline-rows")
+    groups = ngram_join.jaccard_components(numbered, NEAR, doc_id=row, shingle=SHINGLE)
+    groups = groups.select(F.col("doc_id").alias(row), F.col("component_id").alias("of"))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("text"), row)
+    first = numbered.select(row, order.alias("order")).join(groups, row).groupBy("of").agg(F.min("order").alias("order"))
+    return numbered.join(first.select(F.col(f"order.{row}").alias(row)), row, "left_semi").select(docs.columns)
 
 
 @stage
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the sequences that hold the documents left, along the curve."""
+    """Pieces of the sequences that hold the documents left, along the curve.
+
+    A null or empty text is its end token alone, a long one is cut over sequences. Each
+    row is a document of its own, also where ids repeat or are null; equal places on the
+    curve have one order. Only doc_id and text are read, so other columns can't clash; an
+    empty table gives an empty one.
+    """
     return packing.pack(docs, WORDS, with_ids=False)
 
 
