@@ -17,7 +17,7 @@ leaves it is a spanning forest of the links. So no link between different sets i
 copies and near copies cost their number, and pairs are never listed.
 """
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache, partial
 from math import comb, exp
@@ -196,9 +196,9 @@ def fingerprint(shingles: np.ndarray) -> int:
     return int(mix(shingles, 9).sum(dtype=np.uint64).view(np.int64)) if len(shingles) else 0
 
 
-def _index(threshold: tuple[int, int], shingle: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _index(signer: Callable, shingle: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Size, fingerprint, sketch and signatures of each document, the last two once for each set."""
-    schemes, words, seen = Schemes(threshold), Remembered(_word), set()
+    signatures, words, seen = signer(), Remembered(_word), set()
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
@@ -209,7 +209,7 @@ def _index(threshold: tuple[int, int], shingle: int, batches: Iterator[pa.Record
                 prints.append(fingerprint(shingles))
                 new = len(shingles) and prints[-1] not in seen
                 sketches.append(odd_sketch(shingles) if new else None)
-                found.append(schemes.signatures(shingles).view(np.int64) if new else None)
+                found.append(signatures(shingles).view(np.int64) if new else None)
                 if len(seen) >= 1_000_000:
                     seen.clear()
                 seen.add(prints[-1])
@@ -367,19 +367,55 @@ def jaccard_components(
     all its rows do. An empty table gives an empty one. Other columns aren't read, so
     their names can't clash. Sets are compared by 64-bit hashes of their shingles.
     """
+    return keyed_components(docs, threshold, doc_id, text, shingle).drop("key", "root")
+
+
+def keyed_components(
+    docs: DataFrame,
+    threshold: tuple[int, int] = THRESHOLD,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    shingle: int = SHINGLE,
+) -> DataFrame:
+    """``jaccard_components`` with ``key``, the hash of a row's text, and ``root``.
+
+    All rows of a component have one root, and no other component has it, also where ids
+    are null or repeated.
+    """
+    return components_by(partial(_signer, threshold), docs, threshold, doc_id, text, shingle, "jaccard")
+
+
+def _signer(threshold: tuple[int, int]) -> Callable[[np.ndarray], np.ndarray]:
+    return Schemes(threshold).signatures
+
+
+def components_by(
+    signer: Callable[[], Callable[[np.ndarray], np.ndarray]],
+    docs: DataFrame,
+    threshold: tuple[int, int],
+    doc_id: str,
+    text: str,
+    shingle: int,
+    label: str,
+) -> DataFrame:
+    """``keyed_components`` with candidates that share a signature of any kind.
+
+    ``signer()`` is called once in a task and gives the function from a set of hashed
+    shingles to its signatures.
+    """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows = rows.withColumn("key", F.xxhash64("text"))
     schema = "doc_id long, key long, n_shingles long, node long, sketch binary, found array<long>"
-    read = rows.select("doc_id", "key", "text").mapInArrow(partial(_index, threshold, shingle), schema)
-    full = materialised(read, "jaccard")
-    indexed = materialised(full.select("doc_id", "key", "n_shingles", "node"), "jaccard-documents")
+    full = materialised(rows.select("doc_id", "key", "text").mapInArrow(partial(_index, signer, shingle), schema), label)
+    indexed = materialised(full.select("doc_id", "key", "n_shingles", "node"), f"{label}-documents")
     spread = full.where("found is not null").select(F.explode("found").alias("signature"), "node")
-    shared = shared_signatures(spread, "jaccard")
+    shared = shared_signatures(spread, label)
     sketched = full.where("sketch is not null").select("node", F.col("n_shingles").alias("size"), "sketch")
-    nodes = materialised(sketched.join(shared.select("node").distinct(), "node").dropDuplicates(["node"]), "jaccard-nodes")
+    wanted = shared.select("node").distinct()
+    nodes = materialised(sketched.join(wanted, "node").dropDuplicates(["node"]), f"{label}-nodes")
     discard(full)
-    roots = linked(indexed, rows, shared, nodes, threshold, shingle, "jaccard")
-    return name_components(indexed, roots, "jaccard")
+    roots = linked(indexed, rows, shared, nodes, threshold, shingle, label)
+    return name_components(indexed, roots, label)
 
 
 def shared_signatures(spread: DataFrame, label: str) -> DataFrame:
@@ -439,11 +475,11 @@ def linked(
 
 
 def name_components(indexed: DataFrame, roots: DataFrame, label: str) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of the documents ``indexed``, from the roots of their nodes."""
+    """(doc_id, key, n_shingles, component_id, root) of the documents ``indexed``, from the roots of their nodes."""
     classes = indexed.groupBy("node").agg(F.min("doc_id").alias("least"))
     classes = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     classes = materialised(classes, f"{label}-classes")
     lowest = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = materialised(classes.join(lowest, "root").select("node", "component_id"), f"{label}-named")
+    named = materialised(classes.join(lowest, "root").select("node", "root", "component_id"), f"{label}-named")
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return indexed.join(named, "node").select("doc_id", "n_shingles", own.alias("component_id"))
+    return indexed.join(named, "node").select("doc_id", "key", "n_shingles", own.alias("component_id"), "root")

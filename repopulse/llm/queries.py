@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import ngram_join, packing, pitman_yor, preferences, quality, rules, sentencepieces, tokens, topk, urls
+from . import alignment, minhash, ngram_join, packing, pitman_yor, preferences, quality, resampling, rules, sentencepieces, tokens, topk, urls
 from .common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,7 @@ ORACLE: dict[str, str] = {}
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def query(function: Query) -> Query:
@@ -212,3 +213,18 @@ select conv_id, n_prompt_turns,
          filter (where after and role = 'assistant'), '') as rejected_spans
 from placed group by conv_id, n_prompt_turns
 """
+
+
+@query
+def op11_cross_tokenizer_alignment(spark, sf):
+    return alignment.align_documents(_table(spark, sf, "documents"), BYTES, PIECES)
+
+
+@query
+def op12_minhash_near_dedup(spark, sf):
+    return minhash.near_duplicates(_table(spark, sf, "documents"))
+
+
+@query
+def op13_importance_resampling(spark, sf):
+    return resampling.importance(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))

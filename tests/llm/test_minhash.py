@@ -1,0 +1,109 @@
+import numpy as np
+import pytest
+
+from repopulse.llm.minhash import MinMax, near_duplicates
+from repopulse.llm.queries import QUERIES
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+def plain_set(text, shingle=4):
+    words = (text or "").encode().lower().split()
+    return frozenset(tuple(words[i : i + shingle]) for i in range(max(len(words) - shingle + 1, 1))) if words else frozenset()
+
+
+def plain(rows, part=80, whole=100):
+    """{place: (set size, smallest id that links lead to)}, all pairs compared."""
+    sets = [plain_set(text) for _, text in rows]
+    root = list(range(len(rows)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    order = sorted((i for i in range(len(rows)) if sets[i]), key=lambda i: len(sets[i]))
+    for place, i in enumerate(order):
+        for j in order[place + 1 :]:
+            if part * len(sets[j]) > whole * len(sets[i]):
+                break
+            both = len(sets[i] & sets[j])
+            if whole * both >= part * (len(sets[i]) + len(sets[j]) - both):
+                root[top(i)] = top(j)
+    least = {}
+    for i, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            least[top(i)] = min(doc_id, least.get(top(i), doc_id))
+    return sorted(((rows[i][0], len(sets[i]), least.get(top(i))) for i in range(len(rows))), key=str)
+
+
+def found(df):
+    rows = df.collect()
+    assert all(row.kept == (row.doc_id == row.component_id) for row in rows)
+    return sorted(((row.doc_id, row.n_shingles, row.component_id) for row in rows), key=str)
+
+
+def test_the_query_against_all_pairs(spark):
+    docs = [tuple(d) for d in spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()]
+    assert found(QUERIES["op12_minhash_near_dedup"](spark, FOLDER)) == plain(docs)
+
+
+def test_copies_of_many_kinds(spark):
+    """Families around the threshold, one phrase that all texts of a kind hold, odd rows."""
+    rng = np.random.default_rng(4)
+    texts = []
+    for size, copies, most in ((40, 40, 3), (150, 60, 9), (500, 20, 30), (12, 20, 1), (5, 6, 1), (3, 3, 0)):
+        base = [f"w{n}" for n in rng.integers(0, 4000, size)]
+        for _ in range(copies):
+            words = list(base)
+            for at in rng.integers(0, size, rng.integers(0, most + 1)):
+                words[at] = f"new{rng.integers(10**9)}"
+            texts.append(" ".join(words))
+    phrase = " ".join(f"p{n}" for n in range(30))
+    texts += [phrase + " " + " ".join(f"u{n}" for n in rng.integers(0, 10**9, 25)) for _ in range(60)]
+    rows = [(i, text) for i, text in enumerate(texts)]
+    # Texts without an id that link others, repeated rows and ids, texts without words.
+    bridge = [f"b{n}" for n in range(60)]
+    one, two = list(bridge), list(bridge)
+    one[20], two[40] = "x", "y"
+    rows += [(5001, " ".join(one)), (None, " ".join(bridge)), (5003, " ".join(two)), (None, "no id here at all"), (None, "no id here at all")]
+    rows += [(7, "again and again and so on"), (7, "again and again and so on"), (6000, None), (None, ""), (6001, " \n")]
+    result = found(near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)))
+    expected = plain(rows)
+    assert result == expected
+    assert (5003, 57, 5001) in result and len({row[2] for row in result}) > 100
+
+
+def test_values_are_unbiased_and_vary_less():
+    """Against as many plain minima: the estimate is right on average and no wider."""
+    rng = np.random.default_rng(8)
+    both, each = 24, 8
+    exact, min_max, minima = both / (both + 2 * each), [], []
+    for _ in range(400):
+        own = np.unique(rng.integers(0, 2**63, both + 2 * each).astype(np.uint64))
+        rng.shuffle(own)
+        a, b = own[: both + each], own[each:]
+        signer = MinMax(bands=8, rows=4, seed=int(rng.integers(10**9)))
+        min_max.append(MinMax.similarity(signer.values(a), signer.values(b)))
+        twice = MinMax(bands=16, rows=4, seed=int(rng.integers(10**9)))
+        minima.append(float((twice.values(a)[0] == twice.values(b)[0]).mean()))
+    assert np.mean(min_max) == pytest.approx(exact, abs=0.015)
+    assert np.std(min_max) < 1.06 * np.std(minima)
+
+
+def test_long_sets_and_bands():
+    rng = np.random.default_rng(9)
+    shingles = np.unique(rng.integers(0, 2**63, 10_000).astype(np.uint64))
+    signer = MinMax()
+    moved = shingles[None, :] * signer.factor + signer.addend
+    assert (signer.values(shingles) == np.stack([moved.min(axis=1), moved.max(axis=1)])).all()
+    assert len(set(signer.signatures(shingles).tolist())) == 32
+    assert (signer.signatures(shingles[:1]) == signer.signatures(shingles[:1])).all()
+    with pytest.raises(ValueError):
+        MinMax(bands=3)
+
+
+def test_odd_tables(spark):
+    docs = spark.createDataFrame([(1, "a b c d e", "x", 1)], "doc_id long, text string, node string, kept int")
+    assert found(near_duplicates(docs)) == [(1, 2, 1)]
+    assert near_duplicates(docs.where("false")).count() == 0

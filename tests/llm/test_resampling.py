@@ -1,0 +1,104 @@
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from repopulse.llm import resampling
+from repopulse.llm.queries import QUERIES
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+def plain_features(text, ngrams=1):
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
+    grams = [" ".join(words[i : i + n]) for n in range(1, ngrams + 1) for i in range(len(words) - n + 1)]
+    return len(words), [zlib.crc32(gram.encode()) % 10_000 for gram in grams]
+
+
+def plain(docs, target, ngrams=1, percent=10, least=20):
+    """Rows (doc_id, n_features, weight, score, rank), one document after another."""
+    found = [plain_features(text, ngrams) for _, text in docs]
+    s, t = Counter(), Counter()
+    for _, own in found:
+        s.update(own)
+    for text in target:
+        t.update(plain_features(text, ngrams)[1])
+    s_all, t_all = s.total(), t.total()
+    rows = []
+    for (doc_id, _), (words, own) in zip(docs, found):
+        weight = sum(
+            math.floor(1000 * math.log((t[b] + 1) * (s_all + 10_000) / ((s[b] + 1) * (t_all + 10_000)))) for b in own
+        )
+        h = int(hashlib.sha256(f"2024:{doc_id}".encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        rows.append([doc_id, len(own), weight, score, None, words])
+    enough = sorted((row for row in rows if row[5] >= least), key=lambda row: (-row[3], row[0]))
+    for rank, row in enumerate(enough[: len(enough) * percent // 100], 1):
+        row[4] = rank
+    return sorted(tuple(row[:5]) for row in rows)
+
+
+@pytest.fixture(scope="module")
+def given(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()
+    target = spark.read.parquet(f"{FOLDER}/benchmark.parquet").select("text").collect()
+    return [tuple(d) for d in docs], [row.text for row in target]
+
+
+def test_the_query_against_a_plain_version(spark, given):
+    found = QUERIES["op13_importance_resampling"](spark, FOLDER)
+    assert found.columns == ["doc_id", "n_features", "weight", "score", "rank"]
+    assert {kind for _, kind in found.dtypes} == {"bigint"}
+    rows = sorted(map(tuple, found.collect()))
+    assert rows == plain(*given)
+    assert sum(row[4] is not None for row in rows) > 30
+
+
+def test_longer_grams(spark, given):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    target = spark.read.parquet(f"{FOLDER}/benchmark.parquet")
+    found = resampling.importance(docs, target, ngrams=3, percent=25, least_words=5)
+    assert sorted(map(tuple, found.collect())) == plain(*given, ngrams=3, percent=25, least=5)
+
+
+TEXTS = ["", " ", "a", "a b", "One,two;three", "x" * 5000, "ä-ö Ünd a1b2", "a  b\tc\n\nd", "...", "\x7f{|}", "İ K ſ word"]
+
+
+@pytest.mark.parametrize("text", TEXTS)
+@pytest.mark.parametrize("length", [1, 2, 3])
+def test_spans(text, length):
+    """Each run of words is one span, whatever is between the words."""
+    flat = resampling.collapsed(text)
+    words = flat.decode().split(" ") if flat else []
+    grams = [flat[start:stop].decode() for start, stop in resampling.ngram_spans(flat, length)]
+    assert grams == [" ".join(words[i : i + length]) for i in range(len(words) - length + 1)]
+    assert len(words) == plain_features(text)[0]
+
+
+def test_odd_rows(spark):
+    long = " ".join(f"w{n % 50}" for n in range(60_000))
+    docs = [(1, None), (None, ""), (2, long), (2, long), (3, "short text"), (None, "a b c " * 10), (4, "d e f " * 10)]
+    df = spark.createDataFrame([(*d, 1, "x") for d in docs], "doc_id long, text string, rank int, key string")
+    target = spark.createDataFrame([("d e f",), (None,)], "text string")
+    rows = resampling.importance(df, target, percent=100).collect()
+    by_id = {row.doc_id: row for row in rows if row.doc_id}
+    assert len(rows) == 7 and by_id[2].n_features == 60_000 and by_id[3].rank is None
+    assert sorted(row.rank for row in rows if row.rank) == [1, 2, 3, 4]
+    assert (by_id[1].n_features, by_id[1].weight, by_id[1].rank) == (0, 0, None)
+    assert by_id[4].weight > 0 > by_id[2].weight
+    drawn = resampling.resample(df, target, percent=50)
+    assert drawn.columns == df.columns and drawn.count() == 2
+    nothing = spark.createDataFrame([], "text string")
+    assert len(resampling.importance(df, nothing).collect()) == 7
+    assert resampling.importance(df.where("false"), target).count() == 0
+
+
+def test_the_draw_leans_towards_the_target(spark):
+    docs = [(n, ("target words here " if n % 4 == 0 else "other things there ") * 8) for n in range(2000)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    drawn = resampling.importance(df, df.where("doc_id % 4 = 0")).where("rank is not null").collect()
+    assert len(drawn) == 200 and all(row.doc_id % 4 == 0 for row in drawn)

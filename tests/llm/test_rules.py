@@ -36,29 +36,33 @@ def plain_base(text):
     return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), repeated, len(covered)
 
 
+def plain_script(text):
+    blocks = [(start, name, stop) for (start, name), (stop, _) in zip(rules.BLOCKS, [*rules.BLOCKS[1:], (0x110000, "other")])]
+    times = Counter()
+    for letter in text:
+        point = ord(letter)
+        if point >= 0x80 or "a" <= letter.lower() <= "z":
+            times.update(name for start, name, stop in blocks if start <= point < stop and name)
+    return min(times, key=lambda name: (-times[name], name)) if times else "other"
+
+
 def plain_verdicts(docs):
-    """Bands and verdicts from all documents, one after another."""
+    """Measures and verdicts, one document after another, whole texts encoded."""
     encode = sentencepiece.SentencePieceProcessor(model_file=PIECES)
-    rows = {}
+    rows, kept = {}, {}
     for doc in docs:
         text = doc.text or ""
         base, ids = plain_base(text), encode.encode(text)
         n = len(ids)
         shares = np.array(list(Counter(ids).values())) / max(n, 1)
-        measures = (
-            len(text) / n if n else 0, sum(encode.is_byte(i) for i in ids) / n if n else 0, -(shares * np.log2(shares)).sum(),
-        )
+        entropy, bits = float(-(shares * np.log2(shares)).sum()), np.log2(max(n, 1))
+        evenness = entropy / (9.15 * bits / (bits + 3.75)) if n > 1 else 0
+        chars, share = len(text) / max(n, 1), sum(encode.is_byte(i) for i in ids) / max(n, 1)
+        band = rules.LANGUAGES.get(doc.lang) or rules.SCRIPTS.get(plain_script(text)) or rules.OTHER
         failed = base[0] < 50 or 100 * base[4] > 50 * base[0]
-        rows[doc.doc_id] = (base, failed, measures, (doc.lang, int(np.floor(2 * np.log2(max(n, 1))))))
-    kept = {}
-    for doc_id, (_, failed, measures, group) in rows.items():
-        like = [m for _, out, m, other in rows.values() if not out and other == group]
-        inside = True
-        for i, margin in enumerate(rules.MARGIN.values()):
-            values = sorted(m[i] for m in like) or [measures[i]]
-            low, middle, high = (values[max(int(np.ceil(p * len(values))) - 1, 0)] for p in (0.25, 0.5, 0.75))
-            inside &= abs(measures[i] - middle) <= rules.SPREAD * (high - low) + margin + 1e-9
-        kept[doc_id] = not failed and inside
+        rows[doc.doc_id] = (base, failed, (chars, share, entropy, evenness), plain_script(text))
+        inside = band.low_chars <= chars <= band.high_chars and band.low_evenness <= evenness <= band.high_evenness
+        kept[doc.doc_id] = not failed and inside and share <= band.most_bytes
     return rows, kept
 
 
@@ -68,17 +72,65 @@ def test_the_query_against_a_plain_version(spark):
     found = QUERIES["op4_quality_rules"](spark, FOLDER).collect()
     assert len(found) == len(docs)
     for row in found:
-        base, failed, measures, _ = rows[row.doc_id]
+        base, failed, measures, script = rows[row.doc_id]
         assert (row.n_words, row.word_chars, row.n_symbols, row.n_dup_lines, row.n_repeat_words) == base
-        assert row.base_failed == failed and row.kept == kept[row.doc_id]
-        assert (row.chars_per_token, row.byte_share, row.entropy) == pytest.approx(measures)
+        assert row.base_failed == failed and row.kept == kept[row.doc_id] and row.script == script
+        assert (row.chars_per_token, row.byte_share, row.entropy, row.evenness) == pytest.approx(measures)
 
 
 def test_clean_documents_stay_and_junk_goes(spark):
+    """Of labelled documents that pass the base rules; bands were set on other tables."""
     judged = QUERIES["op4_quality_rules"](spark, FOLDER).join(spark.read.parquet(f"{FOLDER}/labels.parquet"), "doc_id")
-    long = judged.where("n_words >= 50").toPandas()
-    assert long[long.quality == 1].kept.mean() > 0.98
-    assert long[long.quality == 0].kept.mean() < 0.4
+    long = judged.where("not base_failed").toPandas()
+    assert long[long.quality == 1].kept.mean() >= 0.98
+    assert long[long.quality == 0].kept.mean() < 0.05
+
+
+def rubbish(words, seed):
+    rng = np.random.default_rng(seed)
+    parts = ["".join(chr(int(c)) for c in rng.integers(low, low + 90, 6)) for low in rng.choice([0x4E00, 0x10A0, 0x0E01, 0x61], words)]
+    return " ".join(parts)
+
+
+@pytest.mark.parametrize("lang", ["en", "xx", None])
+def test_a_single_document_is_judged_like_many(spark, lang):
+    """Rubbish alone in its language or its length, and prose alone in an unknown language."""
+    prose = spark.read.parquet(f"{FOLDER}/documents.parquet").join(spark.read.parquet(f"{FOLDER}/labels.parquet"), "doc_id")
+    prose = prose.where("quality = 1 and lang = 'en' and size(split(text, ' ')) > 100").orderBy("doc_id").limit(40).collect()
+    rows = [(n, doc.text, lang if n == 0 else "en") for n, doc in enumerate(prose)]
+    rows += [(100, rubbish(100, 1), lang), (101, rubbish(9000, 2), lang)]
+    rows += [(102, " ".join(f"{w.upper()}###" for w in prose[0].text.split()), lang)]
+    found = {row.doc_id: row for row in rules.judge_quality(spark.createDataFrame(rows, "doc_id long, text string, lang string"), PIECES).collect()}
+    assert not any(found[n].kept or found[n].base_failed for n in (100, 101, 102))
+    assert found[0].kept and sum(found[n].kept for n in range(40)) >= 39
+
+
+def test_a_group_that_is_half_junk(spark):
+    labelled = spark.read.parquet(f"{FOLDER}/documents.parquet").join(spark.read.parquet(f"{FOLDER}/labels.parquet"), "doc_id")
+    judged = rules.judge_quality(labelled.select("doc_id", "text", "lang", "quality"), PIECES).where("not base_failed")
+    junk = judged.where("quality = 0").collect()
+    clean = judged.where("quality = 1").limit(len(junk)).collect()
+    assert len(clean) == len(junk) > 10
+    again = spark.createDataFrame([(r.doc_id, r.text, r.lang) for r in junk + clean], "doc_id long, text string, lang string")
+    kept = {row.doc_id for row in rules.judge_quality(again, PIECES).where("kept").collect()}
+    assert kept == {row.doc_id for row in junk + clean if row.kept}
+
+
+def test_columns_of_any_name_stay(spark):
+    text = " ".join(f"word{n}" for n in range(80))
+    names = ["__size", "__lang", "__m", "measure", "own_lang", "kept", "script", "a.b"]
+    docs = spark.createDataFrame([(1, text, "en", *range(8))], ["doc_id", "text", "lang", *names])
+    row = rules.judge_quality(docs, PIECES).first()
+    assert [row[name] for name in names[:5]] == list(range(5)) and row["a.b"] == 7
+    assert row.script == "latin" and isinstance(row.kept, bool)
+
+
+SCRIPT_TEXTS = {"": "other", "12 !?": "other", "abc Ñ": "latin", "Привет мир abc": "cyrillic", "漢字かな": "han", "αβγ abc é": "latin", "한국어": "hangul", "—“”": "other"}
+
+
+@pytest.mark.parametrize("text", SCRIPT_TEXTS)
+def test_scripts(text):
+    assert rules.script_of(text) == plain_script(text) == SCRIPT_TEXTS[text]
 
 
 ODD = ["", " ", "\n\n", "a b c a b c", "x\nx\n x\nx", "#*$%&|<>", "w w\xa0w x\x1cy", "a\n\n\na\r\na", "one two one two one two one"]
@@ -97,6 +149,6 @@ def test_odd_rows(spark):
     assert len(found) == 5
     by_id = {row.doc_id: row for row in found}
     assert by_id[1].base_failed and not by_id[1].kept and by_id[1].n_tokens == 0
-    assert by_id[2].kept and by_id[2].n_words == 60_000
+    assert by_id[2].n_words == 60_000 and not by_id[2].base_failed and by_id[2].script == "latin"
     assert not by_id[3].kept and "text" in found[0].asDict()
     assert rules.judge_quality(docs.where("false"), PIECES).count() == 0
