@@ -65,17 +65,25 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Similar is what shares four fifths of its five-word shingles. The row that stays is
     the one of the smallest doc_id (null ids come last), then of the smallest hash of its
     text; of rows that agree in both, any one. Null and empty texts and texts of white
-    space resemble nothing and stay. Rows are numbered in a written table, under a name
-    that ``docs`` doesn't have, so repeated and null ids are told apart; an empty table
-    gives an empty one.
+    space resemble nothing and stay. Columns may have any names; an empty table gives an
+    empty one.
     """
-    row = free_name(docs, "row")
-    numbered = materialised(docs.withColumn(row, F.monotonically_increasing_id()), "pipeline-rows")
-    groups = ngram_join.jaccard_components(numbered, NEAR, doc_id=row, shingle=SHINGLE)
-    groups = groups.select(F.col("doc_id").alias(row), F.col("component_id").alias("of"))
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("text"), row)
-    first = numbered.select(row, order.alias("order")).join(groups, row).groupBy("of").agg(F.min("order").alias("order"))
-    return numbered.join(first.select(F.col(f"order.{row}").alias(row)), row, "left_semi").select(docs.columns)
+    groups = ngram_join.keyed_components(docs, NEAR, shingle=SHINGLE).where("n_shingles > 0")
+    rows = groups.groupBy("root", "doc_id", "key").agg(F.count("*").alias("copies"))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "copies")
+    stay = rows.groupBy("root").agg(F.min(order).alias("first")).select("first.*")
+    stay = materialised(stay.select("doc_id", "key", "copies"), "pipeline-stay")
+
+    key = free_name(docs, "key")
+    keyed = docs.withColumn(key, F.xxhash64(F.col("text").cast("string")))
+
+    def kept(one: DataFrame) -> DataFrame:
+        same = (keyed[key] == one["key"]) & keyed["doc_id"].eqNullSafe(one["doc_id"])
+        return keyed.join(one, same, "left_semi")
+
+    several = kept(stay.where("copies > 1")).dropDuplicates(["doc_id", key])
+    wordless = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    return kept(stay.where("copies = 1")).unionByName(several).drop(key).union(docs.where(wordless))
 
 
 @stage
