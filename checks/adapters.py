@@ -3,12 +3,14 @@
 ``activity``   events: stars and pull requests of 100 repositories over 30 days
 ``lines``      the same events as JSON lines, some damaged, some of other types
 ``archives``   those lines as hourly gzip files
+``redelivered`` the same, with some lines delivered again
 ``wide``       lineitem: many repositories over seven years, several names each
 ``repos``      documents that have a label: the repository dimension
 ``documents``  all documents as an index still to be encoded
 """
 
-from datetime import date, datetime
+import re
+from datetime import date, datetime, timezone
 from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +26,7 @@ from repopulse.sources.archive import archive_name, read_lines
 from repopulse.sources.index import write_index
 from repopulse.sources.lake import write_lake
 from repopulse.sources.mart import write_mart
+from repopulse.sources.tables import file_system
 
 AS_OF = date(2024, 1, 30)
 FIRST_HOUR, LAST_HOUR = datetime(2024, 1, 1, 0), datetime(2024, 1, 30, 23)
@@ -191,6 +194,32 @@ def archives(spark: SparkSession, sf_dir: str) -> str:
     return folder
 
 
+@cache
+def redelivered(spark: SparkSession, sf_dir: str) -> str:
+    """The archives once more, a file for each hour in the order of their hours, where some
+    lines come again in the next hour's archive, others three days later."""
+    folder, once = shared_folder(spark, "redelivered"), lines(spark, sf_dir)
+    mark = F.crc32(F.col("value").cast("binary"))
+
+    def again(every: int, hours: int) -> DataFrame:
+        later = F.col("archive_hour") + F.make_dt_interval(hours=F.lit(hours))
+        return once.where(mark % every == 0).withColumn("archive_hour", later)
+
+    delivered = once.union(again(7, 1)).union(again(31, 72))
+    named = delivered.select("value", archive_name(F.col("archive_hour")).alias("archive"))
+    named.repartition("archive").write.option("compression", "gzip").partitionBy("archive").text(folder)
+    # Streams take files by their time of modification, which stands for that of arrival.
+    files, place = file_system(spark, folder)
+    found = files.listFiles(place, True)
+    while found.hasNext():
+        file = found.next().getPath()
+        hour = re.search(r"archive=(\d+-\d+-\d+-\d+)\.", file.toString())
+        if hour:
+            arrived = datetime.strptime(hour[1], "%Y-%m-%d-%H").replace(tzinfo=timezone.utc)
+            files.setTimes(file, int(arrived.timestamp() * 1000), -1)
+    return folder
+
+
 def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "lineitem")
     day = F.col("l_shipdate").cast("date")

@@ -111,6 +111,10 @@ LINES = f"""with {_KEYED}, {_FIELDS}, parsed as (
     date_trunc('hour', ts) as archive_hour
   from fields where value >= {DAMAGED_BELOW}
 ), kept as (select * from parsed where type <> 'PushEvent')"""
+# The mart of what the lake holds.
+LAKE_DAILY = f"""{LINES}, raw as (
+  select {FLAT}, type as event_type, cast(ts as date) as event_date from kept
+), {_DAILY}"""
 LAKE = f"{LINES} select {FLAT}, type as event_type, {_PARTS} from kept"
 
 REPOS = """
@@ -309,6 +313,25 @@ from raw where event_type = 'PullRequestEvent' and repo_name is not null""",
     "repo_trends_daily": f"{DAILY} select * from mart",
     "repo_trends_daily_wide": f"{WIDE_DAILY} select * from mart",
     "mart_write": f"{DAILY} select * from mart",
+    "stream_append": LAKE,
+    "stream_distinct": f"{LINES} select {FLAT} from kept",
+    "repo_trends_daily_calendar": f"""{WIDE_DAILY} select *,
+  cast(sum(stars) over (partition by repo_id order by event_date
+    range between interval 6 days preceding and current row) as bigint) as stars_7d_calendar from mart""",
+    "mart_refresh": f"{LAKE_DAILY} select * from mart",
+    "mart_audit": f"""{DAILY}, broken as (
+  select repo_id, event_date, stars from mart
+  union all select repo_id, event_date, -1 - stars from mart where event_date = date '{AS_OF}'
+), rows as (select count(*) as mart_rows from mart)
+select 'accepted_range' as "check", 'stars' as "column", count(*) as failing_rows, false as passed,
+  any_value(mart_rows) as mart_rows from broken, rows where stars < 0
+union all select 'unique_combination', 'repo_id,event_date', count(*), false, any_value(mart_rows) from (
+  select repo_id, event_date from broken group by all having count(*) > 1), rows""",
+    "top_organizations_merged": _organizations(ACTIVITY, YEAR),
+    "active_users_merged": _users(ACTIVITY, YEAR),
+    "semantic_search_cells": """select count(*) as queries,
+  cast(count(*) * least(10, (select count(*) from documents where text is not null)) as bigint) as wanted,
+  true as recall_reached from benchmark""",
     "top_starred_repos": f"""{ACTIVITY} select repo_name, count(*) as stars from raw
 where event_type = 'WatchEvent' and year = '{YEAR}' and repo_name is not null
 group by repo_name order by stars desc, repo_name limit 50""",

@@ -2,19 +2,31 @@
 
 from collections.abc import Callable
 from datetime import datetime, timedelta
-from functools import cache
+from functools import cache, partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repopulse.operators import activity as act
-from repopulse.operators import analyses, catalog, embedding, ingest, quality, search, staging, trends
+from repopulse.operators import (
+    analyses,
+    catalog,
+    cells,
+    distincts,
+    embedding,
+    ingest,
+    quality,
+    search,
+    staging,
+    trends,
+)
 from repopulse.functions.events import STAR, is_star
 from repopulse.functions.vectors import unit
 from repopulse.plans.embed import encode_query, new_rows
 from repopulse.plans.ingest import backfill, flat_rows
+from repopulse.plans.refresh import refresh_mart
 from repopulse.plans.trends import trends as mart_of
-from repopulse.schemas import PARTITIONS
+from repopulse.schemas import FLAT, NUMBERS, PARTITIONS
 from repopulse.session import shared_folder
 from repopulse.sources import archive, index, lake
 from repopulse.sources import mart as mart_table
@@ -37,6 +49,9 @@ HOUR_LEFT_OUT = "01-10-05"
 PIVOT_NAMES = ["org1/repo1", "org2/repo2", "org7/repo7", "org7/repo7-renamed", "nobody/nothing"]
 CHUNK = {"size": 1000, "overlap": 200}
 TOP_CANDIDATES = 500
+LATE_FROM, LATE_TO, LATE_END = "01-20-10", "01-20-13", "01-29-00"
+FIRST_RUN = "0116"
+RECALL = 0.9
 LAST_WEEK = datetime(2001, 10, 28).date()
 
 
@@ -127,6 +142,25 @@ def stream_ingest(spark, sf):
     return lake.read_lake(spark, path)
 
 
+@query
+def stream_append(spark, sf):
+    """In several micro-batches, which split hours that have several files; each file is read once."""
+    path, checkpoint = shared_folder(spark, "lake"), shared_folder(spark, "checkpoint")
+    streaming.stream_append(spark, a.archives(spark, sf), path, checkpoint, files_per_batch=250).awaitTermination()
+    return lake.read_lake(spark, path)
+
+
+@query
+def stream_distinct(spark, sf):
+    """Archives with repeated deliveries, in several micro-batches: each event once.
+
+    Which of two deliveries in one micro-batch stays is open, so no partitions are shown.
+    """
+    path, checkpoint = shared_folder(spark, "lake"), shared_folder(spark, "checkpoint")
+    streaming.stream_distinct(spark, a.redelivered(spark, sf), path, checkpoint, "3 hours", 200).awaitTermination()
+    return lake.read_lake(spark, path).select(FLAT.names)
+
+
 # --- staging, activity, mart -------------------------------------------------
 
 
@@ -177,6 +211,45 @@ def mart_write(spark, sf):
     return mart_table.read_mart(spark, path)
 
 
+@query
+def repo_trends_daily_calendar(spark, sf):
+    """With the sum over seven dates beside that over seven active days."""
+    return act.repo_trends_daily(act.repo_daily_activity(a.wide(spark, sf)), calendar=True)
+
+
+def _late() -> Column:
+    """Hours that come after the first build: some in the middle and the last two days."""
+    stamp = F.concat_ws("-", "month", "day", "hour")
+    return stamp.between(LATE_FROM, LATE_TO) | (stamp >= LATE_END)
+
+
+@query
+def mart_refresh(spark, sf):
+    """A mart built without some hours, and refreshed when they had come."""
+    path, mart = shared_folder(spark, "lake"), shared_folder(spark, "mart")
+    raw = lake.read_lake(spark, a.written_lake(spark, sf))
+    lake.write_lake(raw.where(~_late()), path, compact=True)
+    refresh_mart(spark, path, mart)
+    lake.write_lake(raw.where(_late()), path, compact=True)
+    refresh_mart(spark, path, mart)
+    return mart_table.read_mart(spark, mart)
+
+
+@query
+def mart_audit(spark, sf):
+    """Failing checks of a refresh with broken rows, which isn't published."""
+    path = shared_folder(spark, "mart")
+    good = _read_mart(spark, sf)
+    mart_table.write_mart(good, path, partial(quality.mart_checks, as_of=a.AS_OF))
+    last = good.where(F.col("event_date") == a.AS_OF).withColumn("stars", -1 - F.col("stars"))
+    try:
+        mart_table.write_mart(good.unionByName(last), path, partial(quality.mart_checks, as_of=a.AS_OF))
+    except mart_table.AuditFailed as failed:
+        kept = mart_table.read_mart(spark, path).count()
+        rows = [(*row, kept) for row in failed.rows]
+        return spark.createDataFrame(rows, "check string, column string, failing_rows long, passed boolean, mart_rows long")
+
+
 # --- analyses ----------------------------------------------------------------
 
 
@@ -220,6 +293,30 @@ def active_users_wide(spark, sf):
     return analyses.active_users(a.wide(spark, sf), a.WIDE_YEAR)
 
 
+def _in_two_runs(raw: DataFrame, days_of: Callable) -> tuple[DataFrame, DataFrame]:
+    """Totals and bitmaps of two runs, the second of which finds a dictionary."""
+    early = F.concat("month", "day") <= FIRST_RUN
+    numbers = distincts.new_numbers(_values(raw.where(early)), raw.sparkSession.createDataFrame([], NUMBERS))
+    more = numbers.unionByName(distincts.new_numbers(_values(raw.where(~early)), numbers))
+    runs = days_of(raw.where(early), numbers), days_of(raw.where(~early), more)
+    return tuple(one.unionByName(other) for one, other in zip(*runs))
+
+
+def _values(raw: DataFrame) -> DataFrame:
+    return raw.select("repo_name").union(raw.select("actor_login")).toDF("value")
+
+
+@query
+def top_organizations_merged(spark, sf):
+    """From bitmaps of days, counted in two runs."""
+    return distincts.organizations_of(*_in_two_runs(a.activity(spark, sf), distincts.organization_days), a.YEAR)
+
+
+@query
+def active_users_merged(spark, sf):
+    return distincts.users_of(*_in_two_runs(a.activity(spark, sf), distincts.user_days), a.YEAR)
+
+
 @query
 def hourly_stars(spark, sf):
     return analyses.hourly_stars(a.activity(spark, sf), a.YEAR)
@@ -409,6 +506,24 @@ def semantic_search_centroids(spark, sf):
     return found.withColumn("similarity", F.round("similarity", 6))
 
 
+@cache
+def _cells(spark: SparkSession, sf: str) -> str:
+    """Path of the index of all documents by cells; written once per session."""
+    path, documents = shared_folder(spark, "cells"), _documents_index(spark, sf)
+    cells.write_cells(documents, path, cells.fit_cells(documents))
+    return path
+
+
+@query
+def semantic_search_cells(spark, sf):
+    """Approximate search for every benchmark text, measured against the exact one."""
+    asked = a.questions(spark, sf)
+    found = cells.search_cells(spark, _cells(spark, sf), asked)
+    hits = cells.recall(search.semantic_search_batch(_documents_index(spark, sf), asked), found)
+    reached = F.sum("hits") >= RECALL * F.sum("wanted")
+    return hits.agg(F.count("*").alias("queries"), F.sum("wanted").alias("wanted"), reached.alias("recall_reached"))
+
+
 @query
 def search_display(spark, sf):
     vector = encode_query(spark, QUERY_TEXT, embedding.letters26)

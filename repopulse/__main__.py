@@ -2,17 +2,19 @@
 
     python -m repopulse ingest   --source DIR --lake DIR [--timestamp ISO]
     python -m repopulse backfill --source DIR --lake DIR --start ISO --end ISO [--once]
-    python -m repopulse stream   --source DIR --lake DIR --checkpoint DIR [--once]
+    python -m repopulse stream   --source DIR --lake DIR --checkpoint DIR [--once | --append | --distinct "6 hours"]
     python -m repopulse report   --lake DIR --year 2026 star_velocity
     python -m repopulse sql      --lake DIR [--mart DIR] "select ... from raw ..."
-    python -m repopulse build    --lake DIR --mart DIR
+    python -m repopulse build    --lake DIR --mart DIR [--unchecked]
+    python -m repopulse refresh  --lake DIR --mart DIR
     python -m repopulse check    --lake DIR --mart DIR
     python -m repopulse trending --mart DIR [--days 30]
-    python -m repopulse fit      --repos DIR --model DIR
+    python -m repopulse fit      --repos DIR --model DIR [--spark-ml]
     python -m repopulse embed    --mart DIR --repos DIR --index DIR --model MODEL [--top 500]
     python -m repopulse search   --index DIR --model MODEL "what to look for"
 
-MODEL is the folder that ``fit`` wrote, ``letters`` for letter counts, or
+MODEL is the folder that ``fit`` wrote (weights of hashed words, or with ``--spark-ml`` a
+Spark ML pipeline that hashes them), ``letters`` for letter counts, or
 ``package.module:function`` for a model of one's own: the function returns one that maps
 a list of texts to vectors, and the executors can import it. Results are printed whole,
 tab-separated, a row at a time.
@@ -23,15 +25,27 @@ import sys
 from importlib import import_module
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from .operators import analyses
 from .operators.catalog import top_pr_contributors
-from .operators.embedding import Encoder, embed_text, fit_hashing, hashing_encoder, letters26, model_encoder
+from .operators.embedding import (
+    Encoder,
+    embed_text,
+    fit_hashing,
+    fit_md5,
+    hashing_encoder,
+    letters26,
+    load_md5,
+    md5_encoder,
+    model_encoder,
+    save_md5,
+)
 from .operators.search import search_display
 from .operators.trends import WINDOWS, ranked_pivot, trending_window
 from .plans.embed import refresh_index, search_text
 from .plans.ingest import backfill, ingest_hour
+from .plans.refresh import refresh_mart
 from .plans.trends import build_mart, check_all
 from .plans.views import register_views
 from .schemas import REPO
@@ -40,7 +54,8 @@ from .sources.archive import resolve_hour
 from .sources.index import read_index
 from .sources.lake import read_lake
 from .sources.mart import read_mart
-from .streaming.ingest import stream_ingest
+from .sources.tables import file_system
+from .streaming.ingest import late_events, stream_append, stream_distinct, stream_ingest
 
 REPORTS = {
     report.__name__: report
@@ -67,6 +82,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         "report": ("lake", "year"),
         "sql": ("lake",),
         "build": ("lake", "mart"),
+        "refresh": ("lake", "mart"),
         "check": ("lake", "mart"),
         "trending": ("mart",),
         "fit": ("repos", "model"),
@@ -80,6 +96,10 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     jobs.choices["ingest"].add_argument("--timestamp")
     for job in ("backfill", "stream"):
         jobs.choices[job].add_argument("--once", action="store_true")
+    jobs.choices["fit"].add_argument("--spark-ml", action="store_true")
+    jobs.choices["stream"].add_argument("--append", action="store_true")
+    jobs.choices["stream"].add_argument("--distinct", metavar="DELAY")
+    jobs.choices["build"].add_argument("--unchecked", action="store_true")
     jobs.choices["report"].add_argument("name", choices=sorted(REPORTS))
     jobs.choices["sql"].add_argument("--mart")
     jobs.choices["sql"].add_argument("statement")
@@ -91,13 +111,21 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
-def _encoder(model: str) -> Encoder:
+def is_pipeline(spark: SparkSession, model: str) -> bool:
+    """Whether a model's folder holds a Spark ML pipeline; else it holds md5 weights."""
+    files, place = file_system(spark, f"{model.rstrip('/')}/metadata")
+    return files.exists(place)
+
+
+def _encoder(spark: SparkSession, model: str) -> Encoder:
     if model == "letters":
         return letters26
     module, colon, name = model.partition(":")
     if colon and not name.startswith("/"):
         return model_encoder(getattr(import_module(module), name))
-    return hashing_encoder(PipelineModel.load(model))
+    if is_pipeline(spark, model):
+        return hashing_encoder(PipelineModel.load(model))
+    return md5_encoder(load_md5(spark, model))
 
 
 def _print(df: DataFrame) -> None:
@@ -117,14 +145,25 @@ def main(argv: list[str] | None = None) -> None:
         start, end = resolve_hour(args.start), resolve_hour(args.end)
         backfill(spark, args.source, args.lake, start, end, args.once)
     elif args.job == "stream":
-        stream_ingest(spark, args.source, args.lake, args.checkpoint, once=args.once).awaitTermination()
+        places = args.source, args.lake, args.checkpoint
+        if args.distinct:
+            query = stream_distinct(spark, *places, delay=args.distinct)
+        elif args.append:
+            query = stream_append(spark, *places)
+        else:
+            query = stream_ingest(spark, *places, once=args.once)
+        query.awaitTermination()
+        if args.distinct:
+            print(f"late events dropped: {late_events(query)}")
     elif args.job == "report":
         _print(REPORTS[args.name](read_lake(spark, args.lake), args.year))
     elif args.job == "sql":
         register_views(spark, args.lake, args.mart)
         _print(spark.sql(args.statement))
     elif args.job == "build":
-        build_mart(spark, args.lake, args.mart)
+        build_mart(spark, args.lake, args.mart, audit=not args.unchecked)
+    elif args.job == "refresh":
+        print("\n".join(refresh_mart(spark, args.lake, args.mart)))
     elif args.job == "check":
         _print(check_all(spark, args.lake, args.mart))
     elif args.job == "trending":
@@ -133,13 +172,16 @@ def main(argv: list[str] | None = None) -> None:
         _print(ranked_pivot(mart, days=args.days))
     elif args.job == "fit":
         repos = spark.read.schema(REPO).parquet(args.repos)
-        fit_hashing(embed_text(repos)).write().overwrite().save(args.model)
+        if args.spark_ml:
+            fit_hashing(embed_text(repos)).write().overwrite().save(args.model)
+        else:
+            save_md5(spark, fit_md5(embed_text(repos)), args.model)
     elif args.job == "embed":
         repos = spark.read.schema(REPO).parquet(args.repos)
-        mart, encoder = read_mart(spark, args.mart), _encoder(args.model)
+        mart, encoder = read_mart(spark, args.mart), _encoder(spark, args.model)
         refresh_index(spark, mart, repos, args.index, encoder, n=args.top)
     elif args.job == "search":
-        results = search_text(spark, read_index(spark, args.index), args.text, _encoder(args.model))
+        results = search_text(spark, read_index(spark, args.index), args.text, _encoder(spark, args.model))
         _print(search_display(results))
 
 

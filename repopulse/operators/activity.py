@@ -57,22 +57,22 @@ def join_daily(stars: DataFrame, prs: DataFrame) -> DataFrame:
     )
 
 
-def repo_daily_activity(raw: DataFrame) -> DataFrame:
-    """The rows of ``join_daily`` over both staged types, in one pass and without a join.
-
-    The only full-size exchange carries partial counts. The second one carries
-    repo-days and is by ``repo_id`` alone, so that it also serves the mart's window.
-    """
+def named_counts(raw: DataFrame, *within: str) -> DataFrame:
+    """Counts by repository, date and name, and by the columns ``within``."""
     kept = raw.where(
         F.col("event_type").isin(*KEPT_TYPES)
         & F.col("repo_id").isNotNull()
         & F.col("repo_name").isNotNull()
     )
-    named = (
+    return (
         kept.withColumn("event_date", event_date())
-        .groupBy(*GRAIN, "repo_name")
+        .groupBy(*within, *GRAIN, "repo_name")
         .agg(F.count_if(is_star()).alias("stars"), *pull_request_counts())
     )
+
+
+def daily_of(named: DataFrame) -> DataFrame:
+    """Activity from rows of ``named_counts``, of which a name and day may have several."""
     star_name = F.max(F.when(F.col("stars") > 0, F.col("repo_name")))
     return (
         named.repartition("repo_id")
@@ -85,13 +85,28 @@ def repo_daily_activity(raw: DataFrame) -> DataFrame:
     )
 
 
-def repo_trends_daily(activity: DataFrame, rows: int = 7) -> DataFrame:
+def repo_daily_activity(raw: DataFrame) -> DataFrame:
+    """The rows of ``join_daily`` over both staged types, in one pass and without a join.
+
+    The only full-size exchange carries partial counts. The second one carries
+    repo-days and is by ``repo_id`` alone, so that it also serves the mart's window.
+    """
+    return daily_of(named_counts(raw))
+
+
+def repo_trends_daily(activity: DataFrame, rows: int = 7, calendar: bool = False) -> DataFrame:
     """Activity plus merge rate and the star sum over the last ``rows`` active days.
 
     Days, not dates: the frame counts rows, and a day without any event has none.
+    ``calendar`` adds ``stars_7d_calendar``, the sum over as many dates up to the row's;
+    its frame has the same keys and order, so it costs neither an exchange nor a sort.
     A partition of the window is one repository's days, which history bounds.
     """
     recent = Window.partitionBy("repo_id").orderBy("event_date").rowsBetween(1 - rows, 0)
-    return activity.withColumns(
-        {"pr_merge_rate": merge_rate(), "stars_7d_rolling": F.sum("stars").over(recent)}
-    )
+    columns = {"pr_merge_rate": merge_rate(), "stars_7d_rolling": F.sum("stars").over(recent)}
+    if calendar:
+        columns["stars_7d_calendar"] = F.expr(
+            f"sum(stars) over (partition by repo_id order by event_date"
+            f" range between interval {rows - 1} days preceding and current row)"
+        )
+    return activity.withColumns(columns)

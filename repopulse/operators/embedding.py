@@ -8,10 +8,11 @@ from datetime import date
 from math import log
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -103,37 +104,53 @@ def fit_hashing(corpus: DataFrame, dimensions: int = DIMENSIONS) -> PipelineMode
     return Pipeline(stages=stages).fit(corpus.select("text"))
 
 
-def _md5_vectors(dimensions: int, weights: list[float] | None = None):
-    """A column function: how often words fall into each bucket, by the words' md5.
+def _md5_counts(dimensions: int):
+    """A function from texts to a row of word counts for each, by the words' md5 bucket.
 
-    With ``weights`` the counts are multiplied by them and scaled to unit length.
-    Nested, so that executors need no copy of this package.
+    Made in a closure, so that executors need no copy of this package.
     """
 
-    @F.arrow_udf(T.ArrayType(T.FloatType()))
-    def vectors(texts):
+    def counter():
         import re
         from hashlib import md5
 
         import numpy as np
-        import pyarrow as pa
 
         words, bucket = re.compile(r"[a-z0-9_]+").findall, {}
-        counts = np.zeros((len(texts), dimensions))
-        for row, text in enumerate(texts.to_pylist()):
-            own = words((text or "").lower())
-            for word in set(own).difference(bucket):
-                bucket[word] = int.from_bytes(md5(word.encode()).digest()[:4], "big") % dimensions
-            if own:
-                counts[row] = np.bincount([bucket[word] for word in own], minlength=dimensions)
-            if len(bucket) > 500_000:
-                bucket.clear()
-        if weights is not None:
-            counts *= weights
+
+        def counts(texts: list):
+            found = np.zeros((len(texts), dimensions))
+            for row, text in enumerate(texts):
+                own = words((text or "").lower())
+                for word in set(own).difference(bucket):
+                    bucket[word] = int.from_bytes(md5(word.encode()).digest()[:4], "big") % dimensions
+                if own:
+                    found[row] = np.bincount([bucket[word] for word in own], minlength=dimensions)
+                if len(bucket) > 500_000:
+                    bucket.clear()
+            return found
+
+        return counts
+
+    return counter
+
+
+def _md5_vectors(dimensions: int, weights: list[float]):
+    """A column function: word counts times ``weights``, scaled to unit length."""
+    counter = _md5_counts(dimensions)
+
+    @F.arrow_udf(T.ArrayType(T.FloatType()))
+    def vectors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        import numpy as np
+        import pyarrow as pa
+
+        count = counter()
+        for texts in batches:
+            counts = count(texts.to_pylist()) * weights
             norms = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
             counts /= np.where(norms == 0, 1.0, norms)
-        offsets = pa.array(np.arange(0, counts.size + 1, dimensions, dtype="int32"))
-        return pa.ListArray.from_arrays(offsets, pa.array(counts.ravel().astype("float32")), mask=texts.is_null())
+            offsets = pa.array(np.arange(0, counts.size + 1, dimensions, dtype="int32"))
+            yield pa.ListArray.from_arrays(offsets, pa.array(counts.ravel().astype("float32")), mask=texts.is_null())
 
     return vectors
 
@@ -141,14 +158,37 @@ def _md5_vectors(dimensions: int, weights: list[float] | None = None):
 def fit_md5(corpus: DataFrame, dimensions: int = DIMENSIONS) -> list[float]:
     """Inverse document frequency of each md5 bucket, from the ``text`` of a corpus.
 
-    Like ``fit_hashing``, but any engine that has md5 can compute the same vectors.
+    Like ``fit_hashing``, but any engine that has md5 can compute the same vectors. One
+    pass: a task sends one row, its number of documents and how many have each bucket.
     """
-    counts = corpus.select(F.posexplode(_md5_vectors(dimensions)("text")).alias("bucket", "n"))
-    found = dict.fromkeys(range(dimensions), 0)
-    for row in counts.where("n > 0").groupBy("bucket").agg(F.count("*").alias("documents")).collect():
-        found[row["bucket"]] = row["documents"]
-    total = corpus.count()
-    return [log((total + 1) / (found[bucket] + 1)) for bucket in range(dimensions)]
+    counter = _md5_counts(dimensions)
+
+    def sums(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        count, having = counter(), np.zeros(dimensions + 1, dtype="int64")
+        for batch in batches:
+            for start in range(0, batch.num_rows, 1024):
+                texts = batch.column(0).slice(start, 1024).to_pylist()
+                having[:-1] += (count(texts) > 0).sum(axis=0)
+                having[-1] += len(texts)
+        yield pa.RecordBatch.from_arrays([pa.array(range(dimensions + 1)), pa.array(having)], ["bucket", "documents"])
+
+    found = corpus.select("text").mapInArrow(sums, "bucket long, documents long")
+    totals = {row["bucket"]: row["n"] for row in found.groupBy("bucket").agg(F.sum("documents").alias("n")).collect()}
+    total = totals.get(dimensions, 0)
+    return [log((total + 1) / (totals.get(bucket, 0) + 1)) for bucket in range(dimensions)]
+
+
+def save_md5(spark: SparkSession, weights: list[float], path: str) -> None:
+    """Write the weights of ``fit_md5`` next to the index, for later rows and queries."""
+    rows = spark.createDataFrame(list(enumerate(weights)), "bucket int, weight double")
+    rows.coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def load_md5(spark: SparkSession, path: str) -> list[float]:
+    return [row["weight"] for row in spark.read.parquet(path).orderBy("bucket").collect()]
 
 
 def md5_encoder(weights: list[float]) -> Encoder:

@@ -9,7 +9,7 @@ column reads a number that may be one, so they become null.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.events import KEPT_TYPES
+from ..functions.events import CREATED_AT_FORMAT, KEPT_TYPES
 
 # Where each flat column sits in the nested event.
 _PATHS = {
@@ -116,3 +116,18 @@ def drop_repeated(events: DataFrame) -> DataFrame:
     """
     known = events.where(F.col("id").isNotNull()).dropDuplicates(["id", "archive_hour"])
     return known.unionByName(events.where(F.col("id").isNull()))
+
+
+def distinct_events(events: DataFrame, delay: str) -> DataFrame:
+    """One row per event id of a stream, whatever archives delivered it.
+
+    ``created_at`` is the event's time; where it can't be read, the archive's hour is.
+    Ids are remembered until the watermark, ``delay`` behind the newest event, has passed
+    their event. Rows without an id are all kept.
+    """
+    spoken = F.try_to_timestamp("created_at", F.lit(CREATED_AT_FORMAT))
+    columns = {
+        "_at": F.coalesce(spoken, F.col("archive_hour").cast("timestamp")),
+        "_key": F.coalesce("id", F.concat(F.lit("none "), F.uuid())),
+    }
+    return events.withColumns(columns).withWatermark("_at", delay).dropDuplicatesWithinWatermark(["_key"]).drop(*columns)

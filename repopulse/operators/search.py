@@ -16,21 +16,26 @@ from ..functions.text import missing_if_empty
 from ..session import shared_folder
 
 # Queries sent to all tasks at a time (25 MB at 384 float dimensions). The index is
-# scanned once for each such slice and never shuffled.
-SLICE = 16_384
+# scanned once for so many queries and never shuffled.
+SCAN = 16_384
+# Queries of a scan that are one matrix.
+SLICE = 4_096
+# Keys that the results of one scan may have at the most to be sent to all tasks (24 MB).
+_SENT_KEYS = 1_000_000
 # Queries scored at once, which bounds a task's score matrix.
 _SCORED_AT_ONCE = 256
 # Groups that the tasks' results for a query are ranked in before they meet.
 _GROUPS = 64
 
 
-def _scorer(ids, queries, k: int, key: str):
+def _scorer(sent: dict, k: int, key: str, by: str | None = None):
     """A function for ``mapInArrow``: the best keys of a task's rows for every query.
 
-    Built as a closure so that executors need no copy of this package.
+    ``sent`` holds slices (ids, matrix) of queries: those under None for all rows, or, where
+    the rows have a column ``by``, those for the rows of each of its values. Built as a
+    closure so that executors need no copy of this package.
     """
     at_once = _SCORED_AT_ONCE
-    sent = (ids, queries)
 
     def matrix_of(column, rows, width):
         import pyarrow.compute as pc
@@ -88,30 +93,64 @@ def _scorer(ids, queries, k: int, key: str):
         place = np.arange(1, table.num_rows + 1) - codes
         return table.filter(pa.array(place < k))
 
+    def parts(table):
+        import pyarrow.compute as pc
+
+        if by is None:
+            yield from ((table, *own) for own in sent[None])
+            return
+        for value in pc.unique(table.column(by)).to_pylist():
+            rows = table.filter(pc.equal(table.column(by), value))
+            yield from ((rows, *own) for own in sent.get(value, ()))
+
     def score(batches):
         import pyarrow as pa
 
         kept = None
         for batch in batches:
-            found = best(pa.Table.from_batches([batch]), *sent)
-            if found is not None:
-                kept = found if kept is None else cut(pa.concat_tables([kept, found]))
+            for rows, ids, matrix in parts(pa.Table.from_batches([batch])):
+                found = best(rows, ids, matrix)
+                if found is not None:
+                    kept = found if kept is None else cut(pa.concat_tables([kept, found]))
         if kept is not None:
             yield from kept.combine_chunks().to_batches()
 
     return score
 
 
-def _slices(queries: DataFrame, size: int):
-    """(ids, matrix) of about ``size`` queries at a time, chosen by a hash of their id."""
+def collected(queries: DataFrame, size: int):
+    """Slices (ids, matrix) of ``size`` queries each; one scan's queries, a bounded number."""
     import numpy as np
 
-    parts = max(1, -(-queries.count() // size))
+    found = queries.toArrow().combine_chunks()
+    slices = []
+    for start in range(0, found.num_rows, size):
+        part = found.slice(start, size).combine_chunks()
+        ids, vectors = (part.column(name).combine_chunks() for name in ("query_id", "embedding"))
+        slices.append((ids, np.asarray(vectors.flatten()).reshape(part.num_rows, -1)))
+    return slices
+
+
+def _scans(queries: DataFrame, count: int, size: int):
+    """Slices of at most about ``SCAN`` queries at a time, chosen by a hash of their id.
+
+    If there are more, they are written once, a folder for each scan.
+    """
+    if count <= SCAN:
+        yield collected(queries, size)
+        return
+    parts, path = -(-count // SCAN), shared_folder(queries.sparkSession, "queries")
+    scan = F.pmod(F.xxhash64("query_id"), F.lit(parts).cast("long"))
+    queries.withColumn("scan", scan).write.partitionBy("scan").parquet(path)
+    schema = T.StructType([*queries.schema.fields, T.StructField("scan", T.LongType())])
+    written = queries.sparkSession.read.schema(schema).parquet(path)
     for part in range(parts):
-        found = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(parts)) == part).toArrow()
-        vectors = found.column("embedding").combine_chunks()
-        matrix = np.asarray(vectors.flatten()).reshape(max(found.num_rows, 1), -1)
-        yield found.column("query_id").combine_chunks(), matrix
+        yield collected(written.where(F.col("scan") == part).drop("scan"), size)
+
+
+def results_schema(queries: DataFrame, index: DataFrame, key: str) -> T.StructType:
+    fields = [queries.schema["query_id"], index.schema[key], T.StructField("similarity", T.DoubleType())]
+    return T.StructType(fields)
 
 
 def _ranked(found: DataFrame, k: int, key: str) -> DataFrame:
@@ -125,32 +164,40 @@ def _ranked(found: DataFrame, k: int, key: str) -> DataFrame:
     return first(first(grouped, "query_id", "_group").drop("rank", "_group"), "query_id")
 
 
+def with_metadata(ranked: DataFrame, index: DataFrame, key: str, most: int | None = None) -> DataFrame:
+    """Ranked keys with the index's other columns; ``most`` bounds the number of keys, if known."""
+    metadata = [name for name in index.columns if name != "embedding"]
+    if most is not None and most <= _SENT_KEYS:
+        ranked = F.broadcast(ranked)
+    return ranked.join(index.select(metadata), key).select("query_id", "rank", *metadata, "similarity")
+
+
 def semantic_search_batch(
     index: DataFrame, queries: DataFrame, k: int = 10, key: str = "repo_id", slice_size: int = SLICE
 ) -> DataFrame:
     """query_id, rank, index metadata, similarity: the ``k`` best rows for every query.
 
-    ``queries`` has query_id (unique) and embedding; ``key`` is unique in the index.
-    Starts a job for each slice of queries, which scans the index once; what is left, k
-    keys for each query, is written to the shared folder and joined with the metadata.
-    Vectors of another length than the query's are an error.
+    ``queries`` has query_id (unique) and embedding; ``key`` is unique in the index. The
+    index is scanned once for ``SCAN`` queries, which a task scores ``slice_size`` at a
+    time. What one scan leaves, ``k`` keys for each query, is joined with the metadata
+    right away; the keys of several scans are written to the shared folder first. Vectors
+    of another length than the query's are an error.
     """
     spark = index.sparkSession
     queries = queries.select("query_id", "embedding").where(F.col("embedding").isNotNull())
-    schema = T.StructType(
-        [
-            queries.schema["query_id"],
-            index.schema[key],
-            T.StructField("similarity", T.DoubleType()),
-        ]
-    )
+    schema, count = results_schema(queries, index, key), queries.count()
+
+    def ranked(slices: list) -> DataFrame:
+        found = index.select(key, "embedding").mapInArrow(_scorer({None: slices}, k, key), schema)
+        return _ranked(found, k, key)
+
+    scans = _scans(queries, count, slice_size)
+    if count <= SCAN:
+        return with_metadata(ranked(next(scans)), index, key, count * k)
     path = shared_folder(spark, "search")
-    for ids, matrix in _slices(queries, slice_size):
-        found = index.select(key, "embedding").mapInArrow(_scorer(ids, matrix, k, key), schema)
-        _ranked(found, k, key).write.mode("append").parquet(path)
-    ranked = spark.read.schema(schema.add("rank", T.IntegerType())).parquet(path)
-    metadata = [name for name in index.columns if name != "embedding"]
-    return ranked.join(index.select(metadata), key).select("query_id", "rank", *metadata, "similarity")
+    for slices in scans:
+        ranked(slices).write.mode("append").parquet(path)
+    return with_metadata(spark.read.schema(schema.add("rank", T.IntegerType())).parquet(path), index, key)
 
 
 def semantic_search(
@@ -158,10 +205,17 @@ def semantic_search(
 ) -> DataFrame:
     """Index metadata and similarity of the ``k`` rows closest to one vector, best first.
 
-    Fewer rows if the index has fewer; none if it is empty.
+    Fewer rows if the index has fewer; none if it is empty. One scan of the index, by the
+    scorer that many queries have; the vector goes straight to it.
     """
-    query = index.sparkSession.createDataFrame([(0, [float(x) for x in vector])], "query_id int, embedding array<double>")
-    found = semantic_search_batch(index, query, k, key)
+    import numpy as np
+    import pyarrow as pa
+
+    sent = {None: [(pa.array([0], pa.int32()), np.array([[float(x) for x in vector]]))]}
+    key_field = index.schema[key]
+    schema = T.StructType([T.StructField("query_id", T.IntegerType()), key_field, T.StructField("similarity", T.DoubleType())])
+    ranked = _ranked(index.select(key, "embedding").mapInArrow(_scorer(sent, k, key), schema), k, key)
+    found = with_metadata(ranked, index, key, k)
     return found.drop("query_id", "rank").orderBy(F.desc("similarity"), key).limit(k)
 
 

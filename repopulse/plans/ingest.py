@@ -1,6 +1,8 @@
 """Ingest archives into the lake: one hour, a range, or the hours that files arrived for."""
 
+import uuid
 from datetime import datetime, timedelta
+from hashlib import md5
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -14,9 +16,13 @@ from ..operators.ingest import (
     parsed_line,
     report_counts,
 )
+from ..schemas import RAW
 from ..sources.archive import list_archives, read_lines
 from ..sources.lake import (
+    append_once,
     ingested_hours,
+    ledger,
+    record_files,
     record_hours,
     skip_existing,
     with_partitions,
@@ -50,9 +56,13 @@ def ingest_hour(spark: SparkSession, source: str, hour: datetime, lake: str) ->
 def pending_archives(
     spark: SparkSession, source: str, lake: str, first: datetime, last: datetime
 ) -> DataFrame:
-    """hour, path of the archives from ``first`` to ``last`` that weren't ingested before."""
+    """hour, path, size of the archives from ``first`` to ``last`` that weren't ingested before.
+
+    Hours that a stream takes file by file are left to it.
+    """
     wanted = list_archives(spark, source, first, last)
-    return wanted.join(ingested_hours(spark, lake, first, last), "hour", "left_anti")
+    streamed = ledger(spark, lake).select("hour").distinct()
+    return wanted.join(ingested_hours(spark, lake, first, last), "hour", "left_anti").join(streamed, "hour", "left_anti")
 
 
 def months(start: datetime, end: datetime) -> list[tuple[datetime, datetime]]:
@@ -81,8 +91,14 @@ def backfill(
         if pending:
             raw = flat_rows(read_lines(spark, [row.path for row in pending]), once)
             write_lake(skip_existing(raw, written_partitions(spark, lake, since, last)), lake)
-            hours = [(row.hour,) for row in pending]
-            record_hours(spark.createDataFrame(hours, "hour timestamp_ntz"), lake)
+            record_archives(spark, pending, lake)
+
+
+def record_archives(spark: SparkSession, listed: list, lake: str) -> None:
+    """Remember the hours, and the files of each, that ``listed`` (hour, path, size) holds."""
+    files = spark.createDataFrame([tuple(row) for row in listed], "hour timestamp_ntz, file string, size bigint")
+    record_files(files, lake, uuid.uuid4().hex)
+    record_hours(files, lake)
 
 
 def replace_hours(
@@ -92,11 +108,35 @@ def replace_hours(
 
     An hour may be a folder of files that arrive one by one. Its partitions are replaced
     by what all its files hold, so it doesn't matter which of them arrived together, and
-    a repeated call changes nothing. Files whose path names no hour are no archives.
+    a repeated call changes nothing. Files whose path names no hour are no archives, and
+    an hour is only recorded if files of it were listed and read.
     """
     hours = [row.hour for row in arrived.select(F.col("archive_hour").alias("hour")).distinct().collect() if row.hour]
     if hours:
         touched = spark.createDataFrame([(hour,) for hour in hours], "hour timestamp_ntz")
-        listed = list_archives(spark, source, min(hours), max(hours)).join(touched, "hour", "left_semi")
-        write_lake(flat_rows(read_lines(spark, [row.path for row in listed.collect()]), once), lake)
-        record_hours(touched, lake)
+        listed = list_archives(spark, source, min(hours), max(hours)).join(touched, "hour", "left_semi").collect()
+        if listed:
+            write_lake(flat_rows(read_lines(spark, [row.path for row in listed]), once), lake)
+            record_archives(spark, listed, lake)
+
+
+def append_files(spark: SparkSession, arrived: DataFrame, lake: str) -> None:
+    """Ingest the files of ``arrived`` (hour, file, size) that the lake doesn't have yet.
+
+    Each file is read once, whatever else its hour gets: its rows join those that are in
+    the hour's partitions. The ledger tells which files the lake has; hours that were
+    ingested as a whole before there was a ledger for them are complete. The commit is
+    named by the files, so a repeated call adds nothing, also after a call that died.
+    """
+    rows = arrived.select("hour", "file", "size").collect()  # one micro-batch's paths
+    if not rows:
+        return
+    commit = md5("\n".join(sorted(row.file for row in rows)).encode()).hexdigest()
+    files = spark.createDataFrame([tuple(row) for row in rows], "hour timestamp_ntz, file string, size bigint")
+    known = ledger(spark, lake).where(F.col("commit") != commit)
+    whole = ingested_hours(spark, lake, min(row.hour for row in rows), max(row.hour for row in rows))
+    whole = whole.join(known.select("hour").distinct(), "hour", "left_anti")
+    new = files.join(known.select("file"), "file", "left_anti").join(whole, "hour", "left_anti")
+    paths = [row.file for row in new.collect()]
+    raw = flat_rows(read_lines(spark, paths)) if paths else spark.createDataFrame([], RAW)
+    append_once(raw, lake, commit, new)

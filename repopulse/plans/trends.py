@@ -1,6 +1,7 @@
 """Raw lake to daily mart."""
 
 from datetime import date, datetime, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,9 +18,10 @@ def trends(raw: DataFrame) -> DataFrame:
     return repo_trends_daily(repo_daily_activity(raw))
 
 
-def build_mart(spark: SparkSession, lake: str, mart: str) -> None:
-    """Rebuild the mart from the whole lake."""
-    write_mart(trends(read_lake(spark, lake)), mart)
+def build_mart(spark: SparkSession, lake: str, mart: str, as_of: date | None = None, audit: bool = True) -> None:
+    """Rebuild the mart from the whole lake; publish it only if it passes its checks."""
+    checks = partial(mart_checks, as_of=as_of) if audit else None
+    write_mart(trends(read_lake(spark, lake)), mart, checks)
 
 
 def lake_checks(spark: SparkSession, lake: str, mart: str, now: datetime | None = None) -> DataFrame:

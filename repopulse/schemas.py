@@ -37,6 +37,9 @@ RAW = T.StructType(FLAT.fields + [T.StructField(name, T.StringType()) for name i
 # The record of the hours that were ingested.
 INGESTED = _struct("hour timestamp")
 
+# The archive files that were ingested one by one.
+LEDGER = _struct("hour timestamp, file string, size bigint, commit string")
+
 ACTIVITY = _struct(
     "repo_id bigint, repo_name string, event_date date, stars bigint,"
     "prs_opened bigint, prs_merged bigint, prs_closed_unmerged bigint"
@@ -46,5 +49,16 @@ MART = T.StructType(
     ACTIVITY.fields + _struct("pr_merge_rate double, stars_7d_rolling bigint").fields
 )
 
+# What an incremental refresh of the mart keeps beside it.
+COUNTS = _struct(
+    "repo_id bigint, event_date date, repo_name string, stars bigint,"
+    "prs_opened bigint, prs_merged bigint, prs_closed_unmerged bigint, lake_day string"
+)
+SEEN = _struct("lake_day string, files bigint, hash bigint")
+TOUCHED = _struct("repo_id bigint, event_date date")
+
+# Dense numbers of names and accounts.
+NUMBERS = _struct("value string, number bigint")
+
 REPO = _struct("repo_id bigint, full_name string, description string, language string, stars bigint")
 INDEX = T.StructType(REPO.fields + _struct("embedding vector").fields)

@@ -54,26 +54,20 @@ def hour_of_path(path: Column) -> Column:
     return F.when(hour < 24, day.cast("timestamp_ntz") + F.make_dt_interval(hours=hour))
 
 
-def _dated(first: datetime, last: datetime) -> str:
-    """Glob of the archives of all days (months, for long ranges) from first to last."""
-    days = (first.date() + timedelta(days=n) for n in range((last.date() - first.date()).days + 1))
-    kind = "%Y-%m-%d-" if last - first <= timedelta(days=31) else "%Y-%m-"
-    return "*{" + ",".join(dict.fromkeys(f"{day:{kind}}" for day in days)) + "}*"
-
-
 def list_archives(spark: SparkSession, folder: str, first: datetime, last: datetime) -> DataFrame:
-    """hour, path of the archives in a folder for hours from ``first`` to ``last``.
+    """hour, path, size of the archives below a folder for hours from ``first`` to ``last``.
 
-    Lists the files of that range, however many others there are, and reads none.
+    An archive is a file, or a folder of files, that is named by its hour, at any depth.
+    Names are listed and no file is read. Spark lists many folders in parallel.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     try:
-        found = files.load(f"{folder.rstrip('/')}/{_dated(first, last)}").select("path")
+        found = files.load(folder).select("path", "length")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        found = spark.createDataFrame([], "path string").where(F.lit(False))
-    listed = found.select(hour_of_path(F.col("path")).alias("hour"), "path")
+        found = spark.createDataFrame([], "path string, length bigint").where(F.lit(False))
+    listed = found.select(hour_of_path(F.col("path")).alias("hour"), "path", F.col("length").alias("size"))
     return listed.where(F.col("hour").between(moment(first), moment(last)))
 
 
@@ -104,3 +98,17 @@ def stream_lines(spark: SparkSession, folder: str, files_per_batch: int = 1000)
         .text(folder)
     )
     return _with_hour(lines)
+
+
+def stream_files(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
+    """hour, file, size of the gzip files that arrive in a folder; none of them is read."""
+    found = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
+        .option("maxFilesPerTrigger", files_per_batch)
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.gz")
+        .load(folder)
+    )
+    named = found.select(hour_of_path(F.col("path")).alias("hour"), F.col("path").alias("file"), F.col("length").alias("size"))
+    return named.where(F.col("hour").isNotNull())

@@ -1,10 +1,12 @@
 """The search index: repository metadata and its vector side by side in one table."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import INDEX
-from .tables import read_or_empty
+from .tables import file_system, move_files, read_or_empty
 
 
 def write_index(index: DataFrame, path: str) -> None:
@@ -14,14 +16,18 @@ def write_index(index: DataFrame, path: str) -> None:
     of the first new row. A vector of another length fails the write.
     """
     spark = index.sparkSession
-    known = read_index(spark, path).where("embedding is not null").select(F.size("embedding")).first()
-    known = known or index.where("embedding is not null").select(F.size("embedding")).first()
-    size = F.size("embedding")
-    if known:
-        message = F.concat(F.lit(f"the index has vectors of {known[0]} elements, not of "), size.cast("string"))
-        wrong = F.col("embedding").isNotNull() & (size != known[0])
-        index = index.withColumn("embedding", F.when(wrong, F.raise_error(message)).otherwise(F.col("embedding")))
-    index.to(INDEX).write.mode("append").option("compression", "snappy").parquet(path)
+    size, staged = F.size("embedding"), f"{path.rstrip('/')}/_staged/{uuid.uuid4().hex}"
+    # Encoded once: the rows are written aside, looked at, and moved in.
+    index.to(INDEX).write.option("compression", "snappy").parquet(staged)
+    new = read_index(spark, staged).where("embedding is not null").agg(F.min(size), F.max(size)).first()
+    known = read_index(spark, path).where("embedding is not null").select(size).first()
+    length = known[0] if known else new[0]
+    for found in new:
+        if found is not None and found != length:
+            files, place = file_system(spark, staged)
+            files.delete(place, True)
+            raise ValueError(f"the index has vectors of {length} elements, not of {found}")
+    move_files(spark, staged, path)
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:

@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.events import moment, zero_padded
-from ..schemas import INGESTED, PARTITIONS, RAW
-from .tables import read_or_empty
+from ..schemas import INGESTED, LEDGER, PARTITIONS, RAW
+from .tables import file_system, move_files, read_or_empty
 
 STAMP_FORMAT = "%Y%m%d%H"
 
@@ -102,6 +102,59 @@ def ingested_hours(spark: SparkSession, path: str, first: datetime, last: dateti
     return found.where(F.col("hour").between(moment(first), moment(last))).distinct()
 
 
+def _commit(path: str, commit: str) -> str:
+    return f"{path.rstrip('/')}/_commits/commit={commit}"
+
+
+def _staged(path: str, commit: str) -> str:
+    return f"{path.rstrip('/')}/_staged/{commit}"
+
+
+def committed(spark: SparkSession, path: str, commit: str) -> bool:
+    files, place = file_system(spark, _commit(path, commit))
+    return files.exists(place)
+
+
+def record_files(listed: DataFrame, path: str, commit: str) -> None:
+    """Commit: enter the archive files (hour, file, size) in the lake's ledger, at once."""
+    spark, new = listed.sparkSession, f"{_staged(path, commit)}-files"
+    listed.select("hour", "file", "size").coalesce(1).write.mode("overwrite").parquet(new)
+    files, source = file_system(spark, new)
+    _, target = file_system(spark, _commit(path, commit))
+    files.mkdirs(target.getParent())
+    if not files.rename(source, target):
+        raise OSError(f"could not commit {commit}")
+
+
+def ledger(spark: SparkSession, path: str) -> DataFrame:
+    """hour, file, size, commit: archive files that are in the lake, by the commit that read them."""
+    return read_or_empty(spark, f"{path.rstrip('/')}/_commits", LEDGER)
+
+
+def append_once(raw: DataFrame, path: str, commit: str, listed: DataFrame, compact: bool = False) -> None:
+    """Add rows to the lake's partitions; a repeated call with the same ``commit`` adds none.
+
+    Rows are written aside, the commit is recorded with the files it read, then the rows'
+    files move into their partitions. A call that died before the record starts anew, one
+    that died after it only finishes moving. Readers may see some partitions of a commit
+    before others, never a part of a file. ``compact`` is as for ``write_lake``.
+    """
+    spark = raw.sparkSession
+    if not committed(spark, path, commit):
+        if compact:
+            raw = raw.hint("rebalance", *PARTITIONS)
+        (
+            raw.to(RAW)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .option("compression", "snappy")
+            .partitionBy(*PARTITIONS)
+            .parquet(_staged(path, commit))
+        )
+        record_files(listed, path, commit)
+    move_files(spark, _staged(path, commit), path)
+
+
 def skip_existing(raw: DataFrame, written: DataFrame) -> DataFrame:
     """Rows whose (event_type, hour) partition is not in ``written`` yet.
 
