@@ -8,6 +8,7 @@ and every text's ids are verified against the SentencePiece library.
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache, partial
 from itertools import chain
@@ -21,6 +22,8 @@ from .tokens import SPACE, Distinct, PieceTable
 
 #: Texts are encoded in slices of about so many characters.
 SLICE = 1 << 20
+#: Distinct words that are encoded as one text.
+TOGETHER = 256
 
 
 def _model(path: str):
@@ -91,7 +94,7 @@ class Codec:
 
     def __init__(self, path: str, threads: int):
         import sentencepiece
-        from tokenizers import normalizers
+        from tokenizers import decoders, normalizers, pre_tokenizers
 
         # Read by the thread pool when it starts, which is at this process's first batch.
         os.environ["RAYON_NUM_THREADS"] = str(threads)
@@ -101,26 +104,68 @@ class Codec:
         self.table = PieceTable(path)
         if self.table.cuts:
             self.words = rebuild(path)
+            # Words with the space before them, one by one or many in a row.
             self.words.normalizer = normalizers.Replace(" ", SPACE)
-            self.distinct = Distinct(self.word_ids)
-
-    def word_ids(self, words: list[str]) -> list[bytes]:
-        found = self.words.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(one.ids, "<u4").tobytes() for one in found]
+            self.words.pre_tokenizer = pre_tokenizers.Split(SPACE, "merged_with_next")
+            self.words.decoder = decoders.Sequence([decoders.ByteFallback(), decoders.Fuse()])
+            self.single = rebuild(path)
+            self.single.normalizer = self.words.normalizer
+            pieces = map(self.library.id_to_piece, range(self.library.get_piece_size()))
+            self.starts = np.array([piece.startswith(SPACE) for piece in pieces])
+            self.distinct = Distinct(self.records)
+
+    def records(self, words: list[str]) -> list[tuple[bytes, str]]:
+        """Packed ids of each word and what they decode to.
+
+        Words with one space, before them, are encoded and decoded many at a time: pieces
+        that start with the space mark tell them apart.
+        """
+        plain = [word for word in words if word[0] == " " and word.count(" ") == 1 and SPACE not in word]
+        joined = ["".join(plain[at : at + TOGETHER]) for at in range(0, len(plain), TOGETHER)]
+        rows = [one.ids for one in self.words.encode_batch_fast(joined, add_special_tokens=False)]
+        ids = np.fromiter(chain.from_iterable(rows), "<u4")
+        cuts = np.flatnonzero(self.starts[ids])
+        back = [text.replace(SPACE, " ") for text in self.words.decode_batch(rows, skip_special_tokens=False)]
+        found = {}
+        if len(cuts) == len(plain) and back == joined:
+            raw, stops = ids.tobytes(), [*(4 * cuts[1:]).tolist(), 4 * len(ids)]
+            found = {word: (raw[4 * at : stop], word) for word, at, stop in zip(plain, cuts.tolist(), stops)}
+        others = [word for word in words if word not in found]
+        rows = [one.ids for one in self.single.encode_batch_fast(others, add_special_tokens=False)]
+        back = self.words.decode_batch(rows, skip_special_tokens=False)
+        for word, own, text in zip(others, rows, back):
+            found[word] = array("I", own).tobytes(), text.replace(SPACE, " ")
+        return [found[word] for word in words]
+
+    def known_words(self, texts: list[str]) -> list[list[tuple[bytes, str]]]:
+        """The records of each text's words, each distinct word looked up once."""
+        split = [self.table.split(text) for text in texts]
+        known = self.distinct.table(chain.from_iterable(split))
+        return [list(map(known.__getitem__, words)) for words in split]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if self.table.cuts:
-            split = [self.table.split(text) for text in texts]
-            known = self.distinct.table(chain.from_iterable(split))
-            return [np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4") for words in split]
+            return [np.frombuffer(b"".join([ids for ids, _ in own]), "<u4") for own in self.known_words(texts)]
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         # The library gives no ids for no text; the prefix would.
         return [np.array(one.ids if text else [], "<u4") for one, text in zip(found, texts)]
 
+    def round_trip(self, texts: list[str]) -> tuple[list[np.ndarray], list[str]]:
+        """The ids of each text, and what they decode to: the words' own, one after another."""
+        if not self.table.cuts:
+            ids = self.encode(texts)
+            return ids, self.decode([own.tolist() for own in ids])
+        ids, back = [], []
+        for own in self.known_words(texts):
+            packed, spelled = zip(*own) if own else ((), ())
+            ids.append(np.frombuffer(b"".join(packed), "<u4"))
+            back.append("".join(spelled).removeprefix(self.table.prefix))
+        return ids, back
+
     def parity(self, texts: list[str], ids: list[np.ndarray]) -> list[bool]:
         """Whether the library gives the same ids for each whole text."""
         theirs = self.library.encode(texts, num_threads=self.threads)
-        return [own.tolist() == other for own, other in zip(ids, theirs)]
+        return [own.tobytes() == array("I", other).tobytes() for own, other in zip(ids, theirs)]
 
     def decode(self, ids: list) -> list[str]:
         return self.tokenizer.decode_batch([list(own) for own in ids], skip_special_tokens=False)
@@ -186,8 +231,7 @@ def _round_trip(path: str, threads: int, batches: Iterator[pa.RecordBatch]) -> I
         texts = [text or "" for text in batch.column(1).to_pylist()]
         for start, stop in _slices(texts):
             part = texts[start:stop]
-            ids = codec.encode(part)
-            back = codec.decode([own.tolist() for own in ids])
+            ids, back = codec.round_trip(part)
             columns = [
                 batch.column(0).slice(start, stop - start),
                 pa.array([len(own) for own in ids], pa.int64()),
