@@ -1,18 +1,20 @@
 """Hierarchical Pitman-Yor language model over the words of a corpus.
 
-A word is drawn in the restaurant of its context, and contexts share the root as their
-parent: a table there is a customer of the root, whose base is uniform over the known
-words and one unknown. A context is the class of the word before: one of ``CLASSES`` by
-its ending, or the start of the text. Seatings are sampled by Gibbs sweeps; the
-predictive probabilities of several samples are averaged.
-
-All that belongs to a word, its counts, tables and root tables, lies in one place: the
-vocabulary is dealt to shards by a hash of the word, and a sweep is a map over the
-shards that needs of the others only the totals of the restaurants, a few numbers.
-Documents are read in chunks. A chunk numbers its distinct words and asks each shard
-once for each pair of class and word it has; what travels is packed arrays of numbers,
-one row for each chunk and shard, not a row for each token. A frequent word is one entry
-in each chunk, so no key is hot.
+A word is drawn in the restaurant of its context, the word before it or the start of the
+text. All contexts share one parent: a table there is a customer of the root, whose base
+is uniform over the known words and one unknown. Every word that something follows is a
+context, so a larger corpus has more of them. Seatings are sampled by Gibbs sweeps, and
+the predictive probabilities of several samples are averaged.
+
+All cells (context, word) of a word, and its tables at the root, are in the shard that
+the word's hash names; a shard is about a bounded part of the corpus, so there are more
+of them for more text. Documents are read in chunks. A chunk sends each shard its words
+and its distinct pairs with their counts, packed, so that a frequent pair is one entry
+for each chunk and no key is hot. A shard counts, sweeps and answers in one task. Of the
+other shards it would need totals: the tables of a context, the customers of the root.
+Since words are dealt by a hash, its own cells are a random sample of a context's, and
+what is elsewhere is estimated from them while seats are sampled. Probabilities are then
+computed with the exact totals, which shards send to the shard of the context.
 """
 
 import zlib
@@ -29,116 +31,136 @@ from pyspark.sql import functions as F
 
 from .common import materialised
 
-CLASSES = 64
-#: Bytes of text after which a chunk ends with the document.
-CHUNK_BYTES = 16 << 20
+#: Bytes of text after which a chunk ends with the document, and for which there is a shard.
+CHUNK_BYTES, SHARD_BYTES = 16 << 20, 12 << 20
 END = b"\n"  # no word has white space
-BURN_IN, SAMPLES = 2, 3
+BURN_IN, SAMPLES = 3, 3
 STRENGTH = 1.0
 PSEUDO_COUNT = 0.1
+#: Contexts are told apart by so many bits of their hash, words by all 64.
+CONTEXT_BITS = 40
+CONTEXT = np.uint64((1 << CONTEXT_BITS) - 1)
+START = np.uint64(xxhash.xxh3_64_intdigest(b" "))  # a context, no word
 
 
-def word_class(word: bytes) -> int:
-    """Class of the context that a word makes for the next; 0 is the start's."""
-    return 1 + xxhash.xxh3_64_intdigest(word[-3:]) % (CLASSES - 1)
+def word_key(word: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(word)
+
+
+def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
+    return ((keys & CONTEXT) % np.uint64(shards)).astype(np.int64)
 
 
 class Chunk:
-    """Documents of one task, numbered words, and counts of (word, class before) pairs."""
+    """Documents of one task: their words numbered, their pairs (word, word before) counted."""
 
     def __init__(self, number: int):
         self.number, self.bytes = number, 0
-        self.codes: dict[bytes, int] = {}
-        self.keys: list[int] = []
-        self.classes: list[int] = []
-        self.pairs: list[np.ndarray] = []
-        self.learned: list[np.ndarray] = []
-        self.code(END)
-
-    def code(self, word: bytes) -> int:
-        code = self.codes[word] = len(self.keys)
-        self.keys.append(xxhash.xxh3_64_intdigest(word))
-        self.classes.append(word_class(word))
-        return code
-
-    def add(self, text: str | None, learn: bool) -> np.ndarray:
+        self.codes: dict[bytes, int] = {b" ": 0, END: 1}
+        self.keys: list[int] = [int(START), word_key(END)]
+        self.ids: list[int | None] = []
+        self.learn: list[bool] = []
+        self.words: list[np.ndarray] = []
+
+    def add(self, doc_id: int | None, text: str | None, learn: bool) -> None:
         words = (text or "").encode().lower().split()  # white space of bytes: \\x20 and \\x09-\\x0D
-        words.append(END)
-        known, code = self.codes.get, self.code
-        own = [found if (found := known(word)) is not None else code(word) for word in words]
-        before = [0, *map(self.classes.__getitem__, own[:-1])]
-        codes = np.array(own, "<u4")
-        pairs = codes * CLASSES + np.array(before, "<u4")
+        codes = self.codes
+        for word in set(words).difference(codes):
+            codes[word] = len(self.keys)
+            self.keys.append(word_key(word))
+        own = np.fromiter(map(codes.__getitem__, words), np.uint32, len(words))
+        self.words.append(np.append(own, np.uint32(1)))
+        self.ids.append(doc_id)
+        self.learn.append(learn)
         self.bytes += len(text or "")
-        self.pairs.append(np.unique(pairs))
-        if learn:
-            self.learned.append(pairs)
-        return codes
-
-    def requests(self, shards: int) -> list[tuple]:
-        """For each shard: its words (codes, keys, classes), their pairs and training counts."""
-        pairs = np.unique(np.concatenate(self.pairs))
-        counts = np.zeros(len(pairs), np.int64)
-        if self.learned:
-            learned, times = np.unique(np.concatenate(self.learned), return_counts=True)
-            counts[np.searchsorted(pairs, learned)] = times
-        keys, classes = np.array(self.keys, np.uint64), np.array(self.classes, "u1")
-        shard = (keys % np.uint64(shards)).astype(np.int64)
-        of_pair = shard[pairs // CLASSES]
-        order, rows = np.argsort(shard, kind="stable"), np.argsort(of_pair, kind="stable")
-        word_ends = np.searchsorted(shard[order], np.arange(shards + 1))
-        pair_ends = np.searchsorted(of_pair[rows], np.arange(shards + 1))
-        found = []
-        for s in np.flatnonzero(np.diff(word_ends)):
-            own = order[word_ends[s] : word_ends[s + 1]]
-            row = rows[pair_ends[s] : pair_ends[s + 1]]
-            words = _squeeze_rising(own), keys[own].tobytes(), classes[own].tobytes()
-            found.append((int(s), *words, _squeeze_rising(pairs[row]), _squeeze(counts[row].astype("<u4"))))
-        return found
-
-
-def _chunks(shards: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of documents (``codes`` squeezed) and of requests (with ``shard``)."""
-    base, names = TaskContext.get().partitionId() << 24, [name for name, _ in _CHUNK_FIELDS]
-    chunk = Chunk(base)
-
-    def table(**columns) -> pa.RecordBatch:
-        length = len(next(iter(columns.values())))
-        arrays = [pa.array(columns.get(name, [None] * length), kind) for name, kind in _CHUNK_FIELDS]
-        return pa.RecordBatch.from_arrays(arrays, names)
-
-    def requests() -> Iterator[pa.RecordBatch]:
-        for values in chunk.requests(shards):
-            row = dict(zip(("shard", "codes", "keys", "classes", "pairs", "counts"), values))
-            yield table(chunk=[chunk.number], **{name: [value] for name, value in row.items()})
+
+    def packed(self, shards: int) -> tuple[dict, list[dict]]:
+        """The documents, and a request for each shard that has words of the chunk.
+
+        Words are renumbered by shard and key, so a shard's words, and the pairs of them,
+        are a range of the chunk's: answers go back to where the request began.
+        """
+        keys = np.array(self.keys, np.uint64)
+        shard = shard_of(keys, shards)
+        order = np.lexsort((keys, shard))
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        keys, shard = keys[order], shard[order]
+        lengths = np.array([len(own) for own in self.words])
+        words = rank[np.concatenate(self.words)]
+        before = np.empty_like(words)
+        before[1:] = words[:-1]
+        before[np.cumsum(lengths) - lengths] = rank[0]
+        pairs, places = np.unique(words << 32 | before, return_inverse=True)
+        learned = np.repeat(np.array(self.learn, bool), lengths)
+        counts = np.bincount(places[learned], minlength=len(pairs))
+        word, context = pairs >> 32, keys[pairs & 0xFFFFFFFF] & CONTEXT
+        each = np.bincount(word, minlength=len(keys))
+        word_ends = np.searchsorted(shard, np.arange(shards + 1))
+        pair_ends = np.append(0, np.cumsum(each))[word_ends]
+        requests = []
+        for s in np.flatnonzero(np.diff(word_ends)).tolist():
+            w, p = slice(word_ends[s], word_ends[s + 1]), slice(pair_ends[s], pair_ends[s + 1])
+            requests.append(
+                {
+                    "shard": s, "first_word": int(w.start), "first_pair": int(p.start),
+                    "keys": _squeeze_rising(keys[w]), "each": _squeeze(each[w].astype("<u4")),
+                    "contexts": _squeeze(context[p]), "counts": _squeeze(counts[p].astype("<u4")),
+                }
+            )
+        documents = {
+            "doc_id": self.ids, "learn": self.learn, "lengths": lengths, "places": _squeeze(places.astype("<u4")),
+            "words": _squeeze(each.astype("<u4")), "before": _squeeze((pairs & 0xFFFFFFFF).astype("<u4")),
+        }
+        return documents, requests
+
+
+_DOCUMENT_FIELDS = {
+    "doc_id": "array<long>", "learn": "array<boolean>", "lengths": "array<long>", "places": "binary", "words": "binary",
+    "before": "binary",
+}
+_REQUEST_FIELDS = {
+    "shard": "int", "first_word": "long", "first_pair": "long", "keys": "binary", "each": "binary",
+    "contexts": "binary", "counts": "binary",
+}
+_KINDS = {
+    "long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "boolean": pa.bool_(), "array<long>": pa.list_(pa.int64()),
+    "array<boolean>": pa.list_(pa.bool_()), "array<double>": pa.list_(pa.float64()), "string": pa.string(), "double": pa.float64(),
+}
+
+
+def _schema(fields: dict[str, str]) -> str:
+    return ", ".join(f"{name} {kind}" for name, kind in fields.items())
+
+
+def _table(rows: list[dict], fields: dict[str, str]) -> pa.Table:
+    columns = [pa.array([row.get(name) for row in rows], _KINDS[kind]) for name, kind in fields.items()]
+    return pa.table(columns, list(fields))
+
+
+_CHUNK_FIELDS = {"chunk": "long", **_REQUEST_FIELDS, **_DOCUMENT_FIELDS}
+
+
+def _chunks(shards: int, limit: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for the documents of each chunk, and one for each of its requests."""
+    chunk = Chunk(TaskContext.get().partitionId() << 24)
+
+    def rows() -> Iterator[pa.RecordBatch]:
+        documents, requests = chunk.packed(shards)
+        yield from _table([{"chunk": chunk.number, **documents}], _CHUNK_FIELDS).to_batches()
+        for at in range(0, len(requests), 256):
+            part = [{"chunk": chunk.number, **request} for request in requests[at : at + 256]]
+            yield from _table(part, _CHUNK_FIELDS).to_batches()
 
     for batch in batches:
         for at in range(0, batch.num_rows, 128):
-            ids, texts, learn = (batch.column(i).slice(at, 128).to_pylist() for i in range(3))
-            codes = [_squeeze(chunk.add(text, own)) for text, own in zip(texts, learn)]
-            yield table(chunk=[chunk.number] * len(ids), doc_id=ids, learn=learn, codes=codes)
-            if chunk.bytes >= CHUNK_BYTES:
-                yield from requests()
-                chunk = Chunk(chunk.number + 1)
-    if chunk.pairs:
-        yield from requests()
-
-
-_CHUNK_FIELDS = [
-    ("chunk", pa.int64()),
-    ("shard", pa.int32()),
-    ("doc_id", pa.int64()),
-    ("learn", pa.bool_()),
-    ("codes", pa.binary()),
-    ("keys", pa.binary()),
-    ("classes", pa.binary()),
-    ("pairs", pa.binary()),
-    ("counts", pa.binary()),
-]
-_CHUNK_SCHEMA = (
-    "chunk long, shard int, doc_id long, learn boolean,"
-    " codes binary, keys binary, classes binary, pairs binary, counts binary"
-)
+            for row in zip(*(batch.column(i).slice(at, 128).to_pylist() for i in range(3))):
+                chunk.add(*row)
+                if chunk.bytes >= limit:
+                    yield from rows()
+                    chunk = Chunk(chunk.number + 1)
+    if chunk.ids:
+        yield from rows()
 
 
 def _squeeze(numbers: np.ndarray) -> bytes:
@@ -153,260 +175,273 @@ def _unsqueeze(raw: bytes, kind: str) -> np.ndarray:
 
 
 def _squeeze_rising(numbers: np.ndarray) -> bytes:
-    return _squeeze(np.diff(numbers.astype("<u4"), prepend=np.uint32(0)))
+    return _squeeze(np.diff(numbers.astype("<u8"), prepend=np.uint64(0)))
 
 
 def _unsqueeze_rising(raw: bytes) -> np.ndarray:
-    return np.cumsum(_unsqueeze(raw, "<u4"), dtype=np.uint32)
-
-
-def _merge(table: pa.Table) -> pa.Table:
-    """A shard's vocabulary with training counts, every customer at the first table."""
-    keys, entries, counts = [], [], []
-    for row in table.to_pylist():
-        codes, pairs = _unsqueeze_rising(row["codes"]), _unsqueeze_rising(row["pairs"])
-        own = np.frombuffer(row["keys"], "<u8")
-        n = _unsqueeze(row["counts"], "<u4").astype(np.int64)
-        learned = n > 0
-        word = own[np.searchsorted(codes, pairs[learned] // CLASSES)]
-        keys.append(word)
-        entries.append((pairs[learned] % CLASSES).astype(np.int64))
-        counts.append(n[learned])
-    words, index = np.unique(np.concatenate(keys), return_inverse=True)
-    cells, index = np.unique(index * CLASSES + np.concatenate(entries), return_inverse=True)
-    n = np.bincount(index, np.concatenate(counts), len(cells)).astype(np.int64)
-    shard = Shard(
-        words, cells, n, np.minimum(n, 1), np.ones(len(words), np.int64), np.zeros(len(cells)), np.zeros((0, len(words)))
-    )
-    return shard.table(table.column("shard")[0].as_py(), shard.totals())
+    return np.cumsum(_unsqueeze(raw, "<u8"), dtype=np.uint64)
+
+
+def discount_of(counts: np.ndarray) -> float:
+    """From how many are one and how many are two, as for absolute discounting."""
+    one, two = int((counts == 1).sum()), int((counts == 2).sum())
+    return min(max(one / (one + 2 * two) if one else 0.5, 0.05), 0.95)
+
+
+def seat(n: np.ndarray, discount: float, new: np.ndarray, step: np.ndarray | float, rng) -> np.ndarray:
+    """Tables that ``n`` customers of one dish take, seated one after another.
+
+    With m seated at t tables the next opens one with odds ``new + step * t`` to
+    m - discount * t. From the 32nd on, customers come in groups of a sixteenth of those
+    seated and see the tables that were there before the group.
+    """
+    t, m = np.minimum(n, 1).astype(float), np.minimum(n, 1).astype(float)
+    left = np.flatnonzero(n > 1)
+    step = np.broadcast_to(step, n.shape)
+    while len(left):
+        group = np.minimum(np.maximum(1, m[left] // 16), n[left] - m[left])
+        odds = new[left] + step[left] * t[left]
+        opened = rng.binomial(group.astype(np.int64), odds / (odds + np.maximum(m[left] - discount * t[left], 1e-9)))
+        t[left] += opened
+        m[left] += group
+        left = left[m[left] < n[left]]
+    return t.astype(np.int64)
 
 
 @dataclass
 class Shard:
-    """``cells`` are word * CLASSES + class; ``n`` customers and ``t`` tables of each.
+    """Cells of the words of one shard: ``word`` and ``context`` numbers, ``n`` customers.
 
-    ``tau`` are a word's root tables; ``seated`` sums customers less discounts over the
-    samples, ``root`` has a row of the same for the root for each sample.
+    ``t`` and ``tau`` are tables of the cells and of the words at the root, in a row for
+    each sample. ``share`` of all shards is this one.
     """
 
-    words: np.ndarray
-    cells: np.ndarray
+    word: np.ndarray
+    context: np.ndarray
     n: np.ndarray
+    words: int
+    share: float
+    discount: float
+    root_discount: float
     t: np.ndarray
     tau: np.ndarray
-    seated: np.ndarray
-    root: np.ndarray
 
     @classmethod
-    def of(cls, row: dict) -> "Shard":
-        read = {name: _unsqueeze(row[name], kind) for name, kind in _SHARD_FIELDS.items()}
-        words = len(read["words"])
-        return cls(**read | {"root": read["root"].reshape(len(read["root"]) // max(words, 1), words)})
+    def count(cls, word: np.ndarray, context: np.ndarray, n: np.ndarray, words: int, share: float) -> "Shard":
+        """Unseated cells with ``n`` customers each."""
+        nothing = np.zeros((0, 0), np.int64)
+        root = discount_of(np.bincount(word, minlength=words))
+        return cls(word, context, n, words, share, discount_of(n), root, nothing, nothing)
+
+    def sample(self, burn_in: int, samples: int, seed: int) -> None:
+        """Gibbs sweeps: every customer of every cell, and of the root, is seated anew.
+
+        The tables of a context elsewhere, and the totals of the root, are those here over
+        the share of this shard.
+        """
+        rng = np.random.default_rng([seed, len(self.n)])
+        contexts = int(self.context.max()) + 1 if len(self.n) else 0
+        t = np.minimum(self.n, 1)
+        at_root = np.bincount(self.word, t, self.words)
+        tau = np.minimum(at_root, 1).astype(np.int64)
+        scale, kept, kept_root = 1 / self.share, [], []
+        base = 1 / (scale * max((at_root > 0).sum(), 1) + 1)
+        for turn in range(burn_in + samples):
+            here = np.bincount(self.context, t, contexts)
+            elsewhere = scale * (here[self.context] - t)
+            others = at_root[self.word] - t
+            total, tables = scale * at_root.sum(), scale * tau.sum()
+            seated = np.maximum(others - self.root_discount * np.minimum(tau[self.word], others), 0)
+            parent = (seated + (STRENGTH + self.root_discount * tables) * base) / (STRENGTH + total)
+            new = (STRENGTH + self.discount * elsewhere) * parent
+            t = seat(self.n, self.discount, new, self.discount * parent, rng)
+            at_root = np.bincount(self.word, t, self.words).astype(np.int64)
+            new = (STRENGTH + self.root_discount * np.maximum(scale * tau.sum() - tau, 0)) * base
+            tau = seat(at_root, self.root_discount, new, self.root_discount * base, rng)
+            if turn >= burn_in:
+                kept.append(t)
+                kept_root.append(tau)
+        self.t = np.array(kept).reshape(samples, len(self.n))
+        self.tau = np.array(kept_root).reshape(samples, self.words)
+
+    def seated(self) -> np.ndarray:
+        """Customers less discounts of each cell, on average over the samples."""
+        return self.n - self.discount * self.t.mean(axis=0) if len(self.n) else np.zeros(0)
 
     def at_root(self) -> np.ndarray:
-        """Customers of each word at the root: its tables."""
-        return np.bincount(self.cells // CLASSES, self.t, len(self.words))
+        """Customers less discounts of each word at the root, a row for each sample."""
+        tables = np.array([np.bincount(self.word, t, self.words) for t in self.t]).reshape(len(self.t), self.words)
+        return tables - self.root_discount * self.tau
+
+    def totals(self) -> np.ndarray:
+        """This shard's known words and tokens, and for each sample the root's customers and discounts."""
+        known = (np.bincount(self.word, minlength=self.words) > 0).sum()
+        return np.concatenate([[known, self.n.sum()], self.t.sum(axis=1), self.root_discount * self.tau.sum(axis=1)])
 
-    def totals(self) -> list[float]:
-        """This shard's part of ``Totals``."""
-        of = self.cells % CLASSES
-        c = np.bincount(self.cells // CLASSES, self.n, len(self.words))
-        totals = [len(self.words), self.n.sum(), self.tau.sum(), (self.n == 1).sum(), (self.n == 2).sum()]
-        totals += [(c == 1).sum(), (c == 2).sum()]
-        return [float(x) for x in (*totals, *np.bincount(of, self.n, CLASSES), *np.bincount(of, self.t, CLASSES))]
 
-    def table(self, number: int, totals: list[float]) -> pa.Table:
-        columns = {name: [_squeeze(getattr(self, name).astype(kind))] for name, kind in _SHARD_FIELDS.items()}
-        columns |= {"totals": [totals], "shard": [number]}
-        return pa.table(columns).select(["shard", "totals", *_SHARD_FIELDS]).cast(_SHARD_ARROW)
+_ANSWER_FIELDS = {
+    "shard": "int", "chunk": "long", "first_word": "long", "first_pair": "long", "scores": "binary", "asked": "binary",
+    "counts": "binary", "root": "binary", "contexts": "binary", "customers": "binary", "masses": "binary",
+    "totals": "array<double>",
+}
 
 
-_SHARD_FIELDS = {"words": "<u8", "cells": "<i8", "n": "<i8", "t": "<i8", "tau": "<i8", "seated": "<f4", "root": "<f4"}
-_SHARD_ARROW = pa.schema(
-    [("shard", pa.int32()), ("totals", pa.list_(pa.float64())), *((name, pa.binary()) for name in _SHARD_FIELDS)]
-)
-_SHARD_SCHEMA = "shard int, totals array<double>, " + ", ".join(f"{name} binary" for name in _SHARD_FIELDS)
+def _sample(shards: int, requests: pa.Table) -> pa.Table:
+    """One shard: what its words and its chunks get, and what it has of each context.
+
+    Rows are answers (with ``chunk``), the shard's words (with ``totals``) and its part of
+    the contexts, which goes to the shard of each context.
+    """
+    rows = requests.to_pylist()
+    keys = [_unsqueeze_rising(row["keys"]) for row in rows]
+    words, places = np.unique(np.concatenate(keys), return_inverse=True)
+    ends = np.cumsum([len(own) for own in keys])
+    asked = np.split(places, ends[:-1])
+    each = [_unsqueeze(row["each"], "<u4") for row in rows]
+    contexts = np.concatenate([_unsqueeze(row["contexts"], "<u8") for row in rows])
+    counts = np.concatenate([_unsqueeze(row["counts"], "<u4") for row in rows]).astype(np.int64)
+    word = np.concatenate([np.repeat(own, times) for own, times in zip(asked, each)])
+    known, context = np.unique(contexts, return_inverse=True)
+    cells, place = np.unique(word << np.int64(CONTEXT_BITS) | context, return_inverse=True)
+    n = np.bincount(place, counts, len(cells)).astype(np.int64)
+    some = n > 0
+    cell_word, cell_context = (cells >> CONTEXT_BITS)[some], (cells & ((1 << CONTEXT_BITS) - 1))[some]
+    shard = Shard.count(cell_word, cell_context, n[some], len(words), 1 / shards)
+    number = rows[0]["shard"]
+    shard.sample(BURN_IN, SAMPLES, number)
+    seated = np.zeros(len(cells))
+    seated[some] = shard.seated()
+    out, at = [], 0
+    for row, own in zip(rows, asked):
+        size = int(_unsqueeze(row["each"], "<u4").sum())
+        answer = {name: row[name] for name in ("chunk", "first_word", "first_pair")}
+        scores = _squeeze(seated[place[at : at + size]].astype("<f4"))
+        out.append({"shard": number, **answer, "scores": scores, "asked": _squeeze(own.astype("<u4"))})
+        at += size
+    word_counts = np.bincount(cell_word, shard.n, len(words)).astype("<u4")
+    out.append(
+        {
+            "shard": number, "asked": _squeeze_rising(words), "counts": _squeeze(word_counts),
+            "root": _squeeze(shard.at_root().astype("<f4").ravel()), "totals": shard.totals(),
+        }
+    )
+    customers = np.bincount(cell_context, shard.n, len(known)).astype("<u4")
+    masses = np.array([np.bincount(cell_context, t, len(known)) for t in shard.t]) * shard.discount
+    target = shard_of(known, shards)
+    order = np.lexsort((known, target))
+    order = order[customers[order] > 0]
+    stops = np.searchsorted(target[order], np.arange(shards + 1))
+    for s in np.flatnonzero(np.diff(stops)).tolist():
+        own = order[stops[s] : stops[s + 1]]
+        part = {"contexts": _squeeze_rising(known[own]), "customers": _squeeze(customers[own])}
+        out.append({"shard": s, **part, "masses": _squeeze(masses[:, own].astype("<f4").ravel())})
+    return _table(out, _ANSWER_FIELDS)
+
+
+_REPLY_FIELDS = {
+    "chunk": "long", "first_word": "long", "counts": "binary", "root": "binary", "customers": "binary", "masses": "binary",
+}
+
+
+def _reply(answers: pa.Table) -> pa.Table:
+    """What chunks get of one shard's words: counts, root, and totals as contexts."""
+    rows = answers.to_pylist()
+    own = next(row for row in rows if row["totals"] is not None)
+    words = _unsqueeze_rising(own["asked"])
+    counts = _unsqueeze(own["counts"], "<u4")
+    root = _unsqueeze(own["root"], "<f4").reshape(SAMPLES, -1)
+    order = np.argsort(words & CONTEXT, kind="stable")
+    rising = (words & CONTEXT)[order]
+    customers, masses = np.zeros(len(words), np.int64), np.zeros((SAMPLES, len(words)))
+    for row in rows:
+        if row["customers"] is not None:
+            # Every context is a word of some chunk, or the start, and so has a row here.
+            at = order[np.searchsorted(rising, _unsqueeze_rising(row["contexts"]))]
+            customers[at] += _unsqueeze(row["customers"], "<u4")
+            masses[:, at] += _unsqueeze(row["masses"], "<f4").reshape(SAMPLES, -1)
+    out = []
+    for row in rows:
+        if row["chunk"] is not None:
+            asked = _unsqueeze(row["asked"], "<u4")
+            reply = {name: row[name] for name in ("chunk", "first_word")}
+            reply |= {"counts": _squeeze(counts[asked]), "root": _squeeze(root[:, asked].ravel())}
+            reply |= {"customers": _squeeze(customers[asked].astype("<u4")), "masses": _squeeze(masses[:, asked].astype("<f4").ravel())}
+            out.append(reply)
+    return _table(out, _REPLY_FIELDS)
 
 
 @dataclass
 class Totals:
-    """What the shards must know of each other: sums over all of them."""
+    """Sums over all shards; for each sample the root's customers and discounts."""
 
     vocabulary: float
     tokens: float
-    root_tables: float
-    discount: float
-    root_discount: float
     customers: np.ndarray
-    tables: np.ndarray
+    discounts: np.ndarray
 
     @classmethod
-    def of(cls, shards: DataFrame) -> list["Totals"]:
-        """The sums, once for each round that the shards hold totals of."""
-        sums = shards.select(F.posexplode("totals").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).collect()
-        size = 7 + 2 * CLASSES
-        flat = np.zeros(max([size, *(row["i"] + 1 for row in sums)]))
+    def of(cls, answers: DataFrame) -> "Totals":
+        """From as many numbers as there are shards times samples, summed before they are fetched."""
+        sums = answers.select(F.posexplode("totals").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).collect()
+        flat = np.zeros(2 + 2 * SAMPLES)
         for row in sums:
             flat[row["i"]] = row["x"]
-        found = []
-        for x in flat.reshape(-1, size):
-            share = [(a / (a + 2 * b) if a else 0.5) for a, b in ((x[3], x[4]), (x[5], x[6]))]
-            share = [min(max(d, 0.05), 0.95) for d in share]
-            found.append(cls(x[0], x[1], x[2], *share, x[7 : 7 + CLASSES], x[7 + CLASSES :]))
-        return found
-
-    def base(self) -> float:
-        return 1 / (self.vocabulary + 1)
+        return cls(flat[0], flat[1], flat[2 : 2 + SAMPLES], flat[2 + SAMPLES :])
 
     def root(self, seated: np.ndarray) -> np.ndarray:
-        """Predictive probability at the root, given customers less discounts."""
-        new = (STRENGTH + self.root_discount * self.root_tables) * self.base()
-        return (seated + new) / (STRENGTH + self.tables.sum())
+        """Probabilities at the root, from customers less discounts, a row for each sample."""
+        new = (STRENGTH + self.discounts) / (self.vocabulary + 1)
+        return (seated + new[:, None]) / (STRENGTH + self.customers)[:, None]
 
 
-def seat(n: np.ndarray, discount: float, new: np.ndarray, step: np.ndarray | float, rng) -> np.ndarray:
-    """Tables that ``n`` customers of one dish take, seated one after another.
+def probabilities(
+    seated: np.ndarray, word: np.ndarray, context: np.ndarray, root: np.ndarray, customers: np.ndarray, masses: np.ndarray
+) -> np.ndarray:
+    """Predictive probabilities of pairs, averaged over samples.
 
-    With m seated at t tables the next opens one with odds ``new + step * t`` to
-    m - discount * t. From the 32nd on, customers come in groups of a sixteenth of those
-    seated and see the tables that were there before the group.
+    ``seated`` are a pair's mean customers less discounts; ``root`` has a row of
+    probabilities of words and ``masses`` one of discounts of contexts for each sample.
     """
-    t, m = np.minimum(n, 1).astype(float), np.minimum(n, 1).astype(float)
-    left = np.flatnonzero(n > 1)
-    step = np.broadcast_to(step, n.shape)
-    while len(left):
-        group = np.minimum(np.maximum(1, m[left] // 16), n[left] - m[left])
-        odds = new[left] + step[left] * t[left]
-        opened = rng.binomial(group.astype(np.int64), odds / (odds + np.maximum(m[left] - discount * t[left], 1e-9)))
-        t[left] += opened
-        m[left] += group
-        left = left[m[left] < n[left]]
-    return t.astype(np.int64)
+    new = ((STRENGTH + masses[:, context]) * root[:, word]).mean(axis=0)
+    return (seated + new) / (STRENGTH + customers[context])
 
 
-def sweep(shard: Shard, totals: Totals, sample: bool, seed: int) -> Shard:
-    """Reseats every customer of the shard once, given the rest of the corpus."""
-    rng = np.random.default_rng([seed, int(shard.words[0] % np.uint64(1 << 32)) if len(shard.words) else 0])
-    word, of = shard.cells // CLASSES, shard.cells % CLASSES
-    at_root = shard.at_root()
-    others = at_root[word] - shard.t
-    discounts = totals.root_discount * np.minimum(shard.tau[word], others)
-    parent = totals.root(np.maximum(others - discounts, 0))
-    rest = np.maximum(totals.tables[of] - shard.t, 0)
-    new, step = (STRENGTH + totals.discount * rest) * parent, totals.discount * parent
-    t = seat(shard.n, totals.discount, new, step, rng)
-    at_root = np.bincount(word, t, len(shard.words)).astype(np.int64)
-    rest = np.maximum(totals.root_tables - shard.tau, 0)
-    new = (STRENGTH + totals.root_discount * rest) * totals.base()
-    tau = seat(at_root, totals.root_discount, new, totals.root_discount * totals.base(), rng)
-    seated, root = shard.seated, shard.root
-    if sample:
-        seated = seated + (shard.n - totals.discount * t)
-        root = np.vstack([root, at_root - totals.root_discount * tau])
-    return Shard(shard.words, shard.cells, shard.n, t, tau, seated, root)
-
-
-def _sweeps(totals: Totals, turns: range, sample: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Several sweeps of each shard; the totals of the last one or of every sample."""
-    for batch in batches:
-        for row in batch.to_pylist():
-            shard, sums = Shard.of(row), []
-            for turn in turns:
-                shard = sweep(shard, totals, sample, turn)
-                sums = sums + shard.totals() if sample else shard.totals()
-            yield from shard.table(row["shard"], sums).to_batches()
+_SCORE_FIELDS = {
+    "doc_id": "long", "held_out": "boolean", "n_tokens": "long", "n_known": "long", "train_tokens": "long",
+    "base_score": "double", "score": "double",
+}
 
 
-def learn(requests: DataFrame) -> tuple[DataFrame, list[Totals]]:
-    """The shards of the vocabulary, with their samples, and the totals of each sample.
-
-    Shards go by the totals of the round before: counting, burning in and sampling are
-    a round each, and each round writes the vocabulary.
-    """
-    requests = requests.select("shard", "codes", "keys", "pairs", "counts")
-    shards = materialised(requests.groupBy("shard").applyInArrow(_merge, _SHARD_SCHEMA), "lm-shards")
-    for turns, sample in ((range(BURN_IN), False), (range(BURN_IN, BURN_IN + SAMPLES), True)):
-        step = partial(_sweeps, Totals.of(shards)[-1], turns, sample)
-        shards = materialised(shards.mapInArrow(step, _SHARD_SCHEMA), "lm-shards")
-    return shards, Totals.of(shards)
-
-
-def _answer(samples: list[Totals], requests: pa.Table, model: pa.Table) -> pa.Table:
-    """Counts of a chunk's words and log10 probabilities of its pairs."""
-    # Every shard that is asked has a row, if only with no words.
-    shard = Shard.of(model.to_pylist()[0])
-    size, root = len(shard.words), shard.root if len(shard.words) else np.zeros((len(samples), 0))
-    counts = np.append(np.bincount(shard.cells // CLASSES, shard.n, size), 0).astype("<i8")
-    parents = [totals.root(np.append(own, 0)) for totals, own in zip(samples, root)]
-    masses = [STRENGTH + totals.discount * totals.tables for totals in samples]
-    room = STRENGTH + samples[0].customers
-    out = {name: [] for name in _ANSWER_ARROW.names}
-    for row in requests.to_pylist():
-        codes, pairs = _unsqueeze_rising(row["codes"]), _unsqueeze_rising(row["pairs"]).astype(np.int64)
-        at = _places(shard.words, np.frombuffer(row["keys"], "<u8"), size)
-        word, of = at[np.searchsorted(codes, pairs // CLASSES)], pairs % CLASSES
-        total = sum(parent[word] * mass[of] for parent, mass in zip(parents, masses))
-        cell = _places(shard.cells, word * CLASSES + of, len(shard.cells))
-        total += np.append(shard.seated, 0)[cell]
-        row["counts"] = _squeeze(counts[at])
-        row["scores"] = _squeeze(np.log10(total / len(samples) / room[of]).astype("<f4"))
-        for name, column in out.items():
-            column.append(row[name])
-    return pa.table(out, _ANSWER_ARROW)
-
-
-def _places(rising: np.ndarray, wanted: np.ndarray, absent: int) -> np.ndarray:
-    """Where each wanted value is, ``absent`` if it isn't there."""
-    at = np.searchsorted(rising, wanted)
-    there = at < len(rising)
-    there[there] = rising[at[there]] == wanted[there]
-    return np.where(there, at, absent)
-
-
-_ANSWER_ARROW = pa.schema(
-    [("chunk", pa.int64()), *((name, pa.binary()) for name in ("codes", "classes", "counts", "pairs", "scores"))]
-)
-_ANSWER_SCHEMA = "chunk long, codes binary, classes binary, counts binary, pairs binary, scores binary"
-
-
-def _score(tokens: float, vocabulary: float, docs: pa.Table, answers: pa.Table) -> pa.Table:
+def _score(totals: Totals, documents: pa.Table, replies: pa.Table) -> pa.Table:
     """Scores of a chunk's documents."""
-    rows = answers.to_pylist()
-    codes = np.concatenate([_unsqueeze_rising(row["codes"]) for row in rows])
-    pairs = np.concatenate([_unsqueeze_rising(row["pairs"]) for row in rows])
-    counts, classes = np.zeros(len(codes), np.int64), np.zeros(len(codes), "<u4")
-    counts[codes] = np.concatenate([_unsqueeze(row["counts"], "<i8") for row in rows])
-    classes[codes] = np.concatenate([np.frombuffer(row["classes"], "u1") for row in rows])
-    base = np.log10((counts + PSEUDO_COUNT) / (tokens + PSEUDO_COUNT * (vocabulary + 1)))
-    order = np.argsort(pairs)
-    pairs = pairs[order]
-    scores = np.concatenate([_unsqueeze(row["scores"], "<f4") for row in rows]).astype(float)[order]
-    found = []
-    for part in docs.to_batches(max_chunksize=256):
-        for doc_id, learned, raw in zip(*(part.column(name).to_pylist() for name in ("doc_id", "learn", "codes"))):
-            words = _unsqueeze(raw, "<u4")
-            own = words * CLASSES
-            own[1:] += classes[words[:-1]]
-            score = float(scores[np.searchsorted(pairs, own)].sum())
-            known = int((counts[words] > 0).sum())
-            found.append((doc_id, not learned, len(words), known, int(tokens), float(base[words].sum()), score))
-    return pa.table([list(column) for column in zip(*found)], _SCORE_ARROW)
-
-
-_SCORE_ARROW = pa.schema(
-    [
-        ("doc_id", pa.int64()),
-        ("held_out", pa.bool_()),
-        ("n_tokens", pa.int64()),
-        ("n_known", pa.int64()),
-        ("train_tokens", pa.int64()),
-        ("base_score", pa.float64()),
-        ("score", pa.float64()),
-    ]
-)
-_SCORE_SCHEMA = (
-    "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-)
+    row = documents.to_pylist()[0]
+    each, before = _unsqueeze(row["words"], "<u4"), _unsqueeze(row["before"], "<u4")
+    size, pairs = len(each), len(before)
+    counts, customers = np.zeros(size, np.int64), np.zeros(size, np.int64)
+    root, masses, seated = np.zeros((SAMPLES, size)), np.zeros((SAMPLES, size)), np.zeros(pairs)
+    for reply in replies.to_pylist():
+        if reply["scores"] is not None:
+            scores = _unsqueeze(reply["scores"], "<f4")
+            seated[reply["first_pair"] : reply["first_pair"] + len(scores)] = scores
+            continue
+        own = _unsqueeze(reply["counts"], "<u4")
+        at = slice(reply["first_word"], reply["first_word"] + len(own))
+        counts[at], customers[at] = own, _unsqueeze(reply["customers"], "<u4")
+        root[:, at] = _unsqueeze(reply["root"], "<f4").reshape(SAMPLES, -1)
+        masses[:, at] = _unsqueeze(reply["masses"], "<f4").reshape(SAMPLES, -1)
+    word = np.repeat(np.arange(size), each)
+    score = np.log10(probabilities(seated, word, before, totals.root(root), customers, masses))
+    base = np.log10((counts + PSEUDO_COUNT) / (totals.tokens + PSEUDO_COUNT * (totals.vocabulary + 1)))[word]
+    places, lengths = _unsqueeze(row["places"], "<u4"), np.array(row["lengths"])
+    stops = np.cumsum(lengths)
+    starts = stops - lengths
+    known = (counts[word] > 0).astype(np.int64)
+    known, base, score = (np.add.reduceat(values[places], starts) for values in (known, base, score))
+    out = {
+        "doc_id": row["doc_id"], "held_out": [not learned for learned in row["learn"]], "n_tokens": lengths,
+        "n_known": known, "train_tokens": np.full(len(lengths), int(totals.tokens)), "base_score": base, "score": score,
+    }
+    return pa.table([pa.array(out[name], _KINDS[kind]) for name, kind in _SCORE_FIELDS.items()], list(_SCORE_FIELDS))
 
 
 def score_documents(docs: DataFrame, learn_from: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -415,28 +450,31 @@ def score_documents(docs: DataFrame, learn_from: Column, doc_id: str = "doc_id",
     Returns ``doc_id``, ``held_out`` (not learned from), ``n_tokens`` (words and an end),
     ``n_known`` (seen in training), ``train_tokens``, ``base_score`` (words drawn alone,
     counts raised by 0.1, one unknown word) and ``score``. Words are cut at ASCII white
-    space, A-Z in lower case, and known by a 64-bit hash. The perplexity of documents is
-    ``10 ** (-sum(score) / sum(n_tokens))``.
+    space, A-Z in lower case, and known by a 64-bit hash, contexts by 40 bits of it. The
+    perplexity of documents is ``10 ** (-sum(score) / sum(n_tokens))``.
 
     Null and empty texts are an end only. Repeated rows and ids are separate documents;
     null ids are carried along, a null condition counts as false. An empty table gives
     an empty one. Without rows to learn from every word is unknown. Other columns of
     ``docs`` aren't read, so their names can't clash.
 
-    There are as many shards as shuffle partitions; a shard's words must fit in a task.
+    There is a shard for each ``SHARD_BYTES`` of text; a chunk and a shard are one task's.
     """
-    spark = docs.sparkSession
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"),
         F.col(text).cast("string").alias("text"),
         F.coalesce(learn_from, F.lit(False)).alias("learn"),
     )
-    chunks = materialised(rows.mapInArrow(partial(_chunks, shards), _CHUNK_SCHEMA), "lm-chunks")
-    requests = chunks.where("shard is not null").select("chunk", "shard", "codes", "keys", "classes", "pairs", "counts")
-    model, samples = learn(requests)
-    answer = partial(_answer, samples)
-    answers = requests.drop("counts").groupBy("shard").cogroup(model.groupBy("shard")).applyInArrow(answer, _ANSWER_SCHEMA)
-    texts = chunks.where("shard is null").select("chunk", "doc_id", "learn", "codes")
-    score = partial(_score, samples[-1].tokens, samples[-1].vocabulary)
-    return texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(score, _SCORE_SCHEMA)
+    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    shards = max(1, -(-size // SHARD_BYTES))
+    chunks = materialised(rows.mapInArrow(partial(_chunks, shards, CHUNK_BYTES), _schema(_CHUNK_FIELDS)), "lm-chunks")
+    requests = chunks.where("shard is not null").select("chunk", *_REQUEST_FIELDS)
+    sampled = requests.groupBy("shard").applyInArrow(lambda table: _sample(shards, table), _schema(_ANSWER_FIELDS))
+    answers = materialised(sampled, "lm-shards")
+    totals = Totals.of(answers)
+    scores = answers.where("chunk is not null").select("chunk", "first_pair", "scores")
+    replies = answers.drop("scores", "first_pair").groupBy("shard").applyInArrow(_reply, _schema(_REPLY_FIELDS))
+    replies = replies.unionByName(scores, allowMissingColumns=True)
+    texts = chunks.where("shard is null").select("chunk", *_DOCUMENT_FIELDS)
+    both = texts.groupBy("chunk").cogroup(replies.groupBy("chunk"))
+    return both.applyInArrow(lambda one, other: _score(totals, one, other), _schema(_SCORE_FIELDS))
