@@ -56,7 +56,7 @@ def changed_days(spark: SparkSession, now: DataFrame, mart: str) -> list[str]:
     before = read_or_empty(spark, _state(mart, "seen"), SEEN).withColumnsRenamed({"files": "files_before", "hash": "before"})
     both = now.join(before, "lake_day", "full")
     differs = ~(F.col("hash").eqNullSafe(F.col("before")) & F.col("files").eqNullSafe(F.col("files_before")))
-    return [row.lake_day for row in both.where(differs).select("lake_day").collect()]
+    return sorted(row.lake_day for row in both.where(differs).select("lake_day").collect())
 
 
 def _write_state(df: DataFrame, mart: str, name: str) -> None:

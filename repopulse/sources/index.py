@@ -2,6 +2,7 @@
 
 import uuid
 
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +27,7 @@ def write_index(index: DataFrame, path: str) -> None:
         if found is not None and found != length:
             files, place = file_system(spark, staged)
             files.delete(place, True)
-            raise ValueError(f"the index has vectors of {length} elements, not of {found}")
+            raise SparkRuntimeException(f"the index has vectors of {length} elements, not of {found}")
     move_files(spark, staged, path)
 
 

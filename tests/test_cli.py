@@ -56,6 +56,17 @@ def test_jobs(spark, tmp_path, folder, capsys):
     main(["search", "--index", index, "--model", model, "text number 2"])
     shown = capsys.readouterr().out
     assert all(f"o/r{n}" in shown for n in range(3))
+    pipeline, hashed = folder("pipeline"), folder("hashed")
+    main(["fit", "--repos", repos, "--model", pipeline, "--spark-ml"])
+    main(["embed", "--mart", mart, "--repos", repos, "--index", hashed, "--model", pipeline])
+    main(["refresh", "--lake", lake, "--mart", folder("refreshed")])
+    assert f"{first:%Y-%m-%d}" in capsys.readouterr().out
+    appended = folder("appended")
+    main(["stream", "--source", str(source), "--lake", appended, "--checkpoint", folder("checkpoint"), "--append"])
+    distinct = folder("distinct")
+    main(["stream", "--source", str(source), "--lake", distinct, "--checkpoint", folder("checkpoint"), "--distinct", "6 hours"])
+    assert "late events dropped: 0" in capsys.readouterr().out
+    assert spark.read.parquet(appended).count() == spark.read.parquet(distinct).count() == 40
     own = folder("own")
     main(["embed", "--mart", mart, "--repos", repos, "--index", own, "--model", "tests.test_cli:load_lengths"])
     main(["search", "--index", own, "--model", "tests.test_cli:load_lengths", "text number 2"])

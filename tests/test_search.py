@@ -5,7 +5,7 @@ from pyspark.errors import PythonException, SparkRuntimeException
 from pyspark.sql import functions as F
 
 from repopulse.functions.vectors import unit
-from repopulse.operators import search
+from repopulse.operators import cells, embedding, search
 from repopulse.schemas import INDEX
 from repopulse.sources.index import read_index, write_index
 
@@ -121,7 +121,7 @@ def test_mixed_lengths_are_an_error(spark, folder):
 
 
 def test_no_text_leaves_the_scoring(spark, vectors):
-    scored = search._scorer(pa.array([0]), np.ones((1, 2)), 1, "repo_id")
+    scored = search._scorer({None: [(pa.array([0]), np.ones((1, 2)))]}, 1, "repo_id")
     table = pa.table({"repo_id": [3, 4], "embedding": [[1.0, 0.0], [1.0, 1.0]]})
     (best,) = scored(table.to_batches())
     assert best.schema.names == ["query_id", "repo_id", "similarity"]
@@ -137,3 +137,68 @@ def test_display_defaults(spark):
         ("c/d", "Unknown", 5, 1.0, "_no description_"),
         ("e/f", "go", 7, 0.5, "x"),
     ]
+
+
+def test_more_queries_than_one_scan_takes(spark, vectors, monkeypatch):
+    """Several scans, whose keys are written before they are joined: the same rows."""
+    index, queries = make_index(spark, vectors).repartition(4), make_queries(spark, vectors[:30] + 0.1)
+    once = search.semantic_search_batch(index, queries, k=5).collect()
+    monkeypatch.setattr(search, "SCAN", 8)
+    assert sorted(search.semantic_search_batch(index, queries, k=5).collect()) == sorted(once)
+
+
+def test_an_index_is_encoded_once(spark, folder):
+    """Looking at the vectors' length doesn't run the encoder again."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def load():
+        def model(texts):
+            seen.add(len(texts))
+            return [[len(text), 1.0] for text in texts]
+
+        return model
+
+    texts = make_index(spark, [[0, 0]] * 20).drop("embedding").withColumn("text", F.col("description"))
+    encoded = embedding.index_rows(embedding.encode(texts, embedding.model_encoder(load)))
+    path = folder("index")
+    write_index(encoded, path)
+    assert seen.value == 20 and read_index(spark, path).count() == 20
+
+
+@pytest.fixture(scope="module")
+def clustered():
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(12, 16))
+    return np.concatenate([centre + 0.15 * rng.normal(size=(80, 16)) for centre in centres]).round(3)
+
+
+def test_cells(spark, folder, clustered):
+    path = folder("cells")
+    index = make_index(spark, [*clustered, None, [0] * 16]).repartition(6)
+    centroids = cells.fit_cells(index, cells=12, sample=400)
+    assert len(centroids) <= 12 and np.allclose(np.linalg.norm(centroids, axis=1), 1)
+    cells.write_cells(index.where("repo_id < 500"), path, centroids)
+    cells.write_cells(index.where("repo_id >= 500"), path, [[1.0] * 16])  # the first centroids stay
+    assert cells.read_centroids(spark, path) == centroids
+    assert spark.read.parquet(path).count() == index.count()  # every row is indexed
+    queries = make_queries(spark, clustered[::16] + 0.01)
+    exact = search.semantic_search_batch(index, queries)
+    found = cells.search_cells(spark, path, queries, probes=3)
+    hits = cells.recall(exact, found).agg(F.sum("hits"), F.sum("wanted")).first()
+    assert hits[1] == 10 * queries.count() and hits[0] >= 0.9 * hits[1]
+    # All cells probed: what the exact search finds, but for rows without a vector.
+    assert sorted(cells.search_cells(spark, path, queries, probes=12).collect()) == sorted(exact.collect())
+    assert cells.search_cells(spark, path, queries.where("false")).count() == 0
+
+
+def test_only_probed_cells_are_read(spark, folder, clustered):
+    path = folder("cells")
+    index = make_index(spark, clustered)
+    cells.write_cells(index, path, cells.fit_cells(index, cells=8))
+    found = cells.search_cells(spark, path, make_queries(spark, clustered[:1]), probes=1)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [cell" in plan or "PartitionFilters: [isnotnull(cell" in plan
+
+
+def test_cells_of_nothing(spark, folder):
+    assert cells.fit_cells(make_index(spark, [None, [0, 0]])) == []
