@@ -124,23 +124,26 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(self.logit(x) / self.temperature, -30, 30)))
 
 
-def train(x: np.ndarray, y: np.ndarray, seed: int = 0) -> Network:
+def train(x: np.ndarray, y: np.ndarray, seed: int = 0, times: np.ndarray | None = None) -> Network:
     """Adam on the log loss over four fifths of the rows; the rest fits the temperature.
 
-    Rows come in any order and are sorted first, so the result depends on their values
-    only. Without rows, or with one class, the probability is the smoothed share of 1.
+    A row counts as often as ``times`` says. Rows come in any order and are sorted first,
+    so the result depends on their values only. Without rows, or with one class, the
+    probability is the smoothed share of 1.
     """
+    times = np.ones(len(y)) if times is None else np.asarray(times, np.float64)
     order = np.lexsort([*x.T[:8], y]) if len(y) else np.zeros(0, int)
-    x, y = x[order].astype(np.float64), y[order].astype(np.float64)
+    x, y, times = x[order].astype(np.float64), y[order].astype(np.float64), times[order]
     rng = np.random.default_rng(seed)
-    share = (y.sum() + 1) / (len(y) + 2)
+    share = ((times * y).sum() + 1) / (times.sum() + 2)
     width = x.shape[1]
     if len(y) < 10 or y.min() == y.max():
         flat = [np.zeros((width, HIDDEN)), np.zeros(HIDDEN), np.zeros(HIDDEN), np.array([np.log(share / (1 - share))])]
         return Network(np.zeros(width), np.ones(width), flat)
     unseen = rng.random(len(y)) < 0.2
-    fit_x, fit_y = x[~unseen], y[~unseen]
-    centre, scale = fit_x.mean(axis=0), fit_x.std(axis=0) + 1e-6
+    fit_x, fit_y, fit_times = x[~unseen], y[~unseen], times[~unseen]
+    centre = np.average(fit_x, axis=0, weights=fit_times)
+    scale = np.sqrt(np.average((fit_x - centre) ** 2, axis=0, weights=fit_times)) + 1e-6
     layers = [
         rng.normal(0, width**-0.5, (width, HIDDEN)),
         np.zeros(HIDDEN),
@@ -154,7 +157,8 @@ def train(x: np.ndarray, y: np.ndarray, seed: int = 0) -> Network:
         for rows in np.array_split(rng.permutation(len(fit_y)), max(1, len(fit_y) // BATCH)):
             z = (fit_x[rows] - centre) / scale
             hidden = np.tanh(z @ layers[0] + layers[1])
-            error = (1 / (1 + np.exp(-np.clip(hidden @ layers[2] + layers[3][0], -30, 30))) - fit_y[rows]) / len(rows)
+            error = (1 / (1 + np.exp(-np.clip(hidden @ layers[2] + layers[3][0], -30, 30))) - fit_y[rows])
+            error *= fit_times[rows] / fit_times[rows].sum()
             back = np.outer(error, layers[2]) * (1 - hidden * hidden)
             slopes = [z.T @ back + DECAY * layers[0], back.sum(axis=0), hidden.T @ error, np.array([error.sum()])]
             step += 1
@@ -165,7 +169,7 @@ def train(x: np.ndarray, y: np.ndarray, seed: int = 0) -> Network:
     if unseen.any():
         logits, signs = network.logit(x[unseen]), 2 * y[unseen] - 1
         options = np.geomspace(0.25, 8, 101)
-        network.temperature = float(min(options, key=lambda t: np.logaddexp(0, -signs * logits / t).mean()))
+        network.temperature = float(min(options, key=lambda t: (times[unseen] * np.logaddexp(0, -signs * logits / t)).sum()))
     return network
 
 
@@ -198,9 +202,9 @@ def score(classifier: Classifier, text: str = "text") -> Column:
 def _features(vectors: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     remembered = Remembered(_row)
     for batch in batches:
-        rows = _rows(batch.column(1).to_pylist(), remembered)
+        rows = _rows(batch.column(2).to_pylist(), remembered)
         x = pa.array([document_vector(own, vectors) for own in rows], pa.list_(pa.float32()))
-        yield pa.RecordBatch.from_arrays([batch.column(0), x], ["quality", "x"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), x], ["quality", "times", "x"])
 
 
 def fit(
@@ -214,23 +218,33 @@ def fit(
     """A classifier from ``docs`` and the ``labels`` it may learn from.
 
     The word vectors come from all documents. The network sees about ``most`` labelled
-    documents at the most, chosen by a hash of their id. Labels other than 0 and 1 and
+    texts at the most, chosen by a hash of their id and text. Labels other than 0 and 1 and
     null ids are ignored; of a document that is labelled twice the higher label counts;
-    a repeated document counts as often as it occurs. Null and empty texts have the zero
-    vector. Without labels every score is one half.
+    a text that repeats under one id is one row, which counts as often as it occurs. Null
+    and empty texts have the zero vector. Without labels every score is one half.
     """
     vectors = word_vectors(docs, text)
     known = labels.where(F.col(quality).isin(0, 1) & F.col(doc_id).isNotNull())
-    known = known.groupBy(F.col(doc_id).alias("__id")).agg(F.max(quality).cast("int").alias("quality"))
-    count = known.count()
-    if count > most:
-        known = known.where(F.pmod(F.xxhash64("__id", F.lit(7)), F.lit(1 << 20)) < F.lit(int(most / count * (1 << 20))))
-    # At most ``most`` ids and labels: 16 bytes each.
-    chosen = docs.select(doc_id, text).join(F.broadcast(known), F.col(doc_id) == F.col("__id"))
-    rows = chosen.select("quality", text).mapInArrow(partial(_features, vectors), "quality int, x array<float>")
-    found = rows.toPandas()
+    known = known.groupBy(F.col(doc_id).alias("id")).agg(F.max(quality).cast("int").alias("quality"))
+    known = _about(known, most, "id")
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("hash"))
+    # At most about ``most`` ids and labels: 16 bytes each.
+    rows = rows.join(F.broadcast(known), "id")
+    chosen = _about(rows.groupBy("id", "quality", "hash").agg(F.count("*").alias("times")), most, "id", "hash")
+    # One text for each, of as many rows as were counted.
+    texts = rows.join(F.broadcast(chosen.select("id", "hash", "times")), ["id", "hash"])
+    texts = texts.groupBy("id", "quality", "hash", "times").agg(F.first("text").alias("text")).select("quality", "times", "text")
+    found = texts.mapInArrow(partial(_features, vectors), "quality int, times long, x array<float>").toPandas()
     x = np.array(found["x"].tolist(), np.float32).reshape(len(found), 4 * WIDTH + 3)
-    return Classifier(vectors, train(x, found["quality"].to_numpy()))
+    return Classifier(vectors, train(x, found["quality"].to_numpy(), times=found["times"].to_numpy()))
+
+
+def _about(rows: DataFrame, most: int, *key: str) -> DataFrame:
+    """All rows, or if there are more than ``most``, about as many, chosen by a hash of the key."""
+    count = rows.count()
+    if count <= most:
+        return rows
+    return rows.where(F.pmod(F.xxhash64(*key, F.lit(7)), F.lit(1 << 20)) < F.lit(int(most / count * (1 << 20))))
 
 
 def classify(docs: DataFrame, labels: DataFrame, text: str = "text", **options) -> DataFrame:

@@ -98,3 +98,50 @@ def test_odd_rows(spark):
 
 def test_an_empty_text_has_the_zero_vector():
     assert not quality.document_vector(quality._rows([None], Remembered(quality._row))[0], np.ones((quality.ROWS, 64))).any()
+
+
+def test_score_of_a_fixed_network_against_plain_arithmetic(spark):
+    """Mean, deviation and agreement of word vectors through both layers, word by word."""
+    rng = np.random.default_rng(4)
+    width = 4 * quality.WIDTH + 3
+    layers = [rng.normal(0, 0.1, (width, 5)), rng.normal(size=5), rng.normal(size=5), np.array([0.3])]
+    network = quality.Network(rng.normal(size=width), rng.uniform(1, 2, width), layers, temperature=1.7)
+    vectors = rng.normal(size=(quality.ROWS, 2 * quality.WIDTH)).astype(np.float32)
+    texts = ["one two three two", "Word!! 12 word", "single", "", None, "a b " * 3000]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, text string").repartition(2)
+    found = {row.n: row.p for row in df.select("n", quality.score(quality.Classifier(vectors, network)).alias("p")).collect()}
+    for n, text in enumerate(texts):
+        words = [vectors[quality._row(word)].astype(float) for word in quality.WORDS(text or "")]
+        x = np.zeros(width)
+        if words:
+            size = 2 * quality.WIDTH
+            x[:size] = [sum(word[k] for word in words) / len(words) for k in range(size)]
+            x[size : 2 * size] = [(sum((word[k] - x[k]) ** 2 for word in words) / len(words)) ** 0.5 for k in range(size)]
+            both = list(zip(words, words[1:]))
+            if both:
+                agree = [sum(a[k] * b[k] for a, b in both) / len(both) for k in range(size)]
+                x[-3], x[-2] = sum(agree[: quality.WIDTH]), sum(agree[quality.WIDTH :])
+            x[-1] = np.log(len(words))
+        z = (x - network.centre) / network.scale
+        hidden = [np.tanh(sum(z[i] * layers[0][i, j] for i in range(width)) + layers[1][j]) for j in range(5)]
+        logit = sum(h * v for h, v in zip(hidden, layers[2])) + layers[3][0]
+        assert found[n] == pytest.approx(1 / (1 + np.exp(-logit / 1.7)), abs=2e-4)  # vectors are 32-bit
+
+
+def test_repeated_labelled_rows_are_one_row_with_a_weight(spark, monkeypatch):
+    rng = np.random.default_rng(0)
+    x, y = rng.normal(size=(200, 6)), rng.integers(0, 2, 200)
+    times = rng.integers(1, 4, 200)
+    chances = quality.train(x, y, times=times).probability(x)
+    assert not np.allclose(chances, quality.train(x, y).probability(x))
+    assert np.allclose(chances, quality.train(x, y, times=5 * times).probability(x), atol=1e-6)
+    # A labelled id with a third of all rows, equal and different ones, sends few rows.
+    rows = [(n, f"text number {n} of many") for n in range(60)] + [(7, "again and again")] * 500
+    rows += [(8, f"variant {n}") for n in range(300)]
+    labels = spark.createDataFrame([(n, n % 2) for n in range(60)], "doc_id long, quality int")
+    sent = []
+    monkeypatch.setattr(quality, "train", lambda x, y, **more: sent.append((len(y), more["times"].sum())) or quality.Network(0, 1, []))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    quality.fit(docs, labels)
+    quality.fit(docs, labels, most=100)
+    assert sent[0] == (361, 860) and sent[1][0] < 160
