@@ -82,6 +82,42 @@ def op6_ngram_jaccard_join(spark, sf):
     return ngram_join.jaccard_components(_table(spark, sf, "documents"))
 
 
+def _components_sql(width: int, part: int) -> str:
+    """CTEs up to ``named`` (doc_id, n_shingles, component_id), by joining sets on their shingles."""
+    return rf"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents
+), shingles as (
+  select distinct doc_id, unnest(case when len(w) = 0 then cast([] as varchar[])
+    when len(w) < {width} then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - {width - 2}), lambda i: array_to_string(w[i : i + {width - 1}], ' '))
+    end) as s
+  from words
+), sizes as (
+  select doc_id, count(*) as n from shingles group by doc_id
+), common as (
+  select a.doc_id as a, b.doc_id as b, count(*) as n
+  from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by all
+), links as (
+  select c.a, c.b from common c join sizes x on x.doc_id = c.a join sizes y on y.doc_id = c.b
+  where 100 * c.n >= {part} * (x.n + y.n - c.n)
+), edges as (
+  select a, b from links union all select b, a from links
+), reached as (
+  select doc_id as node, doc_id as root from documents
+  union
+  select e.b, r.root from reached r join edges e on e.a = r.node
+), named as (
+  select d.doc_id, coalesce(any_value(x.n), 0) as n_shingles, min(r.root) as component_id
+  from documents d left join sizes x using (doc_id) join reached r on r.node = d.doc_id group by d.doc_id
+)"""
+
+
+ORACLE["op6_ngram_jaccard_join"] = f"{_components_sql(3, 90)} select * from named"
+
+
 @query
 def op7_sentencepiece(spark, sf):
     return sentencepieces.verify(_table(spark, sf, "documents"), PIECES)
@@ -225,6 +261,9 @@ def op12_minhash_near_dedup(spark, sf):
     return minhash.near_duplicates(_table(spark, sf, "documents"))
 
 
+ORACLE["op12_minhash_near_dedup"] = f"{_components_sql(4, 80)} select *, doc_id = component_id as kept from named"
+
+
 @query
 def op13_importance_resampling(spark, sf):
     return resampling.importance(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
