@@ -1,5 +1,6 @@
 """What several operators of this package need."""
 
+import gc
 import io
 import uuid
 import zipfile
@@ -8,7 +9,9 @@ from functools import cache
 from pathlib import Path
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from repopulse.session import shared_folder
 
@@ -66,6 +69,48 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner delete the shuffles of tables that nothing refers to any more."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+#: Bits of a ``KeyFilter``: 8 MB, whatever is put in.
+FILTER_BITS = 1 << 26
+
+
+class KeyFilter:
+    """A filter of fixed size over a column of 64-bit keys: it may pass others, and loses none.
+
+    Of far fewer keys than ``FILTER_BITS`` it passes hardly any others; of many more it
+    passes everything, and what follows does all the work. At most 2,048 bitmaps of 4 KB
+    reach the driver, and the executors get them as one array.
+    """
+
+    def __init__(self, keys: DataFrame, key: str):
+        spark = keys.sparkSession
+        place = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS).cast("long"))
+        places = keys.select(place.alias("place"))
+        bucket, position = F.bitmap_bucket_number("place"), F.bitmap_bit_position("place")
+        maps = places.groupBy(bucket.alias("bucket")).agg(F.bitmap_construct_agg(position).alias("bits"))
+        bits = np.zeros((FILTER_BITS // 32768 + 1, 4096), np.uint8)
+        for row in maps.collect():
+            bits[row["bucket"]] = np.frombuffer(row["bits"], np.uint8)
+        self.bits = spark.sparkContext.broadcast(bits)
+
+    def passes(self, key: Column) -> Column:
+        bits = self.bits
+
+        @F.arrow_udf("boolean")
+        def found(places: pa.Array) -> pa.Array:
+            at = places.to_numpy(zero_copy_only=False)
+            # As Spark numbers bitmaps: 1 to 32768 are in the first.
+            bucket, position = np.where(at > 0, 1 + (at - 1) // 32768, 0), np.where(at > 0, (at - 1) % 32768, 0)
+            return pa.array((bits.value[bucket, position // 8] >> (position % 8).astype(np.uint8)) & 1 == 1)
+
+        return found(F.pmod(F.xxhash64(key), F.lit(FILTER_BITS).cast("long")))
+
+
 def mix(values: np.ndarray, seed: int = 0) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
     x = values.astype(np.uint64) + np.uint64((0x9E3779B97F4A7C15 * (seed + 1)) & MASK)

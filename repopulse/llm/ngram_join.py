@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Remembered, discard, materialised, mix
+from .common import KeyFilter, Remembered, discard, materialised, mix, release
 from .sketches import near_members, odd_sketch
 
 SHINGLE = 3
@@ -414,6 +414,7 @@ def components_by(
     wanted = shared.select("node").distinct()
     nodes = materialised(sketched.join(wanted, "node").dropDuplicates(["node"]), f"{label}-nodes")
     discard(full)
+    release(docs.sparkSession)
     roots = linked(indexed, rows, shared, nodes, threshold, shingle, label)
     return name_components(indexed, roots, label)
 
@@ -448,8 +449,10 @@ def linked(
     one = F.min(F.struct("key", "doc_id")).alias("one")
     chosen = indexed.join(wanted, "node").groupBy("node").agg(one).select("node", "one.*")
     chosen = materialised(chosen.withColumnRenamed("doc_id", "id"), f"{label}-chosen")
-    # Spark broadcasts the chosen keys below its threshold and shuffles above it.
-    texts = rows.join(chosen, (rows.key == chosen.key) & rows.doc_id.eqNullSafe(chosen.id)).select("node", "text")
+    # Most texts are no one's: a filter of fixed size keeps them out of the shuffle.
+    near_rows = rows.where(KeyFilter(chosen, "key").passes(F.col("key")))
+    same = (near_rows.key == chosen.key) & near_rows.doc_id.eqNullSafe(chosen.id)
+    texts = near_rows.join(chosen, same).select("node", "text")
     texts = texts.groupBy("node").agg(F.first("text").alias("text"))
     sets = materialised(texts.mapInArrow(partial(_sets, shingle), "node long, shingles binary"), f"{label}-sets")
 
