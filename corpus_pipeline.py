@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repopulse.llm import ngram_join, packing, quality, rules
-from repopulse.llm.common import free_name, materialised, ship
+from repopulse.llm.common import KeyFilter, free_name, materialised, ship
 from repopulse.llm.queries import PIECES, WORDS, fold
 
 #: Near copies share this much (part, whole) of their shingles of so many words.
@@ -69,21 +69,27 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     empty one.
     """
     groups = ngram_join.keyed_components(docs, NEAR, shingle=SHINGLE).where("n_shingles > 0")
-    rows = groups.groupBy("root", "doc_id", "key").agg(F.count("*").alias("copies"))
+    rows = materialised(groups.groupBy("root", "doc_id", "key").agg(F.count("*").alias("copies")), "pipeline-rows")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "copies")
-    stay = rows.groupBy("root").agg(F.min(order).alias("first")).select("first.*")
-    stay = materialised(stay.select("doc_id", "key", "copies"), "pipeline-stay")
+    first = rows.groupBy("root").agg(F.min(order).alias("first"))
+    judged = rows.join(materialised(first, "pipeline-first"), "root")
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key"))
+    judged = materialised(judged.select("doc_id", "key", "copies", stays.alias("stays")), "pipeline-judged")
 
+    # Rows of which some may go meet the verdicts; a filter of fixed size passes the others by.
     key = free_name(docs, "key")
     keyed = docs.withColumn(key, F.xxhash64(F.col("text").cast("string")))
+    doubtful = KeyFilter(judged.where("not stays or copies > 1"), "key").passes(F.col(key))
+    met = keyed.where(doubtful)
 
     def kept(one: DataFrame) -> DataFrame:
-        same = (keyed[key] == one["key"]) & keyed["doc_id"].eqNullSafe(one["doc_id"])
-        return keyed.join(one, same, "left_semi")
+        same = (met[key] == one["key"]) & met["doc_id"].eqNullSafe(one["doc_id"])
+        return met.join(one, same, "left_semi")
 
-    several = kept(stay.where("copies > 1")).dropDuplicates(["doc_id", key])
-    wordless = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    return kept(stay.where("copies = 1")).unionByName(several).drop(key).union(docs.where(wordless))
+    several = kept(judged.where("stays and copies > 1")).dropDuplicates(["doc_id", key])
+    wordless = met.where(~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
+    stay = kept(judged.where("stays and copies = 1")).unionByName(several).unionByName(wordless)
+    return keyed.where(~doubtful).unionByName(stay).drop(key)
 
 
 @stage
