@@ -21,7 +21,7 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache, partial
-from itertools import accumulate, chain
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +37,12 @@ CHUNK_BYTES = 8 << 20
 #: Distinct units that a task remembers, twice.
 REMEMBERED = 120_000
 #: A single space between characters that no tokenizer's white space includes.
-CLEAN_SPACE = re.compile("(?<=[^\\s\x1c-\x1f\x85]) (?=[^\\s\x1c-\x1f\x85])")
+_INK = "[^\\s\x1c-\x1f\x85]"
+CLEAN_SPACE = re.compile(f"(?<={_INK}) (?={_INK})")
+#: A unit that such spaces are on both sides of, also when others stand before and after it.
+PLAIN = re.compile(f" {_INK}(?:.*{_INK})?", re.DOTALL)
+#: Distinct units that are encoded and aligned in a row.
+TOGETHER = 256
 
 CHUNK = (
     "chunk long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
@@ -114,37 +119,56 @@ class Aligner:
             self.bytes_b.append(raw)
         self.units = self.b.cuts and cut.get("type") == "ByteLevel" and cut.get("use_regex", True)
         self.units = self.units and self.a.normalizer is None
+        self.lengths_a, self.lengths_b = (np.array([len(one) for one in own]) for own in (self.bytes_a, self.bytes_b))
         self.known = Distinct(self.records, REMEMBERED)
 
-    def encode(self, units: list[str]) -> Iterator[tuple[str, list[int], list[int]]]:
-        """Ids of both tokenizers for each unit, which starts with the space before it."""
-        of_a = self.a.encode_batch_fast(units, add_special_tokens=False)
+    def encode(self, texts: list[str]) -> Iterator[tuple[str, list[int], list[int]]]:
+        """Ids of both tokenizers for each text, which starts with the space before it."""
+        of_a = self.a.encode_batch_fast(texts, add_special_tokens=False)
         # A model whose words can't be cut adds the space by itself.
-        of_b = self.b.all_ids(units if self.b.prefix else [unit[1:] for unit in units])
-        return zip(units, (one.ids for one in of_a), of_b)
-
-    def ends(self, ids: list[int], own: list[bytes], raw: bytes) -> list[int] | None:
-        """Byte offsets where the tokens end; None if their bytes aren't ``raw``."""
-        parts = [own[number] for number in ids]
-        return list(accumulate(map(len, parts))) if b"".join(parts) == raw else None
+        of_b = self.b.all_ids(texts if self.b.prefix else [text[1:] for text in texts])
+        return zip(texts, (one.ids for one in of_a), of_b)
 
     def records(self, units: list[str]) -> list[tuple | None]:
-        """For each unit: sizes, packed id pairs of its links, and its groups as text."""
-        found = []
-        for unit, a, b in self.encode(units):
-            raw = unit.encode()
-            ends_a, ends_b = self.ends(a, self.bytes_a, raw), self.ends(b, self.bytes_b, raw)
-            if ends_a is None or ends_b is None:
-                found.append(None)
-                continue
-            groups, links = align(ends_a, ends_b)
-            codes = np.array([a[i] << 32 | b[j] for i, j in links], np.int64).tobytes()
-            shown, i, j = [], 0, 0
-            for to_i, to_j in groups:
-                shown.append(f"{','.join(map(str, a[i:to_i]))}|{','.join(map(str, b[j:to_j]))}")
-                i, j = to_i, to_j
-            found.append((len(a), len(b), len(groups), codes, ";".join(shown)))
-        return found
+        """For each unit: sizes, packed id pairs of its links, and its groups as text.
+
+        Units that a clean space would part from each other are aligned many in a row,
+        and their records are cut out where they end.
+        """
+        plain = [unit for unit in units if PLAIN.fullmatch(unit)] if self.units else []
+        blocks = [plain[at : at + TOGETHER] for at in range(0, len(plain), TOGETHER)]
+        found = {}
+        for block, (text, a, b) in zip(blocks, self.encode(["".join(block) for block in blocks])):
+            found.update(zip(block, self.cut(block, text.encode(), a, b) or ()))
+        others = [unit for unit in units if unit not in found]
+        for unit, a, b in self.encode(others):
+            (found[unit],) = self.cut([unit], unit.encode(), a, b) or [None]
+        return [found[unit] for unit in units]
+
+    def cut(self, units: list[str], raw: bytes, a: list[int], b: list[int]) -> list[tuple] | None:
+        """Records of ``units``, whose bytes are ``raw``; None if the tokens don't spell them."""
+        spelled = (b"".join([own[number] for number in ids]) for own, ids in ((self.bytes_a, a), (self.bytes_b, b)))
+        if any(one != raw for one in spelled):
+            return None
+        ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
+        ends_a, ends_b = np.cumsum(self.lengths_a[ids_a]), np.cumsum(self.lengths_b[ids_b])
+        groups, links = align(ends_a.tolist(), ends_b.tolist())
+        stops = np.cumsum([len(unit.encode()) for unit in units])
+        stop_a, stop_b = (np.searchsorted(ends, stops) + 1 for ends in (ends_a, ends_b))
+        pairs = np.array(links, np.int64).reshape(-1, 2)
+        codes = (ids_a[pairs[:, 0]] << 32 | ids_b[pairs[:, 1]]).tobytes()
+        stop_link = np.searchsorted(pairs[:, 0], stop_a).tolist()
+        stop_group = np.searchsorted([to for to, _ in groups], stop_a).tolist()
+        text_a, text_b, shown, i, j = list(map(str, a)), list(map(str, b)), [], 0, 0
+        for to_i, to_j in groups:
+            shown.append(f"{','.join(text_a[i:to_i])}|{','.join(text_b[j:to_j])}")
+            i, j = to_i, to_j
+        records, a0, b0, l0, g0 = [], 0, 0, 0, 0
+        for a1, b1, l1, g in zip(stop_a.tolist(), stop_b.tolist(), stop_link, stop_group):
+            g1 = g + 1  # the unit's last group ends with its last token
+            records.append((a1 - a0, b1 - b0, g1 - g0, codes[8 * l0 : 8 * l1], ";".join(shown[g0:g1])))
+            a0, b0, l0, g0 = a1, b1, l1, g1
+        return records
 
     def split(self, text: str | None) -> list[str]:
         """The units of a text, each with the space before it."""
