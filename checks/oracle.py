@@ -281,6 +281,19 @@ _BY_DIMENSION = "unnest(range(len(v))) as dim, round(unnest(v), 6) as value"
 _INT_DIMENSION = "cast(dim as integer) as dim, value"
 _STEP = CHUNK["size"] - CHUNK["overlap"]
 
+def _history(source: str) -> str:
+    return f"""{source}, islands as (
+  select *, sum(changed) over (partition by repo_id order by event_date) as name_no from (
+    select repo_id, event_date, repo_name, case when repo_name is distinct from
+      lag(repo_name) over (partition by repo_id order by event_date) then 1 else 0 end as changed
+    from activity)
+), spans as (
+  select repo_id, repo_name, min(event_date) as valid_from, max(event_date) as last_seen,
+    count(*) as active_days from islands group by repo_id, name_no, repo_name
+) select repo_id, repo_name, valid_from, last_seen, active_days,
+  cast(lead(valid_from) over (partition by repo_id order by valid_from) - 1 as date) as valid_to from spans"""
+
+
 ORACLE: dict[str, str] = {
     "resolve_hour": f"""with {_KEYED}, {_FIELDS}
 select distinct date_trunc('hour', ts) as archive_hour,
@@ -509,6 +522,8 @@ where event_date > date '{FUTURE_AS_OF}' group by event_date""",
   cast(sum(a.prs_merged) as double)
     / nullif(sum(a.prs_merged) + sum(a.prs_closed_unmerged), 0) as pr_merge_rate
 from activity a group by repo_id""",
+    "name_history": _history(DAILY),
+    "name_history_wide": _history(WIDE_DAILY),
     "org_activity_daily": f"""{DAILY} select split_part(repo_name, '/', 1) as org_name, event_date,
   cast(sum(stars) as bigint) as stars, cast(sum(prs_opened) as bigint) as prs_opened,
   cast(sum(prs_merged) as bigint) as prs_merged,

@@ -601,6 +601,17 @@ def dim_repos(spark, sf):
     return catalog.dim_repos(repo_daily_activity(spark, sf))
 
 
+@query
+def name_history(spark, sf):
+    return catalog.name_history(repo_daily_activity(spark, sf))
+
+
+@query
+def name_history_wide(spark, sf):
+    """Repositories that change their name nearly every day they are active."""
+    return catalog.name_history(act.repo_daily_activity(a.wide(spark, sf)))
+
+
 @query
 def org_activity_daily(spark, sf):
     return catalog.org_activity_daily(repo_daily_activity(spark, sf))

@@ -1,6 +1,6 @@
-"""Further marts: repositories, organizations, languages, contributors; text chunks."""
+"""Further marts: repositories and their names, organizations, languages, contributors; text chunks."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.events import is_pull_request, merge_rate, owner, top
@@ -24,6 +24,33 @@ def dim_repos(activity: DataFrame) -> DataFrame:
     )
 
 
+def name_history(activity: DataFrame) -> DataFrame:
+    """repo_id, repo_name, valid_from, valid_to, last_seen, active_days: the names a repository had.
+
+    A name holds from the first day it was seen until the day before the next one was, and
+    the last one still holds (``valid_to`` is null). A name that comes back after another
+    is a row of its own, so the intervals of a repository cover its time without overlap.
+    A partition of the windows is one repository's days, or its names.
+    """
+    days = Window.partitionBy("repo_id").orderBy("event_date")
+    before = F.lag("repo_name").over(days)
+    named = activity.select("repo_id", "event_date", "repo_name")
+    named = named.withColumn("renamed", (before.isNull() | (before != F.col("repo_name"))).cast("int"))
+    spans = (
+        named.withColumn("name_no", F.sum("renamed").over(days))
+        .groupBy("repo_id", "name_no", "repo_name")
+        .agg(
+            F.min("event_date").alias("valid_from"),
+            F.max("event_date").alias("last_seen"),
+            F.count("*").alias("active_days"),
+        )
+    )
+    following = F.lead("valid_from").over(Window.partitionBy("repo_id").orderBy("valid_from"))
+    return spans.select(
+        "repo_id", "repo_name", "valid_from", F.date_sub(following, 1).alias("valid_to"), "last_seen", "active_days"
+    )
+
+
 def org_activity_daily(activity: DataFrame) -> DataFrame:
     """One row per owner and date. Activity has one row per repository and day, so
     counting rows counts repositories."""

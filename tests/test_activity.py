@@ -6,6 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from repopulse.operators import activity as act
+from repopulse.operators.catalog import name_history
 from repopulse.operators.staging import stg_pull_request_events, stg_watch_events
 from repopulse.plans.trends import build_mart, check_all, trends
 from repopulse.sources.lake import write_lake
@@ -144,3 +145,12 @@ def test_a_full_refresh_leaves_no_old_date(spark, raw, folder):
     # Neither the old mart nor the place where the new one was written is left.
     folder_of, name = os.path.split(path)
     assert [entry for entry in os.listdir(folder_of) if entry.startswith(name)] == [name]
+
+
+def test_name_history(spark):
+    """A rename, a name that comes back, and a gap: intervals without overlap."""
+    rows = [(1, "a/x", 1), (1, "a/x", 3), (1, "a/y", 4), (1, "a/x", 9), (2, "b/z", 5)]
+    days = spark.createDataFrame([(repo, name, date(2024, 1, day)) for repo, name, day in rows], "repo_id long, repo_name string, event_date date")
+    found = [(row.repo_id, row.repo_name, row.valid_from.day, row.valid_to and row.valid_to.day, row.last_seen.day, row.active_days)
+             for row in name_history(days).orderBy("repo_id", "valid_from").collect()]
+    assert found == [(1, "a/x", 1, 3, 3, 2), (1, "a/y", 4, 8, 4, 1), (1, "a/x", 9, None, 9, 1), (2, "b/z", 5, None, 5, 1)]
