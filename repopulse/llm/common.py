@@ -63,10 +63,13 @@ def free_name(df: DataFrame, name: str) -> str:
 
 def discard(df: DataFrame) -> None:
     """Deletes the folder of a ``materialised`` table that no later table is read from."""
-    spark = df.sparkSession
     for folder in {str(Path(file).parent) for file in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder.replace("file:/", "file:///", 1))
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        discard_folder(df.sparkSession, folder.replace("file:/", "file:///", 1))
+
+
+def discard_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def release(spark: SparkSession) -> None:

@@ -29,7 +29,9 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialised
+from repopulse.session import shared_folder
+
+from .common import discard_folder, materialised, release
 
 #: Bytes of text after which a chunk ends with the document, and for which there is a shard.
 CHUNK_BYTES, SHARD_BYTES = 16 << 20, 12 << 20
@@ -108,16 +110,20 @@ class Chunk:
                     "contexts": _squeeze(context[p]), "counts": _squeeze(counts[p].astype("<u4")),
                 }
             )
+        # Distinct pairs of each document, one after another, and how often it has them.
+        document = np.repeat(np.arange(len(lengths)), lengths)
+        own, times = np.unique(document * len(pairs) + places, return_counts=True)
         documents = {
-            "doc_id": self.ids, "learn": self.learn, "lengths": lengths, "places": _squeeze(places.astype("<u4")),
+            "doc_id": self.ids, "learn": self.learn, "lengths": lengths,
+            "places": _squeeze(np.diff(own, prepend=0).astype("<u4")), "times": _squeeze(times.astype("<u4")),
             "words": _squeeze(each.astype("<u4")), "before": _squeeze((pairs & 0xFFFFFFFF).astype("<u4")),
         }
         return documents, requests
 
 
 _DOCUMENT_FIELDS = {
-    "doc_id": "array<long>", "learn": "array<boolean>", "lengths": "array<long>", "places": "binary", "words": "binary",
-    "before": "binary",
+    "doc_id": "array<long>", "learn": "array<boolean>", "lengths": "array<long>", "places": "binary", "times": "binary",
+    "words": "binary", "before": "binary",
 }
 _REQUEST_FIELDS = {
     "shard": "int", "first_word": "long", "first_pair": "long", "keys": "binary", "each": "binary",
@@ -432,11 +438,11 @@ def _score(totals: Totals, documents: pa.Table, replies: pa.Table) -> pa.Table:
     word = np.repeat(np.arange(size), each)
     score = np.log10(probabilities(seated, word, before, totals.root(root), customers, masses))
     base = np.log10((counts + PSEUDO_COUNT) / (totals.tokens + PSEUDO_COUNT * (totals.vocabulary + 1)))[word]
-    places, lengths = _unsqueeze(row["places"], "<u4"), np.array(row["lengths"])
-    stops = np.cumsum(lengths)
-    starts = stops - lengths
+    lengths, times = np.array(row["lengths"]), _unsqueeze(row["times"], "<u4").astype(np.int64)
+    document, place = np.divmod(np.cumsum(_unsqueeze(row["places"], "<u4"), dtype=np.int64), pairs)
+    starts = np.searchsorted(document, np.arange(len(lengths)))
     known = (counts[word] > 0).astype(np.int64)
-    known, base, score = (np.add.reduceat(values[places], starts) for values in (known, base, score))
+    known, base, score = (np.add.reduceat(times * values[place], starts) for values in (known, base, score))
     out = {
         "doc_id": row["doc_id"], "held_out": [not learned for learned in row["learn"]], "n_tokens": lengths,
         "n_known": known, "train_tokens": np.full(len(lengths), int(totals.tokens)), "base_score": base, "score": score,
@@ -467,14 +473,21 @@ def score_documents(docs: DataFrame, learn_from: Column, doc_id: str = "doc_id",
     )
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
-    chunks = materialised(rows.mapInArrow(partial(_chunks, shards, CHUNK_BYTES), _schema(_CHUNK_FIELDS)), "lm-chunks")
-    requests = chunks.where("shard is not null").select("chunk", *_REQUEST_FIELDS)
+    spark, path = docs.sparkSession, shared_folder(docs.sparkSession, "lm-chunks")
+    chunks = rows.mapInArrow(partial(_chunks, shards, CHUNK_BYTES), _schema(_CHUNK_FIELDS))
+    kind = F.when(F.col("shard").isNull(), "documents").otherwise("requests").alias("kind")
+    chunks.select("*", kind).write.option("compression", "zstd").partitionBy("kind").parquet(path)
+    chunks = spark.read.schema(f"{_schema(_CHUNK_FIELDS)}, kind string").parquet(path)
+    requests = chunks.where("kind = 'requests'").select("chunk", *_REQUEST_FIELDS)
     sampled = requests.groupBy("shard").applyInArrow(lambda table: _sample(shards, table), _schema(_ANSWER_FIELDS))
     answers = materialised(sampled, "lm-shards")
+    discard_folder(spark, f"{path}/kind=requests")
+    release(spark)
     totals = Totals.of(answers)
     scores = answers.where("chunk is not null").select("chunk", "first_pair", "scores")
     replies = answers.drop("scores", "first_pair").groupBy("shard").applyInArrow(_reply, _schema(_REPLY_FIELDS))
     replies = replies.unionByName(scores, allowMissingColumns=True)
-    texts = chunks.where("shard is null").select("chunk", *_DOCUMENT_FIELDS)
+    texts = spark.read.schema(f"{_schema(_CHUNK_FIELDS)}, kind string").parquet(path)
+    texts = texts.where("kind = 'documents'").select("chunk", *_DOCUMENT_FIELDS)
     both = texts.groupBy("chunk").cogroup(replies.groupBy("chunk"))
     return both.applyInArrow(lambda one, other: _score(totals, one, other), _schema(_SCORE_FIELDS))
