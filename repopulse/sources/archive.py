@@ -7,14 +7,16 @@ many hours runs as many tasks as there are files.
 
 from datetime import datetime, timedelta, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.events import moment
+from .tables import file_system
 
 _DATE_AND_HOUR = r".*(\d{4}-\d{2}-\d{2})-(\d{1,2})(?:\.json|/)"
 PUBLICATION_LAG = timedelta(hours=2)
+# Folders between the one that is listed and an archive, at the most.
+DEPTH = 8
 
 
 def resolve_hour(timestamp: str | None = None, now: datetime | None = None) -> datetime:
@@ -54,23 +56,37 @@ def hour_of_path(path: Column) -> Column:
     return F.when(hour < 24, day.cast("timestamp_ntz") + F.make_dt_interval(hours=hour))
 
 
+def _dated(first: datetime, last: datetime) -> str:
+    """Glob of the names of all days (months, for long ranges) from first to last."""
+    days = (first.date() + timedelta(days=n) for n in range((last.date() - first.date()).days + 1))
+    kind = "%Y-%m-%d-" if last - first <= timedelta(days=31) else "%Y-%m-"
+    return "*{" + ",".join(dict.fromkeys(f"{day:{kind}}" for day in days)) + "}*"
+
+
 def list_archives(spark: SparkSession, folder: str, first: datetime, last: datetime) -> DataFrame:
     """hour, path, size of the archives below a folder for hours from ``first`` to ``last``.
 
-    An archive is a file, or a folder of files, that is named by its hour, at any depth.
-    Names are listed and no file is read. Spark lists many folders in parallel.
+    An archive is a file, or a folder of files, that is named by its hour, in the folder
+    itself or up to ``DEPTH`` folders below it. Of files, those of that range are listed,
+    however many others there are, and none is read.
     """
+    patterns = [f"{folder.rstrip('/')}/{'*/' * depth}{_dated(first, last)}" for depth in range(DEPTH + 1)]
+    there = [pattern for pattern in patterns if _matches(spark, pattern)]
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    try:
-        found = files.load(folder).select("path", "length")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if there:
+        # A dated file in a dated folder is found at both depths.
+        found = files.load(there).select("path", "length").dropDuplicates(["path"])
+    else:
         found = spark.createDataFrame([], "path string, length bigint").where(F.lit(False))
     listed = found.select(hour_of_path(F.col("path")).alias("hour"), "path", F.col("length").alias("size"))
     return listed.where(F.col("hour").between(moment(first), moment(last)))
 
 
+def _matches(spark: SparkSession, pattern: str) -> bool:
+    files, place = file_system(spark, pattern)
+    return bool(files.globStatus(place))
+
+
 def keep_repeated_keys(spark: SparkSession) -> None:
     """An object that has a key twice is JSON, and the last value counts."""
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
