@@ -36,9 +36,10 @@ from .tokens import SPACE, Distinct, PieceTable
 CHUNK_BYTES = 8 << 20
 #: Distinct units that a task remembers, twice.
 REMEMBERED = 120_000
-#: A single space between characters that no tokenizer's white space includes.
+#: Before a single space between characters that no tokenizer's white space includes.
 _INK = "[^\\s\x1c-\x1f\x85]"
-CLEAN_SPACE = re.compile(f"(?<={_INK}) (?={_INK})")
+CLEAN_CUT = re.compile(f"(?<={_INK})(?= {_INK})")
+SIZE = (1 << 40) - 1
 #: A unit that such spaces are on both sides of, also when others stand before and after it.
 PLAIN = re.compile(f" {_INK}(?:.*{_INK})?", re.DOTALL)
 #: Distinct units that are encoded and aligned in a row.
@@ -130,7 +131,7 @@ class Aligner:
         return zip(texts, (one.ids for one in of_a), of_b)
 
     def records(self, units: list[str]) -> list[tuple | None]:
-        """For each unit: sizes, packed id pairs of its links, and its groups as text.
+        """For each unit: sizes as one number, packed id pairs of its links, its groups as text.
 
         Units that a clean space would part from each other are aligned many in a row,
         and their records are cut out where they end.
@@ -166,7 +167,8 @@ class Aligner:
         records, a0, b0, l0, g0 = [], 0, 0, 0, 0
         for a1, b1, l1, g in zip(stop_a.tolist(), stop_b.tolist(), stop_link, stop_group):
             g1 = g + 1  # the unit's last group ends with its last token
-            records.append((a1 - a0, b1 - b0, g1 - g0, codes[8 * l0 : 8 * l1], ";".join(shown[g0:g1])))
+            sizes = a1 - a0 | (b1 - b0) << 40 | (g1 - g0) << 80
+            records.append((sizes, codes[8 * l0 : 8 * l1], ";".join(shown[g0:g1])))
             a0, b0, l0, g0 = a1, b1, l1, g1
         return records
 
@@ -176,7 +178,10 @@ class Aligner:
             return []
         if not self.units:
             return [" " + text]
-        return [" " + unit for unit in CLEAN_SPACE.split(text)]
+        parts = text.split(" ")
+        if "" not in parts and list(map(str.strip, parts)) == parts:
+            return [" " + part for part in parts]  # every space is clean
+        return CLEAN_CUT.split(" " + text)
 
     def align_all(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, np.ndarray, str]]:
         """For each text: tokens of A, of B, groups, id pairs of its links, groups as text."""
@@ -187,8 +192,9 @@ class Aligner:
             if not own or None in own:
                 yield 0, 0, 0, np.zeros(0, np.int64), ""
                 continue
-            n_a, n_b, n_groups, codes, shown = zip(*own)
-            yield sum(n_a), sum(n_b), sum(n_groups), np.frombuffer(b"".join(codes), np.int64), ";".join(shown)
+            sizes = sum([one[0] for one in own])  # no part overflows into the next one
+            codes, shown = b"".join([one[1] for one in own]), ";".join([one[2] for one in own])
+            yield sizes & SIZE, sizes >> 40 & SIZE, sizes >> 80, np.frombuffer(codes, np.int64), shown
 
 
 @lru_cache(maxsize=2)
