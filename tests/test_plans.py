@@ -16,9 +16,9 @@ from repopulse.sources.mart import read_mart, write_mart
 
 FOLDER = "/root/testdata/sf0.001"
 PYTHON = {"encode", "embed_pending", "repo_enrich", "embed_text", "index_append", "l2_normalize", "semantic_search", "semantic_search_batch", "semantic_search_centroids",
-          "semantic_search_vectors", "search_display", "encode_model", "text_chunks"}
-EAGER = {"lake_write", "lake_skip_existing", "lake_read", "backfill_range", "stream_ingest",
-         "mart_write", "index_write", "index_read", "encode_hashing"}
+          "semantic_search_vectors", "semantic_search_cells", "search_display", "encode_model", "text_chunks"}
+EAGER = {"lake_write", "lake_skip_existing", "lake_read", "backfill_range", "stream_ingest", "stream_append", "stream_distinct",
+         "mart_write", "mart_refresh", "mart_audit", "index_write", "index_read", "encode_hashing"}
 
 
 def plan(df):
