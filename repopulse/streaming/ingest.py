@@ -18,6 +18,8 @@ from ..sources.archive import stream_files, stream_lines
 from ..sources.lake import append_once, with_partitions
 from ..sources.tables import file_system
 
+_PARTITIONS = "spark.sql.shuffle.partitions"
+
 
 def stream_ingest(
     spark: SparkSession,
@@ -89,6 +91,7 @@ def stream_distinct(
     checkpoint: str,
     delay: str = "6 hours",
     files_per_batch: int = 1000,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Start ingesting the archives in ``source``, each event id once, then stop.
 
@@ -97,7 +100,10 @@ def stream_distinct(
     store; after that, because it is late. So ``delay`` must exceed the time by which
     archives arrive out of order: an event that comes first after that is late, too, and
     ``late_events`` counts it. The state holds the ids of ``delay``, not of all time, and
-    is dealt by id, so no repository or account is a hot key.
+    is dealt by id, so no repository or account is a hot key. A micro-batch writes files for
+    every partition of the state, however few ids it brings, so the state has no more
+    partitions than the cluster has cores unless ``state_partitions`` says otherwise; a
+    checkpoint keeps the number that its first run had.
 
     A micro-batch is added to its partitions in one commit, named by the query and the
     batch, so a restart from the checkpoint neither loses nor repeats rows.
@@ -110,13 +116,19 @@ def stream_distinct(
         # Rows come by id, an hour's from every task.
         append_once(rows, lake, commit, session.createDataFrame([], LEDGER), compact=True)
 
-    return (
+    writer = (
         with_partitions(events)
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
+    # A query takes the session's settings when it starts.
+    before = spark.conf.get(_PARTITIONS)
+    spark.conf.set(_PARTITIONS, state_partitions or min(int(before), spark.sparkContext.defaultParallelism))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(_PARTITIONS, before)
 
 
 def late_events(query: StreamingQuery) -> int:

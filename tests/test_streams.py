@@ -131,6 +131,23 @@ def test_late_events_are_dropped_and_counted(spark, tmp_path, folder):
     assert ids(spark, path) == ["0", "1", "2", "3", "4", "5"] and late_events(query) == 2
 
 
+def test_state_has_a_partition_for_each_core_at_most(spark, tmp_path, folder):
+    part(tmp_path, HOUR, "a", at(HOUR, 0), at(HOUR, 0), at(HOUR, 1), arrived=0)
+    conf, cores = "spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, cores + 24)
+    try:
+        for asked, given in ((None, cores), (3, 3)):
+            path, checkpoint = folder("lake"), folder("checkpoint")
+            query = stream_distinct(spark, str(tmp_path), path, checkpoint, "1 hour", state_partitions=asked)
+            query.awaitTermination()
+            states = [state for progress in query.recentProgress for state in progress["stateOperators"]]
+            assert {state["numShufflePartitions"] for state in states} == {given}
+            assert ids(spark, path) == ["0", "1"] and spark.conf.get(conf) == str(cores + 24)
+    finally:
+        spark.conf.set(conf, before)
+
+
 def test_events_without_a_readable_time_take_the_archives(spark, tmp_path, folder):
     path = folder("lake")
     part(tmp_path, HOUR, "a", event(1, created_at="yesterday"), event(1, created_at="yesterday"), event(2, created_at=None))
