@@ -1,13 +1,17 @@
+import tracemalloc
 from datetime import date
 from hashlib import md5
 from math import log
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from repopulse.functions import text as text_functions
 from repopulse.operators import embedding as emb
 from repopulse.operators.catalog import text_chunks
 from repopulse.plans.embed import encode_query, new_rows, refresh_index, search_text
@@ -144,3 +148,46 @@ def test_chunks_cover_whole_texts(spark, texts, size, data):
 def test_chunk_bounds(spark):
     with pytest.raises(ValueError):
         text_chunks(spark.createDataFrame([(1, "x")], "doc_id bigint, text string"), 5, 5)
+
+
+@pytest.fixture
+def in_task(monkeypatch):
+    """The functions that are sent to Python workers, as they are made."""
+    made = []
+
+    def arrow_udf(_kind):
+        return lambda function: made.append(function) or (lambda column: column)
+
+    monkeypatch.setattr("pyspark.sql.functions.arrow_udf", arrow_udf)
+    return made
+
+
+def peak_mb(function):
+    tracemalloc.start()
+    try:
+        return function(), tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_letters_take_no_many_times_the_texts(in_task):
+    """Also where a text is longer than what is counted at once."""
+    text_functions.letter_counts("text")
+    texts = pa.array(["ab", "A" * 3_000_000 + "b", None, "", "Zz\u00e9" * 500_000, "c"]).slice(1)
+    counts, peak = peak_mb(lambda: in_task[0](texts))
+    rows = counts.to_pylist()
+    assert peak < 60 and [row and sum(row) for row in rows] == [3_000_001, None, 0, 1_000_000, 1]
+    assert rows[0][:2] == [3_000_000, 1] and rows[3][25] == 1_000_000 and rows[4][2] == 1
+
+
+@given(st.lists(st.one_of(st.none(), st.text("aBz{@\u00e9 ", max_size=12)), max_size=8), st.integers(1, 9))
+@settings(deadline=None, max_examples=60)
+def test_letters_counted_in_parts(texts, size):
+    with pytest.MonkeyPatch.context() as patch:
+        made = []
+        patch.setattr("pyspark.sql.functions.arrow_udf", lambda _kind: lambda function: made.append(function) or (lambda c: c))
+        patch.setattr(text_functions, "_BYTES_AT_ONCE", size)
+        text_functions.letter_counts("text")
+    letters = [chr(ord("a") + n) for n in range(26)]
+    expected = [None if text is None else [text.lower().count(letter) for letter in letters] for text in texts]
+    assert made[0](pa.array(texts, pa.string())).to_pylist() == expected
