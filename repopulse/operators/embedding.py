@@ -7,7 +7,6 @@ from collections.abc import Callable, Iterator
 from datetime import date
 from math import log
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
@@ -26,6 +25,10 @@ Encoder = Callable[[DataFrame], DataFrame]
 # Vector length and batch size of the sentence encoder.
 DIMENSIONS = 384
 BATCH = 32
+# Texts, and bytes of them, that an encoder works on at a time; a slice is many batches.
+SLICE_ROWS, SLICE_BYTES = 1_024, 1 << 21
+# Words whose bucket a task remembers.
+WORDS_KEPT = 100_000
 
 
 def embed_candidates(
@@ -104,11 +107,27 @@ def fit_hashing(corpus: DataFrame, dimensions: int = DIMENSIONS) -> PipelineMode
     return Pipeline(stages=stages).fit(corpus.select("text"))
 
 
+def _slices(rows: int = SLICE_ROWS, size: int = SLICE_BYTES):
+    """A function that cuts an Arrow array of texts into parts of few rows and bytes each.
+
+    An Arrow batch has up to 10,000 texts, and what is computed from a text may take many
+    times its room. Made in a closure, so that executors need no copy of this package.
+    """
+
+    def slices(texts):
+        step = max(1, min(rows, size * len(texts) // max(texts.nbytes, 1)))
+        for start in range(0, len(texts), step):
+            yield texts.slice(start, step)
+
+    return slices
+
+
 def _md5_counts(dimensions: int):
     """A function from texts to a row of word counts for each, by the words' md5 bucket.
 
     Made in a closure, so that executors need no copy of this package.
     """
+    most = WORDS_KEPT
 
     def counter():
         import re
@@ -126,7 +145,7 @@ def _md5_counts(dimensions: int):
                     bucket[word] = int.from_bytes(md5(word.encode()).digest()[:4], "big") % dimensions
                 if own:
                     found[row] = np.bincount([bucket[word] for word in own], minlength=dimensions)
-                if len(bucket) > 500_000:
+                if len(bucket) > most:
                     bucket.clear()
             return found
 
@@ -137,7 +156,7 @@ def _md5_counts(dimensions: int):
 
 def _md5_vectors(dimensions: int, weights: list[float]):
     """A column function: word counts times ``weights``, scaled to unit length."""
-    counter = _md5_counts(dimensions)
+    counter, slices = _md5_counts(dimensions), _slices()
 
     @F.arrow_udf(T.ArrayType(T.FloatType()))
     def vectors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -145,7 +164,7 @@ def _md5_vectors(dimensions: int, weights: list[float]):
         import pyarrow as pa
 
         count = counter()
-        for texts in batches:
+        for texts in (part for batch in batches for part in slices(batch)):
             counts = count(texts.to_pylist()) * weights
             norms = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
             counts /= np.where(norms == 0, 1.0, norms)
@@ -161,7 +180,7 @@ def fit_md5(corpus: DataFrame, dimensions: int = DIMENSIONS) -> list[float]:
     Like ``fit_hashing``, but any engine that has md5 can compute the same vectors. One
     pass: a task sends one row, its number of documents and how many have each bucket.
     """
-    counter = _md5_counts(dimensions)
+    counter, slices = _md5_counts(dimensions), _slices()
 
     def sums(batches):
         import numpy as np
@@ -169,9 +188,8 @@ def fit_md5(corpus: DataFrame, dimensions: int = DIMENSIONS) -> list[float]:
 
         count, having = counter(), np.zeros(dimensions + 1, dtype="int64")
         for batch in batches:
-            for start in range(0, batch.num_rows, 1024):
-                texts = batch.column(0).slice(start, 1024).to_pylist()
-                having[:-1] += (count(texts) > 0).sum(axis=0)
+            for texts in slices(batch.column(0)):
+                having[:-1] += (count(texts.to_pylist()) > 0).sum(axis=0)
                 having[-1] += len(texts)
         yield pa.RecordBatch.from_arrays([pa.array(range(dimensions + 1)), pa.array(having)], ["bucket", "documents"])
 
@@ -215,17 +233,20 @@ def model_encoder(load_model: Callable[[], Callable[[list[str]], list]], batch:
     ``batch`` texts to a sequence of vectors.
     """
 
-    @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def vectors(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    slices = _slices()
+
+    @F.arrow_udf(T.ArrayType(T.FloatType()))
+    def vectors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         import numpy as np
+        import pyarrow as pa
 
         model = load_model()
-        for series in texts:
+        for texts in (part for arrived in batches for part in slices(arrived)):
             rows = []
-            for start in range(0, len(series), batch):
-                encoded = model(series.iloc[start : start + batch].tolist())
+            for start in range(0, len(texts), batch):
+                encoded = model(texts.slice(start, batch).to_pylist())
                 rows.extend(np.asarray(encoded, dtype="float32"))
-            yield pd.Series(rows, index=series.index, dtype=object)
+            yield pa.array(rows, pa.list_(pa.float32()), from_pandas=True)
 
     return lambda texts: texts.withColumn("embedding", vectors("text"))
 

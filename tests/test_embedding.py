@@ -191,3 +191,24 @@ def test_letters_counted_in_parts(texts, size):
     letters = [chr(ord("a") + n) for n in range(26)]
     expected = [None if text is None else [text.lower().count(letter) for letter in letters] for text in texts]
     assert made[0](pa.array(texts, pa.string())).to_pylist() == expected
+
+
+def test_hashing_works_on_few_rows_at_a_time(in_task):
+    emb._md5_vectors(384, [1.0] * 384)
+    texts = pa.array(["a b", None, ""] * 4_000)
+    sizes, peak = peak_mb(lambda: [len(part) for part in in_task[0](iter([texts, texts.slice(0, 1)]))])
+    assert sum(sizes) == 12_001 and peak < 25
+
+
+def test_a_model_works_on_few_rows_at_a_time(in_task):
+    asked = []
+
+    def load():
+        return lambda texts: asked.append(len(texts)) or np.array([[len(text or "")] * 64 for text in texts])
+
+    emb.model_encoder(load, batch=100)
+    texts = pa.array(["a" * (n % 7) for n in range(10_000)] + ["b" * emb.SLICE_BYTES, None])
+    parts = [(len(part), sum(asked)) for part in in_task[0](iter([texts]))]
+    # Vectors leave as soon as their slice is done.
+    assert sum(asked) == 10_002 and max(asked) <= 100 and max(size for size, _ in parts) <= emb.SLICE_ROWS
+    assert [done for _, done in parts] == list(np.cumsum([size for size, _ in parts]))
