@@ -7,6 +7,8 @@ from ..functions.events import is_pull_request, merge_rate, owner, top
 from ..functions.text import missing_if_empty, windows
 from .activity import PR_COUNTS
 
+_WHOLE = (Window.unboundedPreceding, Window.unboundedFollowing)
+
 
 def dim_repos(activity: DataFrame) -> DataFrame:
     """One row per repository: latest name, active span, totals, overall merge rate."""
@@ -30,25 +32,30 @@ def name_history(activity: DataFrame) -> DataFrame:
     A name holds from the first day it was seen until the day before the next one was, and
     the last one still holds (``valid_to`` is null). A name that comes back after another
     is a row of its own, so the intervals of a repository cover its time without overlap.
-    A partition of the windows is one repository's days, or its names.
+    A partition of the windows is one repository's days. All of them have one order, so a
+    task sorts its days once and holds no more of them than Spark's sort does.
     """
-    days = Window.partitionBy("repo_id").orderBy("event_date")
+    repo = Window.partitionBy("repo_id")
+    days = repo.orderBy("event_date")
     before = F.lag("repo_name").over(days)
-    named = activity.select("repo_id", "event_date", "repo_name")
-    named = named.withColumn("renamed", (before.isNull() | (before != F.col("repo_name"))).cast("int"))
-    spans = (
-        named.withColumn("name_no", F.sum("renamed").over(days))
-        .groupBy("repo_id", "name_no", "repo_name")
-        .agg(
-            F.min("event_date").alias("valid_from"),
-            F.max("event_date").alias("last_seen"),
-            F.count("*").alias("active_days"),
-        )
-    )
-    following = F.lead("valid_from").over(Window.partitionBy("repo_id").orderBy("valid_from"))
-    return spans.select(
-        "repo_id", "repo_name", "valid_from", F.date_sub(following, 1).alias("valid_to"), "last_seen", "active_days"
+    same = F.coalesce(before == F.col("repo_name"), F.lit(False))
+    named = activity.select("repo_id", "event_date", "repo_name").withColumns(
+        {
+            "day_no": F.row_number().over(days),
+            "renamed": ~same,
+            "seen_before": F.lag("event_date").over(days),
+            "days": F.count("*").over(days.rowsBetween(*_WHOLE)),
+            "last_date": F.max("event_date").over(days.rowsBetween(*_WHOLE)),
+        }
     )
+    # Only the first day of each name is left; what follows it tells where the name ends.
+    following = F.lead("event_date").over(days)
+    last_seen = F.coalesce(F.lead("seen_before").over(days), "last_date")
+    next_no = F.coalesce(F.lead("day_no").over(days), F.col("days") + 1)
+    return named.where("renamed").select(
+        "repo_id", "repo_name", F.col("event_date").alias("valid_from"), F.date_sub(following, 1).alias("valid_to"),
+        last_seen.alias("last_seen"), (next_no - F.col("day_no")).alias("active_days"),
+    )
 
 
 def org_activity_daily(activity: DataFrame) -> DataFrame:

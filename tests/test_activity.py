@@ -1,4 +1,5 @@
 import os
+import re
 from datetime import date
 
 import pytest
@@ -154,3 +155,18 @@ def test_name_history(spark):
     found = [(row.repo_id, row.repo_name, row.valid_from.day, row.valid_to and row.valid_to.day, row.last_seen.day, row.active_days)
              for row in name_history(days).orderBy("repo_id", "valid_from").collect()]
     assert found == [(1, "a/x", 1, 3, 3, 2), (1, "a/y", 4, 8, 4, 1), (1, "a/x", 9, None, 9, 1), (2, "b/z", 5, None, 5, 1)]
+
+
+def test_name_history_sorts_once_and_groups_nothing(spark):
+    """However many names there are, a task holds no more than one sort of its days."""
+    days = spark.createDataFrame([(1, "a/x", date(2024, 1, 1))], "repo_id long, repo_name string, event_date date")
+    text = name_history(days)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"\bSort \[", text)) == 1 and "Aggregate" not in text
+
+
+def test_name_history_of_days_without_a_name_and_repeated_days(spark):
+    rows = [(1, "a", 1), (1, None, 2), (1, None, 3), (1, "a", 4), (1, "a", 4), (None, "b", 7), (None, "b", 8)]
+    days = spark.createDataFrame([(repo, name, date(2024, 1, day)) for repo, name, day in rows], "repo_id long, repo_name string, event_date date")
+    found = [(row.repo_id, row.repo_name, row.valid_from.day, row.valid_to and row.valid_to.day, row.last_seen.day, row.active_days)
+             for row in name_history(days).orderBy("repo_id", "valid_from").collect()]
+    assert found == [(None, "b", 7, None, 8, 2), (1, "a", 1, 1, 1, 1), (1, None, 2, 2, 2, 1), (1, None, 3, 3, 3, 1), (1, "a", 4, None, 4, 2)]
