@@ -110,3 +110,12 @@ def test_pending_and_enrichment_need_no_hint(spark):
 def test_registered_trends_prune_the_written_mart(spark):
     for name in ("trending_window", "trend_series", "trend_pivot", "trend_pivot_names"):
         assert re.search(r"PartitionFilters: \[.*event_date.*>= 2023-12-31", plan(QUERIES[name](spark, FOLDER)))
+
+
+def test_the_wide_mart_is_not_shuffled_to_be_written(spark, monkeypatch):
+    def shuffled(*_):
+        raise AssertionError("one more shuffle of the whole mart")
+
+    monkeypatch.setattr(type(spark.range(1)), "repartitionByRange", shuffled)
+    path = adapters.written_wide_mart.__wrapped__(spark, FOLDER)
+    assert spark.read.parquet(path).count() == QUERIES["repo_trends_daily_wide"](spark, FOLDER).count()
