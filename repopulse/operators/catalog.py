@@ -7,8 +7,6 @@ from ..functions.events import is_pull_request, merge_rate, owner, top
 from ..functions.text import missing_if_empty, windows
 from .activity import PR_COUNTS
 
-_WHOLE = (Window.unboundedPreceding, Window.unboundedFollowing)
-
 
 def dim_repos(activity: DataFrame) -> DataFrame:
     """One row per repository: latest name, active span, totals, overall merge rate."""
@@ -37,6 +35,7 @@ def name_history(activity: DataFrame) -> DataFrame:
     """
     repo = Window.partitionBy("repo_id")
     days = repo.orderBy("event_date")
+    whole = days.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     before = F.lag("repo_name").over(days)
     same = F.coalesce(before == F.col("repo_name"), F.lit(False))
     named = activity.select("repo_id", "event_date", "repo_name").withColumns(
@@ -44,17 +43,23 @@ def name_history(activity: DataFrame) -> DataFrame:
             "day_no": F.row_number().over(days),
             "renamed": ~same,
             "seen_before": F.lag("event_date").over(days),
-            "days": F.count("*").over(days.rowsBetween(*_WHOLE)),
-            "last_date": F.max("event_date").over(days.rowsBetween(*_WHOLE)),
+            "days": F.count("*").over(whole),
+            "dated": F.count("event_date").over(whole),
+            "first_date": F.min("event_date").over(whole),
+            "last_date": F.max("event_date").over(whole),
         }
     )
     # Only the first day of each name is left; what follows it tells where the name ends.
-    following = F.lead("event_date").over(days)
-    last_seen = F.coalesce(F.lead("seen_before").over(days), "last_date")
     next_no = F.coalesce(F.lead("day_no").over(days), F.col("days") + 1)
-    return named.where("renamed").select(
-        "repo_id", "repo_name", F.col("event_date").alias("valid_from"), F.date_sub(following, 1).alias("valid_to"),
-        last_seen.alias("last_seen"), (next_no - F.col("day_no")).alias("active_days"),
+    spans = named.where("renamed").withColumns({"next_no": next_no, "next_seen": F.lead("seen_before").over(days)})
+    # Days without a date come first; a name that goes on after them holds from its first date.
+    goes_on = F.col("next_no") > F.col("days") - F.col("dated") + 1
+    spans = spans.withColumn("valid_from", F.coalesce("event_date", F.when(goes_on, F.col("first_date"))))
+    following = F.lead("valid_from").over(days)
+    last_seen = F.when(F.col("next_no") > F.col("days"), F.col("last_date")).otherwise(F.col("next_seen"))
+    return spans.select(
+        "repo_id", "repo_name", "valid_from", F.date_sub(following, 1).alias("valid_to"),
+        last_seen.alias("last_seen"), (F.col("next_no") - F.col("day_no")).alias("active_days"),
     )
 
 

@@ -170,3 +170,12 @@ def test_name_history_of_days_without_a_name_and_repeated_days(spark):
     found = [(row.repo_id, row.repo_name, row.valid_from.day, row.valid_to and row.valid_to.day, row.last_seen.day, row.active_days)
              for row in name_history(days).orderBy("repo_id", "valid_from").collect()]
     assert found == [(None, "b", 7, None, 8, 2), (1, "a", 1, 1, 1, 1), (1, None, 2, 2, 2, 1), (1, None, 3, 3, 3, 1), (1, "a", 4, None, 4, 2)]
+
+
+def test_name_history_of_days_without_a_date(spark):
+    """They come first: alone, before another name, and before the same one."""
+    rows = [(1, "a", None), (2, "a", None), (2, "b", 3), (2, "b", 4), (3, "a", None), (3, "a", 5), (3, "a", 6), (3, "b", 9)]
+    days = spark.createDataFrame([(repo, name, day and date(2024, 1, day)) for repo, name, day in rows], "repo_id long, repo_name string, event_date date")
+    found = [(row.repo_id, row.repo_name, *(day and day.day for day in (row.valid_from, row.valid_to, row.last_seen)), row.active_days)
+             for row in name_history(days).orderBy("repo_id", "valid_from").collect()]
+    assert found == [(1, "a", None, None, None, 1), (2, "a", None, 2, None, 1), (2, "b", 3, None, 4, 2), (3, "a", 5, 8, 6, 3), (3, "b", 9, None, 9, 1)]
