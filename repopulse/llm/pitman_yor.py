@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from repopulse.session import shared_folder
 
-from .common import discard_folder, materialised, release
+from .common import release
 
 #: Bytes of text after which a chunk ends with the document, and for which there is a shard.
 CHUNK_BYTES, SHARD_BYTES = 16 << 20, 12 << 20
@@ -53,6 +53,14 @@ def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
     return ((keys & CONTEXT) % np.uint64(shards)).astype(np.int64)
 
 
+def pairs_of(words: np.ndarray, lengths: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs of a word and the one before it, as one number, and the place of each token's."""
+    before = np.empty_like(words)
+    before[1:] = words[:-1]
+    before[np.cumsum(lengths) - lengths] = start
+    return np.unique(words << 32 | before, return_inverse=True)
+
+
 class Chunk:
     """Documents of one task: their words numbered, their pairs (word, word before) counted."""
 
@@ -90,10 +98,7 @@ class Chunk:
         keys, shard = keys[order], shard[order]
         lengths = np.array([len(own) for own in self.words])
         words = rank[np.concatenate(self.words)]
-        before = np.empty_like(words)
-        before[1:] = words[:-1]
-        before[np.cumsum(lengths) - lengths] = rank[0]
-        pairs, places = np.unique(words << 32 | before, return_inverse=True)
+        pairs, places = pairs_of(words, lengths, rank[0])
         learned = np.repeat(np.array(self.learn, bool), lengths)
         counts = np.bincount(places[learned], minlength=len(pairs))
         word, context = pairs >> 32, keys[pairs & 0xFFFFFFFF] & CONTEXT
@@ -110,20 +115,20 @@ class Chunk:
                     "contexts": _squeeze(context[p]), "counts": _squeeze(counts[p].astype("<u4")),
                 }
             )
-        # Distinct pairs of each document, one after another, and how often it has them.
-        document = np.repeat(np.arange(len(lengths)), lengths)
-        own, times = np.unique(document * len(pairs) + places, return_counts=True)
+        # The tokens themselves, frequent words as small numbers; pairs are found again from them.
+        frequent = np.argsort(-np.bincount(words, minlength=len(keys)), kind="stable")
+        small = np.empty(len(frequent), "<u4")
+        small[frequent] = np.arange(len(frequent))
         documents = {
-            "doc_id": self.ids, "learn": self.learn, "lengths": lengths,
-            "places": _squeeze(np.diff(own, prepend=0).astype("<u4")), "times": _squeeze(times.astype("<u4")),
-            "words": _squeeze(each.astype("<u4")), "before": _squeeze((pairs & 0xFFFFFFFF).astype("<u4")),
+            "doc_id": self.ids, "learn": self.learn, "lengths": lengths, "first": int(rank[0]),
+            "tokens": _squeeze(small[words]), "frequent": _squeeze(frequent.astype("<u4")),
         }
         return documents, requests
 
 
 _DOCUMENT_FIELDS = {
-    "doc_id": "array<long>", "learn": "array<boolean>", "lengths": "array<long>", "places": "binary", "times": "binary",
-    "words": "binary", "before": "binary",
+    "doc_id": "array<long>", "learn": "array<boolean>", "lengths": "array<long>", "first": "long", "tokens": "binary",
+    "frequent": "binary",
 }
 _REQUEST_FIELDS = {
     "shard": "int", "first_word": "long", "first_pair": "long", "keys": "binary", "each": "binary",
@@ -344,6 +349,16 @@ def _sample(shards: int, requests: pa.Table) -> pa.Table:
     return _table(out, _ANSWER_FIELDS)
 
 
+_SAMPLED_FIELDS = _ANSWER_FIELDS | _DOCUMENT_FIELDS
+
+
+def _sample_or_pass(shards: int, rows: pa.Table) -> pa.Table:
+    """The answers of a shard, or the documents of a chunk as they came."""
+    if rows["shard"][0].is_valid:
+        return _table(_sample(shards, rows).to_pylist(), _SAMPLED_FIELDS)
+    return _table(rows.to_pylist(), _SAMPLED_FIELDS)
+
+
 _REPLY_FIELDS = {
     "chunk": "long", "first_word": "long", "counts": "binary", "root": "binary", "customers": "binary", "masses": "binary",
 }
@@ -421,8 +436,10 @@ _SCORE_FIELDS = {
 def _score(totals: Totals, documents: pa.Table, replies: pa.Table) -> pa.Table:
     """Scores of a chunk's documents."""
     row = documents.to_pylist()[0]
-    each, before = _unsqueeze(row["words"], "<u4"), _unsqueeze(row["before"], "<u4")
-    size, pairs = len(each), len(before)
+    frequent, lengths = _unsqueeze(row["frequent"], "<u4").astype(np.int64), np.array(row["lengths"])
+    distinct, place = pairs_of(frequent[_unsqueeze(row["tokens"], "<u4")], lengths, row["first"])
+    size, pairs = len(frequent), len(distinct)
+    word, before = distinct >> 32, distinct & 0xFFFFFFFF
     counts, customers = np.zeros(size, np.int64), np.zeros(size, np.int64)
     root, masses, seated = np.zeros((SAMPLES, size)), np.zeros((SAMPLES, size)), np.zeros(pairs)
     for reply in replies.to_pylist():
@@ -435,14 +452,11 @@ def _score(totals: Totals, documents: pa.Table, replies: pa.Table) -> pa.Table:
         counts[at], customers[at] = own, _unsqueeze(reply["customers"], "<u4")
         root[:, at] = _unsqueeze(reply["root"], "<f4").reshape(SAMPLES, -1)
         masses[:, at] = _unsqueeze(reply["masses"], "<f4").reshape(SAMPLES, -1)
-    word = np.repeat(np.arange(size), each)
     score = np.log10(probabilities(seated, word, before, totals.root(root), customers, masses))
     base = np.log10((counts + PSEUDO_COUNT) / (totals.tokens + PSEUDO_COUNT * (totals.vocabulary + 1)))[word]
-    lengths, times = np.array(row["lengths"]), _unsqueeze(row["times"], "<u4").astype(np.int64)
-    document, place = np.divmod(np.cumsum(_unsqueeze(row["places"], "<u4"), dtype=np.int64), pairs)
-    starts = np.searchsorted(document, np.arange(len(lengths)))
+    starts = np.cumsum(lengths) - lengths
     known = (counts[word] > 0).astype(np.int64)
-    known, base, score = (np.add.reduceat(times * values[place], starts) for values in (known, base, score))
+    known, base, score = (np.add.reduceat(values[place], starts) for values in (known, base, score))
     out = {
         "doc_id": row["doc_id"], "held_out": [not learned for learned in row["learn"]], "n_tokens": lengths,
         "n_known": known, "train_tokens": np.full(len(lengths), int(totals.tokens)), "base_score": base, "score": score,
@@ -473,21 +487,20 @@ def score_documents(docs: DataFrame, learn_from: Column, doc_id: str = "doc_id",
     )
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
-    spark, path = docs.sparkSession, shared_folder(docs.sparkSession, "lm-chunks")
+    spark, path = docs.sparkSession, shared_folder(docs.sparkSession, "lm-shards")
     chunks = rows.mapInArrow(partial(_chunks, shards, CHUNK_BYTES), _schema(_CHUNK_FIELDS))
-    kind = F.when(F.col("shard").isNull(), "documents").otherwise("requests").alias("kind")
-    chunks.select("*", kind).write.option("compression", "zstd").partitionBy("kind").parquet(path)
-    chunks = spark.read.schema(f"{_schema(_CHUNK_FIELDS)}, kind string").parquet(path)
-    requests = chunks.where("kind = 'requests'").select("chunk", *_REQUEST_FIELDS)
-    sampled = requests.groupBy("shard").applyInArrow(lambda table: _sample(shards, table), _schema(_ANSWER_FIELDS))
-    answers = materialised(sampled, "lm-shards")
-    discard_folder(spark, f"{path}/kind=requests")
-    release(spark)
+    # Requests meet at their shard; documents, which no text is read for again, pass alone.
+    alone = F.when(F.col("shard").isNull(), F.col("chunk"))
+    sampled = chunks.groupBy("shard", alone).applyInArrow(lambda table: _sample_or_pass(shards, table), _schema(_SAMPLED_FIELDS))
+    kind = F.when(F.col("lengths").isNull(), "answers").otherwise("documents").alias("kind")
+    sampled.select("*", kind).write.option("compression", "zstd").partitionBy("kind").parquet(path)
+    sampled = spark.read.schema(f"{_schema(_SAMPLED_FIELDS)}, kind string").parquet(path)
+    answers = sampled.where("kind = 'answers'").select(*_ANSWER_FIELDS)
     totals = Totals.of(answers)
+    release(spark)  # the requests: Spark holds a shuffle until another job has run
     scores = answers.where("chunk is not null").select("chunk", "first_pair", "scores")
     replies = answers.drop("scores", "first_pair").groupBy("shard").applyInArrow(_reply, _schema(_REPLY_FIELDS))
     replies = replies.unionByName(scores, allowMissingColumns=True)
-    texts = spark.read.schema(f"{_schema(_CHUNK_FIELDS)}, kind string").parquet(path)
-    texts = texts.where("kind = 'documents'").select("chunk", *_DOCUMENT_FIELDS)
+    texts = sampled.where("kind = 'documents'").select("chunk", *_DOCUMENT_FIELDS)
     both = texts.groupBy("chunk").cogroup(replies.groupBy("chunk"))
     return both.applyInArrow(lambda one, other: _score(totals, one, other), _schema(_SCORE_FIELDS))

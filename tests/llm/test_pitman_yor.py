@@ -220,3 +220,16 @@ def test_odd_rows(spark):
     assert lm.score_documents(docs.where("false"), F.lit(True)).count() == 0
     unlearned = lm.score_documents(docs, F.lit(False)).collect()
     assert all(row.n_known == 0 and row.train_tokens == 0 and row.score <= 0 for row in unlearned)
+
+
+def test_a_chunk_keeps_its_documents_in_few_bytes():
+    """Its tokens, once; not the distinct pairs of each document and of the chunk."""
+    rng = np.random.default_rng(3)
+    chunk = lm.Chunk(0)
+    for n in range(200):
+        chunk.add(n, " ".join(f"w{int(x)}" for x in rng.pareto(0.7, 500) * 10), n % 10 > 0)
+    documents, _ = chunk.packed(8)
+    words = sum(map(len, chunk.words))
+    assert sum(len(own) for own in documents.values() if isinstance(own, bytes)) < 2.5 * words
+    frequent = lm._unsqueeze(documents["frequent"], "<u4")[lm._unsqueeze(documents["tokens"], "<u4")]
+    assert len(frequent) == words and len(set(frequent.tolist())) == len(chunk.keys) - 1  # all but the start
