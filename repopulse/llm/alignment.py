@@ -39,11 +39,11 @@ REMEMBERED = 120_000
 #: Before a single space between characters that no tokenizer's white space includes.
 _INK = "[^\\s\x1c-\x1f\x85]"
 CLEAN_CUT = re.compile(f"(?<={_INK})(?= {_INK})")
-SIZE = (1 << 40) - 1
+SIZE = (1 << 31) - 1
 #: A unit that such spaces are on both sides of, also when others stand before and after it.
 PLAIN = re.compile(f" {_INK}(?:.*{_INK})?", re.DOTALL)
 #: Distinct units that are encoded and aligned in a row.
-TOGETHER = 256
+TOGETHER = 512
 
 CHUNK = (
     "chunk long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
@@ -56,30 +56,38 @@ def gallop(short: list[int], long: list[int]) -> list[int]:
     """For each of ``short``, how many of ``long`` are smaller; both are sorted."""
     ranks, low, size = [], 0, len(long)
     for value in short:
-        step, high = 1, low
-        while high < size and long[high] < value:
-            low, high, step = high + 1, high + step, step * 2
-        low = bisect_left(long, value, low, min(high, size))
+        if low < size and long[low] < value:
+            low += 1
+            step, high = 1, low
+            while high < size and long[high] < value:
+                low, high, step = high + 1, high + step, step * 2
+            if low < high:
+                low = bisect_left(long, value, low, min(high, size))
         ranks.append(low)
     return ranks
 
 
-def align(ends_a: list[int], ends_b: list[int]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+def overlaps(ends_a: list[int], ends_b: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Groups and links of two lists of token ends that close with the same byte.
 
-    A group is how many tokens of each list were used up at its end; a link is the
-    places of two tokens that overlap, by the place in the shorter list.
+    A group is how many tokens of A and of B were used up at its end; a link is the places
+    of two tokens that overlap, by the place in the shorter list.
     """
     flip = len(ends_a) > len(ends_b)
     short, long = (ends_b, ends_a) if flip else (ends_a, ends_b)
-    groups, links, first = [], [], 0
-    for place, (end, rank) in enumerate(zip(short, gallop(short, long))):
-        links += [(other, place) if flip else (place, other) for other in range(first, rank + 1)]
-        common = long[rank] == end
-        if common:
-            groups.append((rank + 1, place + 1) if flip else (place + 1, rank + 1))
-        first = rank + common
-    return groups, links
+    ranks, places = np.array(gallop(short, long), np.int64), np.arange(len(short))
+    common = np.array(long, np.int64)[ranks] == np.array(short, np.int64)
+    first = np.append(0, ranks + common)[:-1]
+    each = ranks - first + 1
+    others = np.arange(each.sum()) + np.repeat(first - np.cumsum(each) + each, each)
+    group, link = (places[common] + 1, ranks[common] + 1), (np.repeat(places, each), others)
+    return (*group[::-1], *link[::-1]) if flip else (*group, *link)
+
+
+def align(ends_a: list[int], ends_b: list[int]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """Groups and links as pairs."""
+    group_a, group_b, link_a, link_b = (own.tolist() for own in overlaps(ends_a, ends_b))
+    return list(zip(group_a, group_b)), list(zip(link_a, link_b))
 
 
 def byte_level_bytes() -> dict[str, int]:
@@ -120,6 +128,11 @@ class Aligner:
             self.bytes_b.append(raw)
         self.units = self.b.cuts and cut.get("type") == "ByteLevel" and cut.get("use_regex", True)
         self.units = self.units and self.a.normalizer is None
+        # Ids as text, with what may follow them: inside a side of a group (A, B), and after it (A, B).
+        self.shown = np.array(
+            [f"{number}{sign}" for signs in (",,", "|;") for own, sign in zip((self.bytes_a, self.bytes_b), signs) for number in range(len(own))],
+            object,
+        )
         self.lengths_a, self.lengths_b = (np.array([len(one) for one in own]) for own in (self.bytes_a, self.bytes_b))
         self.known = Distinct(self.records, REMEMBERED)
 
@@ -131,7 +144,7 @@ class Aligner:
         return zip(texts, (one.ids for one in of_a), of_b)
 
     def records(self, units: list[str]) -> list[tuple | None]:
-        """For each unit: sizes as one number, packed id pairs of its links, its groups as text.
+        """For each unit: tokens of A and B as one number, packed id pairs of its links, its groups as text, each with a `;`.
 
         Units that a clean space would part from each other are aligned many in a row,
         and their records are cut out where they end.
@@ -153,23 +166,24 @@ class Aligner:
             return None
         ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
         ends_a, ends_b = np.cumsum(self.lengths_a[ids_a]), np.cumsum(self.lengths_b[ids_b])
-        groups, links = align(ends_a.tolist(), ends_b.tolist())
+        group_a, group_b, link_a, link_b = overlaps(ends_a.tolist(), ends_b.tolist())
         stops = np.cumsum([len(unit.encode()) for unit in units])
         stop_a, stop_b = (np.searchsorted(ends, stops) + 1 for ends in (ends_a, ends_b))
-        pairs = np.array(links, np.int64).reshape(-1, 2)
-        codes = (ids_a[pairs[:, 0]] << 32 | ids_b[pairs[:, 1]]).tobytes()
-        stop_link = np.searchsorted(pairs[:, 0], stop_a).tolist()
-        stop_group = np.searchsorted([to for to, _ in groups], stop_a).tolist()
-        text_a, text_b, shown, i, j = list(map(str, a)), list(map(str, b)), [], 0, 0
-        for to_i, to_j in groups:
-            shown.append(f"{','.join(text_a[i:to_i])}|{','.join(text_b[j:to_j])}")
-            i, j = to_i, to_j
-        records, a0, b0, l0, g0 = [], 0, 0, 0, 0
-        for a1, b1, l1, g in zip(stop_a.tolist(), stop_b.tolist(), stop_link, stop_group):
-            g1 = g + 1  # the unit's last group ends with its last token
-            sizes = a1 - a0 | (b1 - b0) << 40 | (g1 - g0) << 80
-            records.append((sizes, codes[8 * l0 : 8 * l1], ";".join(shown[g0:g1])))
-            a0, b0, l0, g0 = a1, b1, l1, g1
+        codes, stop_link = (ids_a[link_a] << 32 | ids_b[link_b]).tobytes(), 8 * np.searchsorted(link_a, stop_a)
+        # The ids of a group's A stand before those of its B, and both behind the groups before.
+        size_a, size_b = np.diff(group_a, prepend=0), np.diff(group_b, prepend=0)
+        own_a, own_b = ids_a.copy(), ids_b + len(self.bytes_a)
+        own_a[group_a - 1] += len(self.shown) // 2
+        own_b[group_b - 1] += len(self.shown) // 2
+        order = np.empty(len(a) + len(b), np.int64)
+        order[np.arange(len(a)) + np.repeat(group_b - size_b, size_a)] = own_a
+        order[np.arange(len(b)) + np.repeat(group_a, size_b)] = own_b
+        shown, stop_shown = self.shown[order].tolist(), (stop_a + stop_b).tolist()
+        sizes = np.diff(stop_a, prepend=0) | np.diff(stop_b, prepend=0) << 31
+        records, l0, s0 = [], 0, 0
+        for size, l1, s1 in zip(sizes.tolist(), stop_link.tolist(), stop_shown):
+            records.append((size, codes[l0:l1], "".join(shown[s0:s1])))
+            l0, s0 = l1, s1
         return records
 
     def split(self, text: str | None) -> list[str]:
@@ -192,9 +206,9 @@ class Aligner:
             if not own or None in own:
                 yield 0, 0, 0, np.zeros(0, np.int64), ""
                 continue
-            sizes = sum([one[0] for one in own])  # no part overflows into the next one
-            codes, shown = b"".join([one[1] for one in own]), ";".join([one[2] for one in own])
-            yield sizes & SIZE, sizes >> 40 & SIZE, sizes >> 80, np.frombuffer(codes, np.int64), shown
+            sizes = sum([one[0] for one in own])  # neither part overflows: a text has less than 2 GB
+            codes, shown = b"".join([one[1] for one in own]), "".join([one[2] for one in own])
+            yield sizes & SIZE, sizes >> 31, shown.count("|"), np.frombuffer(codes, np.int64), shown[:-1]
 
 
 @lru_cache(maxsize=2)

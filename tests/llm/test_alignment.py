@@ -137,3 +137,20 @@ def test_align(sizes):
         overlap = [(i, j) for i, (s, e) in enumerate(ranges[0]) for j, (t, f) in enumerate(ranges[1]) if s < f and t < e]
         assert sorted(links) == overlap
         assert groups == [(a.index(end) + 1, b.index(end) + 1) for end in a if end in b]
+
+
+def test_a_block_of_units_needs_no_step_for_each_group(monkeypatch):
+    """Groups are found and written in arrays: a block of units calls ``overlaps`` once."""
+    calls = []
+    whole = alignment.overlaps
+    monkeypatch.setattr(alignment, "overlaps", lambda *ends: calls.append(1) or whole(*ends))
+    aligner = alignment.Aligner(BYTES, PIECES)
+    texts = [" ".join(f"word{n} x{n * m}y" for n in range(100)) for m in (1, 2)]
+    together = list(aligner.align_all(texts))
+    assert len(calls) == 1
+    alone = [next(alignment.Aligner(BYTES, PIECES).align_all([text])) for text in texts]
+    for one, other in zip(together, alone):
+        n_a, n_b, n_groups, codes, shown = one
+        groups = [[side.split(",") for side in group.split("|")] for group in shown.split(";")]
+        assert n_a == sum(len(a) for a, _ in groups) and n_b == sum(len(b) for _, b in groups) and n_groups == len(groups)
+        assert one[:3] == other[:3] and shown == other[4] and codes.tolist() == other[3].tolist()
