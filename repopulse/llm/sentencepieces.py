@@ -114,8 +114,8 @@ class Codec:
             self.starts = np.array([piece.startswith(SPACE) for piece in pieces])
             self.distinct = Distinct(self.records)
 
-    def records(self, words: list[str]) -> list[tuple[bytes, str]]:
-        """Packed ids of each word and what they decode to.
+    def records(self, words: list[str]) -> list[bytes | tuple[bytes, str]]:
+        """Packed ids of each word, and what they decode to if that is another word.
 
         Words with one space, before them, are encoded and decoded many at a time: pieces
         that start with the space mark tell them apart.
@@ -129,23 +129,24 @@ class Codec:
         found = {}
         if len(cuts) == len(plain) and back == joined:
             raw, stops = ids.tobytes(), [*(4 * cuts[1:]).tolist(), 4 * len(ids)]
-            found = {word: (raw[4 * at : stop], word) for word, at, stop in zip(plain, cuts.tolist(), stops)}
+            found = {word: raw[4 * at : stop] for word, at, stop in zip(plain, cuts.tolist(), stops)}
         others = [word for word in words if word not in found]
         rows = [one.ids for one in self.single.encode_batch_fast(others, add_special_tokens=False)]
         back = self.words.decode_batch(rows, skip_special_tokens=False)
         for word, own, text in zip(others, rows, back):
-            found[word] = array("I", own).tobytes(), text.replace(SPACE, " ")
+            packed, spelled = array("I", own).tobytes(), text.replace(SPACE, " ")
+            found[word] = packed if spelled == word else (packed, spelled)
         return [found[word] for word in words]
 
-    def known_words(self, texts: list[str]) -> list[list[tuple[bytes, str]]]:
-        """The records of each text's words, each distinct word looked up once."""
+    def known_words(self, texts: list[str]) -> list[tuple[list[str], list[bytes | tuple[bytes, str]]]]:
+        """The words of each text and their records, each distinct word looked up once."""
         split = [self.table.split(text) for text in texts]
         known = self.distinct.table(chain.from_iterable(split))
-        return [list(map(known.__getitem__, words)) for words in split]
+        return [(words, list(map(known.__getitem__, words))) for words in split]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if self.table.cuts:
-            return [np.frombuffer(b"".join([ids for ids, _ in own]), "<u4") for own in self.known_words(texts)]
+            return [np.frombuffer(_packed(own), "<u4") for _, own in self.known_words(texts)]
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         # The library gives no ids for no text; the prefix would.
         return [np.array(one.ids if text else [], "<u4") for one, text in zip(found, texts)]
@@ -156,9 +157,12 @@ class Codec:
             ids = self.encode(texts)
             return ids, self.decode([own.tolist() for own in ids])
         ids, back = [], []
-        for own in self.known_words(texts):
-            packed, spelled = zip(*own) if own else ((), ())
-            ids.append(np.frombuffer(b"".join(packed), "<u4"))
+        for text, (words, own) in zip(texts, self.known_words(texts)):
+            ids.append(np.frombuffer(_packed(own), "<u4"))
+            if tuple not in map(type, own):  # every word decodes to itself, and the words are the text
+                back.append(text)
+                continue
+            spelled = [word if type(one) is bytes else one[1] for word, one in zip(words, own)]
             back.append("".join(spelled).removeprefix(self.table.prefix))
         return ids, back
 
@@ -171,6 +175,13 @@ class Codec:
         return self.tokenizer.decode_batch([list(own) for own in ids], skip_special_tokens=False)
 
 
+def _packed(records: list[bytes | tuple[bytes, str]]) -> bytes:
+    try:
+        return b"".join(records)
+    except TypeError:
+        return b"".join([one if type(one) is bytes else one[0] for one in records])
+
+
 @lru_cache(maxsize=2)
 def _codec(path: str, threads: int) -> Codec:
     return Codec(path, threads)

@@ -54,6 +54,10 @@ class PieceTable:
     def split(self, text: str) -> list[str]:
         if not text:
             return []
+        if self.prefix and SPACE not in text:
+            parts = text.split(" ")
+            if "" not in parts:
+                return [" " + part for part in parts]  # as the expression does, in less time
         return self.find(self.prefix + text) if self.cuts else [text]
 
     def all_ids(self, pre_tokens: list[str]) -> list[list[int]]:

@@ -119,3 +119,13 @@ def test_a_unigram_model_is_rebuilt(tmp_path):
     assert all(codec.parity(texts, ids)) and codec.decode([own.tolist() for own in ids]) == texts
     counted = tokens.PieceTable(str(path))
     assert not counted.cuts and counted.counts(["abba ab"]) == [len(ids[0])]
+
+
+def test_only_words_that_decode_to_others_are_kept_with_them():
+    codec = sentencepieces.Codec(PIECES, 1)
+    plain, marked = codec.records([" plain", " ▁mark"])
+    assert type(plain) is bytes and type(marked) is tuple and marked[1] == "  mark"
+    ids, back = codec.round_trip(["plain ▁mark", "plain words", ""])
+    assert back == ["plain  mark", "plain words", ""] and len(ids[2]) == 0
+    for text in ["one two", " one", "one  two ", "one ▁two", " ", "a\nb c"]:
+        assert codec.table.split(text) == codec.table.find(" " + text)
