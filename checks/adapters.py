@@ -83,8 +83,8 @@ def _activity_columns(events: DataFrame) -> DataFrame:
     )
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").withColumnRenamed("event_type", "kind")
+def _events(events: DataFrame) -> DataFrame:
+    events = events.withColumnRenamed("event_type", "kind")
     # A generator, so that the text is parsed once per row and not once per use of k.
     return _activity_columns(events.select("*", F.json_tuple("props", "k").alias("k")))
 
@@ -102,12 +102,16 @@ def _partitioned(flat: DataFrame, ts: Column) -> DataFrame:
 
 
 def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _partitioned(_events(spark, sf_dir), F.col("ts"))
+    return _partitioned(_events(table(spark, sf_dir, "events")), F.col("ts"))
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """value, archive_hour."""
-    events = _events(spark, sf_dir)
+    return _lines_of(table(spark, sf_dir, "events"))
+
+
+def _lines_of(rows: DataFrame) -> DataFrame:
+    events = _events(rows)
     pull_request = F.struct(
         (F.col("pr_merged") == 1).alias("merged"),
         F.col("pr_state").alias("state"),
@@ -183,18 +187,21 @@ def written_vectors(spark: SparkSession, sf_dir: str) -> str:
 def archives(spark: SparkSession, sf_dir: str) -> str:
     """Folder with one sub-folder of gzip JSON lines per hour; written once per session."""
     folder = shared_folder(spark, "archives")
-    named = lines(spark, sf_dir).select("value", archive_name(F.col("archive_hour")).alias("archive"))
-    # By range, so that a busy hour is spread over several tasks and files.
-    tasks = 4 * spark.sparkContext.defaultParallelism
-    (
-        named.repartitionByRange(tasks, "archive", "value")
-        .write.option("compression", "gzip")
-        .partitionBy("archive")
-        .text(folder)
-    )
+    spread_lines(spark, sf_dir).write.option("compression", "gzip").partitionBy("archive").text(folder)
     return folder
 
 
+def spread_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """value, archive: by range, so that a busy hour is spread over several tasks and files.
+
+    The ranges are of the rows and not of their lines, which are longer and would be made
+    once more to find them.
+    """
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    spread = table(spark, sf_dir, "events").repartitionByRange(tasks, _hour_start(F.col("ts")), "event_id")
+    return _lines_of(spread).select("value", archive_name(F.col("archive_hour")).alias("archive"))
+
+
 @cache
 def redelivered(spark: SparkSession, sf_dir: str) -> str:
     """The archives once more, a file for each hour in the order of their hours, where some

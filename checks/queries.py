@@ -228,9 +228,9 @@ def mart_refresh(spark, sf):
     """A mart built without some hours, and refreshed when they had come."""
     path, mart = shared_folder(spark, "lake"), shared_folder(spark, "mart")
     raw = lake.read_lake(spark, a.written_lake(spark, sf))
-    lake.write_lake(raw.where(~_late()), path, compact=True)
+    lake.write_lake(raw.where(~_late()), path)
     refresh_mart(spark, path, mart)
-    lake.write_lake(raw.where(_late()), path, compact=True)
+    lake.write_lake(raw.where(_late()), path)
     refresh_mart(spark, path, mart)
     return mart_table.read_mart(spark, mart)
 

@@ -65,7 +65,7 @@ def keep_types(events: DataFrame, types: tuple[str, ...] = KEPT_TYPES) -> DataFr
 
 
 def kept_events(lines: DataFrame, types: tuple[str, ...] = KEPT_TYPES) -> DataFrame:
-    """``keep_types(parse_events(lines), types)``, parsing only lines that may qualify.
+    """``keep_types(parse_events(lines), types)``, parsing only lines that may qualify, once.
 
     About one archive line in a hundred is of a kept type. A line can only be if it
     contains the type's name, or a ``\\u00`` escape that might spell a letter of it,
@@ -75,8 +75,9 @@ def kept_events(lines: DataFrame, types: tuple[str, ...] = KEPT_TYPES) -> DataFr
     candidate = value.contains("\\u00")
     for name in types:
         candidate = candidate | value.contains(name)
-    parsed = lines.where(candidate).select(parsed_line().alias("event"), "archive_hour")
-    return keep_types(parsed, types)
+    # Generated, as in parse_events; lines that are not JSON have no type and go with the others.
+    parsed = F.explode(F.array(parsed_line()))
+    return keep_types(lines.where(candidate).select(parsed.alias("event"), "archive_hour"), types)
 
 
 def flatten_events(events: DataFrame) -> DataFrame:

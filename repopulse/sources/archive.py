@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.events import moment
 from .tables import file_system
 
-_DATE_AND_HOUR = r".*(\d{4}-\d{2}-\d{2})-(\d{1,2})(?:\.json|/)"
+_DATE_AND_HOUR = r".*(\d{4}-\d{2}-\d{2}-\d{1,2})(?:\.json|/)"
 PUBLICATION_LAG = timedelta(hours=2)
 # Folders between the one that is listed and an archive, at the most.
 DEPTH = 8
@@ -46,14 +46,22 @@ def archive_hours(spark: SparkSession, start: datetime, end: datetime) -> DataFr
     return hours.withColumn("file", archive_name(F.col("hour")))
 
 
+def _stamp_of_path(path: Column) -> Column:
+    """The date and hour in an archive's path, as in ``2024-01-31-7``; empty without them."""
+    return F.regexp_extract(path, _DATE_AND_HOUR, 1)
+
+
+def _hour_of_stamp(stamp: Column) -> Column:
+    day, hour = F.substring(stamp, 1, 10).try_cast("date"), F.substring(stamp, 12, 2).try_cast("int")
+    return F.when(hour < 24, day.cast("timestamp_ntz") + F.make_dt_interval(hours=hour))
+
+
 def hour_of_path(path: Column) -> Column:
     """The hour named by an archive's path, as a timestamp without zone; else NULL.
 
     A day has the hours 0 to 23; any other number names no hour.
     """
-    day = F.regexp_extract(path, _DATE_AND_HOUR, 1).try_cast("date")
-    hour = F.regexp_extract(path, _DATE_AND_HOUR, 2).try_cast("int")
-    return F.when(hour < 24, day.cast("timestamp_ntz") + F.make_dt_interval(hours=hour))
+    return _hour_of_stamp(_stamp_of_path(path))
 
 
 def _dated(first: datetime, last: datetime) -> str:
@@ -94,8 +102,10 @@ def keep_repeated_keys(spark: SparkSession) -> None:
 
 def _with_hour(lines: DataFrame) -> DataFrame:
     # No filter on the hour here: it would be evaluated for every line. As a projection
-    # it is computed only for the lines that later filters keep.
-    return lines.select("value", hour_of_path(F.col("_metadata.file_path")).alias("archive_hour"))
+    # it is computed only for the lines that later filters keep. The stamp is a column of
+    # its own, so that each of those lines searches its path once and not once per use.
+    stamped = lines.select("value", _stamp_of_path(F.col("_metadata.file_path")).alias("stamp"))
+    return stamped.select("value", _hour_of_stamp(F.col("stamp")).alias("archive_hour"))
 
 
 def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:

@@ -76,6 +76,27 @@ def test_text_search_loses_no_candidate(spark):
     assert sorted(fast.collect()) == sorted(slow.collect())
 
 
+def test_a_line_is_parsed_and_its_path_searched_once(spark, tmp_path):
+    archive_file(tmp_path, HOUR, event(1), event(2)[:30], event(3, "PushEvent"), pull(4))
+    rows = flat_rows(archive.read_lines(spark, str(tmp_path)))
+    assert sorted((row.id, row.hour) for row in rows.collect()) == [("1", "04"), ("4", "04")]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    # The second parse is that of lines with NaN or Infinity.
+    assert plan.count("parseJson(") == 2 and plan.count("regexp_extract(") == 1
+
+
+def test_hours_of_paths(spark):
+    hours = {
+        "/a/2024-03-05-4.json.gz": HOUR, "/a/2024-03-05-04.json.gz": HOUR, "/a/2024-03-05-4/part-0.gz": HOUR,
+        "/a/archive=2024-03-05-4.json.gz/part-2024-01-01-9.gz": HOUR,
+        "/2024-03-04-9/2024-03-05-4.json": HOUR, "/2024-03-05-4/2024-03-05-24.json": None,
+        "/a/2024-02-30-4.json": None, "/a/2024-03-05.json": None, "/a/2024-03-05-123.json": None, "/a/x": None,
+    }
+    paths = spark.createDataFrame([(path,) for path in hours], "path string")
+    found = paths.select("path", archive.hour_of_path(F.col("path")).alias("hour"))
+    assert {row.path: row.hour for row in found.collect()} == hours
+
+
 def test_missing_parents_give_null(spark):
     bare = event(1, actor=None, repo=None, payload=None)
     absent = json.dumps({"id": "2", "type": "PullRequestEvent"})

@@ -5,7 +5,7 @@ from datetime import datetime
 
 import pytest
 
-from checks import adapters
+from checks import adapters, queries
 from checks.queries import QUERIES
 from repopulse.operators import analyses
 from repopulse.operators.activity import repo_daily_activity
@@ -119,3 +119,35 @@ def test_the_wide_mart_is_not_shuffled_to_be_written(spark, monkeypatch):
     monkeypatch.setattr(type(spark.range(1)), "repartitionByRange", shuffled)
     path = adapters.written_wide_mart.__wrapped__(spark, FOLDER)
     assert spark.read.parquet(path).count() == QUERIES["repo_trends_daily_wide"](spark, FOLDER).count()
+
+
+@pytest.fixture
+def events_folder(spark, tmp_path):
+    """300 events in 144 hours of January 2024, among them late ones, of nine repositories."""
+    rows = spark.range(300).selectExpr(
+        "id as event_id", "timestamp_ntz'2024-01-01 00:30:00' + make_dt_interval(0, cast(id * 5 % 720 as int)) as ts",
+        "id % 7 as user_id", "if(id % 3 = 0, 'purchase', 'view') as event_type", "5D as value",
+        "concat('{\"k\": ', id % 9, '}') as props",
+    )
+    rows.write.parquet(f"{tmp_path}/events.parquet")
+    return str(tmp_path)
+
+
+def test_archives_make_each_line_once(spark, events_folder):
+    found = adapters.spread_lines(spark, events_folder)
+    above, below = plan(found).split("rangepartitioning")
+    # Lines are made after the exchange, so ranges are found without them.
+    assert "json_tuple" in above and "json_tuple" not in below
+    lines = adapters.lines(spark, events_folder).select("value")
+    assert sorted(lines.collect()) == sorted(found.select("value").collect())
+    assert found.select("archive").distinct().count() == 144
+
+
+def test_copies_of_the_lake_are_not_shuffled(spark, events_folder, monkeypatch):
+    copies = []
+    write = queries.lake.write_lake
+    monkeypatch.setattr(queries.lake, "write_lake", lambda raw, path, **how: copies.append((plan(raw), how)) or write(raw, path, **how))
+    found = QUERIES["mart_refresh"](spark, events_folder)
+    assert len(copies) == 2 and not any("Exchange" in text or how for text, how in copies)
+    whole = trends(read_lake(spark, adapters.written_lake(spark, events_folder)))
+    assert sorted(found.collect()) == sorted(whole.collect()) != []
